@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import line_dedup
+from .records import tokenize_to_records
+from .simhash import simhash_groups
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), words=3, seed=42, max_bits=3)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +29,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = tokenize_to_records(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op5_line_dedup": op5_line_dedup,
+    "op10_binary_records": op10_binary_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
