@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import line_dedup
+from .pack import pack
 from .records import tokenize_to_records
 from .simhash import simhash_groups
+from .substring import substring_dedup
 
 
 def vocabulary(name: str) -> str:
@@ -24,11 +26,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=3, seed=42, max_bits=3)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf_dir, "documents"), n=20)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, window=2048, packet=128)
+
+
 def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tokenize_to_records(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -36,11 +47,32 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op9_packing": op9_packing,
     "op10_binary_records": op10_binary_records,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": r"""
+        WITH word AS (
+            SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i
+            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)
+        ), window_at AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i:i + 19], ' ') ORDER BY doc_id, i) AS nth
+            FROM word WHERE i + 19 <= len(words)
+        ), near AS (
+            SELECT doc_id, i, words[i] AS word, coalesce(max(CASE WHEN nth > 1 THEN i END)
+                   OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+            FROM word LEFT JOIN window_at USING (doc_id, i)
+        ), kept AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text
+            FROM near GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM documents LEFT JOIN kept USING (doc_id)
+    """,
     "op5_line_dedup": r"""
         WITH split AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents

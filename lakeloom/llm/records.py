@@ -62,8 +62,8 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_r
         tok = worker_tokenizer(spec.value)
         end, wide = np.array([end_id], dtype=tok.dtype).tobytes(), tok.dtype == "<u4"
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 ids = tok.encode([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array([frame(d, x + end, wide) for d, x in zip(part.column("doc_id").to_pylist(), ids, strict=True)], pa.binary())], ["frame"])
 

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from pathlib import Path
 
-#: Pieces longer than this aren't cached; a full cache is emptied, so that a worker's memory stays bounded.
-PIECE_CHARS, CACHE_PIECES = 48, 400_000
+import numpy as np
+import regex
+from tokenizers import Tokenizer
+
+#: Longer pieces aren't cached, and a full cache is emptied, so that a worker's memory stays bounded.
+PIECE_CHARS, CACHE_PIECES = 48, 300_000
 #: Splitting before a space is safe unless white space stands on both sides of it, or before it at the text's end.
 _UNSAFE = re.compile(r"\s \s|\s \Z")
-_workers: dict[str, "PieceTokenizer"] = {}
+#: Fixed value: the word pattern of byte-level BPE.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_workers: dict[str, PieceTokenizer] = {}
 
 
 def load_spec(path: str) -> str:
@@ -18,7 +25,7 @@ def load_spec(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
-def worker_tokenizer(spec: str) -> "PieceTokenizer":
+def worker_tokenizer(spec: str) -> PieceTokenizer:
     """One tokenizer and cache for each Python worker."""
     key = str(hash(spec))
     if key not in _workers:
@@ -26,62 +33,86 @@ def worker_tokenizer(spec: str) -> "PieceTokenizer":
     return _workers[key]
 
 
+def byte_characters() -> dict[int, str]:
+    """The printable character that byte-level BPE writes for each byte: itself if printable, else the next free one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class PieceTokenizer:
     """encode(texts) gives the same ids as the library's encode on whole texts with add_special_tokens=False.
 
-    Where the tokenizer drops white space, no token spans ASCII white space, and a text is split there. A byte-level
-    tokenizer joins one space to the word after it, and a text is split before such spaces; texts in which white
-    space surrounds a space, or that hold a special token's text, are encoded whole. Each distinct piece is encoded once a worker.
+    Most of a tokenizer's time goes into words that it has seen before. A text is therefore cut where no token can
+    span the cut: at ASCII white space where the tokenizer drops it, else before a space that stands between a word and a word.
+    Only pieces not seen by this worker are cut into words and given to the library's BPE model. Texts that hold a special
+    token's text, or white space around a space, and tokenizers of another build are encoded whole.
     """
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_str(spec)
+        self.model = self.tokenizer.model
         said = json.loads(spec)
-        self.kept = said["normalizer"] is None
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.special = [t["content"] for t in said["added_tokens"]]
-        self.cache: dict = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _pieces(self, text: str) -> list | None:
-        if not self.kept:
-            return text.encode("utf-8").split()
-        if _UNSAFE.search(text) or any(s in text for s in self.special):
-            return None
-        first, *rest = text.split(" ")
-        return [("", first), *rest]
-
-    def _text(self, piece) -> str:
-        if isinstance(piece, tuple):
-            return piece[1]
-        return f" {piece}" if self.kept else piece.decode("utf-8")
+        normal, pre = said["normalizer"], said["pre_tokenizer"]
+        steps = [s["type"] for s in (normal or {}).get("normalizers", [])]
+        parts = [p["type"] for p in (pre or {}).get("pretokenizers", [])]
+        self.kind = "whole"
+        if normal is None and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+            self.kind, self.pattern = "spaces kept", regex.compile(BYTE_LEVEL)
+        elif steps == ["NFC", "Replace", "Lowercase"] and parts == ["Split", "ByteLevel"] and pre["pretokenizers"][0]["invert"]:
+            self.kind, self.pattern = "spaces dropped", regex.compile(pre["pretokenizers"][0]["pattern"]["Regex"])
+        self.characters = byte_characters()
+        self.pieces: dict[str | bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned integers of self.dtype, by text."""
-        out, group, size = [], [], 0
+        out = []
         for text in texts:
-            group.append(text)
-            size += len(text)
-            if size > 2_000_000:
-                out += self._encode(group)
-                group, size = [], 0
-        return out + self._encode(group)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        pieces = [self._pieces(t) for t in texts]
-        new = list({p for ps in pieces if ps is not None for p in ps if p not in cache})
-        fresh = dict(zip(new, self._ids([self._text(p) for p in new]), strict=True))
-        whole = iter(self._ids([t for t, ps in zip(texts, pieces, strict=True) if ps is None]))
-        get, made = cache.get, fresh.get
-        out = [next(whole) if ps is None else b"".join([v if (v := get(p)) is not None else made(p) for p in ps]) for ps in pieces]
-        if len(cache) + len(fresh) > CACHE_PIECES:
-            cache.clear()
-        cache.update((p, v) for p, v in fresh.items() if len(p) <= PIECE_CHARS)
+            out.append(self._whole(text) if (pieces := self._cut(text)) is None else self._joined(pieces))
+        return out
+
+    def _cut(self, text: str) -> list | None:
+        if self.kind == "whole" or any(s in text for s in self.special):
+            return None
+        if self.kind == "spaces dropped":
+            return text.encode("utf-8").split()
+        if _UNSAFE.search(text):
+            return None
+        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def _joined(self, pieces: list) -> bytes:
+        known = self.pieces
+        try:
+            return b"".join([known[p] for p in pieces])
+        except KeyError:
+            pass
+        long = {}
+        for p in {p for p in pieces if p not in known}:
+            (known if len(p) <= PIECE_CHARS else long)[p] = self._piece(p)
+        out = b"".join([known[p] if p in known else long[p] for p in pieces])
+        if len(known) > CACHE_PIECES:
+            known.clear()
         return out
+
+    def _piece(self, piece: str | bytes) -> bytes:
+        if isinstance(piece, bytes):
+            piece = unicodedata.normalize("NFC", piece.decode("utf-8"))
+            piece = "".join(map(str.lower, piece))  # one by one: no rule for a last sigma
+        words, out = self.words, []
+        for word in self.pattern.findall(piece):
+            ids = words.get(word)
+            if ids is None:
+                written = word.encode("utf-8").decode("latin-1").translate(self.characters)
+                ids = np.array([t.id for t in self.model.tokenize(written)], dtype=self.dtype).tobytes()
+                if len(word) <= PIECE_CHARS:
+                    if len(words) >= CACHE_PIECES:
+                        words.clear()
+                    words[word] = ids
+            out.append(ids)
+        return b"".join(out)
