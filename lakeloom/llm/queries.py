@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .inverted import decontaminate
 from .line_dedup import line_dedup
 from .pack import pack
 from .records import tokenize_to_records
@@ -22,6 +23,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=13, one_in=20)
+    n_items, digest = F.size("items").cast("long"), F.sha2(F.array_join(F.array_sort("items"), ","), 256)
+    return out.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=3, seed=42, max_bits=3)
 
@@ -46,6 +53,7 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
@@ -54,6 +62,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": r"""
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+        ), item AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+        ), test AS (
+            SELECT DISTINCT item_id, least(len(words), 13) AS n, array_to_string(words[i:i + 12], ' ') AS phrase
+            FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 12, 1))) AS i FROM item WHERE len(words) > 0)
+        ), word AS (
+            SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM doc
+        ), hit AS (
+            SELECT doc_id, i, word.n, item_id
+            FROM (SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS phrase
+                  FROM word, (SELECT DISTINCT n FROM test) WHERE i + n - 1 <= len(words)) AS word
+            JOIN test ON test.n = word.n AND test.phrase = word.phrase
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM hit) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
     "op3_substring_dedup": r"""
         WITH word AS (
             SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i
