@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import rotate_perspectives
 from .common import table
+from .embedding import embedding_groups
 from .inverted import decontaminate
 from .line_dedup import line_dedup
 from .pack import pack
@@ -38,11 +40,21 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rotate_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))), ",")
+    return out.select("conv_id", "speaker", "n_turns", "n_own", F.sha2("text", 256).alias("text_sha256"), F.sha2(spans, 256).alias("mask_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, window=2048, packet=128)
 
@@ -56,7 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op7_chat_rotation": op7_chat_rotation,
     "op9_packing": op9_packing,
     "op10_binary_records": op10_binary_records,
 }
@@ -123,4 +137,40 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
         FROM line LEFT JOIN common USING (key) GROUP BY doc_id
     """,
+    "op4_embedding_dedup": r"""
+        WITH RECURSIVE sound AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+        ), reach AS (
+            SELECT a AS vec_id, b AS other FROM link UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON reach.other = link.a
+        ), least AS (
+            SELECT vec_id, min(other) AS other FROM reach GROUP BY vec_id
+        ), degree AS (
+            SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a
+        )
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+               least(vec_id, coalesce(other, vec_id)) = vec_id AS kept
+        FROM embeddings LEFT JOIN degree USING (vec_id) LEFT JOIN least USING (vec_id)
+    """,
+    "op7_chat_rotation": r"""
+        WITH turn AS (
+            SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS n
+            FROM conversations
+        ), told AS (
+            SELECT turn.*, speaker, role = speaker AS own, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
+                   ELSE concat('<|user:', role, '|>') END AS head
+            FROM turn JOIN (SELECT DISTINCT conv_id, role AS speaker FROM turn WHERE role <> 'system') USING (conv_id)
+        ), placed AS (
+            SELECT *, sum(length(head) + 1 + length(text) + 8) OVER (PARTITION BY conv_id, speaker ORDER BY n) AS upto FROM told
+        )
+        SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+               sha256(string_agg(concat(head, chr(10), text, '<|end|>', chr(10)), '' ORDER BY n)) AS text_sha256,
+               sha256(string_agg(concat(CAST(upto - length(text) - 8 AS BIGINT), '-', CAST(upto AS BIGINT)), ',' ORDER BY n) FILTER (WHERE own)) AS mask_sha256
+        FROM placed GROUP BY conv_id, speaker
+    """,
 }
