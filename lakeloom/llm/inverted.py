@@ -7,11 +7,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import has_columns, ship, written
+from .common import has_columns, ship, text_hash, written
 
 BLOCK_WORDS, PART_BYTES, CANDIDATES = 1_000_000, 16 << 20, 4_000_000
 POSTINGS = "block long, part int, term int, n long, positions binary, firsts binary"
-MATCHES = "doc_id long, n_words long, n_hit long, items array<string>, starts array<long>, ends array<long>"
+MATCHES = "doc_id long, text_hash long, n_words long, n_hit long, items array<string>, starts array<long>, ends array<long>"
 #: A-Z lower-cased; every ASCII character but letters and digits separates words.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -53,7 +53,7 @@ def build_index(docs: DataFrame, tests: list) -> DataFrame:
     """The stored index of the documents: for each block of about a million words, the positions of every test term.
 
     Whole documents are laid end to end in a block; `positions` are places in it, ascending. The row of term -1 holds the
-    block's documents: doc_id (the least long for null) and first position of each. A posting takes four bytes, and words that no
+    block's documents: doc_id (the least long for null) and text hash of each, and the first positions. A posting takes four bytes, and words that no
     test holds take none.
     """
     ship(docs.sparkSession)
@@ -65,13 +65,13 @@ def build_index(docs: DataFrame, tests: list) -> DataFrame:
 
         base, made = TaskContext.get().partitionId() << 32, 0
 
-        def post(ids: list, texts: list[list[bytes]]) -> Iterator:
+        def post(ids: list, hashes: list, texts: list[list[bytes]]) -> Iterator:
             nonlocal made
             block = base + made
             made += 1
             firsts = np.cumsum([0, *map(len, texts)])
             doc_ids = np.array([-(1 << 63) if i is None else i for i in ids], "<i8")
-            out = [(block, -1, -1, len(ids), doc_ids.tobytes(), firsts.astype("<i8").tobytes())]
+            out = [(block, -1, -1, len(ids), doc_ids.tobytes() + np.array(hashes, "<i8").tobytes(), firsts.astype("<i8").tobytes())]
             for k, part in enumerate(tests):
                 get = part.value.terms.get
                 term = np.fromiter((get(w, -1) for words in texts for w in words), np.int32, int(firsts[-1]))
@@ -83,19 +83,21 @@ def build_index(docs: DataFrame, tests: list) -> DataFrame:
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in POSTINGS.split(", ")])
 
-        ids, texts, size = [], [], 0
+        ids, hashes, texts, size = [], [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for doc_id, digest, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), strict=True):
                 ids.append(doc_id)
+                hashes.append(digest)
                 texts.append(words_of(text.as_buffer().to_pybytes() if text.is_valid else None))
                 size += len(texts[-1])
                 if size >= BLOCK_WORDS or len(ids) >= 100_000:
-                    yield from post(ids, texts)
-                    ids, texts, size = [], [], 0
+                    yield from post(ids, hashes, texts)
+                    ids, hashes, texts, size = [], [], [], 0
         if ids:
-            yield from post(ids, texts)
+            yield from post(ids, hashes, texts)
 
-    return written(has_columns(docs, doc_id="long", text="string").mapInArrow(scan, POSTINGS), "postings")
+    docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
+    return written(docs.mapInArrow(scan, POSTINGS), "postings")
 
 
 def intersect(tests: Tests, terms, counts, positions, total: int, slop: int = 0):
@@ -162,7 +164,8 @@ def _search(tests: list, slop: int):
 
         rows = group.to_pydict()
         head = rows["part"].index(-1)
-        doc_ids, firsts = np.frombuffer(rows["positions"][head], "<i8"), np.frombuffer(rows["firsts"][head], "<i8")
+        doc_ids, hashes = np.frombuffer(rows["positions"][head], "<i8").reshape(2, -1)
+        firsts = np.frombuffer(rows["firsts"][head], "<i8")
         total = int(firsts[-1])
         change = np.zeros(total + 1, np.int64)
         items: list[set] = [set() for _ in doc_ids]
@@ -188,6 +191,7 @@ def _search(tests: list, slop: int):
         a, b = np.searchsorted(starts, firsts[:-1]), np.searchsorted(starts, firsts[1:])
         columns = [
             pa.array([None if i == -(1 << 63) else i for i in doc_ids.tolist()], pa.int64()),
+            pa.array(hashes),
             pa.array(np.diff(firsts)),
             pa.array(sums[firsts[1:]] - sums[firsts[:-1]]),
             pa.array([sorted(x) for x in items], pa.list_(pa.string())),
@@ -202,7 +206,7 @@ def _search(tests: list, slop: int):
 def find_tests(docs: DataFrame, benchmark: DataFrame, n: int = 13, slop: int = 0) -> DataFrame:
     """Where the benchmark's phrases of `n` words occur in the documents: one row for every document.
 
-    Returns doc_id, n_words, n_hit (words inside any occurrence), items (ids of the items that occur, sorted, as strings), and the
+    Returns doc_id, text_hash (tells rows of one doc_id apart), n_words, n_hit (words inside any occurrence), items (ids of the items that occur, sorted, as strings), and the
     maximal hit intervals as `starts` and `ends` in words. With slop 0 phrases match exactly; with more, each word
     may stand up to `slop` places off, and the interval spans the words found.
 

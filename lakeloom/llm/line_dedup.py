@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, discard, has_columns, new_path, text_hash, written
+from .common import SPACE, ascii_lower, discard, text_hash, written
 
 
 def split_lines(text: Column) -> Column:
@@ -77,10 +77,10 @@ class LineRuns:
                 discard(run)
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 4, fanout: int = 3) -> DataFrame:
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 4, fanout: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """Drops every line whose key is found in at least `min_docs` documents.
 
-    Returns doc_id, text (the kept lines joined by a line feed), n_lines, n_dropped; one row for each input row.
+    Returns doc_id, text (the kept lines joined by a line feed), n_lines, n_dropped and the columns named in `keep`; one row for each input row.
     Keys under `min_chars` code points (so empty lines) always stay. A null or empty text is one empty line. Each input row
     counts as one document, whatever its doc_id, null included; a repeated row gets its result each time.
     Other columns are left out. An empty table gives an empty result.
@@ -90,7 +90,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batche
     and only flags, no texts, are grouped back to documents.
     """
     spark = docs.sparkSession
-    docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
+    carried = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None)
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried.alias("carried"))
+    docs = docs.withColumn("text_hash", text_hash(F.col("text")))
     long_enough = lambda key: F.when(F.char_length(key) >= min_chars, F.md5(key))
     hashed = docs.select(
         "doc_id", "text_hash",
@@ -102,11 +104,12 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batche
     for k in range(n_batches):
         batch = hashed.where(F.col("batch") == k).select(F.explode(F.array_distinct("hashes")).alias("hash"))
         runs.add(batch.where("hash IS NOT NULL").groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs")))
-    common = runs.counts().where(F.col("n_docs") >= min_docs).select("hash")
+    # Written, so that its size is known to the join, which Spark can then split where a hash is hot.
+    common = written(runs.counts().where(F.col("n_docs") >= min_docs).select("hash"), "common-lines")
 
     lines = hashed.select("doc_id", "text_hash", F.posexplode("hashes").alias("pos", "hash"))
     dropped = lines.join(common, "hash", "left_semi").groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("dropped"))
-    return _without(docs, dropped)
+    return _without(docs, dropped).select("doc_id", "text", "n_lines", "n_dropped", *(F.col("carried")[c].alias(c) for c in keep))
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     joined = d.join(x, F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.text_hash") == F.col("x.text_hash")), "left")
     lines = split_lines(F.col("text"))
     kept = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(_kept(lines, F.col("dropped")), "\n"))
-    return joined.select(F.col("d.doc_id"), F.coalesce(kept, F.lit("")).alias("text"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(F.col("d.doc_id"), "carried", F.coalesce(kept, F.lit("")).alias("text"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def _kept(lines: Column, dropped: Column) -> Column:

@@ -11,8 +11,10 @@ from .chat import rotate_perspectives
 from .common import table
 from .embedding import embedding_groups
 from .inverted import decontaminate
+from .langid import classify_language
 from .line_dedup import line_dedup
 from .pack import pack
+from .quality import classify_quality
 from .records import tokenize_to_records
 from .simhash import simhash_groups
 from .substring import substring_dedup
@@ -49,12 +51,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rotate_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))), ",")
     return out.select("conv_id", "speaker", "n_turns", "n_own", F.sha2("text", 256).alias("text_sha256"), F.sha2(spans, 256).alias("mask_sha256"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_language(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, window=2048, packet=128)
 
@@ -64,15 +74,24 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality": op6_quality,
     "op7_chat_rotation": op7_chat_rotation,
+    "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_binary_records": op10_binary_records,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
