@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -12,7 +13,9 @@ import regex
 from tokenizers import Tokenizer
 
 #: Longer pieces aren't cached, and a full cache is emptied, so that a worker's memory stays bounded.
-PIECE_CHARS, CACHE_PIECES = 48, 300_000
+PIECE_CHARS, CACHE_PIECES, CACHE_WORDS = 48, 500_000, 300_000
+#: Signs that a pattern takes together where they follow letters.
+MARKS = ".,;:!?%&*#$)|"
 #: Splitting before a space is safe unless white space stands on both sides of it, or before it at the text's end.
 _UNSAFE = re.compile(r"\s \s|\s \Z")
 #: Fixed value: the word pattern of byte-level BPE.
@@ -64,6 +67,8 @@ class PieceTokenizer:
         elif steps == ["NFC", "Replace", "Lowercase"] and parts == ["Split", "ByteLevel"] and pre["pretokenizers"][0]["invert"]:
             self.kind, self.pattern = "spaces dropped", regex.compile(pre["pretokenizers"][0]["pattern"]["Regex"])
         self.characters = byte_characters()
+        self.blank = self.characters[32]
+        self.code = "H" if self.dtype == "<u2" else "I"  # tasks run on little-endian machines, as Arrow does
         self.pieces: dict[str | bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -102,17 +107,24 @@ class PieceTokenizer:
 
     def _piece(self, piece: str | bytes) -> bytes:
         if isinstance(piece, bytes):
-            piece = unicodedata.normalize("NFC", piece.decode("utf-8"))
-            piece = "".join(map(str.lower, piece))  # one by one: no rule for a last sigma
-        words, out = self.words, []
-        for word in self.pattern.findall(piece):
-            ids = words.get(word)
-            if ids is None:
-                written = word.encode("utf-8").decode("latin-1").translate(self.characters)
-                ids = np.array([t.id for t in self.model.tokenize(written)], dtype=self.dtype).tobytes()
-                if len(word) <= PIECE_CHARS:
-                    if len(words) >= CACHE_PIECES:
-                        words.clear()
-                    words[word] = ids
-            out.append(ids)
-        return b"".join(out)
+            piece = piece.decode("utf-8")
+            if piece.isascii():
+                piece = piece.lower()
+            else:  # lower-cased one by one: no rule for a last sigma
+                piece = "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
+        word = piece.rstrip(MARKS)
+        if (word[1:] if word[:1] == " " else word).isalpha():  # a word with marks after it, as most pieces are
+            return self._word(word) + self._word(piece[len(word) :])
+        return b"".join(map(self._word, self.pattern.findall(piece)))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what the tokenizer's pattern takes as one word."""
+        ids = self.words.get(word)
+        if ids is None:
+            spelled = word.replace(" ", self.blank) if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.characters)
+            ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            if len(word) <= PIECE_CHARS:
+                if len(self.words) >= CACHE_WORDS:
+                    self.words.clear()
+                self.words[word] = ids
+        return ids
