@@ -21,7 +21,7 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
-class Tests:
+class Phrases:
     """The windows of some test items: n consecutive words each, or all words of a shorter item that has any."""
 
     def __init__(self, items: list[tuple], n: int):
@@ -40,13 +40,13 @@ class Tests:
         self.owners = [sorted(set(x)) for x in windows.values()]
 
 
-def load_tests(benchmark: DataFrame, n: int) -> list[Tests]:
+def load_tests(benchmark: DataFrame, n: int) -> list[Phrases]:
     """The benchmark in parts of about PART_BYTES of text, each small enough to send to every task."""
     items = has_columns(benchmark, item_id="string", text="string").where("item_id IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // PART_BYTES) or 1
     items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
-    return [Tests([(r.item_id, r.text) for r in items.where(F.col("part") == k).sort("item_id", "text").collect()], n) for k in range(parts)]
+    return [Phrases([(r.item_id, r.text) for r in items.where(F.col("part") == k).sort("item_id", "text").collect()], n) for k in range(parts)]
 
 
 def build_index(docs: DataFrame, tests: list) -> DataFrame:
@@ -78,7 +78,8 @@ def build_index(docs: DataFrame, tests: list) -> DataFrame:
                 at = np.flatnonzero(term >= 0)
                 at = at[np.argsort(term[at], kind="stable")]
                 names, starts = np.unique(term[at], return_index=True)
-                for t, own in zip(names.tolist(), np.split(at.astype("<u4"), starts[1:]), strict=True):
+                lists = np.split(at.astype("<u4"), starts[1:]) if len(names) else []
+                for t, own in zip(names.tolist(), lists, strict=True):
                     out.append((block, k, t, len(own), own.tobytes(), None))
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in POSTINGS.split(", ")])
@@ -100,7 +101,7 @@ def build_index(docs: DataFrame, tests: list) -> DataFrame:
     return written(docs.mapInArrow(scan, POSTINGS), "postings")
 
 
-def intersect(tests: Tests, terms, counts, positions, total: int, slop: int = 0):
+def intersect(tests: Phrases, terms, counts, positions, total: int, slop: int = 0):
     """(window, first, last) of each match in one block: its terms' lists, shifted by their offsets, intersected from the rarest on.
 
     With `slop`, a term may stand up to that many places from where the phrase has it (a proximity match).
