@@ -42,7 +42,7 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    out = spark.read.schema(spark.read.parquet(path).schema if partition_by else df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out._lakeloom_path = path
     return out
 
