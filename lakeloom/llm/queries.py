@@ -123,14 +123,17 @@ ORACLE_SQL: dict[str, str] = {
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
     "op3_substring_dedup": r"""
-        WITH word AS (
-            SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i
-            FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), word AS (
+            SELECT doc_id, i, words[i] AS word, len(words) AS n FROM (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM doc)
+        ), coded AS (
+            SELECT doc_id, list(id ORDER BY i) AS ids FROM (SELECT doc_id, i, dense_rank() OVER (ORDER BY word) AS id FROM word) GROUP BY doc_id
         ), window_at AS (
-            SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i:i + 19], ' ') ORDER BY doc_id, i) AS nth
-            FROM word WHERE i + 19 <= len(words)
+            SELECT doc_id, i, row_number() OVER (PARTITION BY ids[i:i + 19] ORDER BY doc_id, i) AS nth
+            FROM (SELECT doc_id, ids, unnest(generate_series(1, len(ids) - 19)) AS i FROM coded)
         ), near AS (
-            SELECT doc_id, i, words[i] AS word, coalesce(max(CASE WHEN nth > 1 THEN i END)
+            SELECT doc_id, i, word, coalesce(max(CASE WHEN nth > 1 THEN i END)
                    OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
             FROM word LEFT JOIN window_at USING (doc_id, i)
         ), kept AS (
