@@ -54,7 +54,8 @@ def incremental_current_state(log: DataFrame, target: DataFrame | None, overlap:
     fresh = late.where(F.col("_since").isNull() | (F.col(checkpoint) > F.col("_since"))).select("mg_id").distinct()
     touched = late.drop("_since").join(fresh, "mg_id", "left_semi")
     before = target.join(fresh, "mg_id", "left_semi")
-    return target.join(fresh, "mg_id", "left_anti").unionByName(latest_by_key(touched.unionByName(before, allowMissingColumns=True), drop_deleted=False).select(*target.columns))
+    winners = latest_by_key(touched.unionByName(before, allowMissingColumns=True), drop_deleted=False)
+    return target.join(fresh, "mg_id", "left_anti").select(*target.columns).unionByName(winners.select(*target.columns))
 
 
 def ignore_changes(log: DataFrame, predicate: Column | str) -> DataFrame:
@@ -121,7 +122,7 @@ def base_plus_delta_view(base: DataFrame, delta: DataFrame, key: str = "pk", at:
 
 def base_anti_delta_union(base: DataFrame, delta: DataFrame, key: str = "pk", operation: str = "operation") -> DataFrame:
     """The base's rows that the delta doesn't touch, and the delta's rows that aren't deletes."""
-    return base.join(delta.select(key), key, "left_anti").unionByName(delta.where(F.coalesce(F.col(operation) != "DELETE", F.lit(True))).select(*base.columns))
+    return base.join(delta.select(key), key, "left_anti").select(*base.columns).unionByName(delta.where(F.coalesce(F.col(operation) != "DELETE", F.lit(True))).select(*base.columns))
 
 
 def replace_window(target: DataFrame, fresh: DataFrame, time_col: str, start: Column, retain_from: Column) -> DataFrame:
@@ -138,7 +139,7 @@ def append_since(target: DataFrame, df: DataFrame, time_col: str) -> DataFrame:
 def replace_touched_keys(target: DataFrame, source: DataFrame, recomputed: DataFrame, keys: list[str], changed: Column) -> DataFrame:
     """The target with the rows of keys that changed in the source replaced by recomputed ones."""
     touched = source.where(changed).select(*keys).distinct()
-    return target.join(touched, keys, "left_anti").unionByName(recomputed.join(touched, keys, "left_semi").select(*target.columns))
+    return target.join(touched, keys, "left_anti").select(*target.columns).unionByName(recomputed.join(touched, keys, "left_semi").select(*target.columns))
 
 
 def migrate_merge(main: DataFrame, migrated: DataFrame, entity: str = "mg_id") -> DataFrame:
