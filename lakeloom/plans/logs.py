@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -306,8 +303,7 @@ def c15_full_refresh(spark, sf_dir):
 @query("m1_stream_state", f"WITH {LOG}, {_LATEST} SELECT mg_id, key, value FROM latest WHERE action <> 'd'")
 def m1_stream_state(spark, sf_dir):
     """M1, M2, M5: the change log as a stream of files, merged batch by batch, equals the batch result."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="lakeloom-stream-")
-    root = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = io.scratch_folder(spark, "stream")
     log = change_log(spark, sf_dir)
     log.repartition(3, "key").write.mode("overwrite").parquet(f"{root}/log")
     rows = stream.read_log_stream(spark, f"{root}/log", log.schema, files_per_trigger=1)
@@ -320,3 +316,58 @@ def m1_stream_state(spark, sf_dir):
 @query("m4_windowed_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS slot, event_type, count(*) AS n FROM events GROUP BY ALL")
 def m4_windowed_counts(spark, sf_dir):
     return stream.windowed_counts(t(spark, sf_dir, "events"), "ts", ["event_type"]).withColumn("slot", F.date_format("slot", "yyyy-MM-dd HH"))
+
+
+@query("m3_message_dedup", f"WITH {LOG} SELECT count(*) AS n FROM log")
+def m3_message_dedup(spark, sf_dir):
+    """M3: repeated messages dropped from a stream; with a month's delay all of the log's repeats come in time."""
+    root, raw = io.scratch_folder(spark, "messages"), envelopes(spark, sf_dir)
+    raw.write.parquet(f"{root}/in")
+    once = stream.dedup_message_stream(stream.read_log_stream(spark, f"{root}/in", raw.schema), delay="40 days")
+    stream.run_to_end(once, lambda batch, k: batch.write.mode("overwrite").parquet(f"{root}/out/batch={k}"), f"{root}/checkpoint")
+    return spark.read.schema(raw.schema).parquet(f"{root}/out").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s3_external_files", "SELECT c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1")
+def s3_external_files(spark, sf_dir):
+    """S3: CSV files of a declared text schema."""
+    path = io.scratch_folder(spark, "external")
+    t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal").write.option("header", True).csv(path)
+    rows = io.read_external_files(spark, path, ["c_custkey", "c_mktsegment", "c_acctbal"])
+    return rows.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(C.safe_cast("c_acctbal", "double")), 2).alias("balance"))
+
+
+@query("s5_date_suffixed", "SELECT strftime(ts, '%Y%m%d') AS suffix, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-04' GROUP BY 1")
+def s5_date_suffixed(spark, sf_dir):
+    """A scan over tables named by day, filtered on the suffix."""
+    root, events = io.scratch_folder(spark, "suffixed"), t(spark, sf_dir, "events")
+    for day_name in ("2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"):
+        events.where(F.to_date("ts") == F.lit(day_name).cast("date")).write.parquet(f"{root}/events_{day_name.replace('-', '')}")
+    return io.read_date_suffixed(spark, root, "events_", "20240103", "20240104").groupBy("suffix").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s24_cutoff_snapshots", "SELECT h AS hour, count(*) AS n, round(sum(s_acctbal), 2) AS balance FROM supplier, (VALUES (6), (18)) v(h) GROUP BY h")
+def s24_cutoff_snapshots(spark, sf_dir):
+    """Copies stamped with a truncated time."""
+    path, suppliers = io.scratch_folder(spark, "snapshots"), t(spark, sf_dir, "supplier")
+    for at in ("2024-01-01 06:10:00", "2024-01-01 18:20:00"):
+        io.append_cutoff_snapshot(suppliers, path, F.lit(at).cast("timestamp"))
+    return spark.read.parquet(path).groupBy(F.hour("cutoff_timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("s_acctbal"), 2).alias("balance"))
+
+
+@query("s25_partitioned_table", "SELECT year(o_orderdate) AS year, count(*) AS n, count(*) FILTER (WHERE year(o_orderdate) = 1999) AS rewritten FROM orders GROUP BY 1")
+def s25_partitioned_table(spark, sf_dir):
+    """Partitions written with clustering, one of them replaced."""
+    path, orders = io.scratch_folder(spark, "partitioned"), t(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate")).withColumn("rewritten", F.lit(0))
+    io.write_partitioned(orders, path, ["year"], ["o_custkey"])
+    io.write_partitioned(orders.where("year = 1999").withColumn("rewritten", F.lit(1)), path, ["year"])
+    return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("rewritten").alias("rewritten"))
+
+
+@query("s26_audit_row", """SELECT 'unique lineitem' AS name, 0 AS retry, '2024-01-01' AS day, '{"columns": 11}' AS props, count(*) AS failures, true AS has_id FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+def s26_audit_row(spark, sf_dir):
+    """A log row for a check, with its result."""
+    items = t(spark, sf_dir, "lineitem")
+    failed = quality.check_unique(items, ["l_orderkey", "l_linenumber"]).agg(F.count(F.lit(1)).alias("failures"))
+    row = io.audit_row(spark, "unique lineitem", 0, F.lit("2024-01-01").cast("timestamp"), {"columns": len(items.columns)})
+    return row.crossJoin(failed).select("name", "retry", day_text("at").alias("day"), "props", "failures", (F.char_length("id") == 36).alias("has_id"))  # one row each

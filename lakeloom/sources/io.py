@@ -5,11 +5,19 @@ from __future__ import annotations
 import csv
 import io
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, under spark.checkpoint.dir; a temporary one only where that is unset."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="lakeloom-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None, since: Column | None = None, time_col: str = "ingest_time") -> DataFrame:
     """A Parquet table by name, its columns pruned and its rows after `since`, both of which reach the scan."""
     df = spark.read.parquet(f"{root}/{name}.parquet")
