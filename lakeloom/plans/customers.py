@@ -209,39 +209,87 @@ def b37_daily_activity(spark, sf_dir):
     return calendar(spark, "2024-01-01", "2024-01-31").select("day").join(n, "day", "left").na.fill(0).withColumn("day", day_text("day"))
 
 
-def dynamic_segment(rules: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
-    """(segment_id, customer) for rules as rows: days_from and days_to before `as_of`, a count threshold with its operator, a sum threshold with its own.
+def _range(rule: str, as_of: Column) -> tuple[Column, Column]:
+    """Both ends of a rule's text range: each a date or a number of days before `as_of`; a missing end is `as_of`, a missing start null."""
 
-    Rules are few and travel to the orders; each order meets the rules whose range it is in, and is counted once for each.
-    """
-    age = F.datediff(F.lit(as_of).cast("date"), F.to_date("o_orderdate"))
-    met = orders.select("o_custkey", "o_totalprice", age.alias("age")).join(F.broadcast(rules), F.col("age").between(F.col("days_to"), F.col("days_from")))
-    sums = met.groupBy("segment_id", "o_custkey", "count_op", "count_n", "sum_op", "sum_n").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("gmv"))
-    holds = lambda op, a, b: F.when(F.col(op) == ">=", F.col(a) >= F.col(b)).when(F.col(op) == "<=", F.col(a) <= F.col(b)).when(F.col(op) == "=", F.col(a) == F.col(b)).when(F.col(op).isNull(), True).otherwise(F.raise_error(F.concat(F.lit("no operator "), op)))
-    return sums.where(holds("count_op", "n", "count_n") & holds("sum_op", "gmv", "sum_n")).select("segment_id", "o_custkey")
+    def end(i: int, default: Column) -> Column:
+        said = F.replace(F.get(F.split(F.col(rule), ","), F.lit(i)), F.lit('"'), F.lit(""))
+        days = C.safe_cast(F.regexp_extract(said, "[0-9]+", 0), "int")
+        return F.coalesce(F.try_to_date(said, "yyyy-MM-dd"), F.date_sub(as_of, F.coalesce(days, default)))
 
+    return end(0, F.lit(None).cast("int")), end(1, F.lit(0))
 
-_RULES = "rules AS (SELECT * FROM (VALUES (1, 365, 0, '>=', 2, CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE)), (2, 730, 366, '<=', 3, '>=', 500000.0), (3, 90, 0, '=', 1, NULL, NULL)) v(segment_id, days_from, days_to, count_op, count_n, sum_op, sum_n))"
 
+def _meets(rule: str, value: Column) -> Column:
+    """Whether a value meets a threshold text: `>n`, `<n`, `n` (a missing value counts as 0) or `><n,m`; no text is met by all."""
+    numbers = F.split(F.regexp_replace(rule, "[^0-9,]+", ""), ",")
+    low, high = (C.safe_cast(F.get(numbers, F.lit(i)), "double") for i in (0, 1))
+    operator = F.regexp_replace(rule, "[^><=]", "")
+    met = F.when(operator == ">", value > low).when(operator == "<", value < low).when(operator == "><", (value > low) & (value < high)).when(operator.isin("", "="), F.coalesce(value, F.lit(0)) == low)
+    return F.col(rule).isNull() | F.coalesce(met, F.lit(False))
 
-def _rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(1, 365, 0, ">=", 2, None, None), (2, 730, 366, "<=", 3, ">=", 500000.0), (3, 90, 0, "=", 1, None, None)], "segment_id int, days_from int, days_to int, count_op string, count_n int, sum_op string, sum_n double")
 
+def _listed(rule: str, value: str) -> Column:
+    return F.col(rule).isNull() | F.array_contains(F.transform(F.split(F.col(rule), ","), lambda x: F.trim(x)), F.col(value).cast("string"))
 
-_SEGMENT = f"""{_RULES}, seg AS (SELECT segment_id, o_custkey FROM orders JOIN rules ON date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-01') BETWEEN days_to AND days_from GROUP BY segment_id, o_custkey, count_op, count_n, sum_op, sum_n
-    HAVING (CASE count_op WHEN '>=' THEN count(*) >= count_n WHEN '<=' THEN count(*) <= count_n ELSE count(*) = count_n END) AND (sum_op IS NULL OR sum(o_totalprice) >= sum_n))"""
 
+def dynamic_segment(rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P") -> DataFrame:
+    """(segment_id, c_custkey) of the customers that meet each rule row; every part of a rule may be null.
 
-@query("b48_dynamic_segment", f"WITH {_SEGMENT} SELECT segment_id, o_custkey FROM seg")
+    segments: comma list of market segments; time_range with count_order and sum_gmv: thresholds on the orders in it; operator with range1,
+    products1, range2, products2: NEW (nothing bought of the first), CHURN and EXCEPT (bought of the first, nothing of the second).
+    Rules are a small stated set, sent to all rows; each order meets the rules whose range it is in.
+    """
+    now = F.lit(as_of).cast("date")
+    parsed = rules
+    for name in ("time_range", "range1", "range2"):
+        start, end = _range(name, now)
+        parsed = parsed.withColumns({f"{name}_from": start, f"{name}_to": end})
+    small = F.broadcast(parsed)
+    within = lambda name: F.col(f"{name}_from").isNull() | F.col("day").between(F.col(f"{name}_from"), F.col(f"{name}_to"))
+    live = orders.where(F.col("o_orderstatus") != cancelled).select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    sums = live.join(small, within("time_range")).groupBy("segment_id", "c_custkey").agg(F.count_distinct("o_orderkey").alias("n"), F.sum("o_totalprice").alias("gmv"))
+    sold = live.join(items.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey"), "o_orderkey")
+    bought = lambda i: sold.join(small, within(f"range{i}") & _listed(f"products{i}", "l_partkey")).select("segment_id", "c_custkey").distinct().withColumn(f"bought{i}", F.lit(True))
+    keys = ["segment_id", "c_custkey"]
+    rows = customers.join(small, _listed("segments", "c_mktsegment")).join(sums, keys, "left").join(bought(1), keys, "left").join(bought(2), keys, "left")
+    one, two = F.col("bought1").isNotNull(), F.col("bought2").isNotNull()
+    kind = F.col("operator")
+    met = F.when(kind.isNull(), True).when(kind == "NEW", ~one).when(kind.isin("CHURN", "EXCEPT"), one & ~two).otherwise(F.raise_error(F.concat(F.lit("no operator "), kind)))
+    return rows.where(_meets("count_order", F.col("n").cast("double")) & _meets("sum_gmv", F.col("gmv")) & met).select(*keys)
+
+
+_SEGMENT = """live AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus <> 'P'), sold AS (SELECT o_custkey, d, l_partkey FROM live JOIN lineitem ON l_orderkey = o_orderkey), seg AS (
+    SELECT 1 AS segment_id, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE '2000-08-01' AND DATE '2001-08-01' GROUP BY 1 HAVING count(*) > 2) AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE '2001-07-02' AND DATE '2001-08-01')
+    UNION ALL SELECT 2, c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE '1999-01-01' AND DATE '2000-12-31' GROUP BY 1 HAVING sum(o_totalprice) > 500000 AND sum(o_totalprice) < 1500000)
+    UNION ALL SELECT 3, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE '1999-08-02' AND DATE '2000-07-31') AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE '2000-08-01' AND DATE '2001-08-01')
+    UNION ALL SELECT 4, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE '2001-05-03' AND DATE '2001-08-01')
+    UNION ALL SELECT 5, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM sold WHERE l_partkey IN (10, 20, 30, 40, 50)) AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE l_partkey IN (11, 21)))"""
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = "segment_id segments time_range count_order sum_gmv operator range1 products1 range2 products2".split()
+    rules = [
+        {"segment_id": 1, "time_range": "365", "count_order": ">2", "operator": "NEW", "range1": "30"},
+        {"segment_id": 2, "segments": "BUILDING, MACHINERY", "time_range": '"1999-01-01","2000-12-31"', "sum_gmv": "><500000,1500000"},
+        {"segment_id": 3, "operator": "CHURN", "range1": "730,366", "range2": "365"},
+        {"segment_id": 4, "time_range": "90,0", "count_order": "0"},
+        {"segment_id": 5, "operator": "EXCEPT", "products1": "10, 20, 30, 40, 50", "products2": "11,21"},
+    ]
+    frame = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rules], ", ".join(f"{n} {'int' if n == 'segment_id' else 'string'}" for n in names))
+    return dynamic_segment(frame, *(t(spark, sf_dir, n) for n in ("customer", "orders", "lineitem")), "2001-08-01")
+
+
+@query("b48_dynamic_segment", f"WITH {_SEGMENT} SELECT segment_id, c_custkey FROM seg")
 def b48_dynamic_segment(spark, sf_dir):
-    """Rule rows evaluated in one join."""
-    return dynamic_segment(_rules(spark), t(spark, sf_dir, "orders"), "2001-08-01")
+    """Rule rows with text ranges, thresholds and bought or not bought products."""
+    return _segments(spark, sf_dir)
 
 
 @query("b49_segment_quota", f"WITH {_SEGMENT} SELECT segment_id, count(*) AS n, count(*) <= 400 AS allowed FROM seg GROUP BY segment_id")
 def b49_segment_quota(spark, sf_dir):
     """Segments gated by their size."""
-    n = dynamic_segment(_rules(spark), t(spark, sf_dir, "orders"), "2001-08-01").groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
+    n = _segments(spark, sf_dir).groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
     return n.withColumn("allowed", F.col("n") <= 400)
 
 

@@ -35,28 +35,30 @@ def exact_net() -> Column:
     return F.col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)"))
 
 
-def order_fact(orders: DataFrame, items: DataFrame, cancelled: str = "P") -> DataFrame:
-    """One row an order: money by status, latest shipping, and New, Repeat or Reacquired from the gap in months to the customer's order before.
+def customer_month_label(orders: DataFrame, cancelled: str = "P") -> DataFrame:
+    """(o_custkey, month, label): New in a customer's first active month, Repeat one month after the active one before, else Reacquired. Cancelled orders make no month active."""
+    months = orders.where(F.col("o_orderstatus") != cancelled).select("o_custkey", F.trunc("o_orderdate", "month").alias("month")).distinct()
+    gap = C.date_diff("MONTH", F.col("month"), F.lag("month").over(W.partitionBy("o_custkey").orderBy("month")))
+    return months.withColumn("label", F.when(gap.isNull(), "New").when(gap > 1, "Reacquired").otherwise("Repeat"))
 
-    Cancelled orders get no label and don't count as the order before.
-    """
+
+def order_fact(orders: DataFrame, items: DataFrame, cancelled: str = "P") -> DataFrame:
+    """One row an order: money by status, latest shipping, and the label of its customer's month, which all orders of the month share."""
     sums = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(exact_net()).cast("double").alias("net"), F.max("l_shipdate").alias("last_ship"))
     live = F.col("o_orderstatus") != cancelled
-    w = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(W.unboundedPreceding, -1)
-    before = F.last(F.when(live, F.col("o_orderdate")), ignorenulls=True).over(w)
-    gap = C.date_diff("MONTH", F.col("o_orderdate"), F.col("before"))
-    label = F.when(live, F.when(F.col("before").isNull(), "New").when(gap <= 1, "Repeat").otherwise("Reacquired"))
-    return orders.withColumn("before", before).join(sums, "o_orderkey", "left").select(
+    months = customer_month_label(orders, cancelled)
+    rows = orders.withColumn("month", F.trunc("o_orderdate", "month")).join(months, ["o_custkey", "month"], "left").join(sums, "o_orderkey", "left")
+    return rows.select(
         "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("gmv"), F.when(live, F.round("o_totalprice", 2)).otherwise(0.0).alias("gmv_live"),
-        F.when(F.col("o_orderstatus") == "F", F.col("net")).otherwise(0.0).alias("fulfilled"), day_text("last_ship").alias("last_ship"), label.alias("label"),
+        F.when(F.col("o_orderstatus") == "F", F.col("net")).otherwise(0.0).alias("fulfilled"), day_text("last_ship").alias("last_ship"), "label",
     )
 
 
 @query(
     "b5_order_fact",
     """SELECT o_orderkey, o_custkey, round(o_totalprice, 2) AS gmv, CASE WHEN o_orderstatus <> 'P' THEN round(o_totalprice, 2) ELSE 0 END AS gmv_live, CASE WHEN o_orderstatus = 'F' THEN net ELSE 0 END AS fulfilled,
-    strftime(ship, '%Y-%m-%d') AS last_ship, CASE WHEN o_orderstatus <> 'P' THEN CASE WHEN before IS NULL THEN 'New' WHEN date_diff('month', before, o_orderdate) <= 1 THEN 'Repeat' ELSE 'Reacquired' END END AS label
-    FROM (SELECT *, last_value(CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM orders)
+    strftime(ship, '%Y-%m-%d') AS last_ship, label FROM orders LEFT JOIN (SELECT k, m, CASE WHEN lag(m) OVER w IS NULL THEN 'New' WHEN date_diff('month', lag(m) OVER w, m) > 1 THEN 'Reacquired' ELSE 'Repeat' END AS label
+    FROM (SELECT DISTINCT o_custkey AS k, date_trunc('month', o_orderdate) AS m FROM orders WHERE o_orderstatus <> 'P') WINDOW w AS (PARTITION BY k ORDER BY m)) ON k = o_custkey AND m = date_trunc('month', o_orderdate)
     LEFT JOIN (SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS net, max(l_shipdate) AS ship FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
 )
 def b5_order_fact(spark, sf_dir):
