@@ -68,18 +68,21 @@ def b5_order_fact(spark, sf_dir):
 def explode_bundle(items: DataFrame, bundles: DataFrame, line: str, product: str, quantity: str, price: str) -> DataFrame:
     """Bundle lines to component lines, others as they are.
 
-    `bundles` has product, component, units and value. A bundle's price is spread over its components by units times value (evenly
-    where that is zero), quantities are multiplied, and component numbers start at 1; a plain line has number 0.
+    `bundles` has product, component, units and value (a unit's own price). `price` is the line's price spread over its components by
+    units times value (evenly where that is zero). `unit_price` is a component's own price times the bundle's unit price over
+    the worth of its components, but never above its own. Quantities are multiplied; component numbers start at 1, a plain line has number 0.
     """
     parts = bundles.withColumn("weight", F.col("units") * F.col("value"))
     all_parts = W.partitionBy(product)
     share = F.coalesce(F.try_divide("weight", F.sum("weight").over(all_parts)), 1 / F.count(F.lit(1)).over(all_parts))
-    parts = parts.select(product, "component", "units", share.alias("share"), F.row_number().over(all_parts.orderBy("component")).alias("number"))
+    parts = parts.select(product, "component", "units", "value", F.sum("weight").over(all_parts).alias("worth"), share.alias("share"), F.row_number().over(all_parts.orderBy("component")).alias("number"))
+    unit = F.try_divide(F.col(price), F.col(quantity))
+    own = F.when(F.col("component").isNull(), unit).otherwise(F.col("value") * C.least_strict(F.try_divide(unit, F.col("worth")), F.lit(1.0)))
     out = items.join(parts, product, "left")
-    return out.select(line, F.coalesce("component", product).alias("sku"), (F.col(quantity) * F.coalesce("units", F.lit(1))).alias("quantity"), (F.col(price) * F.coalesce("share", F.lit(1.0))).alias("price"), F.coalesce("number", F.lit(0)).alias("number"))
+    return out.select(line, F.coalesce("component", product).alias("sku"), (F.col(quantity) * F.coalesce("units", F.lit(1))).alias("quantity"), (F.col(price) * F.coalesce("share", F.lit(1.0))).alias("price"), own.alias("unit_price"), F.coalesce("number", F.lit(0)).alias("number"))
 
 
-_BUNDLE = """bundle AS (SELECT p_partkey, component, units, units * (SELECT p_retailprice FROM part c WHERE c.p_partkey = component) AS weight FROM (SELECT p_partkey, p_partkey + k AS component, k AS units FROM part, (VALUES (1), (2), (3)) v(k) WHERE p_partkey % 10 = 0 AND p_partkey + 3 <= (SELECT max(p_partkey) FROM part)))"""
+_BUNDLE = """bundle AS (SELECT p_partkey, component, units, value, units * value AS weight FROM (SELECT p_partkey, component, units, (SELECT p_retailprice FROM part c WHERE c.p_partkey = component) AS value FROM (SELECT p_partkey, p_partkey + k AS component, k AS units FROM part, (VALUES (1), (2), (3)) v(k) WHERE p_partkey % 10 = 0 AND p_partkey + 3 <= (SELECT max(p_partkey) FROM part))))"""
 
 
 def _bundles(spark, sf_dir) -> DataFrame:
@@ -92,13 +95,14 @@ def _bundles(spark, sf_dir) -> DataFrame:
 
 @query(
     "b6_explode_bundle",
-    f"""WITH {_BUNDLE} SELECT coalesce(component, l_partkey) AS sku, sum(l_quantity * coalesce(units, 1)) AS quantity, round(sum(l_extendedprice * coalesce(weight / total, 1)), 3) AS price, count(*) AS n
+    f"""WITH {_BUNDLE} SELECT coalesce(component, l_partkey) AS sku, sum(l_quantity * coalesce(units, 1)) AS quantity, round(sum(l_extendedprice * coalesce(weight / total, 1)), 3) AS price,
+    round(sum(CASE WHEN component IS NULL THEN l_extendedprice ELSE l_quantity * units * value * least(l_extendedprice / l_quantity / total, 1) END), 3) AS capped, count(*) AS n
     FROM lineitem LEFT JOIN (SELECT *, sum(weight) OVER (PARTITION BY p_partkey) AS total FROM bundle) b ON b.p_partkey = l_partkey GROUP BY 1""",
 )
 def b6_explode_bundle(spark, sf_dir):
     """Quantities and prices by component."""
     rows = explode_bundle(items_of(spark, sf_dir), _bundles(spark, sf_dir), "line", "l_partkey", "l_quantity", "l_extendedprice")
-    return rows.groupBy("sku").agg(F.sum("quantity").alias("quantity"), F.round(F.sum("price"), 3).alias("price"), F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("sku").agg(F.sum("quantity").alias("quantity"), F.round(F.sum("price"), 3).alias("price"), F.round(F.sum(F.col("unit_price") * F.col("quantity")), 3).alias("capped"), F.count(F.lit(1)).alias("n"))
 
 
 def unit_conversion(units: DataFrame, product: str) -> DataFrame:

@@ -127,6 +127,7 @@ def test_bundles_keep_the_price(spark):
     out = orders.explode_bundle(items, bundles, "line", "product", "quantity", "price")
     assert rows(out.groupBy("line").agg(F.round(F.sum("price"), 6), F.sum("quantity"))) == [(1, 100.0, 6.0), (2, 5.0, 1.0), (3, 7.0, 2.0)]
     assert rows(out.where("line = 1").select("sku", "price")) == [(1, 25.0), (2, 75.0)]
+    assert rows(out.where("line < 3").select("sku", "unit_price")) == [(1, 5.0), (2, 30.0), (99, 5.0)]  # 50 a bundle worth 40: at most their own price
 
 
 def test_stock_and_status(spark):
