@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -81,9 +82,39 @@ class Block:
         return at, h[at]
 
 
-def _scan(n: int, buckets: int):
+def bucket_names(spark: SparkSession, n: int) -> list[int]:
+    """n numbers that Spark's hash deals to n different partitions, so that equal buckets make equal tasks."""
+    numbers = spark.range(40 * n).select(F.col("id").cast("int").alias("id"))
+    own = numbers.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id")).collect()  # n rows at most
+    names = sorted(r.id for r in own)
+    return names + [i for i in range(-1, -1 - n + len(names), -1)]
+
+
+def _packed(ids, counts) -> bytes:
+    """Documents of a block in few bytes: gaps of ascending ids, and numbers of words."""
+    import numpy as np
+
+    gaps = np.diff(ids, prepend=ids[:1])
+    narrow = len(ids) > 0 and 0 <= gaps.min() and gaps.max() < 1 << 32
+    return struct.pack("<q?I", int(ids[0]) if len(ids) else 0, narrow, len(ids)) + (gaps.astype("<u4") if narrow else ids.astype("<i8")).tobytes() + counts.astype("<u4").tobytes()
+
+
+def _unpacked(data: bytes):
+    """(ids, first positions) from _packed()."""
+    import numpy as np
+
+    first, narrow, n = struct.unpack_from("<q?I", data)
+    at = struct.calcsize("<q?I")
+    end = at + n * (4 if narrow else 8)
+    ids = first + np.cumsum(np.frombuffer(data[at:end], "<u4").astype(np.int64)) if narrow else np.frombuffer(data[at:end], "<i8")
+    return ids, np.r_[0, np.cumsum(np.frombuffer(data[end:], "<u4").astype(np.int64))]
+
+
+def _scan(n: int, names: list[int]):
     """Of each block: the first window of each hash, dealt to buckets by hash; the positions of later ones, which go in any case; its documents."""
 
+    buckets = len(names)
+
     def scan(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -104,17 +135,16 @@ def _scan(n: int, buckets: int):
             order = np.argsort(bucket << 32 | at)
             at, h, bucket = at[order], h[order], bucket[order]
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            ids = np.array([-(1 << 63) if d is None else d for d in block.doc_ids], "<i8").tobytes()
-            firsts = block.firsts.astype("<i8").tobytes()
+            docs_of_block = _packed(np.array([-(1 << 63) if d is None else d for d in block.doc_ids], np.int64), block.counts)
             rows = []
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = slice(cuts[b], cuts[b + 1])
                 gaps = np.diff(at[own], prepend=0)
                 wide = "<u2" if gaps.max() < 1 << 16 else "<u4"
                 six = np.ascontiguousarray(h[own].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                rows.append((b, name, 0, six, wide[-1].encode() + gaps.astype(wide).tobytes(), ids + firsts))
-            rows.append((name % buckets, name, 1, later.astype("<u4").tobytes(), None, None))
-            rows.append((name % buckets, name, 2, ids, np.array(block.text_hashes, "<i8").tobytes(), firsts))
+                rows.append((names[b], name, 0, six, wide[-1].encode() + gaps.astype(wide).tobytes(), docs_of_block))
+            rows.append((names[name % buckets], name, 1, later.astype("<u4").tobytes(), None, None))
+            rows.append((names[name % buckets], name, 2, docs_of_block, np.array(block.text_hashes, "<i8").tobytes(), None))
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in PARTS.split(", ")])
 
@@ -161,8 +191,7 @@ def _later(group):
         for k, (_, positions, c) in enumerate(keys):
             own = np.flatnonzero(which == k)
             at[own] = positions[found[own] - sizes[k]]
-            ids = np.frombuffer(c, "<i8")
-            ids, firsts = ids[: len(ids) // 2], ids[len(ids) // 2 :]
+            ids, firsts = _unpacked(c)
             doc[own] = ids[np.searchsorted(firsts, at[own], side="right") - 1] if len(own) else 0
         names = np.array([k[0] for k in keys], np.int64)
         order = np.lexsort((at, names[which], doc, h[found]))  # a null doc_id stands before all others
@@ -184,11 +213,11 @@ def _intervals(n: int):
 
         group = group.to_pydict()
         at, rows = [], []
-        for kind, a, b, c in zip(*(group[x] for x in ("kind", "a", "b", "c")), strict=True):
+        for kind, a, b in zip(*(group[x] for x in ("kind", "a", "b")), strict=True):
             if kind == 1:
                 at.append(np.frombuffer(a, "<u4").astype(np.int64))
             else:
-                ids, hashes, firsts = (np.frombuffer(x, "<i8") for x in (a, b, c))
+                (ids, firsts), hashes = _unpacked(a), np.frombuffer(b, "<i8")
         at = np.unique(np.concatenate(at)) if at else np.zeros(0, np.int64)
         if len(at):
             doc = np.searchsorted(firsts, at, side="right") - 1
@@ -215,7 +244,7 @@ def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None)
     ship(spark)
     buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
     docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
-    parts = docs.mapInArrow(_scan(n, buckets), PARTS)
+    parts = docs.mapInArrow(_scan(n, bucket_names(spark, buckets)), PARTS)
     later = parts.groupBy("bucket").applyInArrow(_later, "block long, kind int, a binary, b binary, c binary")
     return later.groupBy("block").applyInArrow(_intervals(n), "doc_id long, text_hash long, starts array<long>, ends array<long>")
 
