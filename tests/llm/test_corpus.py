@@ -23,10 +23,15 @@ from .test_dedup import plain_fingerprint, plain_line_dedup, text_key
 NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 
 
-@pytest.mark.parametrize("name", NAMES)
-def test_pieces_give_the_same_ids(name):
+@pytest.mark.parametrize(("name", "cache"), [(NAMES[0], 10**6), (NAMES[0], 20), (NAMES[1], 10**6), (NAMES[1], 20)])
+def test_pieces_give_the_same_ids(name, cache, monkeypatch):
     from tokenizers import Tokenizer
 
+    from lakeloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_PIECES", cache)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", cache)
+
     rnd = random.Random(4)
     parts = ["a", "b", " ", "  ", "\n", "\t", "é", "'s", "!!", "1", "<|endoftext|>", "\x1c", "ß", "İ", "́", " \n", "中", "Σ", "\0", " ", " ", "x" * 60, "Word,", "Word.", "don't"]
     texts = [r[1] or "" for r in awkward()] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(4000)]
