@@ -104,15 +104,23 @@ def _summed(batches: Iterator) -> Iterator:
     import pyarrow as pa
     import zstandard
 
-    unpack = zstandard.ZstdDecompressor().decompress
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    unpack, crc32 = zstandard.ZstdDecompressor().decompress, zlib.crc32
+    names = ["start", "length", "sequence_id", "offset"]
     for batch in batches:
-        for k in range(0, batch.num_rows, 200):
-            part, rows = batch.slice(k, 200), []
-            for doc_id, n, packed, pieces in zip(*(part.column(c).to_pylist() for c in ("doc_id", "n", "ids", "pieces")), strict=True):
-                ids = np.frombuffer(unpack(packed[1:]), f"<u{packed[0]}").astype("<u4")
-                rows += [(doc_id, x["start"], x["length"], zlib.crc32(ids[x["start"] : x["start"] + x["length"]].tobytes()), n, x["sequence_id"], x["offset"]) for x in pieces]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
+        for k in range(0, batch.num_rows, 500):
+            part = batch.slice(k, 500)
+            pieces = part.column("pieces")
+            flat, owner = pieces.flatten(), np.repeat(np.arange(len(pieces)), np.diff(pieces.offsets.to_numpy()))
+            start, length, sequence, offset = (flat.field(n).to_numpy() for n in names)
+            ends, sums = np.searchsorted(owner, np.arange(1, len(pieces) + 1)).tolist(), []
+            first = 0
+            for packed, last in zip(part.column("ids").to_pylist(), ends, strict=True):
+                ids = memoryview(np.frombuffer(unpack(packed[1:]), f"<u{packed[0]}").astype("<u4").tobytes())
+                sums += [crc32(ids[4 * a : 4 * (a + n)]) for a, n in zip(start[first:last].tolist(), length[first:last].tolist(), strict=True)]
+                first = last
+            rows = pa.array(owner)
+            columns = [part.column("doc_id").take(rows), pa.array(start), pa.array(length), pa.array(sums, pa.int64()), part.column("n").take(rows), pa.array(sequence), pa.array(offset)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, packet: int = 128, targets: dict[str | None, float] | None = None) -> DataFrame:
