@@ -14,7 +14,7 @@ from .common import has_columns, ship, text_hash
 
 #: Odd, so that a product with it loses no bit modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
-BLOCK_WORDS, CACHE_WORDS = 1_000_000, 500_000
+BLOCK_WORDS, CACHE_WORDS = 500_000, 300_000
 PARTS = "bucket int, block long, kind int, a binary, b binary, c binary"
 _hashes: dict[bytes, int] = {}
 
@@ -236,7 +236,7 @@ def _intervals(n: int):
 def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None) -> DataFrame:
     """(doc_id, text_hash, starts, ends): the maximal word intervals that hold only windows seen earlier, for documents that have any.
 
-    Blocks of about a million words keep one window of each hash, so a passage that a third of all documents share sends one row
+    Blocks of about half a million words keep one window of each hash, so a passage that a third of all documents share sends one row
     a block, not one a document. The hashes are dealt to buckets; each bucket finds those of several blocks and keeps the
     one that starts first by (doc_id, position). Positions, not texts, return to the blocks.
     """
