@@ -198,3 +198,44 @@ def test_repeated_vectors_and_null_ids(spark):
     got = sorted((tuple(r) for r in embedding_groups(df).collect()), key=text_key)
     assert got == [(None, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (9, 0, 9, True)]
     assert df.select(F.lit(1)).count() == 4
+
+
+def plain_shingles(text):
+    words = lower_ascii(text or "").encode().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def test_pipeline_near_duplicates_are_at_jaccard_four_fifths(spark):
+    """Copies with edits at all distances, so that most near ones differ in more than three bits of their fingerprints."""
+    import corpus_pipeline as p
+
+    rnd, rows = random.Random(8), []
+    for k in range(60):
+        body = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.randint(60, 300))]
+        for edits in (0, 1, 2, 3, 4, 6, 9):
+            copy = list(body)
+            for _ in range(edits):
+                copy[rnd.randrange(len(copy))] = f"e{rnd.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(copy), "en", "s", 1))
+    rnd.shuffle(rows)
+    sets = [plain_shingles(r[1]) for r in rows]
+    owners = defaultdict(list)
+    for i, own in enumerate(sets):
+        for s in own:
+            owners[s].append(i)
+    pairs = {(i, j) for own in owners.values() for i, j in itertools.combinations(own, 2)}
+    links = [(rows[i][0], rows[j][0]) for i, j in pairs if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = least_component([r[0] for r in rows], links)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    assert {r.doc_id for r in p.simhash_stage(spark, docs, "").collect()} == set(want.values())
+
+
+def test_jaccard_groups_on_awkward_texts(spark):
+    from lakeloom.llm.minhash import jaccard_groups
+
+    rows = [r for r in awkward() if r[0] is not None]
+    sets = [plain_shingles(r[1]) for r in rows]
+    links = [(rows[i][0], rows[j][0]) for i, j in itertools.combinations(range(len(rows)), 2) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = least_component([r[0] for r in rows], links)
+    assert {(r.doc_id, r.component_id) for r in jaccard_groups(frame(spark, rows)).collect()} == set(want.items())
+    assert jaccard_groups(empty(spark)).count() == 0
