@@ -101,10 +101,11 @@ def build_index(docs: DataFrame, tests: list) -> DataFrame:
     return written(docs.mapInArrow(scan, POSTINGS), "postings")
 
 
-def intersect(tests: Phrases, terms, counts, positions, total: int, slop: int = 0):
+def intersect(tests: Phrases, terms, counts, positions, total: int, slop: int = 0, firsts=None):
     """(window, first, last) of each match in one block: its terms' lists, shifted by their offsets, intersected from the rarest on.
 
-    With `slop`, a term may stand up to that many places from where the phrase has it (a proximity match).
+    With `slop`, a term may stand up to that many places from where the phrase has it (a proximity match); of its places in
+    the document of the rarest term, the nearest counts, of two as near the first. `firsts` are the documents' first positions and the end.
     """
     import numpy as np
 
@@ -120,7 +121,9 @@ def intersect(tests: Phrases, terms, counts, positions, total: int, slop: int =
     order = np.argsort(there[alive], axis=1, kind="stable")  # rarest first; padding last
     keys = np.repeat(np.asarray(terms, np.int64), counts) * (total + 2 * slop + 2) + positions if slop else None
     forward = None
-    if not slop:
+    if slop:
+        firsts = np.array([0, total], np.int64) if firsts is None else firsts
+    else:
         forward = np.full(total, -1, np.int32)
         forward[positions] = np.repeat(np.asarray(terms, np.int32), counts)
     rarest = windows[alive, order[:, 0]]
@@ -137,19 +140,26 @@ def intersect(tests: Phrases, terms, counts, positions, total: int, slop: int =
         inside = (start >= -slop) & (start + lengths[own][window] <= total + slop)
         window, start = window[inside], start[inside]
         low = high = start + order[at:upto, 0][window]
+        if slop:
+            doc = np.searchsorted(firsts, low, side="right") - 1
+            least, most = firsts[doc], firsts[doc + 1] - 1
         for k in range(1, n):
             offset = order[at:upto, k][window]
             term = windows[own[window], offset]
             if slop:
                 want = start + offset
                 base = term.astype(np.int64) * (total + 2 * slop + 2)
-                near = np.minimum(np.searchsorted(keys, base + np.maximum(want - slop, 0)), len(keys) - 1)
-                spot = keys[near] - base
-                ok = (term < 0) | ((spot >= want - slop) & (spot <= want + slop) & (spot >= 0))
+                after = np.searchsorted(keys, base + np.clip(want, 0, total))
+                before, after = (keys[np.clip(k, 0, len(keys) - 1)] - base for k in (after - 1, after))
+                fits = lambda x: (x >= np.maximum(want - slop, least)) & (x <= np.minimum(want + slop, most))  # noqa: B023, E731
+                spot = np.where(fits(before) & ~(fits(after) & (after - want < want - before)), before, after)
+                ok = (term < 0) | fits(spot)
                 low, high = np.where(term < 0, low, np.minimum(low, spot)), np.where(term < 0, high, np.maximum(high, spot))
             else:
                 ok = (term < 0) | (forward[np.minimum(start + offset, total - 1)] == term)
             window, start, low, high = window[ok], start[ok], low[ok], high[ok]
+            if slop:
+                least, most = least[ok], most[ok]
         if slop:
             found.append((own[window], low, high))
         else:
@@ -175,7 +185,7 @@ def _search(tests: list, slop: int):
             if not mine or not total:
                 continue
             positions = np.frombuffer(b"".join(m[2] for m in mine), "<u4").astype(np.int64)
-            window, first, last = intersect(part.value, np.array([m[0] for m in mine]), np.array([m[1] for m in mine]), positions, total, slop)
+            window, first, last = intersect(part.value, np.array([m[0] for m in mine]), np.array([m[1] for m in mine]), positions, total, slop, firsts)
             doc = np.searchsorted(firsts, first, side="right") - 1
             same = last < firsts[doc + 1] if len(doc) else np.zeros(0, bool)
             window, first, last, doc = window[same], first[same], last[same], doc[same]
@@ -209,7 +219,7 @@ def find_tests(docs: DataFrame, benchmark: DataFrame, n: int = 13, slop: int = 0
 
     Returns doc_id, text_hash (tells rows of one doc_id apart), n_words, n_hit (words inside any occurrence), items (ids of the items that occur, sorted, as strings), and the
     maximal hit intervals as `starts` and `ends` in words. With slop 0 phrases match exactly; with more, each word
-    may stand up to `slop` places off, and the interval spans the words found.
+    may stand up to `slop` places off in the same document, and the interval spans the nearest words found.
 
     The documents' postings are stored by block, so that every occurrence lies within one task's block; each block is searched for
     all windows from their rarest term on. A null or wordless text has no words and no hits; items without an id or words

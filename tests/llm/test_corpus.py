@@ -169,6 +169,16 @@ def test_proximity_matches(spark):
     assert found(2) == {1: ([0], [4]), 2: ([0], [6])}
 
 
+def test_proximity_matches_beside_other_documents(spark):
+    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    for texts in (["x a", "a b"], ["a", "b x", "b a", "a b"], ["a a b b", "b", "a b"]):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)  # one block
+        found = lambda slop: {r.doc_id: (list(r.starts), list(r.ends)) for r in find_tests(docs, bench, 13, slop).collect() if r.n_hit}  # noqa: B023, E731
+        exact, near = found(0), found(1)
+        assert exact and exact.keys() <= near.keys()
+        assert near[len(texts) - 1] == exact[len(texts) - 1] == ([0], [2])
+
+
 def test_intersection_in_small_rounds(monkeypatch):
     from lakeloom.llm import inverted
 
