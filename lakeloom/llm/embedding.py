@@ -38,6 +38,20 @@ def calibrate(cosine: float, m: int, reach: float, recall: float) -> tuple[float
     return reach * math.sqrt(2 - 2 * cosine), count
 
 
+def slabs_apart(reach: float, missed: float) -> tuple[int, float]:
+    """How many slabs, one window wide each, the first projections of linked vectors may lie apart, so that a pair at the threshold is lost with probability `missed` at most, and that probability.
+
+    Two values d windows apart, at a random place, lie more than k slabs apart with probability max(0, d - k); d is |N(0, 1)| / reach.
+    """
+    k = 1
+    while True:
+        z = k * reach
+        lost = 2 / reach * (math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - z * math.erfc(z / math.sqrt(2)) / 2)
+        if lost <= missed:
+            return k, lost
+        k += 1
+
+
 def _blocks(m: int, seed: int):
     """Blocks of up to BLOCK_VECTORS neighbours of one label, in the order of the first projection, with the range of each projection."""
 
@@ -153,17 +167,18 @@ def embedding_groups(vectors: DataFrame, cosine: float = 0.93, m: int = 24, reac
     """Vectors of equal label linked at `cosine` or more: vec_id, n_links, component_id, kept for every row.
 
     Equal vectors are one node with a number of copies, found by grouping. The nodes of a label are sorted by one projection and
-    cut into blocks; a pair of blocks is looked at where the ranges of at least `count` of m projections come within the window.
+    cut into blocks; a pair of blocks is looked at where their slabs of that projection come close and the ranges of at least `count` of m projections come within the window.
     Inside a pair of blocks the collisions of all m windows around each vector are counted, and pairs that reach the
     calibrated count are verified in double precision. Links are given as numbers by vector and as a forest by
-    pair of blocks, never as all pairs. Expected recall for a pair at the threshold is `recall`, more above it; no link below the threshold.
+    pair of blocks, never as all pairs. Expected recall for a pair at the threshold, with what the slabs lose, is `recall`, more above it; no link below the threshold.
 
     Null, zero or non-finite vectors, and null labels, link with nothing and stay in their own component. Vectors of different
     length don't link. A null vec_id gets its group's component_id and isn't kept. Repeated rows count as vectors; extra columns are left out.
     """
     spark = vectors.sparkSession
     ship(spark)
-    width, count = calibrate(cosine, m, reach, recall)
+    apart, lost = slabs_apart(reach, (1 - recall) / 10)
+    width, count = calibrate(cosine, m, reach, recall + lost)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     big = F.lit(float("inf"))
     sound = F.forall("embedding", lambda v: F.coalesce((v > -big) & (v < big), F.lit(False))) & F.exists("embedding", lambda v: v != 0)
@@ -176,7 +191,7 @@ def embedding_groups(vectors: DataFrame, cosine: float = 0.93, m: int = 24, reac
     blocks = written(blocks, "blocks")
     slab = lambda v: F.floor(v / width)
     left = blocks.select("block", "label", "dims", "low", "high", slab(F.col("low")[0]).alias("from"), slab(F.col("high")[0]).alias("to"))
-    right = left.select("label", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "low", "high")), (F.col("from") - 1).alias("from_b"), (F.col("to") + 1).alias("to_b"))
+    right = left.select("label", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "low", "high")), (F.col("from") - apart).alias("from_b"), (F.col("to") + apart).alias("to_b"))
     left = left.withColumn("slab", F.explode(F.sequence("from", "to")))
     right = right.withColumn("slab", F.explode(F.sequence("from_b", "to_b")))
     gaps = F.zip_with(F.zip_with("low", "high_b", lambda a, b: a - b), F.zip_with("low_b", "high", lambda a, b: a - b), lambda a, b: F.greatest(a, b))

@@ -193,6 +193,19 @@ def test_calibration():
     assert ((np.abs(difference) <= width).sum(axis=1) >= count).mean() >= 0.999
 
 
+def test_pairs_in_narrow_blocks_are_found(spark, monkeypatch):
+    """Blocks of one vector, as narrow as those of a very large label: pairs just above the threshold, two slabs apart as often as by chance."""
+    from lakeloom.llm import embedding
+
+    monkeypatch.setattr(embedding, "BLOCK_VECTORS", 1)
+    rng, rows = np.random.default_rng(6), []
+    for k in range(3000):
+        x, y = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
+        rows += [(2 * k, x.tolist(), k), (2 * k + 1, (0.9301 * x + np.sqrt(1 - 0.9301**2) * y).tolist(), k)]
+    got = embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert got.where("n_links = 1").count() >= 0.998 * len(rows)
+
+
 def test_repeated_vectors_and_null_ids(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.01], 0), (9, [0.0, 1.0], 0)], "vec_id long, embedding array<double>, label int")
     got = sorted((tuple(r) for r in embedding_groups(df).collect()), key=text_key)
