@@ -59,12 +59,14 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         end, uid = np.array([end_id], dtype=tok.dtype).tobytes(), TaskContext.get().partitionId() << 33
         width = np.dtype(tok.dtype).itemsize
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                ids = [x + end for x in tok.encode([t or "" for t in part.column("text").to_pylist()])]
-                columns = [pa.array(range(uid, uid + len(ids)), pa.int64()), part.column("doc_id"), part.column("queue"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([bytes([width]) + pack(x) for x in ids], pa.binary())]
+            at = 0
+            for ids, counts in tok.encode(batch.column("text")):
+                ids, ends = ids.tobytes(), (np.cumsum(counts) * width).tolist()
+                packed = [bytes([width]) + pack(ids[a:b] + end) for a, b in zip([0, *ends], ends, strict=False)]
+                rows = pa.array(range(uid, uid + len(packed)), pa.int64())
+                columns = [rows, *(batch.column(c).slice(at, len(packed)) for c in ("doc_id", "queue")), pa.array(counts + 1), pa.array(packed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "queue", "n", "ids"])
-                uid += len(ids)
+                at, uid = at + len(packed), uid + len(packed)
 
     docs = has_columns(docs, doc_id="long", text="string", source="string").select("doc_id", "text", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("queue"))
     return docs.mapInArrow(encode, "uid long, doc_id long, queue string, n long, ids binary")

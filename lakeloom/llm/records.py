@@ -20,17 +20,21 @@ DOC = struct.Struct("<qB")
 INDEX = "part int, chunk int, path string, record long, offset long, length long, doc_id long, n_tokens long, ids_before long, ids_crc32 long"
 
 
+#: Fixed value: the constant of masked checksums.
+MASK = 0xA282EAD8
+
+
 def masked(data: bytes) -> int:
     """The data's crc32, rotated right by 15 bits plus a constant, so that a crc of data with crcs inside stays sound."""
     crc = zlib.crc32(data)
-    return ((crc >> 15 | crc << 17) + 0xA282EAD8) & 0xFFFFFFFF
+    return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
 
 
 def frame(doc_id: int | None, ids: bytes, wide: bool) -> bytes:
-    """One record without its mark, which the writer adds."""
+    """One record with its mark."""
     payload = DOC.pack(doc_id or 0, (doc_id is None) | wide << 1) + ids
     length = struct.pack("<Q", len(payload))
-    return length + TAIL.pack(masked(length)) + payload + TAIL.pack(masked(payload))
+    return b"".join((length, TAIL.pack(masked(length)), payload, TAIL.pack(masked(payload)), MARK))
 
 
 def unframe(content, at: int) -> tuple[int | None, bytes, bool, int]:
@@ -45,11 +49,13 @@ def unframe(content, at: int) -> tuple[int | None, bytes, bool, int]:
     return (None if flags & 1 else doc_id), payload[DOC.size :], bool(flags & 2), end + 5
 
 
-def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_records: int = 50_000) -> None:
+def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_bytes: int = 32 << 20) -> None:
     """Encodes each whole text (null: empty), adds `end_id`, and writes the records in ascending doc_id order under `path`.
 
-    A file covers one range of doc_ids; files are ordered by their part number, then by their chunk, and null ids come first.
-    Rows that repeat a doc_id stay, ordered by text. Spark's own writer commits the files, on any file system that it knows.
+    A file covers one range of doc_ids and holds `max_bytes` at most, or a single longer record; files are ordered by their part number, then
+    by their chunk, and null ids come first. Rows that repeat a doc_id stay, ordered by the hash of their text; equal rows
+    may lie in different files, so that no id, nor the rows without one, must meet in one task. Spark's own writer commits the
+    files, on any file system that it knows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -60,16 +66,35 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_r
         import pyarrow as pa
 
         tok = worker_tokenizer(spec.value)
-        end, wide = np.array([end_id], dtype=tok.dtype).tobytes(), tok.dtype == "<u4"
+        end, wide, width = np.array([end_id], dtype=tok.dtype).tobytes(), tok.dtype == "<u4", np.dtype(tok.dtype).itemsize
+        made: list[bytes] = []
+        size = 0
+
+        def file() -> pa.RecordBatch:
+            # The writer adds the last record's mark.
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(made)[: -len(MARK)]], pa.binary())], ["file"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
-                ids = tok.encode([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array([frame(d, x + end, wide) for d, x in zip(part.column("doc_id").to_pylist(), ids, strict=True)], pa.binary())], ["frame"])
-
-    ordered = has_columns(docs, doc_id="long", text="string").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    frames = ordered.mapInArrow(encode, "frame binary").select(F.col("frame").cast("string"))
-    frames.write.option("lineSep", MARK.decode()).option("maxRecordsPerFile", max_records).text(path)
+            doc_ids, at = batch.column("doc_id").to_pylist(), 0
+            for ids, counts in tok.encode(batch.column("text")):
+                ids, ends = ids.tobytes(), (np.cumsum(counts) * width).tolist()
+                for a, b in zip([0, *ends], ends, strict=False):
+                    one = frame(doc_ids[at], ids[a:b] + end, wide)
+                    if made and size + len(one) > max_bytes:
+                        yield file()
+                        made, size = [], 0
+                    made.append(one)
+                    size += len(one)
+                    at += 1
+        if made:
+            yield file()
+
+    docs = has_columns(docs, doc_id="long", text="string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    order = ("doc_id", "digest", "row")
+    docs = docs.withColumns({"digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = docs.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    files = ordered.mapInArrow(encode, "file binary").select(F.col("file").cast("string"))
+    files.write.option("lineSep", MARK.decode()).option("maxRecordsPerFile", 1).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:

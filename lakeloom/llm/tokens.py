@@ -1,27 +1,27 @@
-"""Token ids of whole texts by a tokenizer of the tokenizers library, with a cache of text pieces."""
+"""Token ids of whole texts by a tokenizer of the tokenizers library, each distinct piece of text encoded once."""
 
 from __future__ import annotations
 
-import gc
 import json
+import os
 import re
-import unicodedata
 from array import array
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import regex
-from tokenizers import Tokenizer
-
-#: Longer pieces aren't cached. A cache has two generations of so many pieces or words: a full one becomes the older one, from
-#: which those still in use return, so that frequent pieces stay and a worker's memory is bounded.
-PIECE_CHARS, CACHE_PIECES, CACHE_WORDS = 48, 240_000, 160_000
-#: Signs that a pattern takes together where they follow letters.
-MARKS = ".,;:!?%&*#$)|"
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Texts are encoded in steps of about so many bytes. A cache has two generations of so many pieces: a full one becomes the older
+#: one, from which pieces still in use return, so that a worker's memory is bounded. Longer pieces aren't cached.
+STEP_BYTES, CACHE_PIECES, PIECE_CHARS = 12 << 20, 400_000, 48
+#: What Unicode takes for white space, as a class of RE2.
+_SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Splitting before a space is safe unless white space stands on both sides of it, or before it at the text's end.
-_UNSAFE = re.compile(r"\s \s|\s \Z")
-#: Fixed value: the word pattern of byte-level BPE.
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_UNSAFE = rf"{_SPACE} (?:{_SPACE}|\z)"
+#: A word of ASCII letters with signs after it that every supported pattern takes together, as most pieces are.
+_PLAIN = re.compile(r"( ?[A-Za-z]+)([.,;:!?%&*#$)|]*)")
 _workers: dict[str, PieceTokenizer] = {}
 
 
@@ -38,23 +38,19 @@ def worker_tokenizer(spec: str) -> PieceTokenizer:
     return _workers[key]
 
 
-def byte_characters() -> dict[int, str]:
-    """The printable character that byte-level BPE writes for each byte: itself if printable, else the next free one from 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-
 class PieceTokenizer:
     """encode(texts) gives the same ids as the library's encode on whole texts with add_special_tokens=False.
 
-    Most of a tokenizer's time goes into words that it has seen before. A text is therefore cut where no token can
-    span the cut: at ASCII white space where the tokenizer drops it, else before a space that stands between a word and a word.
-    Only pieces not seen by this worker are cut into words and given to the library's BPE model. Texts that hold a special
-    token's text, or white space around a space, and tokenizers of another build are encoded whole.
+    A text is cut where no token can span the cut: at ASCII white space where the tokenizer drops it, else before a space
+    that stands between a word and a word. Cutting, finding the distinct pieces and laying their ids end to end are vectorised; only
+    pieces that this worker hasn't seen go to the library. Texts that hold a special token's text, or white space around a space, and all
+    texts of tokenizers of another build, are encoded whole by the library.
     """
 
     def __init__(self, spec: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
         self.tokenizer = Tokenizer.from_str(spec)
         self.model = self.tokenizer.model
         said = json.loads(spec)
@@ -65,76 +61,99 @@ class PieceTokenizer:
         parts = [p["type"] for p in (pre or {}).get("pretokenizers", [])]
         self.kind = "whole"
         if normal is None and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
-            self.kind, self.pattern = "spaces kept", regex.compile(BYTE_LEVEL)
+            self.kind = "spaces kept"
         elif steps == ["NFC", "Replace", "Lowercase"] and parts == ["Split", "ByteLevel"] and pre["pretokenizers"][0]["invert"]:
-            self.kind, self.pattern = "spaces dropped", regex.compile(pre["pretokenizers"][0]["pattern"]["Regex"])
-        self.characters = byte_characters()
-        self.blank = self.characters[32]
-        self.code = "H" if self.dtype == "<u2" else "I"  # tasks run on little-endian machines, as Arrow does
-        self.pieces: dict[str | bytes, bytes] = {}
+            self.kind = "spaces dropped"
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.older_pieces: dict[str | bytes, bytes] = {}
-        self.older_words: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned integers of self.dtype, by text."""
-        collects = gc.isenabled()
-        gc.disable()  # lists of pieces hold no cycles, and looking for some in them takes a twentieth of the time
-        try:
-            return [self._whole(text) if (pieces := self._cut(text)) is None else self._joined(pieces) for text in texts]
-        finally:
-            if collects:
-                gc.enable()
-
-    def _cut(self, text: str) -> list | None:
-        if self.kind == "whole" or any(s in text for s in self.special):
-            return None
-        if self.kind == "spaces dropped":
-            return text.encode("utf-8").split()
-        if _UNSAFE.search(text):
-            return None
-        return text.split(" ")  # each but the first stands for itself with a space before it
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def _joined(self, pieces: list) -> bytes:
-        ids = list(map(self.pieces.get, pieces))  # one look-up for each piece; few are new
-        before = b""
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple]:
+        """(ids, counts) for one run of texts after the other: the ids of the run laid end to end, and their number by text; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + STEP_BYTES, side="right")))
+            yield self._run(texts.slice(at, upto - at))
+            at = upto
+
+    def _run(self, texts: pa.Array) -> tuple:
+        whole = self._whole(texts)
+        safe = texts if not whole.any() else pc.if_else(pa.array(whole), "", texts)
+        ids, counts = self._cut(safe) if self.kind != "whole" else (np.zeros(0, self.dtype), np.zeros(len(texts), np.int64))
+        if not whole.any():
+            return ids, counts
+        runs = np.split(ids, np.cumsum(counts)[:-1])
+        for k in np.flatnonzero(whole).tolist():
+            runs[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, self.dtype)
+        return np.concatenate(runs), np.array([len(r) for r in runs], np.int64)
+
+    def _whole(self, texts: pa.Array):
+        """Which texts must not be cut."""
+        if self.kind == "whole":
+            return np.ones(len(texts), bool)
+        found = np.zeros(len(texts), bool)
+        for sign in self.special:
+            found |= pc.match_substring(texts, sign).to_numpy(zero_copy_only=False)
         if self.kind == "spaces kept":
-            before, ids[0] = " ", self._piece(pieces[0])
-        if None in ids:
-            older = self.older_pieces.get
-            fresh = {p: older(p) or self._piece(before + p) for p in {p for p, i in zip(pieces, ids, strict=True) if i is None}}
-            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids, strict=True)]
-            if len(self.pieces) > CACHE_PIECES:
-                self.pieces, self.older_pieces = {}, self.pieces
-            self.pieces.update(fresh if max(map(len, fresh)) <= PIECE_CHARS else {p: i for p, i in fresh.items() if len(p) <= PIECE_CHARS})
-        return b"".join(ids)
-
-    def _piece(self, piece: str | bytes) -> bytes:
-        if isinstance(piece, bytes):
-            piece = piece.decode("utf-8")
-            if piece.isascii():
-                piece = piece.lower()
-            else:  # lower-cased one by one: no rule for a last sigma
-                piece = "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
-        word = piece.rstrip(MARKS)
-        if (word[1:] if word[:1] == " " else word).isalpha():  # a word with marks after it, as most pieces are
-            ids = self.words.get(word) or self._word(word)
-            marks = piece[len(word) :]
-            return ids + (self.words.get(marks) or self._word(marks)) if marks else ids
-        return b"".join([self.words.get(w) or self._word(w) for w in self.pattern.findall(piece)])
+            found |= pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
+        return found
+
+    def _cut(self, texts: pa.Array) -> tuple:
+        kept = self.kind == "spaces kept"
+        split = pc.split_pattern(texts, " ") if kept else pc.ascii_split_whitespace(texts)
+        places, flat = split.offsets.to_numpy() - split.offsets[0].as_py(), split.flatten()
+        coded = flat.dictionary_encode()
+        index = coded.indices.to_numpy().copy()
+        pieces = coded.dictionary.to_pylist()
+        if kept:  # each piece but a text's first stands for itself with a space before it
+            first = flat.take(pa.array(places[:-1])).dictionary_encode()
+            index[places[:-1]] = len(pieces) + first.indices.to_numpy()
+            pieces = [" " + p for p in pieces] + first.dictionary.to_pylist()
+        made = self._known(pieces)
+        table = np.frombuffer(b"".join(made), self.dtype)
+        width = np.fromiter(map(len, made), np.int64, len(made)) // table.itemsize
+        begin = np.cumsum(width) - width
+        length = width[index]
+        ends = np.cumsum(length)
+        # The ids of the pieces one after another: a place in the table, plus one for each id until the piece ends.
+        small = np.int32 if max(len(table), int(length.sum())) < 1 << 31 else np.int64
+        take = np.repeat((begin[index] - (ends - length)).astype(small), length)
+        take += np.arange(len(take), dtype=small)
+        counts = np.diff(np.r_[0, ends][places])
+        return table[take], counts
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each distinct piece."""
+        made = list(map(self.pieces.get, pieces))
+        missing = [k for k, ids in enumerate(made) if ids is None]
+        if not missing:
+            return made
+        rare, older = [], self.older.get
+        for k in missing:
+            ids = older(p := pieces[k])
+            if ids is None and (plain := _PLAIN.fullmatch(p)):
+                word, signs = plain.groups()
+                ids = (self.words.get(word) or self._word(word)) + ((self.words.get(signs) or self._word(signs)) if signs else b"")
+            if ids is None:
+                rare.append(k)
+            else:
+                made[k] = ids
+        code = "H" if self.dtype == "<u2" else "I"  # tasks run on little-endian machines, as Arrow does
+        for k, e in zip(rare, self.tokenizer.encode_batch_fast([pieces[k] for k in rare], add_special_tokens=False), strict=True):
+            made[k] = array(code, e.ids).tobytes()
+        if len(self.pieces) + len(missing) > CACHE_PIECES:
+            self.pieces, self.older = {}, self.pieces
+        self.pieces.update((pieces[k], made[k]) for k in missing if len(pieces[k]) <= PIECE_CHARS)
+        return made
 
     def _word(self, word: str) -> bytes:
-        """Ids of what the tokenizer's pattern takes as one word."""
-        if ids := self.older_words.get(word):
-            self.words[word] = ids
-            return ids
-        spelled = word.replace(" ", self.blank) if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.characters)
-        ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        """Ids of ASCII letters, or of signs, by the library's model; byte-level BPE writes a space as U+0120."""
+        spelled = word.replace(" ", "Ġ") if self.kind == "spaces kept" else word.lower()
+        ids = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
         if len(word) <= PIECE_CHARS:
-            if len(self.words) >= CACHE_WORDS:
-                self.words, self.older_words = {}, self.words
+            if len(self.words) >= CACHE_PIECES:
+                self.words.clear()
             self.words[word] = ids
         return ids

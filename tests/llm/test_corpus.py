@@ -14,7 +14,7 @@ from lakeloom.llm.inverted import Phrases, decontaminate, find_tests, intersect,
 from lakeloom.llm.pack import pack
 from lakeloom.llm.queries import ORACLE_SQL, QUERIES, vocabulary
 from lakeloom.llm.records import frame as record
-from lakeloom.llm.records import read_records, tokenize_to_records, unframe, write_records
+from lakeloom.llm.records import build_index, read_records, tokenize_to_records, unframe, write_records
 from lakeloom.llm.tokens import PieceTokenizer, load_spec
 
 from .cases import awkward, empty, frame
@@ -25,20 +25,27 @@ NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 
 @pytest.mark.parametrize(("name", "cache"), [(NAMES[0], 10**6), (NAMES[0], 20), (NAMES[1], 10**6), (NAMES[1], 20)])
 def test_pieces_give_the_same_ids(name, cache, monkeypatch):
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
     from lakeloom.llm import tokens
 
     monkeypatch.setattr(tokens, "CACHE_PIECES", cache)
-    monkeypatch.setattr(tokens, "CACHE_WORDS", cache)
+    monkeypatch.setattr(tokens, "STEP_BYTES", 10 * cache)
 
     rnd = random.Random(4)
     parts = ["a", "b", " ", "  ", "\n", "\t", "é", "'s", "!!", "1", "<|endoftext|>", "\x1c", "ß", "İ", "́", " \n", "中", "Σ", "\0", " ", " ", "x" * 60, "Word,", "Word.", "don't"]
-    texts = [r[1] or "" for r in awkward()] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(4000)]
+    texts = [r[1] for r in awkward()] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(4000)]
+    texts += [" ".join(rnd.choice(parts) for _ in range(1_000_000)), "word " * 1_000_000]  # millions of characters
     whole = Tokenizer.from_file(vocabulary(name))
     own = PieceTokenizer(load_spec(vocabulary(name)))
     assert own.kind != "whole"
-    assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(texts)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    got = [run for ids, counts in own.encode(pa.array(texts).slice(0)) for run in np.split(ids, np.cumsum(counts)[:-1])]
+    want = whole.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert len(got) == len(want) and all(np.array_equal(g, w.ids) for g, w in zip(got, want, strict=True))
+    part = pa.array(texts).slice(3, 40)
+    assert [len(run) for ids, counts in own.encode(part) for run in np.split(ids, np.cumsum(counts)[:-1])] == [len(w.ids) for w in want[3:43]]
+    assert not list(own.encode(part.slice(0, 0)))
 
 
 def ids_of(name, rows, end):
@@ -53,15 +60,14 @@ def crc(ids):
 
 
 def test_records_round_trip(spark):
-    rows = sorted(awkward(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-    want, before = [], 0
-    for doc_id, ids in ids_of(NAMES[0], rows, 0):
-        want.append((doc_id, before, len(ids), crc(ids)))
-        before += len(ids)
+    rows = awkward()
+    want = sorted(((d, len(ids), crc(ids)) for d, ids in ids_of(NAMES[0], rows, 0)), key=text_key)
     path = new_path(spark, "round-trip")
     index = tokenize_to_records(frame(spark), vocabulary(NAMES[0]), 0, path)
-    got = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in index.collect()), key=lambda r: r[1])
-    assert got == want
+    got = sorted(index.collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d or 0))
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)]).tolist()[:-1]
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=text_key) == want
     some = index.where("n_tokens > 100")
     read = sorted(((r.doc_id, list(r.ids)) for r in read_records(some, path).collect()), key=text_key)
     assert read == sorted(((d, i) for d, i in ids_of(NAMES[0], rows, 0) if len(i) > 100), key=text_key)
@@ -69,16 +75,40 @@ def test_records_round_trip(spark):
     assert tokenize_to_records(empty(spark), vocabulary(NAMES[0]), 0).count() == 0
 
 
-def test_more_records_than_a_file_holds(spark):
+def test_files_are_bounded_in_bytes(spark):
     path = new_path(spark, "chunks")
-    write_records(frame(spark), vocabulary(NAMES[0]), 0, path, max_records=5)
-    assert spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).count() > 8
+    write_records(frame(spark), vocabulary(NAMES[0]), 0, path, max_bytes=2000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length", "content").collect()
+    several = [f for f in files if f.length > 2000]
+    assert len(files) > 8 and len(several) <= 3  # a longer record has a file to itself
+    assert all(unframe(memoryview(bytes(f.content)), 0)[3] == f.length for f in several)
+    assert build_index(spark, path).count() == len(awkward())
+
+
+def test_every_byte_passes_through_the_files(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(vocabulary(NAMES[0])), np.random.default_rng(3)
+    texts = [(k, tokenizer.decode(rng.integers(0, 50_000, 300).tolist())) for k in range(50)]
+    path = new_path(spark, "bytes")
+    index = tokenize_to_records(spark.createDataFrame(texts, "doc_id long, text string"), vocabulary(NAMES[0]), 0, path)
+    content = b"".join(bytes(f.content) for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
+    assert set(content) == set(range(256))
+    want = dict(ids_of(NAMES[0], texts, 0))
+    assert {r.doc_id: list(r.ids) for r in read_records(index, path).collect()} == want
+
+
+def test_one_id_on_all_rows_is_dealt_over_tasks(spark):
+    docs = spark.createDataFrame([(None, "same text")] * 4000, "doc_id long, text string").repartition(8)
+    index = tokenize_to_records(docs, vocabulary(NAMES[0]), 0).collect()
+    assert len(index) == 4000 and len({r.part for r in index}) > 2
+    assert sorted(r.start for r in index) == [k * index[0].n_tokens for k in range(4000)]
 
 
 def test_damage_is_found():
-    one = record(7, struct.pack("<3H", 1, 2, 3), False) + b"\n"
+    one = record(7, struct.pack("<3H", 1, 2, 3), False)
     assert unframe(memoryview(one + one), len(one)) == (7, struct.pack("<3H", 1, 2, 3), False, 2 * len(one))
-    assert unframe(memoryview(record(None, b"", True) + b"\n"), 0)[0] is None
+    assert unframe(memoryview(record(None, b"", True)), 0)[0] is None
     for k in range(len(one)):
         bad = bytearray(one)
         bad[k] ^= 4
