@@ -24,10 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset and Spark runs on one machine."""
     sc = spark.sparkContext
     if where := sc.getConf().get("spark.checkpoint.dir"):
         return where.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not (where := getattr(sc, "_lakeloom_dir", None)):
         where = sc._lakeloom_dir = "file://" + tempfile.mkdtemp(prefix="lakeloom-")
     return where

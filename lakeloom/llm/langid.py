@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, has_columns, ship
+from .common import crc_remainder, has_columns, ship, text_hash
 
 #: n-grams of 1 to ORDERS characters, each order hashed into SLOTS presence bits.
 ORDERS, SLOTS, PIECE = 4, 4096, 1_000_000
@@ -106,8 +106,10 @@ def train(docs: DataFrame, sample_docs: int = 3000, landmarks: int = 200, held_o
             bits = [None if (x := presence(t)) is None else np.packbits(x).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(bits, pa.binary())], ["doc_id", "lang", "bits"])
 
-    picked = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # at most sample_docs rows
-    rows = picked.select("doc_id", "text", "lang").mapInArrow(featurise, "doc_id long, lang string, bits binary").where("bits IS NOT NULL").collect()
+    # Of rows that share an id, the one whose text has the least hash is learned from; so at most sample_docs rows reach the driver.
+    least = F.struct(text_hash(F.col("text")).alias("hash"), F.col("lang"), F.col("text"))
+    picked = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(least).alias("row")).select("doc_id", "row.text", "row.lang")
+    rows = picked.mapInArrow(featurise, "doc_id long, lang string, bits binary").where("bits IS NOT NULL").collect()
     rows.sort(key=lambda r: r.doc_id)
     bits = np.array([np.unpackbits(np.frombuffer(r.bits, np.uint8)) for r in rows], np.float32).reshape(-1, ORDERS * SLOTS)
     return fit(bits, [r.lang for r in rows], landmarks)

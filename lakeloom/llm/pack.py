@@ -135,12 +135,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, packe
     running totals, and deficits carry over windows and partitions without a sequential pass. The packets of
     all rounds, in order, form one stream that is cut at every `window` tokens: only the last sequence is short.
 
-    `targets` gives weights by source; a source that it doesn't name gets its own share of tokens. By default every source
+    `targets` gives positive weights by source (others raise ValueError); a source that it doesn't name gets its own share of tokens. By default every source
     has that share, so that all queues end together. Where targets drain a queue early, the others fill the windows on.
 
     Returns a row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null or empty text has
     `end_id` alone. Repeated rows are packed each; extra columns are left out; an empty table gives no pieces.
     """
+    if any(not 0 < w < float("inf") for w in (targets or {}).values()):
+        raise ValueError("a target weight must be a positive number")
     spark = docs.sparkSession
     tokens = written(tokenized(docs, tokenizer, end_id), "tokens")
     placed = running_total(tokens.select("queue", "doc_id", "uid", "n"), "n", "queue", "doc_id", "uid")

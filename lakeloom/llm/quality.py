@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, has_columns, ship
+from .common import crc_remainder, has_columns, ship, text_hash
 
 #: Classes of characters: lower and upper letters, other letters, digits, white space, sentence marks, bars, other signs.
 LOWER, UPPER, LETTER, DIGIT, BLANK, SENTENCE, BAR, SIGN = range(8)
@@ -142,7 +142,7 @@ def calibrate(model: dict, documents: list, labels: list[int]) -> dict:
     means = np.array([_mean(g, w) for x, w in documents for g in [marginals(model, x[None], np.ones((1, len(x)), bool))[0][0]]])
     y = np.array(labels)
     if not 0 < y.sum() < len(y):
-        return model | {"slope": 1.0, "middle": 0.0}
+        return model | {"slope": 1.0 if len(y) else 0.0, "middle": 0.0}
     share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     x, b = np.column_stack([_logit(means), np.ones(len(y))]), np.array([1.0, 0.0])
     for _ in range(50):  # Newton's method with a ridge that keeps the slope finite where the classes part
@@ -185,8 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sample_li
             rows = [np.column_stack(line_features(t)).astype(np.float32) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "quality", "x"])
 
-    picked = docs.where(lines <= sample_lines).join(F.broadcast(chosen), "doc_id")  # at most sample_docs rows
-    rows = picked.select("doc_id", "text", "quality").mapInArrow(featurise, "doc_id long, quality int, x binary").collect()
+    # Of rows that share an id, the text of least hash is learned from; so at most sample_docs rows reach the driver.
+    picked = docs.where(lines <= sample_lines).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(text_hash(F.col("text")), "text")).alias("text"))
+    rows = picked.mapInArrow(featurise, "doc_id long, quality int, x binary").limit(sample_docs).collect()
     import numpy as np
 
     rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))

@@ -34,7 +34,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents"), words=3, seed=42, max_bits=3)
+    out = simhash_groups(table(spark, sf_dir, "documents"), words=3, seed=42, max_bits=3)
+    return out.select("doc_id", "fingerprint", "component_id")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

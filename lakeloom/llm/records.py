@@ -49,7 +49,7 @@ def unframe(content, at: int) -> tuple[int | None, bytes, bool, int]:
     return (None if flags & 1 else doc_id), payload[DOC.size :], bool(flags & 2), end + 5
 
 
-def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_bytes: int = 32 << 20) -> None:
+def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_bytes: int = 16 << 20) -> None:
     """Encodes each whole text (null: empty), adds `end_id`, and writes the records in ascending doc_id order under `path`.
 
     A file covers one range of doc_ids and holds `max_bytes` at most, or a single longer record; files are ordered by their part number, then

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import has_columns, ship, written
+from .common import has_columns, ship, text_hash, written
 from .graph import components
+from .substring import window_hashes, word_hashes
 
-LEAF_CODES, NODE_LEAVES, BITS = 256, 64, 64
-FULL = (1 << 64) - 1
-INDEX = "a long, b long, block string, node long, leaf long, node_mask long, node_pattern long, mask long, pattern long, codes array<long>"
+LEAF_CODES, NODE_LEAVES = 256, 64
+SHARED = "node_mask array<long>, node_pattern array<long>, mask array<long>, pattern array<long>"
+INDEX = f"a long, b long, block long, node long, leaf long, {SHARED}, ids array<long>, codes binary"
+
+
+def words_of(text: str | bytes | None) -> list[bytes]:
+    """Runs of other than ASCII white space after A-Z are lower-cased; of bytes, so that no other character changes or splits."""
+    return (text.encode("utf-8") if isinstance(text, str) else text or b"").lower().split()
 
 
 def fingerprint_of(text: str | bytes | None, words: int = 3, seed: int = 42) -> int:
@@ -20,8 +27,7 @@ def fingerprint_of(text: str | bytes | None, words: int = 3, seed: int = 42) ->
     import numpy as np
     import xxhash
 
-    raw = text.encode("utf-8") if isinstance(text, str) else text or b""
-    tokens = raw.lower().split()  # of bytes: only A-Z change, and only ASCII white space splits
+    tokens = words_of(text)
     if not tokens:
         return 0
     joined, n = b" ".join(tokens), len(tokens)
@@ -32,47 +38,101 @@ def fingerprint_of(text: str | bytes | None, words: int = 3, seed: int = 42) ->
     starts[n] = at
     digest, view, k = xxhash.xxh64_intdigest, memoryview(joined), min(words, n)
     hashes = np.fromiter((digest(view[starts[i] : starts[i + k] - 1], seed) for i in range(n - k + 1)), np.uint64, n - k + 1)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    ones = _ones(hashes.astype(">u8").view(np.uint8).reshape(-1, 8))
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, code): the fingerprint as a signed long, for every row of the input."""
+def _ones(packed):
+    """How many rows have each bit; sums of up to 255 rows fit into bytes, which add up fast."""
+    import numpy as np
+
+    ones = np.zeros(8 * packed.shape[1], np.int64)
+    for at in range(0, len(packed), 255):
+        ones += np.add.reduce(np.unpackbits(packed[at : at + 255], axis=1), axis=0, dtype=np.uint8)
+    return ones
+
+
+def set_fingerprint(text: bytes | None, words: int = 5, bits: int = 512) -> bytes:
+    """`bits` bits (a multiple of 64) of the set of shingles, so that fingerprints differ in a share of angle / pi of their bits.
+
+    Each distinct shingle is hashed as a window of word hashes, and drawn out to all bits by mixing. A tie goes to the least hash; no words give zero.
+    """
+    import numpy as np
+
+    tokens = words_of(text)
+    if not tokens:
+        return bytes(bits // 8)
+    h = np.unique(window_hashes(word_hashes(tokens), min(words, len(tokens))))
+    with np.errstate(over="ignore"):
+        z = h[:, None] + np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    packed = (z ^ (z >> np.uint64(31))).view(np.uint8)
+    ones = 2 * _ones(packed)
+    return np.packbits((ones > len(h)) | ((ones == len(h)) & np.unpackbits(packed[0]).astype(bool))).tobytes()
+
+
+def radius(similarity: float, bits: int, deviations: float = 1.0) -> int:
+    """In how many bits fingerprints of sets of that Jaccard similarity differ, plus some deviations so that few of them are missed.
+
+    Of sets alike in size, similarity s is a cosine of 2 s / (1 + s); sets of other sizes at similarity s lie a little closer.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
+
+
+def fingerprints(docs: DataFrame, words: int, seed: int, bits: int) -> DataFrame:
+    """(doc_id, text_hash, code) for every row: the 64-bit fingerprint of all shingles, or a wider one of the set of shingles."""
     ship(docs.sparkSession)
 
     def scan(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column("text")
-            codes = np.fromiter((fingerprint_of(t.as_buffer().to_pybytes() if t.is_valid else None, words, seed) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codes.view(np.int64))], ["doc_id", "code"])
+            texts = (t.as_buffer().to_pybytes() if t.is_valid else None for t in batch.column("text"))
+            codes = [fingerprint_of(t, words, seed).to_bytes(8, "big") if bits == 64 else set_fingerprint(t, words, bits) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(codes, pa.binary())], ["doc_id", "text_hash", "code"])
+
+    docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
+    return docs.mapInArrow(scan, "doc_id long, text_hash long, code binary")
 
-    return has_columns(docs, doc_id="long", text="string").mapInArrow(scan, "doc_id long, code long")
 
+def byte_pairs(n_bytes: int, count: int) -> list[tuple[int, int]]:
+    """`count` blocks of two bytes of a code: neighbours first, which cover it once, then bytes further apart."""
+    pairs = [(i, (i + gap) % n_bytes) for gap in range(1, n_bytes, 2) for i in range(0, n_bytes, 2)]
+    return pairs[:count]
+
+
+def gray_rank(code):
+    """The codes' places in Gray order: neighbours in this order differ in one bit."""
+    import numpy as np
 
-def gray_rank(code: Column) -> Column:
-    """The code's place in Gray order: neighbours in this order differ in one bit."""
     for shift in (1, 2, 4, 8, 16, 32):
-        code = code.bitwiseXOR(F.shiftrightunsigned(code, shift))
+        code = code ^ (code >> np.uint64(shift))
     return code
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def _spread(blocks: list[tuple[int, int]]):
+    """A row for each code and block: the block with its bits, and the Gray rank of other bits."""
+
+    def spread(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
+        for batch in batches:
+            for k in range(0, batch.num_rows, 2000):
+                part = batch.slice(k, 2000)
+                code = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                for t, (i, j) in enumerate(blocks):
+                    others = [b for b in range(code.shape[1]) if b not in (i, j)]
+                    turned = np.zeros((len(code), 8), np.uint8)
+                    chosen = [others[(others.index((j + 1) % code.shape[1]) if (j + 1) % code.shape[1] in others else 0) - len(others) + x] for x in range(min(8, len(others)))]
+                    turned[:, : len(chosen)] = code[:, chosen]
+                    rank = gray_rank(turned.view(">u8").ravel().astype(np.uint64)) >> np.uint64(1)
+                    block = t << 16 | code[:, i].astype(np.int64) << 8 | code[:, j]
+                    yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(rank.astype(np.int64)), part.column("id"), part.column("code")], ["block", "rank", "id", "code"])
 
-def _shared(codes: list[int]) -> tuple[int, int]:
-    """The bits on which all codes agree, as a mask, and their values."""
-    differ = 0
-    for c in codes:
-        differ |= c ^ codes[0]
-    mask = ~differ & FULL
-    return mask, codes[0] & mask
+    return spread
 
 
 class Groups:
@@ -92,21 +152,43 @@ class Groups:
         return i != j
 
 
-def _near(a, b, max_bits: int):
-    """Index pairs of codes of a and b that differ in at most max_bits bits."""
+def _distance(a, b):
     import numpy as np
 
-    return np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= max_bits)
+    out = np.zeros(np.broadcast_shapes(a.shape[:-1], b.shape[:-1]), np.uint16)
+    for w in range(a.shape[-1]):
+        out += np.bitwise_count(a[..., w] ^ b[..., w])
+    return out
 
 
 def _within(codes, max_bits: int) -> Groups:
+    """The groups that a leaf's codes form."""
+    import numpy as np
+
     groups = Groups(len(codes))
-    for i, j in zip(*(x.tolist() for x in _near(codes, codes, max_bits)), strict=True):
-        if i < j:
-            groups.join(i, j)
+    near = _distance(codes[:, None], codes[None, :]) <= max_bits
+    seen = np.zeros(len(codes), bool)
+    for start in range(len(codes)):  # breadth first: each code is met once, however dense the leaf
+        reach = [] if seen[start] else [start]
+        seen[start] = True
+        while reach:
+            i = reach.pop()
+            new = np.flatnonzero(near[i] & ~seen)
+            seen[new] = True
+            for j in new.tolist():
+                groups.join(start, j)
+            reach += new.tolist()
     return groups
 
 
+def _shared(codes):
+    """The bits on which all codes agree, as a mask, and their values."""
+    import numpy as np
+
+    mask = ~np.bitwise_or.reduce(codes ^ codes[0], axis=0)
+    return mask.view(np.int64).tolist(), (codes[0] & mask).view(np.int64).tolist()
+
+
 def _index(max_bits: int):
     """Leaves of a partition that is sorted by block and Gray rank, and the links inside each leaf."""
 
@@ -117,50 +199,65 @@ def _index(max_bits: int):
 
         base, made = TaskContext.get().partitionId() << 32, 0
         names = [x.split()[0] for x in INDEX.split(", ")]
-        kinds = [{"string": pa.string(), "array<long>": pa.list_(pa.int64())}.get(x.split()[1], pa.int64()) for x in INDEX.split(", ")]
-        out: list[tuple] = []
+        kinds = [{"binary": pa.binary(), "array<long>": pa.list_(pa.int64())}.get(x.split()[1], pa.int64()) for x in INDEX.split(", ")]
 
-        def flush(force: bool = False) -> Iterator:
-            if out and (force or len(out) > 2000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-                out.clear()
+        def rows(out: list[tuple]):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-        def node(block: str, codes: list[int], alone: bool) -> None:
-            """Up to NODE_LEAVES leaves of one block under one node; a block that is whole in one leaf needs no node."""
+        def work(block, ids, codes, first_open: bool, last_open: bool) -> Iterator:
+            """Whole blocks; an open one goes on in another run or partition, so that its leaves must meet others."""
             nonlocal made
-            leaves = [codes[i : i + LEAF_CODES] for i in range(0, len(codes), LEAF_CODES)]
-            for leaf in leaves:
-                groups = Groups(len(leaf))
-                if len(leaf) <= 12:
-                    for i, x in enumerate(leaf):
-                        for j in range(i):
-                            if (x ^ leaf[j]).bit_count() <= max_bits:
-                                groups.join(i, j)
-                else:
-                    groups = _within(np.array(leaf, np.uint64), max_bits)
-                out.extend((_signed(leaf[i]), _signed(leaf[r]), *[None] * 8) for i in range(len(leaf)) if (r := groups.find(i)) != i)
-            if not alone or len(leaves) > 1:
-                top, name = _shared(codes), base + (made := made + 1)
-                for leaf in leaves:
-                    own = _shared(leaf)
-                    out.append((None, None, block, name, base + (made := made + 1), *map(_signed, (*top, *own)), [_signed(c) for c in leaf]))
-
-        block, codes, first, split = None, [], True, False
+            starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            sizes = np.diff(np.r_[starts, len(block)])
+            place = np.arange(len(block)) - np.repeat(starts, sizes)
+            cuts = np.flatnonzero(place % LEAF_CODES == 0)
+            ends = np.r_[cuts[1:], len(block)]
+            # Leaves of a few codes, which most are, are compared all at once; larger ones one by one.
+            end = np.repeat(ends, ends - cuts)
+            small = np.repeat(ends - cuts <= 16, ends - cuts)
+            left, right = [], []
+            active, d = np.flatnonzero(small), 1
+            while len(active := active[active + d < end[active]]):
+                near = active[_distance(codes[active], codes[active + d]) <= max_bits]
+                left.append(near)
+                right.append(near + d)
+                d += 1
+            out = [(a, b) for a, b in zip(ids[np.concatenate(left)].tolist(), ids[np.concatenate(right)].tolist(), strict=True)] if left else []
+            for a, b in zip(cuts.tolist(), ends.tolist(), strict=True) if not small.all() else ():
+                if b - a > 16:
+                    groups = _within(codes[a:b], max_bits)
+                    out += [(int(ids[a + i]), int(ids[a + r])) for i in range(b - a) if (r := groups.find(i)) != i]
+            if out:
+                yield rows([(*x, *[None] * 9) for x in out])
+            wanted = sizes > LEAF_CODES
+            wanted[0] |= first_open
+            wanted[-1] |= last_open
+            for a, n in zip(starts[wanted].tolist(), sizes[wanted].tolist(), strict=True):
+                for top in range(a, a + n, LEAF_CODES * NODE_LEAVES):
+                    upto = min(a + n, top + LEAF_CODES * NODE_LEAVES)
+                    above, node = _shared(codes[top:upto]), base + (made := made + 1)
+                    out = []
+                    for x in range(top, upto, LEAF_CODES):
+                        y = min(upto, x + LEAF_CODES)
+                        out.append((None, None, int(block[x]), node, base + (made := made + 1), *above, *_shared(codes[x:y]), ids[x:y].tolist(), codes[x:y].tobytes()))
+                    yield rows(out)
+
+        held, first = None, True
         for batch in batches:
-            for b, c in zip(batch.column("block").to_pylist(), batch.column("code").to_numpy().view(np.uint64).tolist(), strict=True):
-                if b != block:
-                    if codes:
-                        node(block, codes, alone=not first and not split)
-                        first = False
-                    yield from flush()
-                    block, codes, split = b, [], False
-                elif len(codes) == LEAF_CODES * NODE_LEAVES:
-                    node(block, codes, alone=False)
-                    codes, split = [], True
-                codes.append(c)
-        if codes:  # a partition's first and last block may go on in its neighbours
-            node(block, codes, alone=False)
-        yield from flush(force=True)
+            code = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            new = (batch.column("block").to_numpy(), batch.column("id").to_numpy(), code)
+            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+            block = held[0]
+            at = int(np.searchsorted(block, block[-1])) if len(block) else 0
+            if at == 0 and len(block) >= LEAF_CODES * NODE_LEAVES:  # one block, and more of it to come
+                at = len(block) // (LEAF_CODES * NODE_LEAVES) * LEAF_CODES * NODE_LEAVES
+                yield from work(*(x[:at] for x in held), True, True)
+                held, first = tuple(x[at:] for x in held), True
+            elif at:
+                yield from work(*(x[:at] for x in held), first, False)
+                held, first = tuple(x[at:] for x in held), False
+        if held is not None and len(held[0]):
+            yield from work(*held, first, True)
 
     return build
 
@@ -174,24 +271,25 @@ def _across(max_bits: int):
 
         for batch in batches:
             left, right = [], []
-            for x, y in zip(batch.column("codes").to_pylist(), batch.column("codes_b").to_pylist(), strict=True):
-                x, y = np.array(x, np.int64).view(np.uint64), np.array(y, np.int64).view(np.uint64)
-                i, j = _near(x, y, max_bits)
+            for row in batch.to_pylist():
+                (p, x), (q, y) = ((row[f"ids{s}"], np.frombuffer(row[f"codes{s}"], np.uint64).reshape(len(row[f"ids{s}"]), -1)) for s in ("", "_b"))
+                i, j = np.nonzero(_distance(x[:, None], y[None, :]) <= max_bits)
                 if len(i):
-                    own, other = _within(x, max_bits), _within(y, max_bits)
-                    for p, q in {(own.find(p), other.find(q)) for p, q in zip(i.tolist(), j.tolist(), strict=True)}:
-                        left.append(_signed(int(x[p])))
-                        right.append(_signed(int(y[q])))
+                    own, other = (np.array([g.find(k) for k in range(len(g.up))]) for g in (_within(x, max_bits), _within(y, max_bits)))
+                    for a, b in np.unique(np.column_stack([own[i], other[j]]), axis=0).tolist():
+                        left.append(p[a])
+                        right.append(q[b])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return search
 
 
-def hamming_links(codes: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Links (a, b) that connect exactly the distinct `code` values within `max_bits` bits of each other.
+def hamming_links(codes: DataFrame, max_bits: int = 3, n_bits: int = 64, blocks: int = 4) -> DataFrame:
+    """Links (a, b) between the `id`s of distinct `code`s within `max_bits` bits of each other that agree on one of the blocks.
 
-    Two codes within max_bits bits agree on one of max_bits + 1 bit blocks. For each block the codes are sorted by that block,
-    then by Gray rank of the other bits, over all partitions alike, and cut into leaves of 256; up to 64 leaves
+    A block is two bytes of the code. Where max_bits is less than the n_bits / 16 blocks that cover a code once, each pair within max_bits
+    agrees on one of them, so that the links connect exactly those pairs. For each block the codes are sorted by that block,
+    then by Gray rank of other bits, over all partitions alike, and cut into leaves of 256; up to 64 leaves
     make a node. A node factors out the bits (mask and pattern) on which all its codes agree, a leaf those on which its
     own do. Nodes of equal block are paired and pruned by the differences of their shared bits, then their leaves by the
     accumulated differences; only leaves that survive are compared code by code. Links are reported between groups that
@@ -199,40 +297,58 @@ def hamming_links(codes: DataFrame, max_bits: int = 3) -> DataFrame:
     """
     spark = codes.sparkSession
     ship(spark)
-    width, blocks = BITS // (max_bits + 1), max_bits + 1
-    tables = []
-    for t in range(blocks):
-        turned = F.shiftleft("code", t * width).bitwiseOR(F.shiftrightunsigned("code", BITS - t * width)) if t else F.col("code")
-        rest = turned.bitwiseAND(F.lit((1 << (BITS - width)) - 1))
-        tables.append(F.struct(F.concat(F.lit(f"{t}:"), F.hex(F.shiftrightunsigned(turned, BITS - width))).alias("block"), gray_rank(rest).alias("rank")))
-    rows = codes.select("code", F.explode(F.array(*tables)).alias("x")).select("x.block", "x.rank", "code")
-    sorted_rows = rows.repartitionByRange("block", "rank").sortWithinPartitions("block", "rank").select("block", "code")
+    rows = codes.select("id", "code").mapInArrow(_spread(byte_pairs(n_bits // 8, blocks)), "block long, rank long, id long, code binary")
+    sorted_rows = rows.repartitionByRange("block", "rank").sortWithinPartitions("block", "rank").select("block", "id", "code")
     index = written(sorted_rows.mapInArrow(_index(max_bits), INDEX), "gray-index")
 
-    shared = lambda p, m, q, n: F.bit_count(F.col(p).bitwiseXOR(F.col(q)).bitwiseAND(F.col(m)).bitwiseAND(F.col(n)))
+    def differ(p: str, q: str, *masks: str):
+        both = F.zip_with(p, q, lambda x, y: x.bitwiseXOR(y))
+        for m in masks:
+            both = F.zip_with(both, m, lambda x, y: x.bitwiseAND(y))
+        return F.aggregate(both, F.lit(0), lambda n, x: n + F.bit_count(x))
+
     leaves = index.where("leaf IS NOT NULL").drop("a", "b")
-    nodes = leaves.select("block", "node", "node_mask", "node_pattern").distinct()
+    nodes = leaves.select("block", "node", "node_mask", "node_pattern").dropDuplicates(["node"])
     right = nodes.select("block", *(F.col(c).alias(f"{c}_b") for c in ("node", "node_mask", "node_pattern")))
-    pairs = nodes.join(right, "block").where("node <= node_b").withColumn("differ", shared("node_pattern", "node_mask", "node_pattern_b", "node_mask_b")).where(F.col("differ") <= max_bits)
-    own = leaves.select("node", "leaf", "mask", "pattern", "codes")
+    pairs = nodes.join(right, "block").where("node <= node_b").withColumn("differ", differ("node_pattern", "node_pattern_b", "node_mask", "node_mask_b")).where(F.col("differ") <= max_bits)
+    pairs = pairs.select("node", "node_b", "differ", F.zip_with("node_mask", "node_mask_b", lambda x, y: F.bitwise_not(x.bitwiseAND(y))).alias("open"))
+    own = leaves.select("node", "leaf", "mask", "pattern", "ids", "codes")
     pairs = pairs.join(own, "node").join(own.select(*(F.col(c).alias(f"{c}_b") for c in own.columns)), "node_b").where("leaf < leaf_b")
-    inside = F.col("mask").bitwiseAND(F.col("mask_b")).bitwiseAND(F.bitwise_not(F.col("node_mask").bitwiseAND(F.col("node_mask_b"))))
-    more = F.bit_count(F.col("pattern").bitwiseXOR(F.col("pattern_b")).bitwiseAND(inside))
-    across = pairs.where(F.col("differ") + more <= max_bits).select("codes", "codes_b").mapInArrow(_across(max_bits), "a long, b long")
+    more = differ("pattern", "pattern_b", "mask", "mask_b", "open")
+    across = pairs.where(F.col("differ") + more <= max_bits).select("ids", "codes", "ids_b", "codes_b").mapInArrow(_across(max_bits), "a long, b long")
     return index.where("a IS NOT NULL").select("a", "b").unionByName(across)
 
 
-def simhash_groups(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row: documents linked by fingerprints within `max_bits` bits.
+def simhash_groups(docs: DataFrame, words: int = 3, seed: int = 42, max_bits: int = 3, bits: int = 64, blocks: int = 4) -> DataFrame:
+    """(doc_id, fingerprint, component_id, text_hash, kept) for every row: documents linked by fingerprints within `max_bits` bits.
+
+    With 64 bits the fingerprint is that of all shingles, repeats included; more bits (a multiple of 64) fingerprint the set of shingles,
+    for the wide radius of a given similarity (`near_duplicates`).
 
     Documents of equal fingerprint are one node of the graph, so copies add no links. A null or wordless text has
     fingerprint zero and links like any other. component_id is the least doc_id reachable; null doc_ids get their
-    group's, which is null only where all are. Repeated rows get their result each time; other columns are left out.
+    group's, which is null only where all are. `kept` marks one document of each group: that of the least doc_id (null last) and, of
+    those, of the least text hash; all its copies in id and text are marked. Repeated rows get their result each time; other columns are left
+    out; whole texts count, however long; an empty table gives no rows.
+    """
+    marked = written(fingerprints(docs, words, seed, bits), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    codes = marked.groupBy("code").agg(F.min(first).alias("first"))
+    codes = written(codes.withColumn("id", F.monotonically_increasing_id()), "codes")
+    roots = components(hamming_links(codes.select("id", "code"), max_bits, bits, blocks), "a", "b")
+    joined = codes.join(roots, codes.id == roots.node, "left").select("code", "first", F.coalesce("root", "id").alias("root"))
+    component = joined.groupBy("root").agg(F.min("first").alias("least"))
+    by_code = joined.join(component, "root").select("code", "least")
+    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    out = marked.join(by_code, "code")
+    return out.select("doc_id", F.lower(F.hex("code")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"), "text_hash", kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, bits: int = 512, blocks: int = 48, deviations: float = 1.0) -> DataFrame:
+    """simhash_groups at the radius of a Jaccard similarity of the documents' shingle sets.
+
+    512 bits tell the similarity to about 0.04, so that the radius lies one deviation outside the given similarity. A pair at 0.8 agrees on
+    one of 48 blocks of two bytes with probability 0.97, one at 0.85 with 0.996; by its distance it's linked with probability 0.84 and 0.99. For
+    over some 10**8 documents take more blocks of more bytes, as chance meetings in blocks grow with the square of their number.
     """
-    marked = written(fingerprints(docs, words, seed), "fingerprints")
-    codes = written(marked.groupBy("code").agg(F.min("doc_id").alias("least")), "codes")
-    roots = components(hamming_links(codes.select("code"), max_bits), "a", "b")
-    joined = codes.join(roots, codes.code == roots.node, "left").select("code", "least", F.coalesce("root", "code").alias("root"))
-    component = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_code = joined.join(component, "root").select("code", "component_id")
-    return marked.join(by_code, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+    return simhash_groups(docs, words, max_bits=radius(similarity, bits, deviations), bits=bits, blocks=blocks)

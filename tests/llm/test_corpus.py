@@ -15,10 +15,11 @@ from lakeloom.llm.pack import pack
 from lakeloom.llm.queries import ORACLE_SQL, QUERIES, vocabulary
 from lakeloom.llm.records import frame as record
 from lakeloom.llm.records import build_index, read_records, tokenize_to_records, unframe, write_records
+from lakeloom.llm.simhash import byte_pairs, radius, set_fingerprint
 from lakeloom.llm.tokens import PieceTokenizer, load_spec
 
-from .cases import awkward, empty, frame
-from .test_dedup import plain_fingerprint, plain_line_dedup, text_key
+from .cases import awkward, empty, frame, least_component
+from .test_dedup import plain_line_dedup, text_key
 
 NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 
@@ -99,8 +100,10 @@ def test_every_byte_passes_through_the_files(spark):
 
 
 def test_one_id_on_all_rows_is_dealt_over_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task again
     docs = spark.createDataFrame([(None, "same text")] * 4000, "doc_id long, text string").repartition(8)
     index = tokenize_to_records(docs, vocabulary(NAMES[0]), 0).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(index) == 4000 and len({r.part for r in index}) > 2
     assert sorted(r.start for r in index) == [k * index[0].n_tokens for k in range(4000)]
 
@@ -162,6 +165,30 @@ def test_windows_follow_the_mixture(spark):
             assert abs(upto - share[source] * 256 * (k + 1)) <= 2 * 16 * len(share)  # deficits stay within packets
 
 
+@pytest.mark.parametrize("targets", [{"s0": 2.0, "s1": 1.0, "s2": 1.0}, {"s0": 1.0, "s2": 5.0}])
+def test_windows_follow_given_targets(spark, targets):
+    rows = [(k, f"token {k} " * 60, "en", f"s{k % 3}", 0) for k in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    pieces = pack(docs, vocabulary(NAMES[1]), 1, window=256, packet=16, targets=targets).join(docs.select("doc_id", "source"), "doc_id").collect()
+    tokens = Counter()
+    for p in pieces:
+        tokens[p.source] += p.length
+    weight = {s: targets.get(s, tokens[s] / sum(tokens.values())) for s in tokens}
+    share = {s: w / sum(weight.values()) for s, w in weight.items()}
+    first_empty = min(tokens[s] / share[s] for s in tokens)  # tokens packed when the first queue runs dry
+    for source in share:
+        upto = 0
+        for k in range(int(first_empty / 256) - 1):
+            upto += sum(p.length for p in pieces if p.sequence_id == k and p.source == source)
+            assert abs(upto - share[source] * 256 * (k + 1)) <= 2 * 16 * len(share)
+
+
+@pytest.mark.parametrize("weight", [0, 0.0, -1.0, float("nan"), float("inf")])
+def test_targets_must_be_positive(spark, weight):
+    with pytest.raises(ValueError, match="positive"):
+        pack(empty(spark), vocabulary(NAMES[1]), 1, targets={"s0": weight})
+
+
 def plain_hits(rows, tests, n, slop=0):
     words = {k: words_of((r[1] or "").encode()) for k, r in enumerate(rows)}
     out = []
@@ -262,11 +289,10 @@ def test_pipeline_stages_against_plain_versions(spark):
     assert plain(two) == rows and two.columns == docs.columns
 
     three = written(p.simhash_stage(spark, two, sf_dir), "stage")
-    prints, groups = [plain_fingerprint(r[1]) for r in rows], {}
-    from .cases import least_component
-
-    links = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3]
-    groups = least_component([r[0] for r in rows], links)
+    codes = np.array([np.frombuffer(set_fingerprint(r[1].encode()), np.uint8) for r in rows])
+    within = np.array([np.bitwise_count(codes ^ c).sum(axis=1) <= radius(0.8, 512) for c in codes])
+    meet = np.any([(codes[:, None, i] == codes[None, :, i]) & (codes[:, None, j] == codes[None, :, j]) for i, j in byte_pairs(64, 48)], axis=0)
+    groups = least_component([r[0] for r in rows], [(rows[i][0], rows[j][0]) for i, j in zip(*np.nonzero(within & meet), strict=True) if i < j])
     rows = [r for r in rows if groups[r[0]] == r[0]]
     assert plain(three) == rows and three.columns == docs.columns
 
@@ -288,8 +314,11 @@ def test_pipeline_stages_take_awkward_tables(spark):
     sf_dir = "/root/testdata/sf0.001"
     for df in (frame(spark), empty(spark)):
         for _, stage in p.STAGES[:-1]:
-            df = written(stage(spark, df, sf_dir), "stage")
-        assert p.STAGES[-1][1](spark, df, sf_dir).count() >= 0
+            df, before = written(stage(spark, df, sf_dir), "stage"), df.count()
+            assert df.columns == list(p.COLUMNS) and df.count() <= before
+        left = Counter(r.doc_id for r in df.collect())
+        pieces = p.STAGES[-1][1](spark, df, sf_dir).collect()
+        assert {x.doc_id for x in pieces} == set(left) and sum(x.start == 0 for x in pieces) == sum(left.values())
 
 
 def test_kept_text_digest_is_of_utf8():
