@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import table, text_hash, written
 from lakeloom.llm.inverted import decontaminate
 from lakeloom.llm.line_dedup import line_dedup
-from lakeloom.llm.minhash import jaccard_groups
 from lakeloom.llm.pack import pack
 from lakeloom.llm.quality import score_quality, train
 from lakeloom.llm.queries import vocabulary
+from lakeloom.llm.simhash import near_duplicates
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,13 +30,16 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: that of the least doc_id. Groups link documents whose 5-word shingles have a Jaccard similarity of 0.8 or more. Of repeated rows one stays; documents without an id stay where their whole group has none."""
+    """One document of each near-duplicate group stays: of the least doc_id (null last), and of the least text hash where that id repeats.
+
+    Groups link documents by SimHash fingerprints of their sets of 5-word shingles, at the radius of a Jaccard similarity of 0.8. Of rows equal
+    in id and text one stays, and so of null texts; clashing extra columns are left out.
+    """
     docs = docs.select(*COLUMNS)
-    groups = jaccard_groups(docs, words=5, least=0.8)
-    kept = written(groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct(), "kept")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    chosen = docs.withColumn("key", key).join(kept.select(key.alias("key")), "key", "left_semi")
-    return chosen.withColumn("digest", text_hash(F.col("text"))).dropDuplicates(["key", "digest"]).select(*COLUMNS)
+    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
+    kept = written(near_duplicates(docs, words=5, similarity=0.8).where("kept").select(key, F.col("text_hash").alias("digest")).distinct(), "kept")
+    chosen = docs.select("*", key, text_hash(F.col("text")).alias("digest")).join(kept, ["key", "digest"], "left_semi")
+    return chosen.dropDuplicates(["key", "digest"]).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
