@@ -8,15 +8,15 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import has_columns, ship, text_hash
 
-#: Odd, so that a product with it loses no bit modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-BLOCK_WORDS, CACHE_WORDS = 500_000, 300_000
+#: Odd, so that a product with one loses no bit modulo 2**64; the second round has two hashes of its own.
+BASE, BASES = 0x9E3779B97F4A7C15, (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+BLOCK_WORDS, CACHE_WORDS, BUCKET_BYTES = 500_000, 300_000, 64 << 20
 PARTS = "bucket int, block long, kind int, a binary, b binary, c binary"
 _hashes: dict[bytes, int] = {}
+_wide: dict[bytes, bytes] = {}
 
 
 def word_hashes(words: list[bytes]):
@@ -32,11 +32,24 @@ def word_hashes(words: list[bytes]):
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def window_hashes(h, n: int):
+def wide_hashes(words: list[bytes]):
+    """The 128-bit XXH3 of each word, as two columns; a worker remembers up to CACHE_WORDS of them."""
+    import numpy as np
+    import xxhash
+
+    known, digest = _wide, xxhash.xxh3_128_digest
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    for w in {w for w in words if w not in known}:
+        known[w] = digest(w)
+    return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint64).reshape(-1, 2)
+
+
+def window_hashes(h, n: int, base: int = BASE):
     """The polynomial hash, modulo 2**64, of every n consecutive values, by doubling: window 2k is two windows of k."""
     import numpy as np
 
-    made, have, power, out = h, 1, np.uint64(BASE), None
+    made, have, power, out = h, 1, np.uint64(base), None
     used = 0
     rest, made_power = n, power
     with np.errstate(over="ignore"):
@@ -57,6 +70,19 @@ def window_hashes(h, n: int):
     return out
 
 
+def round_one(words: list[bytes], n: int):
+    """What finds windows that may repeat: one hash, of which the bucket and 32 bits travel."""
+    return (window_hashes(word_hashes(words), n),)
+
+
+def round_two(words: list[bytes], n: int):
+    """What tells windows apart for good: 128 bits of two hashes, over other hashes of the words, of which 96 travel."""
+    import numpy as np
+
+    h = wide_hashes(words)
+    return tuple(window_hashes(np.ascontiguousarray(h[:, k]), n, BASES[k]) for k in (0, 1))
+
+
 class Block:
     """Documents of one task, in order of (doc_id, reading order), with all their words in one row."""
 
@@ -64,22 +90,31 @@ class Block:
         import numpy as np
 
         docs.sort(key=lambda d: (d[0] is not None, d[0] or 0))
-        self.doc_ids = [d[0] for d in docs]
-        self.text_hashes = [d[1] for d in docs]
+        self.doc_ids = np.array([-(1 << 63) if d[0] is None else d[0] for d in docs], np.int64)
+        self.text_hashes = np.array([d[1] for d in docs], np.int64)
         self.counts = np.array([len(d[2]) for d in docs], np.int64)
         self.firsts = np.r_[0, np.cumsum(self.counts)]
         self.words = [w for d in docs for w in d[2]]
+        self.spans = [d[3] for d in docs]
 
-    def windows(self, n: int):
-        """(position, hash) of every window that lies within one document."""
+    def windows(self, n: int, hashes):
+        """(positions, hashes) of every window that lies within one document, or within its spans where it has some."""
         import numpy as np
 
         if len(self.words) < n:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        h = window_hashes(word_hashes(self.words), n)
-        ends = np.repeat(self.firsts[1:], self.counts)[: len(h)]
-        at = np.flatnonzero(np.arange(len(h)) + n <= ends)
-        return at, h[at]
+            return np.zeros(0, np.int64), (np.zeros(0, np.uint64),) * len(hashes([], n))
+        made = hashes(self.words, n)
+        ends = np.repeat(self.firsts[1:], self.counts)[: len(made[0])]
+        inside = np.arange(len(made[0])) + n <= ends
+        if any(s is not None for s in self.spans):
+            change = np.zeros(len(self.words) + 1, np.int64)
+            for first, spans in zip(self.firsts.tolist(), self.spans, strict=False):
+                for x, y in spans or ():
+                    change[first + x] += 1
+                    change[first + y] -= 1
+            inside &= np.cumsum(change)[: len(inside)] > 0
+        at = np.flatnonzero(inside)
+        return at, tuple(h[at] for h in made)
 
 
 def bucket_names(spark: SparkSession, n: int) -> list[int]:
@@ -110,8 +145,31 @@ def _unpacked(data: bytes):
     return ids, np.r_[0, np.cumsum(np.frombuffer(data[end:], "<u4").astype(np.int64))]
 
 
-def _scan(n: int, names: list[int]):
-    """Of each block: the first window of each hash, dealt to buckets by hash; the positions of later ones, which go in any case; its documents."""
+def _gaps(at) -> bytes:
+    """Ascending positions as gaps of one or two bytes; a byte or pair of all ones adds its value without a position."""
+    import numpy as np
+
+    gaps = np.diff(at, prepend=0)
+    kind, most = ("<u1", 255) if len(at) and at[-1] < 150 * len(at) else ("<u2", 65535)
+    more = gaps // most
+    out = np.full(int(more.sum()) + len(gaps), most, kind)
+    out[np.cumsum(more + 1) - 1] = gaps % most
+    return kind[-1].encode() + out.tobytes()
+
+
+def _places(data: bytes):
+    """The positions from _gaps()."""
+    import numpy as np
+
+    steps = np.frombuffer(data[1:], "<u" + data[:1].decode())
+    return np.cumsum(steps, dtype=np.int64)[steps != (255 if data[:1] == b"1" else 65535)]
+
+
+def _scan(n: int, names: list[int], exact: bool, bits: int = 64):
+    """Of each block: one window of each hash, dealt to buckets by hash; the positions of windows that repeat within the block; its documents.
+
+    In the first round all windows that repeat in the block count as repeated; in the exact one only those after the first.
+    """
 
     buckets = len(names)
 
@@ -126,32 +184,39 @@ def _scan(n: int, names: list[int]):
             nonlocal made
             block, name = Block(docs), base + made
             made += 1
-            at, h = block.windows(n)
-            order = np.argsort(h, kind="stable")
-            first = np.r_[True, h[order][1:] != h[order][:-1]] if len(h) else np.zeros(0, bool)
-            later, at, h = np.sort(at[order[~first]]), at[order[first]], h[order[first]]
-            # The upper 16 bits choose the bucket, the lower 48 travel.
-            bucket = ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+            at, hashes = block.windows(n, round_two if exact else round_one)
+            hashes = hashes if bits == 64 else tuple(h >> np.uint64(64 - bits) << np.uint64(64 - bits) for h in hashes)
+            order = np.lexsort(hashes[::-1]) if exact else np.argsort(hashes[0], kind="stable")
+            sorted_hashes = [h[order] for h in hashes]
+            first = np.ones(len(at), bool)
+            first[1:] = np.any([h[1:] != h[:-1] for h in sorted_hashes], axis=0)
+            again = ~first if exact else ~first | np.r_[~first[1:], False][: len(first)]
+            again, at = np.sort(at[order[again]]), at[order[first]]
+            hashes = [h[first] for h in sorted_hashes]
+            # The upper 16 bits choose the bucket; of those below 32 travel, and in the exact round the whole second hash.
+            bucket = ((hashes[0] >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
             order = np.argsort(bucket << 32 | at)
-            at, h, bucket = at[order], h[order], bucket[order]
+            at, bucket = at[order], bucket[order]
+            short = (hashes[0][order] >> np.uint64(16)).astype("<u4")
+            whole = hashes[1][order].astype("<u8") if exact else None
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            docs_of_block = _packed(np.array([-(1 << 63) if d is None else d for d in block.doc_ids], np.int64), block.counts)
+            docs_of_block = _packed(block.doc_ids, block.counts)
             rows = []
             for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = slice(cuts[b], cuts[b + 1])
-                gaps = np.diff(at[own], prepend=0)
-                wide = "<u2" if gaps.max() < 1 << 16 else "<u4"
-                six = np.ascontiguousarray(h[own].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                rows.append((names[b], name, 0, six, wide[-1].encode() + gaps.astype(wide).tobytes(), docs_of_block))
-            rows.append((names[name % buckets], name, 1, later.astype("<u4").tobytes(), None, None))
-            rows.append((names[name % buckets], name, 2, docs_of_block, np.array(block.text_hashes, "<i8").tobytes(), None))
+                told = short[own].tobytes() + (whole[own].tobytes() if exact else b"")
+                rows.append((names[b], name, 0, told, _gaps(at[own]), docs_of_block if exact else None))
+            rows.append((names[name % buckets], name, 1, _gaps(again), None, None))
+            rows.append((names[name % buckets], name, 2, docs_of_block, block.text_hashes.astype("<i8").tobytes(), None))
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in PARTS.split(", ")])
 
         docs, size = [], 0
         for batch in batches:
-            for d, t, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), strict=True):
-                docs.append((d, t, text.as_buffer().to_pybytes().split() if text.is_valid else []))
+            spans = batch.column("spans").to_pylist() if exact else [None] * batch.num_rows
+            for d, t, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), spans, strict=True):
+                own = [(s["start"], s["end"]) for s in own] if exact else None
+                docs.append((d, t, text.as_buffer().to_pybytes().split() if text.is_valid else [], own))
                 size += len(docs[-1][2])
                 if size >= BLOCK_WORDS:
                     yield from parts(docs)
@@ -162,50 +227,85 @@ def _scan(n: int, names: list[int]):
     return scan
 
 
-def _later(group):
-    """Of one bucket: for each hash all windows but the one that starts first, as positions by block; other parts pass."""
-    import numpy as np
+FOUND = "block long, kind int, a binary, b binary"
+
+
+def _found(rows: list[tuple]):
     import pyarrow as pa
 
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    columns = zip(*rows, strict=True) if rows else [[]] * 4
+    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")])
+
+
+def _parts(group):
+    """The windows' rows of a bucket, and what passes through it."""
     group = group.to_pydict()
-    rows, hashes, keys = [], [], []
+    windows, rows = [], []
     for block, kind, a, b, c in zip(*(group[x] for x in ("block", "kind", "a", "b", "c")), strict=True):
         if kind:
-            rows.append((block, kind, a, b, c))
-            continue
-        six = np.zeros((len(a) // 6, 8), np.uint8)
-        six[:, :6] = np.frombuffer(a, np.uint8).reshape(-1, 6)
-        at = np.cumsum(np.frombuffer(b[1:], "<u" + b[:1].decode()).astype(np.int64))
-        hashes.append(six.view("<u8").ravel())
-        keys.append((block, at, c))
-    if hashes:
-        h = np.concatenate(hashes)
-        ordered = np.sort(h)
-        repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        del ordered
-        found = np.searchsorted(repeated, h)
-        found = np.flatnonzero(repeated[np.minimum(found, len(repeated) - 1)] == h) if len(repeated) else np.zeros(0, np.int64)
-        sizes = np.cumsum([0, *map(len, hashes)])
+            rows.append((block, kind, a, b))
+        else:
+            windows.append((block, a, b, c))
+    return windows, rows
+
+
+def _repeated(h):
+    """Which hashes occur more than once."""
+    import numpy as np
+
+    ordered = np.sort(h)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.zeros(len(h), bool)
+    return twice[np.minimum(np.searchsorted(twice, h), len(twice) - 1)] == h
+
+
+def _candidates(group):
+    """Of one bucket, by block: the positions of windows whose hash several blocks hold."""
+    import numpy as np
+
+    windows, rows = _parts(group)
+    if windows:
+        counts = np.cumsum([0, *(len(a) // 4 for _, a, _, _ in windows)])
+        again = _repeated(np.frombuffer(b"".join(a for _, a, _, _ in windows), "<u4"))
+        for k, (block, _, b, _) in enumerate(windows):
+            own = again[counts[k] : counts[k + 1]]
+            if own.any():
+                rows.append((block, 1, _gaps(_places(b)[own]), None))
+    return _found(rows)
+
+
+def _later(group):
+    """Of one bucket, by block: of each window of several blocks, all positions but the one that starts first."""
+    import numpy as np
+
+    windows, rows = _parts(group)
+    if windows:
+        counts = [len(a) // 12 for _, a, _, _ in windows]
+        short = np.concatenate([np.frombuffer(a, "<u4", n) for n, (_, a, _, _) in zip(counts, windows, strict=True)])
+        whole = np.concatenate([np.frombuffer(a, "<u8", n, 4 * n) for n, (_, a, _, _) in zip(counts, windows, strict=True)])
+        found = np.flatnonzero(_repeated(whole))
+        sizes = np.cumsum([0, *counts])
         which = np.searchsorted(sizes, found, side="right") - 1
         doc, at = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
-        for k, (_, positions, c) in enumerate(keys):
+        for k, (_, _, b, c) in enumerate(windows):
             own = np.flatnonzero(which == k)
-            at[own] = positions[found[own] - sizes[k]]
-            ids, firsts = _unpacked(c)
-            doc[own] = ids[np.searchsorted(firsts, at[own], side="right") - 1] if len(own) else 0
-        names = np.array([k[0] for k in keys], np.int64)
-        order = np.lexsort((at, names[which], doc, h[found]))  # a null doc_id stands before all others
-        hs = h[found][order]
-        gone = order[np.r_[False, hs[1:] == hs[:-1]]] if len(hs) else order
+            if len(own):
+                at[own] = _places(b)[found[own] - sizes[k]]
+                ids, firsts = _unpacked(c)
+                doc[own] = ids[np.searchsorted(firsts, at[own], side="right") - 1]
+        names = np.array([w[0] for w in windows], np.int64)
+        order = np.lexsort((at, names[which], doc, short[found], whole[found]))  # a null doc_id stands before all others
+        x, y = short[found][order], whole[found][order]
+        gone = order[1:][(x[1:] == x[:-1]) & (y[1:] == y[:-1])]
         for k in np.unique(which[gone]).tolist():
-            rows.append((keys[k][0], 1, np.sort(at[gone[which[gone] == k]]).astype("<u4").tobytes(), None, None))
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
-    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["block", "kind", "a", "b", "c"])
+            rows.append((windows[k][0], 1, _gaps(np.sort(at[gone[which[gone] == k]])), None))
+    return _found(rows)
 
 
 def _intervals(n: int):
-    """Of one block: the maximal intervals of removed words, by document."""
+    """Of one block: the maximal intervals of words that lie in the windows told, by document."""
 
     def merge(group):
         import numpy as np
@@ -215,7 +315,7 @@ def _intervals(n: int):
         at, rows = [], []
         for kind, a, b in zip(*(group[x] for x in ("kind", "a", "b")), strict=True):
             if kind == 1:
-                at.append(np.frombuffer(a, "<u4").astype(np.int64))
+                at.append(_places(a))
             else:
                 (ids, firsts), hashes = _unpacked(a), np.frombuffer(b, "<i8")
         at = np.unique(np.concatenate(at)) if at else np.zeros(0, np.int64)
@@ -223,9 +323,9 @@ def _intervals(n: int):
             doc = np.searchsorted(firsts, at, side="right") - 1
             new = np.r_[True, (at[1:] > at[:-1] + n) | (doc[1:] != doc[:-1])]
             starts, ends, owner = at[new], at[np.r_[new[1:], True]] + n, doc[new]
-            for d in np.unique(owner).tolist():
-                own = owner == d
-                rows.append((None if ids[d] == -(1 << 63) else int(ids[d]), int(hashes[d]), starts[own] - firsts[d], ends[own] - firsts[d]))
+            docs, cuts = np.unique(owner, return_index=True)
+            for d, i, j in zip(docs.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(owner)], strict=True):
+                rows.append((None if ids[d] == -(1 << 63) else int(ids[d]), int(hashes[d]), starts[i:j] - firsts[d], ends[i:j] - firsts[d]))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         columns = zip(*rows, strict=True) if rows else [[]] * 4
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text_hash", "starts", "ends"])
@@ -233,20 +333,41 @@ def _intervals(n: int):
     return merge
 
 
-def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None) -> DataFrame:
+def _by_document(found: DataFrame, n: int) -> DataFrame:
+    return found.groupBy("block").applyInArrow(_intervals(n), "doc_id long, text_hash long, starts array<long>, ends array<long>")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of id and text, and numbers in reading order."""
+    docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
+    return docs.withColumns({"doc_key": F.coalesce("doc_id", F.lit(-(1 << 63))), "row": F.monotonically_increasing_id()})
+
+
+def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None, hash_bits: int = 64) -> DataFrame:
     """(doc_id, text_hash, starts, ends): the maximal word intervals that hold only windows seen earlier, for documents that have any.
 
-    Blocks of about half a million words keep one window of each hash, so a passage that a third of all documents share sends one row
-    a block, not one a document. The hashes are dealt to buckets; each bucket finds those of several blocks and keeps the
-    one that starts first by (doc_id, position). Positions, not texts, return to the blocks.
+    First round: blocks of about half a million words deal one window of each hash to buckets, with 32 bits of it, and each bucket tells the
+    blocks which of their windows may stand elsewhere too. Second round: only those windows, with 96 bits of two other hashes, go
+    to buckets, which keep the one that starts first by (doc_id, position). A passage that a third of all documents share sends one row a
+    block, not one a document. Positions, not texts, return to the blocks. There is a bucket for each 64 MB of text, and at least one a
+    shuffle partition, so that a bucket stays as large as it is when the table grows. `hash_bits` narrows the first round's hash, which costs time
+    and changes no result.
     """
     spark = docs.sparkSession
     ship(spark)
-    buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
-    docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
-    parts = docs.mapInArrow(_scan(n, bucket_names(spark, buckets)), PARTS)
-    later = parts.groupBy("bucket").applyInArrow(_later, "block long, kind int, a binary, b binary, c binary")
-    return later.groupBy("block").applyInArrow(_intervals(n), "doc_id long, text_hash long, starts array<long>, ends array<long>")
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    names = bucket_names(spark, min(buckets, 1 << 16))
+    keyed = _keyed(docs)
+    parts = keyed.select("doc_id", "text", "text_hash").mapInArrow(_scan(n, names, False, hash_bits), PARTS)
+    maybe = _by_document(parts.groupBy("bucket").applyInArrow(_candidates, FOUND), n)
+    span = F.transform(F.arrays_zip("starts", "ends"), lambda s: F.struct(s["starts"].alias("start"), (s["ends"] - n + 1).alias("end"))).alias("spans")
+    # Rows equal in id and text have the same windows, so any one's spans do for all.
+    maybe = maybe.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key"), "text_hash", span).groupBy("doc_key", "text_hash").agg(F.max("spans").alias("spans"))
+    again = keyed.join(maybe, ["doc_key", "text_hash"]).select("doc_id", "text", "text_hash", "spans", "row")  # columns as in substring_dedup, so that texts are shuffled once
+    parts = again.mapInArrow(_scan(n, names, True), PARTS)
+    return _by_document(parts.groupBy("bucket").applyInArrow(_later, FOUND), n)
 
 
 def _remove(batches: Iterator) -> Iterator:
@@ -271,23 +392,24 @@ def _remove(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
 
-def substring_dedup(docs: DataFrame, n: int = 20, buckets: int | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, n: int = 20, buckets: int | None = None, hash_bits: int = 64) -> DataFrame:
     """Removes each word in a window of `n` words whose words also start earlier: in a smaller doc_id or earlier in the same one.
 
     Returns doc_id, n_words, n_removed, kept (the words left, joined by a space), kept_sha256, for every row. Null or empty texts have no
-    words. A null doc_id counts as smaller than any other, and rows that share a doc_id count in reading order: of repeated rows, the
-    first keeps what the others lose. Extra columns are left out. Two windows are taken for equal when 48 bits of their hash
-    and their bucket agree.
+    words. A null doc_id counts as smaller than any other, and rows that share a doc_id count in reading order: of rows equal in id
+    and text, the first keeps what the others lose. Extra columns are left out, an empty table gives no rows, and texts of any length are
+    searched whole.
     """
     ship(docs.sparkSession)
-    docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
-    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key")
-    cuts = removal_intervals(docs, n, buckets).select(key, "text_hash", F.struct(F.size("starts").alias("n"), "starts", "ends").alias("cut"))
-    cuts = cuts.groupBy("doc_key", "text_hash").agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
-    same = Window.partitionBy("doc_key", "text_hash")
-    docs = docs.select("*", key).withColumns({"copy": F.row_number().over(same.orderBy("doc_key")), "copies": F.count(F.lit(1)).over(same)})
-    # Of rows equal in doc_id and text, those that lose nothing come first.
-    joined = docs.join(cuts, ["doc_key", "text_hash"], "left").withColumn("at", F.col("copy") - F.col("copies") + F.size("cuts"))
-    cut = F.when(F.col("at") > 0, F.element_at("cuts", F.col("at").cast("int")))
-    out = joined.select("doc_id", "text", cut.alias("cut")).select("doc_id", "text", "cut.starts", "cut.ends")
+    keyed = _keyed(docs)
+    cuts = removal_intervals(docs, n, buckets, hash_bits).withColumn("doc_key", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    size = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    cuts = cuts.groupBy("doc_key", "text_hash").agg(F.count(F.lit(1)).alias("cut_rows"), F.min_by(F.struct("starts", "ends"), size).alias("least"))
+    copies = keyed.groupBy("doc_key", "text_hash").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    # Rows equal in id and text: all but the first lose every word, as far as any window of them is long enough.
+    told = cuts.join(copies, ["doc_key", "text_hash"], "left")
+    none, all_words = F.lit(None), F.struct(F.array(F.lit(0).cast("long")).alias("starts"), F.array(F.lit(1 << 40)).alias("ends"))
+    own = F.when(F.col("cut_rows") == F.coalesce("copies", F.lit(1)), F.col("least")).otherwise(none)
+    cut = F.when(F.col("row") > F.col("first"), all_words).otherwise(own)
+    out = keyed.join(told, ["doc_key", "text_hash"], "left").select("doc_id", "text", cut.alias("cut")).select("doc_id", "text", "cut.starts", "cut.ends")
     return out.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept binary, kept_sha256 string").withColumn("kept", F.col("kept").cast("string"))

@@ -12,7 +12,7 @@ from lakeloom.llm.embedding import calibrate, embedding_groups
 from lakeloom.llm.graph import components
 from lakeloom.llm.line_dedup import LineRuns, line_dedup
 from lakeloom.llm.simhash import fingerprint_of, hamming_links, near_duplicates, radius, set_fingerprint, simhash_groups
-from lakeloom.llm.substring import substring_dedup, window_hashes
+from lakeloom.llm.substring import _gaps, _places, substring_dedup, window_hashes
 
 from .cases import awkward, empty, frame, least_component
 
@@ -152,6 +152,31 @@ def test_substring_dedup(spark, n):
     assert sorted(map(tuple, got)) == sorted(plain_substring(rows, n))
 
 
+@pytest.mark.parametrize("bits", [8, 1])
+def test_substring_dedup_with_colliding_hashes(spark, bits):
+    """The first round only finds candidates: with a hash of a few bits, which all windows share, the second still tells them apart."""
+    rows = [r for r in awkward() if r[0] is not None]
+    got = substring_dedup(frame(spark, rows), 20, buckets=3, hash_bits=bits).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(plain_substring(rows, 20))
+
+
+def test_positions_as_gaps():
+    rng = np.random.default_rng(8)
+    for at in ([], [0], [255, 256, 511, 766], [70_000, 200_000], rng.choice(10_000, 300, replace=False), rng.choice(3_000_000, 200, replace=False)):
+        at = np.sort(np.array(at, np.int64))
+        assert _places(_gaps(at)).tolist() == at.tolist()
+
+
+def test_many_rows_equal_in_id_and_text(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, "")] * 300 + [(None, long)] * 300 + [(4, long)] * 3 + [(5, "short text")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup(docs).collect())
+    assert got == {(None, 0, 0): 300, (None, 50, 50): 299, (None, 50, 0): 1, (4, 50, 50): 3, (5, 2, 0): 3}
+    plan = substring_dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_substring_dedup_null_ids_and_empty_tables(spark):
     got = substring_dedup(frame(spark), 20).select("doc_id", "n_words", "n_removed").collect()
     assert len(got) == len(awkward())
