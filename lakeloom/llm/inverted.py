@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import has_columns, ship, text_hash, written
 
-BLOCK_WORDS, PART_BYTES, CANDIDATES = 1_000_000, 16 << 20, 4_000_000
-POSTINGS = "block long, part int, term int, n long, positions binary, firsts binary"
-MATCHES = "doc_id long, text_hash long, n_words long, n_hit long, items array<string>, starts array<long>, ends array<long>"
+BLOCK_WORDS, BLOCK_DOCS, CANDIDATES = 1_000_000, 100_000, 1_000_000
+STORED = "block long, term binary, n int, positions binary, doc_ids array<long>, text_hashes array<long>, firsts array<long>"
+MATCHES = "doc_id long, text_hash long, block long, place long, n_words long, n_hit long, windows array<long>, starts array<long>, ends array<long>"
 #: A-Z lower-cased; every ASCII character but letters and digits separates words.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -21,178 +22,211 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
-class Phrases:
-    """The windows of some test items: n consecutive words each, or all words of a shorter item that has any."""
+def pack_places(places, first):
+    """Ascending positions, list after list (`first` marks where one begins), as gaps in bytes of seven bits, the last of each gap marked; and each gap's size in bytes."""
+    import numpy as np
 
-    def __init__(self, items: list[tuple], n: int):
-        import numpy as np
+    gaps = np.diff(places, prepend=0)
+    gaps[first] = places[first]
+    size = np.searchsorted(np.array([1 << 7, 1 << 14, 1 << 21]), gaps, side="right") + 1
+    ends = np.cumsum(size)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(4):
+        own = np.flatnonzero(size > k)
+        out[ends[own] - 1 - k] = gaps[own] >> (7 * k) & 127
+    out[ends - 1] |= 128
+    return out, size
 
-        self.n, self.terms, self.items = n, {}, []
-        windows: dict[tuple, list[int]] = {}
-        for item, text in items:
-            ids = [self.terms.setdefault(w, len(self.terms)) for w in words_of(text.encode("utf-8") if text else None)]
-            if ids:
-                self.items.append(item)
-                for i in range(max(len(ids) - n, 0) + 1):
-                    windows.setdefault(tuple(ids[i : i + n]), []).append(len(self.items) - 1)
-        self.lengths = np.array([len(w) for w in windows], np.int64)
-        self.windows = np.array([[*w, *[-1] * (n - len(w))] for w in windows], np.int32).reshape(-1, n)
-        self.owners = [sorted(set(x)) for x in windows.values()]
-
-
-def load_tests(benchmark: DataFrame, n: int) -> list[Phrases]:
-    """The benchmark in parts of about PART_BYTES of text, each small enough to send to every task."""
-    items = has_columns(benchmark, item_id="string", text="string").where("item_id IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // PART_BYTES) or 1
-    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
-    return [Phrases([(r.item_id, r.text) for r in items.where(F.col("part") == k).sort("item_id", "text").collect()], n) for k in range(parts)]
+
+def unpack_places(data: bytes, counts):
+    """The positions of the lists from pack_places(), laid end to end."""
+    import numpy as np
+
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(raw & 128)
+    size = np.diff(ends, prepend=-1)
+    gaps = np.zeros(len(ends), np.int64)
+    for k in range(4):
+        own = size > k
+        gaps[own] |= (raw[ends[own] - k] & 127).astype(np.int64) << (7 * k)
+    sums = np.cumsum(gaps)
+    begin = np.cumsum(counts) - counts
+    return sums - np.repeat(sums[begin] - gaps[begin], counts) if len(sums) else sums
 
 
-def build_index(docs: DataFrame, tests: list) -> DataFrame:
-    """The stored index of the documents: for each block of about a million words, the positions of every test term.
+@dataclass(frozen=True)
+class Index:
+    """A stored index: `postings` (block, term, n, positions) of all words, `documents` (block, doc_ids, text_hashes, firsts)."""
 
-    Whole documents are laid end to end in a block; `positions` are places in it, ascending. The row of term -1 holds the
-    block's documents: doc_id (the least long for null) and text hash of each, and the first positions. A posting takes four bytes, and words that no
-    test holds take none.
+    postings: DataFrame
+    documents: DataFrame
+
+
+def build_index(docs: DataFrame) -> Index:
+    """The stored index of the documents: for each block of about a million words, the positions of every word, in a byte or two each.
+
+    Whole documents are laid end to end in a block, so that each occurrence of a phrase lies in one block; a document longer than a block is a
+    block. It serves any number of benchmarks without the texts. Null ids are kept as the least long; a null text has no words; extra columns are left out.
     """
     ship(docs.sparkSession)
 
     def scan(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         base, made = TaskContext.get().partitionId() << 32, 0
+        names = [x.split()[0] for x in STORED.split(", ")]
+        kinds = [{"int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}.get(x.split()[1], pa.int64()) for x in STORED.split(", ")]
 
-        def post(ids: list, hashes: list, texts: list[list[bytes]]) -> Iterator:
+        def post(ids: list, hashes: list, words: list) -> Iterator:
             nonlocal made
             block = base + made
             made += 1
-            firsts = np.cumsum([0, *map(len, texts)])
-            doc_ids = np.array([-(1 << 63) if i is None else i for i in ids], "<i8")
-            out = [(block, -1, -1, len(ids), doc_ids.tobytes() + np.array(hashes, "<i8").tobytes(), firsts.astype("<i8").tobytes())]
-            for k, part in enumerate(tests):
-                get = part.value.terms.get
-                term = np.fromiter((get(w, -1) for words in texts for w in words), np.int32, int(firsts[-1]))
-                at = np.flatnonzero(term >= 0)
-                at = at[np.argsort(term[at], kind="stable")]
-                names, starts = np.unique(term[at], return_index=True)
-                lists = np.split(at.astype("<u4"), starts[1:]) if len(names) else []
-                for t, own in zip(names.tolist(), lists, strict=True):
-                    out.append((block, k, t, len(own), own.tobytes(), None))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in POSTINGS.split(", ")])
-
-        ids, hashes, texts, size = [], [], [], 0
+            firsts = np.cumsum([0, *map(len, words)])
+            doc_ids = [-(1 << 63) if i is None else i for i in ids]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((block, None, None, None, doc_ids, hashes, firsts), kinds, strict=True)], names)
+            coded = pa.concat_arrays(words).dictionary_encode()
+            code = coded.indices.to_numpy()
+            if not len(code):
+                return
+            count = np.bincount(code)
+            place = np.argsort(code, kind="stable")
+            first = np.zeros(len(place), bool)
+            first[np.cumsum(count) - count] = True
+            packed, size = pack_places(place, first)
+            offsets = np.r_[0, np.cumsum(np.add.reduceat(size, np.flatnonzero(first)))].astype(np.int32)
+            lists = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed.tobytes())])
+            terms = pc.array_sort_indices(coded.dictionary)  # terms in order, so that a scan may skip row groups
+            for k in range(0, len(count), 50_000):
+                own = terms.slice(k, 50_000)
+                none = [pa.nulls(len(own), kind) for kind in kinds[4:]]
+                columns = [pa.array(np.full(len(own), block)), coded.dictionary.take(own), pa.array(count.astype(np.int32)).take(own), lists.take(own), *none]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+        ids, hashes, words, size = [], [], [], 0
         for batch in batches:
-            for doc_id, digest, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), strict=True):
-                ids.append(doc_id)
-                hashes.append(digest)
-                texts.append(words_of(text.as_buffer().to_pybytes() if text.is_valid else None))
-                size += len(texts[-1])
-                if size >= BLOCK_WORDS or len(ids) >= 100_000:
-                    yield from post(ids, hashes, texts)
-                    ids, hashes, texts, size = [], [], [], 0
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                texts = pa.array([t.as_buffer().to_pybytes().translate(_TABLE) if t.is_valid else b"" for t in part.column("text")], pa.binary())
+                split = pc.ascii_split_whitespace(texts.cast(pa.string()))
+                for doc_id, digest, own in zip(part.column("doc_id").to_pylist(), part.column("text_hash").to_pylist(), split, strict=True):
+                    own = own.values
+                    blank = pc.equal(own, "") if len(own) and (own[0].as_py() == "" or own[-1].as_py() == "") else None
+                    ids.append(doc_id)
+                    hashes.append(digest)
+                    words.append((own if blank is None else own.filter(pc.invert(blank))).cast(pa.binary()))
+                    size += len(words[-1])
+                    if size >= BLOCK_WORDS or len(ids) >= BLOCK_DOCS:
+                        yield from post(ids, hashes, words)
+                        ids, hashes, words, size = [], [], [], 0
         if ids:
-            yield from post(ids, hashes, texts)
+            yield from post(ids, hashes, words)
 
     docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
-    return written(docs.mapInArrow(scan, POSTINGS), "postings")
+    stored = written(docs.mapInArrow(scan, STORED), "postings")
+    return Index(stored.where("term IS NOT NULL").select("block", "term", "n", "positions"), stored.where("term IS NULL").select("block", "doc_ids", "text_hashes", "firsts"))
+
+
+def phrase_windows(benchmark: DataFrame, n: int) -> DataFrame:
+    """(window, terms, item): the items' windows of n consecutive words, or all words of a shorter item that has any; `window` numbers the different ones."""
+    ship(benchmark.sparkSession)
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = words_of(text.encode("utf-8") if text else None)
+                for k in range(0, max(len(words) - n, 0) + 1 if words else 0, 1000):
+                    windows = [words[i : i + n] for i in range(k, min(k + 1000, max(len(words) - n, 0) + 1))]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(windows), pa.string()), pa.array(windows, pa.list_(pa.binary()))], ["item", "terms"])
+
+    items = has_columns(benchmark, item_id="string", text="string").where("item_id IS NOT NULL")
+    cuts = written(items.mapInArrow(cut, "item string, terms array<binary>").distinct(), "cuts")
+    numbered = written(cuts.select("terms").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
+    return cuts.join(numbered, "terms").select("window", "terms", "item")
 
 
-def intersect(tests: Phrases, terms, counts, positions, total: int, slop: int = 0, firsts=None):
-    """(window, first, last) of each match in one block: its terms' lists, shifted by their offsets, intersected from the rarest on.
+def intersect(windows, lengths, rarest, counts, positions, firsts, slop: int = 0):
+    """(window, first, last) of each match in one block: lists of terms, shifted by their offsets, intersected from the rarest on.
 
-    With `slop`, a term may stand up to that many places from where the phrase has it (a proximity match); of its places in
-    the document of the rarest term, the nearest counts, of two as near the first. `firsts` are the documents' first positions and the end.
+    `windows` holds numbers of terms, padded by -1; `counts` and `positions` the terms' lists; `rarest` the offset of each window's rarest
+    term in the corpus; `firsts` the documents' first positions, and the end. A match stands where the first word stands at s, and every word k of the
+    window somewhere from s + k - slop to s + k + slop in the same document; of several places the nearest counts, of two as near the
+    first. So matches depend on the document alone, neither on its block nor on which term is the rarest.
     """
     import numpy as np
 
-    n, windows, lengths = tests.n, tests.windows, tests.lengths
-    count = np.zeros(len(tests.terms) + 1, np.int64)  # the last place is that of the padding, -1
-    begin = np.zeros(len(tests.terms) + 1, np.int64)
-    count[terms], begin[terms] = counts, np.cumsum(counts) - counts
-    there = count[windows]
-    there[windows < 0] = np.iinfo(np.int64).max
-    alive = np.flatnonzero((there > 0).all(axis=1))
-    if not len(alive):
-        return (np.zeros(0, np.int64),) * 3
-    order = np.argsort(there[alive], axis=1, kind="stable")  # rarest first; padding last
-    keys = np.repeat(np.asarray(terms, np.int64), counts) * (total + 2 * slop + 2) + positions if slop else None
-    forward = None
-    if slop:
-        firsts = np.array([0, total], np.int64) if firsts is None else firsts
-    else:
-        forward = np.full(total, -1, np.int32)
-        forward[positions] = np.repeat(np.asarray(terms, np.int32), counts)
-    rarest = windows[alive, order[:, 0]]
-    load = np.cumsum(count[rarest])
-    found: list[tuple] = []
-    at = 0
-    while at < len(alive):
-        upto = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + CANDIDATES, side="right")))
-        own, first = alive[at:upto], rarest[at:upto]
-        size = count[first]
-        window = np.repeat(np.arange(len(own)), size)
-        place = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size) + begin[first][window]
-        start = positions[place] - order[at:upto, 0][window]
-        inside = (start >= -slop) & (start + lengths[own][window] <= total + slop)
-        window, start = window[inside], start[inside]
-        low = high = start + order[at:upto, 0][window]
-        if slop:
-            doc = np.searchsorted(firsts, low, side="right") - 1
-            least, most = firsts[doc], firsts[doc + 1] - 1
-        for k in range(1, n):
-            offset = order[at:upto, k][window]
-            term = windows[own[window], offset]
-            if slop:
-                want = start + offset
-                base = term.astype(np.int64) * (total + 2 * slop + 2)
-                after = np.searchsorted(keys, base + np.clip(want, 0, total))
-                before, after = (keys[np.clip(k, 0, len(keys) - 1)] - base for k in (after - 1, after))
-                fits = lambda x: (x >= np.maximum(want - slop, least)) & (x <= np.minimum(want + slop, most))  # noqa: B023, E731
-                spot = np.where(fits(before) & ~(fits(after) & (after - want < want - before)), before, after)
-                ok = (term < 0) | fits(spot)
-                low, high = np.where(term < 0, low, np.minimum(low, spot)), np.where(term < 0, high, np.maximum(high, spot))
-            else:
-                ok = (term < 0) | (forward[np.minimum(start + offset, total - 1)] == term)
-            window, start, low, high = window[ok], start[ok], low[ok], high[ok]
-            if slop:
-                least, most = least[ok], most[ok]
-        if slop:
-            found.append((own[window], low, high))
-        else:
-            found.append((own[window], start, start + lengths[own][window] - 1))
+    n, total = windows.shape[1], int(firsts[-1])
+    begin = np.cumsum(counts) - counts
+    stride = total + 2 * slop + 2
+    keys = np.repeat(np.arange(len(counts)), counts) * stride + positions
+    rank = np.where(windows >= 0, counts[windows], np.iinfo(np.int64).max)
+    rank[np.arange(len(windows)), rarest] = -1
+    order = np.argsort(rank, axis=1, kind="stable")  # the rarest first; padding last
+    anchor = windows[np.arange(len(windows)), rarest]
+    load, found, at = np.cumsum(counts[anchor]), [], 0
+    while at < len(windows):
+        upto = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + CANDIDATES // (2 * slop + 1), side="right")))
+        own = np.arange(at, upto)
+        window = np.repeat(own, counts[anchor[own]])
+        place = np.arange(len(window)) - np.repeat(np.cumsum(counts[anchor[own]]) - counts[anchor[own]], counts[anchor[own]]) + begin[anchor[window]]
+        spot = positions[place]
+        doc = np.searchsorted(firsts, spot, side="right") - 1
+        shifts = np.tile(np.arange(-slop, slop + 1), len(window))
+        window, doc = np.repeat(window, 2 * slop + 1), np.repeat(doc, 2 * slop + 1)
+        start = np.repeat(spot, 2 * slop + 1) - rarest[window] + shifts
+        keep = (start >= firsts[doc]) & (start < firsts[doc + 1])
+        window, doc, start = window[keep], doc[keep], start[keep]
+        if slop:  # the first word stands exactly at the start, which several places of the rarest term may tell
+            head = windows[window, 0] * stride + start
+            keep = keys[np.minimum(np.searchsorted(keys, head), len(keys) - 1)] == head
+            window, doc, start = (x[0] for x in np.split(np.unique(np.stack([window[keep], doc[keep], start[keep]]), axis=1), 3))
+        low, high = start.copy(), start.copy()
+        for k in range(n):
+            offset = order[window, k]
+            term = windows[window, offset]
+            want = start + offset
+            base = term.astype(np.int64) * stride
+            after = np.searchsorted(keys, base + np.clip(want, 0, total))
+            last = np.maximum(want - slop, firsts[doc]), np.minimum(want + slop, firsts[doc + 1] - 1)
+            before, after = (keys[np.clip(x, 0, len(keys) - 1)] - base for x in (after - 1, after))
+            fits_before, fits_after = ((x >= last[0]) & (x <= last[1]) for x in (before, after))
+            spot = np.where(fits_before & ~(fits_after & (after - want < want - before)), before, after)
+            ok = (term < 0) | fits_before | fits_after
+            low, high = np.where(term < 0, low, np.minimum(low, spot)), np.where(term < 0, high, np.maximum(high, spot))
+            window, doc, start, low, high = (x[ok] for x in (window, doc, start, low, high))
+        found.append((window, low, high))
         at = upto
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
-def _search(tests: list, slop: int):
-    def search(group):
+def _search(n: int, slop: int):
+    """Of one block: its documents, with what the windows told for the block hit in each."""
+
+    def search(postings, told):
         import numpy as np
         import pyarrow as pa
 
-        rows = group.to_pydict()
-        head = rows["part"].index(-1)
-        doc_ids, hashes = np.frombuffer(rows["positions"][head], "<i8").reshape(2, -1)
-        firsts = np.frombuffer(rows["firsts"][head], "<i8")
-        total = int(firsts[-1])
+        rows = postings.to_pydict()
+        head = rows["term"].index(None)
+        firsts = np.array(rows["firsts"][head], np.int64)
+        total, lists = int(firsts[-1]), [k for k in range(len(rows["term"])) if k != head]
+        number = {rows["term"][k]: i for i, k in enumerate(lists)}
+        counts = np.array([rows["n"][k] for k in lists], np.int64)
+        positions = unpack_places(b"".join(rows["positions"][k] for k in lists), counts)
+        told = told.to_pydict()
+        names = np.array(told["window"], np.int64)
+        windows = np.array([[number.get(t, -2) for t in terms] + [-1] * (n - len(terms)) for terms in told["terms"]], np.int64).reshape(-1, n)
+        there = (windows > -2).all(axis=1)  # in this block each of its words occurs
+        names, windows, rarest = names[there], windows[there], np.array(told["rarest"], np.int64)[there]
+        window, first, last = intersect(windows, (windows >= 0).sum(axis=1), rarest, counts, positions, firsts, slop)
+        doc = np.searchsorted(firsts, first, side="right") - 1
         change = np.zeros(total + 1, np.int64)
-        items: list[set] = [set() for _ in doc_ids]
-        for k, part in enumerate(tests):
-            mine = sorted((t, n, p) for t, n, p, q in zip(rows["term"], rows["n"], rows["positions"], rows["part"], strict=True) if q == k)
-            if not mine or not total:
-                continue
-            positions = np.frombuffer(b"".join(m[2] for m in mine), "<u4").astype(np.int64)
-            window, first, last = intersect(part.value, np.array([m[0] for m in mine]), np.array([m[1] for m in mine]), positions, total, slop, firsts)
-            doc = np.searchsorted(firsts, first, side="right") - 1
-            same = last < firsts[doc + 1] if len(doc) else np.zeros(0, bool)
-            window, first, last, doc = window[same], first[same], last[same], doc[same]
-            np.add.at(change, first, 1)
-            np.add.at(change, last + 1, -1)
-            for d, w in set(zip(doc.tolist(), window.tolist(), strict=True)):
-                items[d].update(part.value.items[i] for i in part.value.owners[w])
+        np.add.at(change, first, 1)
+        np.add.at(change, last + 1, -1)
         hit = np.cumsum(change[:-1]) > 0
         edges = np.diff(np.r_[False, hit, False].astype(np.int8))
         inner = firsts[1:-1][(firsts[1:-1] > 0) & (firsts[1:-1] < total)]
@@ -200,12 +234,17 @@ def _search(tests: list, slop: int):
         starts, ends = np.union1d(np.flatnonzero(edges == 1), both), np.union1d(np.flatnonzero(edges == -1), both)
         sums = np.r_[0, np.cumsum(hit)]
         a, b = np.searchsorted(starts, firsts[:-1]), np.searchsorted(starts, firsts[1:])
+        m = len(firsts) - 1
+        pairs = np.unique(np.stack([doc, names[window]]), axis=1) if len(doc) else np.zeros((2, 0), np.int64)
+        cuts = np.searchsorted(pairs[0], np.arange(m + 1))
         columns = [
-            pa.array([None if i == -(1 << 63) else i for i in doc_ids.tolist()], pa.int64()),
-            pa.array(hashes),
+            pa.array([None if i == -(1 << 63) else i for i in rows["doc_ids"][head]], pa.int64()),
+            pa.array(rows["text_hashes"][head], pa.int64()),
+            pa.array(np.full(m, rows["block"][head])),
+            pa.array(np.arange(m)),
             pa.array(np.diff(firsts)),
             pa.array(sums[firsts[1:]] - sums[firsts[:-1]]),
-            pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+            pa.array([pairs[1][i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.list_(pa.int64())),
             pa.array([starts[i:j] - f for i, j, f in zip(a, b, firsts[:-1], strict=True)], pa.list_(pa.int64())),
             pa.array([ends[i:j] - f for i, j, f in zip(a, b, firsts[:-1], strict=True)], pa.list_(pa.int64())),
         ]
@@ -214,24 +253,42 @@ def _search(tests: list, slop: int):
     return search
 
 
-def find_tests(docs: DataFrame, benchmark: DataFrame, n: int = 13, slop: int = 0) -> DataFrame:
-    """Where the benchmark's phrases of `n` words occur in the documents: one row for every document.
+def search_index(index: Index, benchmark: DataFrame, n: int = 13, slop: int = 0) -> DataFrame:
+    """Where the benchmark's phrases of `n` words occur in the indexed documents: one row for every document.
 
-    Returns doc_id, text_hash (tells rows of one doc_id apart), n_words, n_hit (words inside any occurrence), items (ids of the items that occur, sorted, as strings), and the
-    maximal hit intervals as `starts` and `ends` in words. With slop 0 phrases match exactly; with more, each word
-    may stand up to `slop` places off in the same document, and the interval spans the nearest words found.
+    Returns doc_id, text_hash (tells rows of one doc_id apart), n_words, n_hit (words inside any occurrence), items (ids of the items that occur, sorted, as
+    strings), and the maximal hit intervals as `starts` and `ends` in words. With slop 0 phrases match exactly; with more, each word
+    may stand up to `slop` places off in the same document, counted from the first word, and the interval spans the nearest words found.
 
-    The documents' postings are stored by block, so that every occurrence lies within one task's block; each block is searched for
-    all windows from their rarest term on. A null or wordless text has no words and no hits; items without an id or words
-    are no test. Null or repeated doc_ids stay rows of their own; extra columns are left out.
+    The benchmark stays in partitions: its different words are joined to the postings, each window to its rarest word in the corpus and
+    so to the blocks that hold that word; a block then meets only the windows told for it. Items without an id or words are no test. A null or wordless text
+    has no words and no hits. Null or repeated doc_ids stay rows of their own; an empty table gives no rows, an empty benchmark no hits.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    tests = [spark.sparkContext.broadcast(t) for t in load_tests(benchmark, n)]
-    return build_index(docs, tests).groupBy("block").applyInArrow(_search(tests, slop), MATCHES)
+    cuts = written(phrase_windows(benchmark, n), "tests")
+    windows = cuts.select("window", "terms").dropDuplicates(["window"])
+    terms = windows.select(F.explode("terms").alias("term")).distinct()
+    hits = written(index.postings.join(terms, "term"), "hits")
+    often = hits.groupBy("term").agg(F.sum("n").alias("often"))
+    placed = windows.select("window", F.posexplode("terms").alias("rarest", "term")).join(often, "term")
+    told = placed.groupBy("window").agg(F.min(F.struct("often", "rarest", "term")).alias("least"), F.count(F.lit(1)).alias("found"))
+    told = windows.join(told, "window").where(F.size("terms") == F.col("found")).select("window", "terms", "least.rarest", "least.term")
+    told = told.join(hits.select("term", "block"), "term").select("block", "window", "terms", "rarest")
+    heads = index.documents.select("block", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("binary").alias("positions"), "doc_ids", "text_hashes", "firsts")
+    lists = hits.select("block", "term", "n", "positions", *(F.lit(None).cast("array<long>").alias(c) for c in ("doc_ids", "text_hashes", "firsts")))
+    found = heads.unionByName(lists).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_search(n, slop), MATCHES)
+    found = written(found, "found")
+    named = found.where("n_hit > 0").select("block", "place", F.explode("windows").alias("window")).join(cuts.select("window", "item"), "window")
+    named = named.groupBy("block", "place").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    items = F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    return found.join(named, ["block", "place"], "left").select("doc_id", "text_hash", "n_words", "n_hit", items, "starts", "ends")
+
+
+def find_tests(docs: DataFrame, benchmark: DataFrame, n: int = 13, slop: int = 0) -> DataFrame:
+    """search_index() over an index built for these documents."""
+    return search_index(build_index(docs), benchmark, n, slop)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: int = 20) -> DataFrame:
-    """find_tests with `contaminated`: some word is hit, and at least one word in `one_in`."""
+    """find_tests with `contaminated`: some word is hit, and at least one word in `one_in`. Texts are searched whole, however long."""
     found = find_tests(docs, benchmark, n)
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))

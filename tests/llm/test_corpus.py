@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.chat import rotate_perspectives
 from lakeloom.llm.common import new_path, written
-from lakeloom.llm.inverted import Phrases, decontaminate, find_tests, intersect, words_of
+from lakeloom.llm.inverted import build_index, decontaminate, intersect, pack_places, search_index, unpack_places, words_of
 from lakeloom.llm.pack import pack
 from lakeloom.llm.queries import ORACLE_SQL, QUERIES, vocabulary
 from lakeloom.llm.records import frame as record
-from lakeloom.llm.records import build_index, read_records, tokenize_to_records, unframe, write_records
+from lakeloom.llm.records import build_index as build_offsets
+from lakeloom.llm.records import read_records, tokenize_to_records, unframe, write_records
 from lakeloom.llm.simhash import byte_pairs, radius, set_fingerprint
 from lakeloom.llm.tokens import PieceTokenizer, load_spec
 
@@ -83,7 +84,7 @@ def test_files_are_bounded_in_bytes(spark):
     several = [f for f in files if f.length > 2000]
     assert len(files) > 8 and len(several) <= 3  # a longer record has a file to itself
     assert all(unframe(memoryview(bytes(f.content)), 0)[3] == f.length for f in several)
-    assert build_index(spark, path).count() == len(awkward())
+    assert build_offsets(spark, path).count() == len(awkward())
 
 
 def test_every_byte_passes_through_the_files(spark):
@@ -218,22 +219,67 @@ def test_decontamination(spark, n):
     assert decontaminate(frame(spark), bench.where("item_id < 0"), n).agg(F.sum("n_hit")).first()[0] == 0
 
 
-def test_proximity_matches(spark):
-    docs = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "alpha x beta gamma y delta"), (3, "delta alpha"), (4, "alpha q q q q q beta gamma delta")], "doc_id long, text string")
-    bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
-    found = lambda slop: {r.doc_id: (list(r.starts), list(r.ends)) for r in find_tests(docs, bench, 13, slop).collect() if r.n_hit}
-    assert found(0) == {1: ([0], [4])}
-    assert found(2) == {1: ([0], [4]), 2: ([0], [6])}
-
-
-def test_proximity_matches_beside_other_documents(spark):
-    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
-    for texts in (["x a", "a b"], ["a", "b x", "b a", "a b"], ["a a b b", "b", "a b"]):
-        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)  # one block
-        found = lambda slop: {r.doc_id: (list(r.starts), list(r.ends)) for r in find_tests(docs, bench, 13, slop).collect() if r.n_hit}  # noqa: B023, E731
-        exact, near = found(0), found(1)
-        assert exact and exact.keys() <= near.keys()
-        assert near[len(texts) - 1] == exact[len(texts) - 1] == ([0], [2])
+def plain_matches(words, window, slop):
+    """The hit words by the definition: the first word at s, every word k within slop of s + k; the nearest places count."""
+    hit = set()
+    for s in range(len(words)):
+        if words[s] != window[0]:
+            continue
+        spots = []
+        for k, w in enumerate(window):
+            near = [p for p in range(max(s + k - slop, 0), min(s + k + slop, len(words) - 1) + 1) if words[p] == w]
+            spots.append(min(near, key=lambda p: (abs(p - s - k), p)) if near else None)  # noqa: B023
+        if None not in spots:
+            hit.update(range(min(spots), max(spots) + 1))
+    return hit
+
+
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_proximity_against_brute_force(spark, slop):
+    """The same hits however the documents are dealt to blocks, and for two benchmarks against one stored index."""
+    rnd = random.Random(slop)
+    docs = [(k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 40)))) for k in range(120)] + [(None, None), (500, "x a"), (501, "a b"), (502, "a x b y c")]
+    tests = [[(k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 7)))) for k in range(12)] + [(90, "a b c"), (91, "a b"), (92, "zz a")] for _ in range(2)]
+    for parts in (1, 3, 50):
+        index = build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts))
+        for items in tests if parts == 3 else tests[:1]:
+            bench = spark.createDataFrame(items, "item_id long, text string")
+            want = []
+            for doc_id, text in docs:
+                hit, named = set(), set()
+                for item, phrase in items:
+                    w = phrase.split()
+                    for i in range(max(len(w) - 5, 0) + 1):
+                        if own := plain_matches((text or "").split(), w[i : i + 5], slop):
+                            hit |= own
+                            named.add(str(item))
+                want.append((doc_id, len(hit), tuple(sorted(named))))
+            got = [(r.doc_id, r.n_hit, tuple(r["items"])) for r in search_index(index, bench, 5, slop).collect()]
+            assert sorted(got, key=text_key) == sorted(want, key=text_key)
+
+
+def test_postings_hold_all_words(spark):
+    texts = {r[0]: words_of((r[1] or "").encode()) for r in awkward() if r[0] is not None and r[0] != 10}
+    index = build_index(frame(spark, [r for r in awkward() if r[0] in texts]))
+    heads = {r.block: r for r in index.documents.collect()}
+    got = {d: [None] * len(w) for d, w in texts.items()}
+    for r in index.postings.collect():
+        firsts = np.array(heads[r.block].firsts)
+        places = unpack_places(bytes(r.positions), np.array([r.n]))
+        assert len(places) == r.n
+        for p, k in zip(places.tolist(), (np.searchsorted(firsts, places, side="right") - 1).tolist(), strict=True):
+            got[heads[r.block].doc_ids[k]][p - int(firsts[k])] = bytes(r.term)
+    assert got == texts
+
+
+def test_packed_places():
+    rng = np.random.default_rng(2)
+    lists = [np.sort(rng.choice(m, k, replace=False)) for m, k in ((10, 1), (300, 200), (10**6, 50), (1 << 27, 9), (1 << 27, 1))]
+    places = np.concatenate(lists)
+    first = np.zeros(len(places), bool)
+    first[np.cumsum([0, *map(len, lists)])[:-1]] = True
+    packed, size = pack_places(places, first)
+    assert size.sum() == len(packed) and unpack_places(packed.tobytes(), np.array([len(x) for x in lists])).tolist() == places.tolist()
 
 
 def test_intersection_in_small_rounds(monkeypatch):
@@ -241,14 +287,13 @@ def test_intersection_in_small_rounds(monkeypatch):
 
     monkeypatch.setattr(inverted, "CANDIDATES", 5)
     rnd = random.Random(9)
-    words = [rnd.choice("abc") for _ in range(400)]
-    tests = Phrases([(i, " ".join(words[k : k + 6])) for i, k in enumerate(range(0, 390, 13))], 4)
-    ids = np.array([tests.terms.get(w.encode(), -1) for w in words])
-    terms = np.unique(ids)
-    where = [np.flatnonzero(ids == t) for t in terms]
-    window, first, last = intersect(tests, terms, np.array([len(x) for x in where]), np.concatenate(where), len(words))
-    got = {(tuple(tests.windows[w]), int(s)) for w, s in zip(window, first, strict=True)}
-    want = {(tuple(w), s) for w in tests.windows for s in range(len(words) - 3) if tuple(ids[s : s + 4]) == tuple(w)}
+    words = np.array([rnd.randrange(3) for _ in range(400)])
+    where = [np.flatnonzero(words == t) for t in range(3)]
+    windows = np.unique([words[k : k + 4] for k in range(0, 390, 13)], axis=0)
+    counts = np.array([len(x) for x in where])
+    window, first, last = intersect(windows, np.full(len(windows), 4), np.argmin(counts[windows], axis=1), counts, np.concatenate(where), np.array([0, 400]))
+    got = {(tuple(windows[w]), int(s)) for w, s in zip(window, first, strict=True)}
+    want = {(tuple(w), s) for w in windows for s in range(397) if (words[s : s + 4] == w).all()}
     assert got == want and (last - first == 3).all()
 
 
