@@ -49,8 +49,23 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame:
+    """As written(), dealt by hash of `key` to as many buckets as there are shuffle partitions, so that joins and groupings by it need no exchange.
+
+    Each bucket is one sorted file; `dealt` says that the rows are dealt so already.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    n, table_name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lakeloom_{uuid.uuid4().hex}"
+    (df if dealt else df.repartition(n, key)).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table_name)
+    out = spark.table(table_name)
+    out._lakeloom_path, out._lakeloom_table = path, table_name
+    return out
+
+
 def discard(df: DataFrame) -> None:
-    """Deletes the files of a table from written() that nothing reads any more."""
+    """Deletes the files of a table from written() or bucketed() that nothing reads any more."""
+    if name := getattr(df, "_lakeloom_table", None):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     if path := getattr(df, "_lakeloom_path", None):
         spark = df.sparkSession
         where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, discard, text_hash, written
+from .common import SPACE, ascii_lower, bucketed, discard, text_hash, written
 
 
 def split_lines(text: Column) -> Column:
@@ -17,22 +19,29 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACE)))
 
 
+def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two runs as one: a merge of their buckets, counts added."""
+    both = a.join(b.withColumnRenamed("n_docs", "more"), "hash", "full_outer")
+    return both.select("hash", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_docs"))
+
+
 class LineRuns:
     """Counts of documents by line hash, kept as sorted runs on levels.
 
-    A run is a Parquet table (hash, n_docs), hash-partitioned and sorted within each file. A batch of documents
+    A run is a table (hash, n_docs) in buckets of the hash, each one sorted file, so that runs are merged and batches anti-joined
+    bucket by bucket: two runs are merged without a shuffle, of more (a `fanout` over two) the sums are shuffled. A batch of documents
     adds one run on level 0. As soon as a level holds `fanout` runs they are merged, counts added, into
     one run of the next level, so that about fanout * log(batches) runs exist at any time and each entry is
-    rewritten once a level. Hashes that earlier runs already settle (at least `settled` documents) aren't added again:
-    the batch is anti-joined to them, so very common lines stop growing the index.
+    rewritten once a level. Hashes that an earlier run already settles (at least `settled` documents) aren't added again:
+    the batch is anti-joined to each run, so very common lines stop growing the index.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = 4, settled: int | None = None):
+    def __init__(self, spark: SparkSession, fanout: int = 2, settled: int | None = None):
         self.spark, self.fanout, self.settled = spark, fanout, settled
         self.levels: list[list[DataFrame]] = [[]]
 
-    def _run(self, counts: DataFrame, level: int) -> DataFrame:
-        return written(counts.sortWithinPartitions("hash"), f"run-{level}")
+    def _run(self, counts: DataFrame, level: int, dealt: bool = False) -> DataFrame:
+        return bucketed(counts, f"run-{level}", "hash", dealt)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -42,16 +51,12 @@ class LineRuns:
         runs = self.runs()
         if not runs:
             return None
-        merged = runs[0]
-        for run in runs[1:]:
-            merged = merged.unionByName(run)
-        return merged if len(runs) == 1 else merged.groupBy("hash").agg(F.sum("n_docs").alias("n_docs"))
+        return functools.reduce(_merged, runs)
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Adds a batch's (hash, n_docs), one row a hash; returns the run that was added."""
-        before = self.counts()
-        if before is not None and self.settled is not None:
-            batch = batch.join(before.where(F.col("n_docs") >= self.settled), "hash", "left_anti")
+        for run in self.runs() if self.settled is not None else ():
+            batch = batch.join(run.where(F.col("n_docs") >= self.settled), "hash", "left_anti")
         run = self._run(batch, 0)
         self.levels[0].append(run)
         self._compact()
@@ -59,25 +64,23 @@ class LineRuns:
 
     def unseen(self, batch: DataFrame) -> DataFrame:
         """The batch's rows whose hash is in no run so far."""
-        before = self.counts()
-        return batch if before is None else batch.join(before, "hash", "left_anti")
+        for run in self.runs():
+            batch = batch.join(run, "hash", "left_anti")
+        return batch
 
     def _compact(self) -> None:
         for level in range(64):
             if level >= len(self.levels) or len(self.levels[level]) < self.fanout:
                 return
             full, self.levels[level] = self.levels[level], []
-            merged = full[0]
-            for run in full[1:]:
-                merged = merged.unionByName(run)
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._run(merged.groupBy("hash").agg(F.sum("n_docs").alias("n_docs")), level + 1))
+            self.levels[level + 1].append(self._run(functools.reduce(_merged, full), level + 1, dealt=True))
             for run in full:
                 discard(run)
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 4, fanout: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batches: int = 4, fanout: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
     """Drops every line whose key is found in at least `min_docs` documents.
 
     Returns doc_id, text (the kept lines joined by a line feed), n_lines, n_dropped and the columns named in `keep`; one row for each input row.
@@ -93,7 +96,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, n_batche
     carried = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried.alias("carried"))
     docs = docs.withColumn("text_hash", text_hash(F.col("text")))
-    long_enough = lambda key: F.when(F.char_length(key) >= min_chars, F.md5(key))
+    long_enough = lambda key: F.when(F.char_length(key) >= min_chars, F.unhex(F.md5(key)))
     hashed = docs.select(
         "doc_id", "text_hash",
         F.transform(split_lines(F.col("text")), lambda line: long_enough(line_key(line))).alias("hashes"),

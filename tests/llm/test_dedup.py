@@ -74,6 +74,22 @@ def test_line_runs_compact(spark):
     assert [r.hash for r in runs.unseen(spark.createDataFrame([("h1", 1), ("new", 1)], "hash string, n_docs long")).collect()] == ["new"]
 
 
+def test_line_runs_are_not_shuffled_again(spark):
+    runs = LineRuns(spark, fanout=3, settled=5)
+    batch = lambda k: spark.range(k, k + 50).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs"))
+    runs.add(batch(0))
+    runs.add(batch(20))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(runs.counts())
+    assert sorted(r.n_docs for r in runs.counts().collect()) == [1] * 40 + [2] * 30
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = plan(runs.unseen(batch(30)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert joined.count("SortMergeJoin") == 2 and joined.count("Exchange") == 1  # the batch's own grouping
+    assert runs.unseen(batch(30)).count() == 10
+
+
 def plain_fingerprint(text):
     words = [lower_ascii(w) for w in (text or "").replace("\x1c", "\x1c").translate(str.maketrans(dict.fromkeys(SPACE, " "))).split(" ") if w]
     shingles = [" ".join(words[i : i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
