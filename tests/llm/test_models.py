@@ -1,4 +1,5 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -45,6 +46,87 @@ def test_scores_do_not_depend_on_neighbours_in_a_batch():
     assert np.allclose(together, [quality.document_scores(model, [t])[0] for t in texts])
 
 
+def test_emissions_in_runs_equal_features_times_weights(monkeypatch):
+    monkeypatch.setattr(quality, "RUN_LINES", 3)
+    weights = np.random.default_rng(3).standard_normal(3 * quality.OWN)
+    for text in [r[1] for r in awkward()] + ["a\nb b\n\nC!\nd 1\n|\nlast"]:
+        x, weight = quality.line_features(text)
+        emission, again = quality.line_emissions(weights, text)
+        assert np.allclose(emission, x @ weights) and (weight == again).all()
+
+
+def test_gradient_of_the_hidden_chain():
+    """The expectations' difference is the slope of the log likelihood of the documents' labels, by enumeration of all line labels."""
+    rng = np.random.default_rng(5)
+    x, there = quality._padded([rng.standard_normal((4, 3 * quality.OWN))])
+    witness = np.log(9.0)
+
+    def likelihood(model):
+        told, free = [], []
+        for y in itertools.product((0, 1), repeat=4):
+            score = sum(x[0, i] @ model["weights"] for i in range(4) if y[i]) + sum(model["moves"][a, b] for a, b in itertools.pairwise(y))
+            free.append(score)
+            told.append(score + witness * sum(y))
+        return np.logaddexp.reduce(told) - np.logaddexp.reduce(free)
+
+    model = {"weights": rng.standard_normal(3 * quality.OWN) / 3, "moves": rng.standard_normal((2, 2))}
+    free, free_pairs, _ = quality.marginals(model, x, there)
+    told, told_pairs, _ = quality.marginals(model, x, there, witness)
+    slope = np.einsum("dl,dlf->f", told - free, x)
+    for k in range(0, 3 * quality.OWN, 7):
+        step = np.zeros(3 * quality.OWN)
+        step[k] = 1e-5
+        up, down = (likelihood(model | {"weights": model["weights"] + s * step}) for s in (1, -1))
+        assert np.isclose((up - down) / 2e-5, slope[k], atol=1e-4)
+    for a, b in itertools.product((0, 1), repeat=2):
+        step = np.zeros((2, 2))
+        step[a, b] = 1e-5
+        up, down = (likelihood(model | {"moves": model["moves"] + s * step}) for s in (1, -1))
+        assert np.isclose((up - down) / 2e-5, (told_pairs - free_pairs).sum(axis=(0, 1))[a, b], atol=1e-4)
+
+
+def test_lines_may_differ_from_their_document():
+    """Good documents that carry some junk and bad ones that carry some prose: the chain switches inside a document."""
+    rnd = random.Random(6)
+    prose = lambda: " ".join(rnd.choice(["the", "river", "was", "calm", "and", "cold,"]) for _ in range(rnd.randint(8, 15))).capitalize() + "."
+    junk = lambda: "!!! $$$ BUY NOW 9999 *** " * rnd.randint(1, 3)
+
+    def lines(share):
+        out = []
+        while len(out) < 12:
+            one = prose if rnd.random() < share else junk
+            out += [one() for _ in range(rnd.randint(1, 5))]
+        return out
+
+    made = [quality.line_features("\n".join(lines(share))) for share in [0.75] * 300 + [0.25] * 300]
+    labels = [1] * 300 + [0] * 300
+    model = quality.calibrate(quality.fit([x for x, _ in made], labels), made, labels)
+    mixed = [prose() for _ in range(6)] + [junk() for _ in range(8)] + [prose() for _ in range(6)]
+    told = (quality.line_marginals(model, ["\n".join(mixed)])[0][0] >= 0.5).tolist()
+    assert told[:5] == [True] * 5 and told[8:12] == [False] * 4 and told[-5:] == [True] * 5
+    texts = ["\n".join(prose() for _ in range(20)), "\n".join(mixed), "\n".join(junk() for _ in range(20))]
+    scores = quality.document_scores(model, texts)
+    assert scores[0] > scores[1] > scores[2]
+
+
+def test_line_labels(spark):
+    rng = np.random.default_rng(7)
+    model = {"weights": rng.standard_normal(3 * quality.OWN) / 4, "moves": np.array([[1.0, -1.0], [-1.0, 1.0]]), "slope": 1.0, "middle": 0.0}
+    rows = quality.label_lines(frame(spark), model).collect()
+    assert len(rows) == sum(len((r[1] or "").split("\n")) for r in awkward())
+    for doc_id, text, *_ in awkward():
+        if doc_id == 20:
+            own = sorted((r.line, r.length, r.good, r.label) for r in rows if r.doc_id == 20)
+            assert [o[1] for o in own] == [len(x) for x in text.split("\n")]
+            assert np.allclose([o[2] for o in own], quality.line_marginals(model, [text])[0][0]) and all(o[3] == (o[2] >= 0.5) for o in own)
+    assert quality.label_lines(empty(spark), model).count() == 0
+
+
+def test_a_text_of_a_million_lines():
+    model = {"weights": np.ones(3 * quality.OWN) / 50, "moves": np.zeros((2, 2)), "slope": 1.0, "middle": 0.0}
+    assert 0 < quality.document_scores(model, ["one two\n" * 1_000_000])[0] < 1
+
+
 @pytest.fixture(scope="module")
 def tables():
     return "/root/testdata/sf0.01"
