@@ -1,6 +1,7 @@
 import itertools
 import random
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -165,6 +166,38 @@ def test_kernel_counts_common_ngrams():
     assert langid.presence("12 !\n") is None and langid.presence(None) is None
 
 
+def test_fused_matrix_equals_dense_kernel_regression():
+    """With every row a landmark, the product with the fused matrix is kernel ridge regression on the n-gram sets themselves."""
+    rnd = random.Random(2)
+    words = {"aa": ["der", "und", "nicht", "haus"], "bb": ["the", "and", "not", "house"], "cc": ["le", "et", "pas", "maison"]}
+    texts = [(lang, " ".join(rnd.choice(w) + rnd.choice("xyz ") for _ in range(8))) for lang, w in words.items() for _ in range(25)]
+    train, test = texts[::2], texts[1::2]
+    grams = lambda t: {("".join(c if c.isalpha() else " " for c in t))[i : i + n] for n in range(1, 5) for i in range(len(t) - n + 1)}
+    dense = lambda p, q: np.array([[len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b))) for _, b in q] for _, a in p])
+    k, n = dense(train, train), len(train)
+    y = np.array([[1.0 if g == name else -1.0 for name in sorted(words)] for g, _ in train])
+    center = np.eye(n) - 1 / n
+    weights = np.linalg.solve(center @ k @ center + 1e-3 * n * np.eye(n), y - y.mean(axis=0))
+    want = (dense(test, train) - k.mean(axis=0)) @ center @ weights + y.mean(axis=0)
+    model = langid.fit(np.array([langid.presence(t) for _, t in train]), [g for g, _ in train], landmarks=n)
+    got = langid.values(model, [langid.presence(t) for _, t in test])
+    assert np.allclose(got, want, atol=2e-2)
+
+
+def test_language_of_very_long_texts(spark, tables):
+    """Texts of 20,000 words, joined from held-out documents of one language."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL")
+    model = langid.train(docs)
+    held = defaultdict(list)
+    for r in docs.orderBy("doc_id").collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 4 == 2:
+            held[r.lang] += r.text.split()
+    texts = [(lang, " ".join((words * (1 + 40_000 // len(words)))[at : at + 20_000])) for lang, words in held.items() for at in (0, 7_000)]
+    assert len(held) > 2 and [g for g, _ in langid.predict(model, [t for _, t in texts])] == [lang for lang, _ in texts]
+    filled = [langid.presence(t)[-langid.SLOTS[-1] :].mean() for _, t in texts]
+    assert max(filled) < 0.5  # presence doesn't saturate
+
+
 def test_presence_takes_the_whole_text(monkeypatch):
     text = "abcdefgh xyz " * 50 + "q" * 5
     whole = langid.presence(text)
