@@ -1,4 +1,4 @@
-"""Embedding near-dedup by collision counting over one-dimensional projections."""
+"""Embedding near-dedup by collision counting over sorted one-dimensional projections."""
 
 from __future__ import annotations
 
@@ -12,98 +12,180 @@ from pyspark.sql import functions as F
 from .common import ship, written
 from .graph import components
 
-BLOCK_VECTORS = 1024
-BLOCKS = "block long, label string, dims int, low array<double>, high array<double>, cids array<long>, copies array<long>, unit binary"
-FOUND = "cid long, links long, a long, b long"
+#: Cells of more vectors than CELL are compared by blocks of BLOCK vectors.
+CELL, BLOCK = 64, 512
+TABLE = "key long, at float, cid long"
+COLLISIONS = "a long, b long, key long, at float, cid long"
+BLOCKS = "block long, key long, dims int, cids array<long>, copies array<long>, cells binary, vectors binary"
+LINKS = "cid long, links long, a long, b long"
 
 
 @functools.lru_cache(maxsize=16)
-def projections(dims: int, m: int, seed: int):
-    """m normal directions: for unit vectors x and y each coordinate of the difference is normal with deviation |x - y|."""
+def projections(dims: int, tables: int, grids: int, seed: int):
+    """Normal directions, `grids` and one more a table, and the grids' offsets in cells: for unit vectors x and y each coordinate of the difference is normal with deviation |x - y|."""
     import numpy as np
 
-    return np.random.default_rng([seed, dims]).standard_normal((dims, m))
+    rng = np.random.default_rng([seed, dims])
+    return rng.standard_normal((dims, tables * (grids + 1))), rng.random((tables, grids))
 
 
-def calibrate(cosine: float, m: int, reach: float, recall: float) -> tuple[float, int]:
-    """The window's half-width and the least count of collisions that a pair at the threshold attains with the wanted probability.
+def collision_chance(reach: float, cell: float, grids: int) -> float:
+    """The chance that a pair at the threshold collides in one table: its values within the window of `reach` deviations, and in one cell of `cell` deviations in each grid."""
+    same = math.erf(cell / math.sqrt(2)) - 2 / (cell * math.sqrt(2 * math.pi)) * (1 - math.exp(-cell * cell / 2))
+    return math.erf(reach / math.sqrt(2)) * same**grids
 
-    The window is `reach` deviations of such a pair, so one projection collides with probability p = P(|N(0, 1)| <= reach), and
-    the count is binomial (m, p).
-    """
-    p = math.erf(reach / math.sqrt(2))
+
+def calibrate(tables: int, chance: float, recall: float) -> int:
+    """The least count of collisions that a pair at the threshold attains with the wanted probability, from the binomial (tables, chance)."""
     missed, count = 0.0, 0
-    while (missed := missed + math.comb(m, count) * p**count * (1 - p) ** (m - count)) <= 1 - recall:
+    while (missed := missed + math.comb(tables, count) * chance**count * (1 - chance) ** (tables - count)) <= 1 - recall:
         count += 1
-    return reach * math.sqrt(2 - 2 * cosine), count
+    return count
 
 
-def slabs_apart(reach: float, missed: float) -> tuple[int, float]:
-    """How many slabs, one window wide each, the first projections of linked vectors may lie apart, so that a pair at the threshold is lost with probability `missed` at most, and that probability.
+def _vectors(packed: list[bytes], dims: list[int]):
+    """Unit vectors of equal length, in double precision."""
+    import numpy as np
 
-    Two values d windows apart, at a random place, lie more than k slabs apart with probability max(0, d - k); d is |N(0, 1)| / reach.
-    """
-    k = 1
-    while True:
-        z = k * reach
-        lost = 2 / reach * (math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - z * math.erfc(z / math.sqrt(2)) / 2)
-        if lost <= missed:
-            return k, lost
-        k += 1
+    x = np.stack([np.frombuffer(p, "<f4" if len(p) == 4 * d else "<f8") for p, d in zip(packed, dims, strict=True)]).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _blocks(m: int, seed: int):
-    """Blocks of up to BLOCK_VECTORS neighbours of one label, in the order of the first projection, with the range of each projection."""
+def _packed(batches: Iterator) -> Iterator:
+    """The nodes with their vectors as bytes: of single precision where that holds them exactly."""
+    import numpy as np
+    import pyarrow as pa
 
-    def build(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-        from pyspark import TaskContext
+    for batch in batches:
+        out = []
+        for v in batch.column("embedding").to_pylist():
+            v = np.array(v, "<f8")
+            with np.errstate(over="ignore"):
+                short = v.astype("<f4")
+            out.append((short if (short == v).all() else v).tobytes())
+        columns = [*(batch.column(c) for c in ("cid", "owner", "dims", "copies")), pa.array(out, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["cid", "owner", "dims", "copies", "vector"])
 
-        base, made = TaskContext.get().partitionId() << 32, 0
 
-        def block(key: tuple, rows: list[tuple]):
-            nonlocal made
-            made += 1
-            unit = np.array([r[0] for r in rows])
-            p = unit @ projections(key[1], m, seed)
-            values = [[base + made], [key[0]], [key[1]], [p.min(axis=0)], [p.max(axis=0)], [[r[1] for r in rows]], [[r[2] for r in rows]], [unit.tobytes()]]
-            kinds = [pa.int64(), pa.string(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in BLOCKS.split(", ")])
+def _cells(x, owner, width: float, cell: float, tables: int, grids: int, seed: int):
+    """(keys, values): each vector's cell in each table, as a hash of label, table and grid values; and its value on the table's sorted projection."""
+    import numpy as np
 
-        key, rows = None, []
-        for batch in batches:
-            for label, dims, unit, cid, copies in zip(*(batch.column(c).to_pylist() for c in ("label", "dims", "unit", "cid", "copies")), strict=True):
-                if rows and (key != (label, dims) or len(rows) == BLOCK_VECTORS):
-                    yield block(key, rows)
-                    rows = []
-                key = (label, dims)
-                rows.append((np.frombuffer(unit), cid, copies))
-        if rows:
-            yield block(key, rows)
+    directions, offsets = projections(x.shape[1], tables, grids, seed)
+    p = (x @ directions).reshape(len(x), tables, grids + 1)
+    grid = np.floor(p[:, :, 1:] / (cell * width) + offsets).astype(np.int64).view(np.uint64)
+    with np.errstate(over="ignore"):
+        key = owner.view(np.uint64)[:, None] + np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for g in range(grids):
+            key = (key ^ (grid[:, :, g] + (key >> np.uint64(29)))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (key ^ (key >> np.uint64(32))).view(np.int64), p[:, :, 0].astype(np.float32)
+
+
+def _of_one_length(batch, *columns: str) -> Iterator:
+    """Rows of a batch by length of their vectors."""
+    import numpy as np
 
-    return build
+    dims = batch.column("dims").to_numpy()
+    for d in np.unique(dims).tolist():
+        rows = np.flatnonzero(dims == d)
+        part = batch.take(rows)
+        for k in range(0, part.num_rows, 1000):
+            yield part.slice(k, 1000)
 
 
-def _project(seed: int, m: int):
+def _tables(width: float, cell: float, tables: int, grids: int, seed: int):
     def project(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            first, units = [], []
-            for x in batch.column("embedding").to_pylist():
-                x = np.array(x, np.float64)
-                x = x / np.abs(x).max()  # so that no square overflows or vanishes
-                x /= math.sqrt(float(x @ x))
-                first.append(float(x @ projections(len(x), m, seed)[:, 0]))
-                units.append(x.tobytes())
-            columns = [*(batch.column(c) for c in ("label", "dims", "cid", "copies")), pa.array(first, pa.float64()), pa.array(units, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["label", "dims", "cid", "copies", "first", "unit"])
+            for part in _of_one_length(batch):
+                x = _vectors(part.column("vector").to_pylist(), part.column("dims").to_pylist())
+                keys, at = _cells(x, part.column("owner").to_numpy(), width, cell, tables, grids, seed)
+                cid = np.repeat(part.column("cid").to_numpy(), tables)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(at.ravel()), pa.array(cid)], ["key", "at", "cid"])
 
     return project
 
 
+def _windows(width: float, reach: float):
+    """Of a partition sorted by cell and value: a pair for each two vectors of a cell within the window around one of them; large cells, and those that go on in another partition, as they are."""
+
+    def collide(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        names = [x.split()[0] for x in COLLISIONS.split(", ")]
+
+        def work(key, at, cid, first_open: bool, last_open: bool) -> Iterator:
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[starts, len(key)])
+            rest = size > CELL
+            rest[0] |= first_open
+            rest[-1] |= last_open
+            ends = np.repeat(starts + np.where(rest, 0, size), size)
+            pairs, active, d = [], np.arange(len(key)), 1
+            while len(active := active[active + d < ends[active]]):
+                active = active[at[active + d] - at[active] <= reach * width * 1.0001]  # sorted: whoever is past the window stays past it
+                pairs.append((cid[active], cid[active + d]))
+                d += 1
+            if pairs:
+                a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+                none = [pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.float32()), pa.nulls(len(a), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *none], names)
+            kept = np.repeat(rest, size)
+            if kept.any():
+                none = [pa.nulls(int(kept.sum()), pa.int64())] * 2
+                yield pa.RecordBatch.from_arrays([*none, pa.array(key[kept]), pa.array(at[kept]), pa.array(cid[kept])], names)
+
+        held, first = None, True
+        for batch in batches:
+            new = tuple(batch.column(c).to_numpy() for c in ("key", "at", "cid"))
+            held = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+            at = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if at == 0 and len(held[0]) > 100 * CELL:  # one cell, and more of it to come
+                yield from work(*held, True, True)
+                held, first = None, True
+            elif at:
+                yield from work(*(x[:at] for x in held), first, False)
+                held, first = tuple(x[at:] for x in held), False
+        if held is not None and len(held[0]):
+            yield from work(*held, first, True)
+
+    return collide
+
+
+def _blocks(batches: Iterator) -> Iterator:
+    """Blocks of up to BLOCK neighbours of one large cell; `cells` holds each vector's large cells by table."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    base, made = TaskContext.get().partitionId() << 32, 0
+
+    def block(key: int, rows: list[tuple]):
+        nonlocal made
+        made += 1
+        cells = np.zeros((len(rows), max(len(r[3]) for r in rows)), np.int64)
+        for k, r in enumerate(rows):
+            cells[k, : len(r[3])] = r[3]
+        values = [base + made, key, rows[0][4], [r[0] for r in rows], [r[1] for r in rows], cells.tobytes(), _vectors([r[2] for r in rows], [r[4] for r in rows]).tobytes()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in BLOCKS.split(", ")])
+
+    last, rows = None, []
+    for batch in batches:
+        for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "cid", "copies", "vector", "cells", "dims")), strict=True):
+            if rows and (last != (key, row[4]) or len(rows) == BLOCK):
+                yield block(last[0], rows)
+                rows = []
+            last = key, row[4]
+            rows.append(row)
+    if rows:
+        yield block(last[0], rows)
+
+
 def _forest(linked):
     """Edges (row, column) that connect what a boolean matrix connects, fewer than rows plus columns."""
     import numpy as np
@@ -128,57 +210,73 @@ def _forest(linked):
     return edges
 
 
-def _verify(cosine: float, m: int, width: float, count: int, seed: int):
-    """Of each block pair: counts the collisions of all vector pairs, verifies those that reach the count."""
+def _compare(cosine: float):
+    """Of each two blocks of a large cell: the links of their vectors, as numbers by vector and a forest; a pair counts in the first large cell that it shares."""
 
-    def verify(batches: Iterator) -> Iterator:
+    def compare(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        step = width / 1000  # projections as integers; a window is widened by the rounding, never narrowed
         for batch in batches:
             for row in batch.to_pylist():
-                x, y = (np.frombuffer(row[c]).reshape(-1, row["dims"]) for c in ("unit", "unit_b"))
-                p, q = (np.clip(np.round(v @ projections(row["dims"], m, seed) / step), -16_000, 16_000).astype(np.int16) for v in (x, y))
-                hits = np.zeros((len(x), len(y)), np.uint8)
-                for k in range(m):
-                    hits += (p[:, k, None] - q[None, :, k] + np.int16(1001)).view(np.uint16) <= 2002
-                near = hits >= count
+                x, y = (np.frombuffer(row[c]).reshape(-1, row["dims"]) for c in ("vectors", "vectors_b"))
+                p, q = (np.frombuffer(row[c], np.int64).reshape(len(v), -1) for c, v in (("cells", x), ("cells_b", y)))
+                near = x @ y.T >= cosine
                 if row["block"] == row["block_b"]:
                     near = np.triu(near, 1)
+                # Cells are in the order of the tables, so the first one shared is the first that any place of one list has in the other's.
                 i, j = np.nonzero(near)
-                if len(i) > near.size // 50:
-                    near &= x @ y.T >= cosine
-                else:
-                    keep = np.concatenate([np.einsum("ij,ij->i", x[i[k : k + 20_000]], y[j[k : k + 20_000]]) >= cosine for k in range(0, len(i), 20_000)] or [np.zeros(0, bool)])
-                    near[i[~keep], j[~keep]] = False
-                if not near.any():
-                    continue
-                out = []
-                for cids, links in ((row["cids"], near @ np.array(row["copies_b"], np.int64)), (row["cids_b"], near.T @ np.array(row["copies"], np.int64))):
-                    out += [(cids[k], int(links[k]), None, None) for k in np.flatnonzero(links).tolist()]
-                out += [(None, None, row["cids"][r], row["cids_b"][c]) for r, c in _forest(near)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cid", "links", "a", "b"])
+                for k in range(0, len(i), 20_000):
+                    a, b = p[i[k : k + 20_000]], q[j[k : k + 20_000]]
+                    shared = ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] != 0)).any(axis=2)
+                    first = a[np.arange(len(a)), np.argmax(shared, axis=1)]
+                    gone = first != row["key"]
+                    near[i[k : k + 20_000][gone], j[k : k + 20_000][gone]] = False
+                if near.any():
+                    out = []
+                    for cids, links in ((row["cids"], near @ np.array(row["copies_b"], np.int64)), (row["cids_b"], near.T @ np.array(row["copies"], np.int64))):
+                        out += [(cids[k], int(links[k]), None, None) for k in np.flatnonzero(links).tolist()]
+                    out += [(None, None, row["cids"][r], row["cids_b"][c]) for r, c in _forest(near)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cid", "links", "a", "b"])
+
+    return compare
+
+
+def _verify(cosine: float):
+    """The pairs that reach the threshold, by cosine in double precision."""
+
+    def verify(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        for batch in batches:
+            for part in _of_one_length(batch):
+                x, y = (_vectors(part.column(c).to_pylist(), part.column("dims").to_pylist()) for c in ("vector", "vector_b"))
+                linked = np.flatnonzero(np.einsum("ij,ij->i", x, y) >= cosine)
+                yield part.select(["a", "b", "copies", "copies_b"]).take(linked)
 
     return verify
 
 
-def embedding_groups(vectors: DataFrame, cosine: float = 0.93, m: int = 24, reach: float = 2.0, recall: float = 0.9999, seed: int = 7) -> DataFrame:
+def embedding_groups(vectors: DataFrame, cosine: float = 0.93, tables: int = 60, grids: int = 6, reach: float = 2.5, cell: float = 3.2, recall: float = 0.999, seed: int = 7) -> DataFrame:
     """Vectors of equal label linked at `cosine` or more: vec_id, n_links, component_id, kept for every row.
 
-    Equal vectors are one node with a number of copies, found by grouping. The nodes of a label are sorted by one projection and
-    cut into blocks; a pair of blocks is looked at where their slabs of that projection come close and the ranges of at least `count` of m projections come within the window.
-    Inside a pair of blocks the collisions of all m windows around each vector are counted, and pairs that reach the
-    calibrated count are verified in double precision. Links are given as numbers by vector and as a forest by
-    pair of blocks, never as all pairs. Expected recall for a pair at the threshold, with what the slabs lose, is `recall`, more above it; no link below the threshold.
+    Equal vectors are one node with a number of copies, found by grouping. For each of `tables` the nodes are sorted by one projection inside
+    the cells of `grids` further ones, over all partitions; two nodes of a cell collide where one lies in the window around the other. Collisions are
+    counted by pair, and pairs that reach the count that a pair at the threshold attains with probability `recall` are verified in
+    double precision. A pair at a smaller angle collides more often; a random pair in 64 dimensions collides in one table in some 2,000, so that
+    the work grows far slower than the square of a label.
+
+    A cell of more than CELL nodes gives no pairs: its nodes are compared by blocks, exactly, which give numbers of links and a forest, so that a
+    large group of near copies costs no row a pair. A pair that shares several such cells counts in the first.
 
     Null, zero or non-finite vectors, and null labels, link with nothing and stay in their own component. Vectors of different
-    length don't link. A null vec_id gets its group's component_id and isn't kept. Repeated rows count as vectors; extra columns are left out.
+    length don't link. A null vec_id gets its group's component_id and isn't kept. Repeated rows count as vectors; extra columns are left out; an
+    empty table gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
-    apart, lost = slabs_apart(reach, (1 - recall) / 10)
-    width, count = calibrate(cosine, m, reach, recall + lost)
+    width = math.sqrt(max(2 - 2 * cosine, 1e-6))
+    count = max(calibrate(tables, collision_chance(reach, cell, grids), recall), 1)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     big = F.lit(float("inf"))
     sound = F.forall("embedding", lambda v: F.coalesce((v > -big) & (v < big), F.lit(False))) & F.exists("embedding", lambda v: v != 0)
@@ -186,20 +284,29 @@ def embedding_groups(vectors: DataFrame, cosine: float = 0.93, m: int = 24, reac
     nodes = rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     nodes = written(nodes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
 
-    projected = nodes.withColumn("dims", F.size("embedding")).mapInArrow(_project(seed, m), "label string, dims int, cid long, copies long, first double, unit binary")
-    blocks = projected.repartitionByRange("label", "dims", "first").sortWithinPartitions("label", "dims", "first").mapInArrow(_blocks(m, seed), BLOCKS)
-    blocks = written(blocks, "blocks")
-    slab = lambda v: F.floor(v / width)
-    left = blocks.select("block", "label", "dims", "low", "high", slab(F.col("low")[0]).alias("from"), slab(F.col("high")[0]).alias("to"))
-    right = left.select("label", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "low", "high")), (F.col("from") - apart).alias("from_b"), (F.col("to") + apart).alias("to_b"))
-    left = left.withColumn("slab", F.explode(F.sequence("from", "to")))
-    right = right.withColumn("slab", F.explode(F.sequence("from_b", "to_b")))
-    gaps = F.zip_with(F.zip_with("low", "high_b", lambda a, b: a - b), F.zip_with("low_b", "high", lambda a, b: a - b), lambda a, b: F.greatest(a, b))
-    close = F.size(F.filter(gaps, lambda g: g <= width * 1.002)) >= count
-    pairs = left.join(right, ["label", "dims", "slab"]).where((F.col("slab") == F.greatest("from", "from_b")) & (F.col("block") <= F.col("block_b")) & close).select("block", "block_b")
-    own = blocks.select("block", "dims", "cids", "copies", "unit")
-    full = pairs.join(own, "block").join(own.select(*(F.col(c).alias(f"{c}_b") for c in ("block", "cids", "copies", "unit"))), "block_b")
-    found = written(full.repartition("block", "block_b").mapInArrow(_verify(cosine, m, width, count, seed), FOUND), "found")
+    owner = F.xxhash64("label", F.size("embedding")).alias("owner")
+    packed = nodes.select("cid", owner, F.size("embedding").alias("dims"), "copies", "embedding").mapInArrow(_packed, "cid long, owner long, dims int, copies long, vector binary")
+    sorted_rows = packed.mapInArrow(_tables(width, cell, tables, grids, seed), TABLE).repartitionByRange("key", "at").sortWithinPartitions("key", "at")
+    collisions = written(sorted_rows.mapInArrow(_windows(width, reach), COLLISIONS), "collisions")
+
+    large = collisions.where("key IS NOT NULL").select("key", "at", "cid")
+    # Equal cells are equal keys of one table, so lists in the order of their keys are in one order for all.
+    cells = large.groupBy("cid").agg(F.array_sort(F.collect_set("key")).alias("cells"))
+    members = large.join(cells, "cid").join(packed, "cid").select("key", "at", "cid", "copies", "vector", "cells", "dims")
+    blocks = written(members.repartitionByRange("key", "dims", "at").sortWithinPartitions("key", "dims", "at").mapInArrow(_blocks, BLOCKS), "blocks")
+    other = blocks.select("key", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "cids", "copies", "cells", "vectors")))
+    dense = blocks.join(other, ["key", "dims"]).where("block <= block_b").repartition("block", "block_b").mapInArrow(_compare(cosine), LINKS)
+
+    pairs = collisions.where("a IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= count).select("a", "b")
+    own = packed.join(cells, "cid", "left").select("cid", "owner", "dims", "copies", "vector", F.coalesce("cells", F.array().cast("array<long>")).alias("cells"))
+    full = pairs.join(own.withColumnRenamed("cid", "a"), "a").join(own.select(*(F.col(c).alias("b" if c == "cid" else f"{c}_b") for c in own.columns)), "b")
+    full = full.where((F.col("owner") == F.col("owner_b")) & (F.col("dims") == F.col("dims_b")) & ~F.arrays_overlap("cells", "cells_b"))
+    close = full.select("a", "b", "dims", "copies", "copies_b", "vector", "vector_b").mapInArrow(_verify(cosine), "a long, b long, copies long, copies_b long")
+    single = close.select(F.explode(F.array(
+        F.struct(F.col("a").alias("cid"), F.col("copies_b").alias("links"), F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")),
+        F.struct(F.col("b").alias("cid"), F.col("copies").alias("links"), F.col("a"), F.col("b")),
+    )).alias("x")).select("x.*")
+    found = written(dense.unionByName(single), "found")
 
     links = found.where("cid IS NOT NULL").groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.where("a IS NOT NULL").select("a", "b"), "a", "b")

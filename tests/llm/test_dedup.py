@@ -225,23 +225,62 @@ def test_embedding_groups(spark):
 
 
 def test_calibration():
-    width, count = calibrate(0.93, 24, 2.0, 0.9999)
-    rng = np.random.default_rng(2)
-    difference = rng.standard_normal((20_000, 24)) * np.sqrt(2 - 2 * 0.93)
-    assert ((np.abs(difference) <= width).sum(axis=1) >= count).mean() >= 0.999
-
-
-def test_pairs_in_narrow_blocks_are_found(spark, monkeypatch):
-    """Blocks of one vector, as narrow as those of a very large label: pairs just above the threshold, two slabs apart as often as by chance."""
+    """The chance and the count against drawn pairs at the threshold: cells, offsets and windows as the tables have them."""
     from lakeloom.llm import embedding
 
-    monkeypatch.setattr(embedding, "BLOCK_VECTORS", 1)
+    tables, grids, reach, cell = 60, 6, 2.5, 3.2
+    width, rng, hits = np.sqrt(2 - 2 * 0.93), np.random.default_rng(2), []
+    for k in range(40):
+        x, y = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        y = 0.93 * x + np.sqrt(1 - 0.93**2) * y
+        keys, at = embedding._cells(np.array([x, y]), np.zeros(2, np.int64), width, cell, tables, grids, k)
+        hits.append(int(((keys[0] == keys[1]) & (np.abs(at[0] - at[1]) <= reach * width)).sum()))
+    chance = embedding.collision_chance(reach, cell, grids)
+    assert abs(np.mean(hits) / tables - chance) < 0.02
+    count = calibrate(tables, chance, 0.999)
+    assert count >= 2 and np.mean(np.array(hits) >= count) >= 0.95
+
+
+def all_pairs(rows, cosine):
+    """(links by row, component by row) of vectors by label, by brute force."""
+    labels = np.array([r[2] for r in rows])
+    n, pairs = np.zeros(len(rows), int), []
+    for g in np.unique(labels):
+        own = np.flatnonzero(labels == g)
+        x = np.array([rows[i][1] for i in own])
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        near = np.triu(x @ x.T >= cosine, 1)
+        n[own] += near.sum(axis=0) + near.sum(axis=1)
+        pairs += [(int(own[i]), int(own[j])) for i, j in zip(*np.nonzero(near), strict=True)]
+    return n, least_component(range(len(rows)), pairs)
+
+
+@pytest.mark.parametrize("kind", ["sparse", "dense"])
+def test_embedding_recall_against_all_pairs(spark, kind):
+    """Pairs just above the threshold among random vectors; and a group of near copies that fills large cells."""
     rng, rows = np.random.default_rng(6), []
-    for k in range(3000):
-        x, y = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
-        rows += [(2 * k, x.tolist(), k), (2 * k + 1, (0.9301 * x + np.sqrt(1 - 0.9301**2) * y).tolist(), k)]
-    got = embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
-    assert got.where("n_links = 1").count() >= 0.998 * len(rows)
+    if kind == "sparse":
+        for _ in range(1500):
+            x, y = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+            rows += [(len(rows), x.tolist(), 0), (len(rows) + 1, (0.9301 * x + np.sqrt(1 - 0.9301**2) * y).tolist(), 0)]
+    else:
+        middle = rng.standard_normal(64)
+        for k in range(1800):
+            spread = 0.02 if k % 3 == 0 else 0.2 if k % 3 == 1 else 3.0
+            rows.append((k, (middle + spread * rng.standard_normal(64)).tolist(), k % 2))
+    got = {r.vec_id: r for r in embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    n, component = all_pairs(rows, 0.93)
+    assert all(got[k].n_links <= n[k] for k in range(len(rows)))
+    found = sum(got[k].n_links for k in range(len(rows)))
+    assert found >= 0.995 * n.sum() and n.sum() >= 2 * 1400
+    assert np.mean([got[k].component_id == component[k] for k in range(len(rows))]) >= 0.99
+
+
+def test_a_threshold_of_one(spark):
+    rows = [(1, [1.0, 2.0], 0), (2, [2.0, 4.0], 0), (3, [1.0, 2.5], 0)]
+    got = {r.vec_id: r.n_links for r in embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=1.0 - 1e-12).collect()}
+    assert got == {1: 1, 2: 1, 3: 0}
+    assert embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=1.0).count() == 3
 
 
 def test_repeated_vectors_and_null_ids(spark):
