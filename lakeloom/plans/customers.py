@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -149,6 +151,45 @@ def seller_classification(items: DataFrame, seller: str, at: str) -> DataFrame:
     return months.withColumns({"kind": R.classify([(before.isNull(), "new"), (before == 1, "repeat")], "return"), "gone_next": F.coalesce(after != 1, F.lit(True))})
 
 
+def monthly_recency(
+    users: DataFrame, orders: DataFrame, who: str, at: str, joined: str, end: str, near: int = 30, far: int = 60
+) -> DataFrame:
+    """One label for each user and month from the month of joining on.
+
+    USER_ONLY: nothing bought so far; NEW: the month of the first purchase; REPEAT, REACQUIRED_NEAR, REACQUIRED_FAR: bought, by the days between
+    the month's first purchase and the one before it; CHURN: bought before, but not in this month. The spine is bounded by the users' ages.
+    """
+    month = lambda c: F.trunc(F.to_date(c), "month")
+    bought = orders.groupBy(who, month(at).alias("month")).agg(F.to_date(F.min(at)).alias("_first"), F.to_date(F.max(at)).alias("_last"))
+    last = F.trunc(F.lit(end).cast("date"), "month")
+    spine = users.select(who, F.explode(F.sequence(month(joined), last, F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    rows = spine.join(bought, [who, "month"], "left")
+    before = F.last("_last", ignorenulls=True).over(W.partitionBy(who).orderBy("month").rowsBetween(W.unboundedPreceding, -1))
+    gap, none = F.datediff("_first", "_before"), F.col("_first").isNull()
+    rules = [
+        (none & F.col("_before").isNull(), "USER_ONLY"), (none, "CHURN"), (F.col("_before").isNull(), "NEW"),
+        (gap < near, "REPEAT"), (gap < far, "REACQUIRED_NEAR"),
+    ]
+    return rows.withColumn("_before", before).select(who, "month", R.classify(rules, "REACQUIRED_FAR").alias("label"))
+
+
+@query(
+    "b10_monthly_recency",
+    """WITH spine AS (SELECT k, CAST(unnest(generate_series(TIMESTAMP '1995-01-01' + to_months(CAST(k % 40 AS INTEGER)), TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT c_custkey AS k FROM customer)),
+    bought AS (SELECT o_custkey AS k, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY ALL),
+    told AS (SELECT s.k, s.m, a, last_value(b IGNORE NULLS) OVER (PARTITION BY s.k ORDER BY s.m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spine s LEFT JOIN bought o ON o.k = s.k AND o.m = s.m)
+    SELECT k AS c_custkey, strftime(m, '%Y-%m') AS month, CASE WHEN a IS NULL AND before IS NULL THEN 'USER_ONLY' WHEN a IS NULL THEN 'CHURN' WHEN before IS NULL THEN 'NEW' WHEN date_diff('day', before, a) < 30 THEN 'REPEAT'
+    WHEN date_diff('day', before, a) < 60 THEN 'REACQUIRED_NEAR' ELSE 'REACQUIRED_FAR' END AS label FROM told""",
+)
+def b10_monthly_recency(spark, sf_dir):
+    """Labels by customer and month; a customer's number gives the month of joining."""
+    joined = F.add_months(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 40).cast("int"))
+    users = t(spark, sf_dir, "customer").select("c_custkey", joined.alias("joined"))
+    orders = t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    rows = monthly_recency(users, orders, "c_custkey", "o_orderdate", "joined", "2001-08-01")
+    return rows.withColumn("month", F.date_format("month", "yyyy-MM"))
+
+
 @query(
     "b12_seller_classification",
     """SELECT strftime(m, '%Y-%m') AS month, kind, count(*) AS sellers, count(*) FILTER (WHERE gone) AS gone FROM (SELECT k, m, CASE WHEN lag(m) OVER w IS NULL THEN 'new' WHEN date_diff('month', lag(m) OVER w, m) = 1 THEN 'repeat' ELSE 'return' END AS kind,
@@ -159,6 +200,18 @@ def b12_seller_classification(spark, sf_dir):
     return rows.groupBy(F.date_format("month", "yyyy-MM").alias("month"), "kind").agg(F.count(F.lit(1)).alias("sellers"), F.count_if("gone_next").alias("gone"))
 
 
+def store_classification(
+    sales: DataFrame, store: str, period: str, value: str, margin: str, promotion: str | None = None, good_margin: float = 0.95,
+    high_promotion: float = 0.5,
+) -> DataFrame:
+    """Stores by period in five classes of growth by margin; `promotion`, a share of promoted sales, takes a star that lives on promotions down to growing."""
+    growth = F.col(value) - F.lag(value).over(W.partitionBy(store).orderBy(period))
+    g, high = F.col("growth"), F.col(margin) >= good_margin
+    bought = F.col(promotion) > high_promotion if promotion else F.lit(False)
+    rules = [(g.isNull(), "new"), ((g >= 0) & high & ~bought, "star"), (g >= 0, "growing"), (high, "solid")]
+    return sales.withColumn("growth", growth).withColumn("class", R.classify(rules, "weak"))
+
+
 @query(
     "b30_store_classification",
     """SELECT k AS s_suppkey, y AS year, CASE WHEN growth IS NULL THEN 'new' WHEN growth >= 0 AND margin >= 0.95 THEN 'star' WHEN growth >= 0 THEN 'growing' WHEN margin >= 0.95 THEN 'solid' ELSE 'weak' END AS class FROM
@@ -166,10 +219,10 @@ def b12_seller_classification(spark, sf_dir):
 )
 def b30_store_classification(spark, sf_dir):
     """Growth by margin to five classes."""
-    sums = t(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year")).agg(F.round(F.sum("l_extendedprice"), 2).alias("total"), F.round(1 - F.sum("l_discount") / F.count(F.lit(1)), 6).alias("margin"))
-    growth = F.col("total") - F.lag("total").over(W.partitionBy("s_suppkey").orderBy("year"))
-    g, high = F.col("growth"), F.col("margin") >= 0.95
-    return sums.withColumn("growth", growth).select("s_suppkey", "year", R.classify([(g.isNull(), "new"), ((g >= 0) & high, "star"), (g >= 0, "growing"), (high, "solid")], "weak").alias("class"))
+    keys = F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year")
+    margin = F.round(1 - F.sum("l_discount") / F.count(F.lit(1)), 6).alias("margin")
+    sums = t(spark, sf_dir, "lineitem").groupBy(*keys).agg(F.round(F.sum("l_extendedprice"), 2).alias("total"), margin)
+    return store_classification(sums, "s_suppkey", "year", "total", "margin").select("s_suppkey", "year", "class")
 
 
 def user_journey(events: DataFrame, user: str, at: str, tie: str, name: str) -> DataFrame:
@@ -194,6 +247,15 @@ def b35_user_journey(spark, sf_dir):
     return user_journey(events, "session", "ts", "event_id", "event_type").select("event_id", "step", "path", "next_event")
 
 
+def daily_activity(events: DataFrame, days: DataFrame, user: str, at: str, kinds: dict[str, Column]) -> DataFrame:
+    """The spine of days with the users of each kind of activity (views, chats, ...) and those with all kinds, zero where there are none."""
+    marks = [F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(n) for n, c in kinds.items()]
+    users = events.groupBy(F.to_date(at).alias("day"), user).agg(*marks)
+    both = F.sum(reduce(lambda a, b: a * b, (F.col(n) for n in kinds))).alias("all_kinds")
+    sums = users.groupBy("day").agg(*(F.sum(n).alias(n) for n in kinds), both)
+    return days.select("day").join(sums, "day", "left").na.fill(0)
+
+
 @query(
     "b37_daily_activity",
     """SELECT strftime(d, '%Y-%m-%d') AS day, coalesce(v, 0) AS viewers, coalesce(b, 0) AS buyers, coalesce(both_n, 0) AS both_n FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN
@@ -202,11 +264,9 @@ def b35_user_journey(spark, sf_dir):
 )
 def b37_daily_activity(spark, sf_dir):
     """A spine of days with presence of two kinds."""
-    rows = t(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "user_id", "event_type")
-    kinds = {"viewers": "view", "buyers": "purchase"}
-    users = rows.groupBy("day", "user_id").agg(*(F.max((F.col("event_type") == k).cast("int")).alias(n) for n, k in kinds.items()))
-    n = users.groupBy("day").agg(F.sum("viewers").alias("viewers"), F.sum("buyers").alias("buyers"), F.sum(F.col("viewers") * F.col("buyers")).alias("both_n"))
-    return calendar(spark, "2024-01-01", "2024-01-31").select("day").join(n, "day", "left").na.fill(0).withColumn("day", day_text("day"))
+    kinds = {"viewers": F.col("event_type") == "view", "buyers": F.col("event_type") == "purchase"}
+    rows = daily_activity(t(spark, sf_dir, "events"), calendar(spark, "2024-01-01", "2024-01-31"), "user_id", "ts", kinds)
+    return rows.select(day_text("day").alias("day"), "viewers", "buyers", F.col("all_kinds").alias("both_n"))
 
 
 def _range(rule: str, as_of: Column) -> tuple[Column, Column]:
@@ -286,11 +346,24 @@ def b48_dynamic_segment(spark, sf_dir):
     return _segments(spark, sf_dir)
 
 
-@query("b49_segment_quota", f"WITH {_SEGMENT} SELECT segment_id, count(*) AS n, count(*) <= 400 AS allowed FROM seg GROUP BY segment_id")
+def segment_quota(runs: DataFrame, segment: str, run_at: str, member: str, quota: int) -> DataFrame:
+    """The newest run of each segment with its number of members, and whether that is within the quota."""
+    newest = runs.groupBy(segment).agg(F.max(run_at).alias(run_at))
+    n = runs.join(newest, [segment, run_at]).groupBy(segment, run_at).agg(F.count_distinct(member).alias("n"))
+    return n.withColumn("allowed", F.col("n") <= quota)
+
+
+@query(
+    "b49_segment_quota",
+    """WITH run AS (SELECT c_mktsegment AS segment, year(o_orderdate) AS run_year, o_custkey FROM orders JOIN customer ON c_custkey = o_custkey),
+    newest AS (SELECT segment, max(run_year) AS run_year FROM run GROUP BY 1)
+    SELECT segment, run_year, count(DISTINCT o_custkey) AS n, count(DISTINCT o_custkey) <= 200 AS allowed FROM run JOIN newest USING (segment, run_year) GROUP BY ALL""",
+)
 def b49_segment_quota(spark, sf_dir):
-    """Segments gated by their size."""
-    n = _segments(spark, sf_dir).groupBy("segment_id").agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("allowed", F.col("n") <= 400)
+    """The newest run of each segment, gated by its size; a year's buyers of a market segment are a run."""
+    people = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    runs = t(spark, sf_dir, "orders").join(people, "o_custkey").withColumn("run_year", F.year("o_orderdate").cast("long"))
+    return segment_quota(runs, "segment", "run_year", "o_custkey", 200)
 
 
 def filter_active_segment(customers: DataFrame, orders: DataFrame, lists: dict[str, str], kind: str, since: Column, until: Column) -> DataFrame:
@@ -320,6 +393,12 @@ def b54_case_variants(spark, sf_dir):
     return t(spark, sf_dir, "part").select(code.alias("code")).groupBy(F.lower("code").alias("folded")).agg(F.count_distinct("code").alias("variants")).where("variants > 1")
 
 
+def shortlist(rows: DataFrame, who: str, product: str, at_least: int) -> DataFrame:
+    """Who took at least so many different products of the rows, with the sorted list of them."""
+    kinds = rows.groupBy(who).agg(F.sort_array(F.collect_set(product)).alias("_kinds"))
+    return kinds.select(who, F.size("_kinds").cast("long").alias("n"), F.array_join("_kinds", ",").alias("kinds")).where(F.col("n") >= at_least)
+
+
 @query(
     "b55_shortlist",
     """SELECT o_custkey, count(DISTINCT p_type) AS n, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS kinds FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey AND p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY 1 HAVING count(DISTINCT p_type) >= 3""",
@@ -328,16 +407,30 @@ def b55_shortlist(spark, sf_dir):
     """Customers with at least k of a product list."""
     parts = t(spark, sf_dir, "part").where(F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3")).select(F.col("p_partkey").alias("l_partkey"), "p_type")
     rows = t(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(t(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
-    kinds = F.sort_array(F.collect_set("p_type"))
-    return rows.groupBy("o_custkey").agg(kinds.alias("k")).select("o_custkey", F.size("k").cast("long").alias("n"), F.array_join("k", ",").alias("kinds")).where("n >= 3")
+    return shortlist(rows, "o_custkey", "p_type", 3)
+
+
+def followup(events: DataFrame, user: str, at: str, tie: str, name: str, first: str) -> DataFrame:
+    """Each `first` event that something follows: the next event of its user, and the whole seconds until then."""
+    w = W.partitionBy(user).orderBy(at, tie)
+    rows = events.withColumns({"nxt": F.lead(name).over(w), "_next_at": F.lead(at).over(w)})
+    rows = rows.where((F.col(name) == first) & F.col("nxt").isNotNull())
+    return rows.withColumn("seconds", F.floor((F.unix_micros("_next_at") - F.unix_micros(at)) / 1000000)).drop("_next_at")
 
 
 @query("b57_search_followup", "SELECT event_id, nxt, CAST(floor(epoch(t2) - epoch(ts)) AS BIGINT) AS seconds FROM (SELECT *, lead(event_type) OVER w AS nxt, lead(ts) OVER w AS t2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE event_type = 'view' AND nxt IS NOT NULL")
 def b57_search_followup(spark, sf_dir):
     """What follows each view, and when."""
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
-    rows = t(spark, sf_dir, "events").withColumns({"nxt": F.lead("event_type").over(w), "at": F.lead("ts").over(w)})
-    return rows.where("event_type = 'view' AND nxt IS NOT NULL").select("event_id", "nxt", F.floor((F.unix_micros("at") - F.unix_micros("ts")) / 1000000).alias("seconds"))
+    return followup(t(spark, sf_dir, "events"), "user_id", "ts", "event_id", "event_type", "view").select("event_id", "nxt", "seconds")
+
+
+def channel_first_last(orders: DataFrame, who: str, at: str, online: Column) -> DataFrame:
+    """Orders of each channel by customer, with the first online and the last offline time."""
+    when = lambda c: F.when(c, F.col(at))
+    return orders.groupBy(who).agg(
+        F.count_if(online).alias("online"), F.count_if(~online).alias("offline"),
+        F.min(when(online)).alias("first_online"), F.max(when(~online)).alias("last_offline"),
+    )
 
 
 @query(
@@ -346,6 +439,5 @@ def b57_search_followup(spark, sf_dir):
     strftime(max(o_orderdate) FILTER (WHERE o_orderkey % 3 <> 0), '%Y-%m-%d') AS last_offline FROM orders GROUP BY o_custkey""",
 )
 def b58_channel_first_last(spark, sf_dir):
-    online = F.col("o_orderkey") % 3 == 0
-    at = lambda c: F.when(c, F.col("o_orderdate"))
-    return t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_if(online).alias("online"), F.count_if(~online).alias("offline"), day_text(F.min(at(online))).alias("first_online"), day_text(F.max(at(~online))).alias("last_offline"))
+    rows = channel_first_last(t(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", F.col("o_orderkey") % 3 == 0)
+    return rows.withColumns({c: day_text(c) for c in ("first_online", "last_offline")})

@@ -183,22 +183,72 @@ def b23_out_of_stock(spark, sf_dir):
     return notes.withColumn("since", day_text("since"))
 
 
+def out_of_stock_profile(
+    gone: DataFrame, key: str, notes: DataFrame, incoming: DataFrame, sales: DataFrame, at: str, value: str, as_of: Column, days: int = 30
+) -> DataFrame:
+    """out_of_stock() rows with the number of notes since, the quantity still to come, and the sales of the last `days`; zero where there are none."""
+    said = gone.select(key, "since").join(notes.select(key, F.col(at).alias("_at")), key).where("_at > since").groupBy(key).agg(F.count(F.lit(1)).alias("notes"))
+    due = incoming.groupBy(key).agg(F.sum("quantity").alias("incoming"))
+    late = sales.where((F.col(at) > F.date_sub(as_of, days)) & (F.col(at) <= as_of))
+    sold = late.groupBy(key).agg(F.sum(value).alias("recent_sales"))
+    out = gone.join(said, key, "left").join(due, key, "left").join(sold, key, "left")
+    return out.na.fill(0, ["notes", "incoming", "recent_sales"])
+
+
+@query(
+    "b23_out_of_stock_profile",
+    """WITH gone AS (SELECT user_id, max(ts) AS since FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b,
+    first_value(event_type) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS newest FROM events) WHERE newest = 'error' AND event_type = 'error' AND (b IS NULL OR b <> 'error') GROUP BY 1)
+    SELECT user_id, strftime(since, '%Y-%m-%d') AS since, date_diff('day', since, DATE '2024-01-31') AS days_out, (SELECT count(*) FROM events n WHERE n.user_id = gone.user_id AND n.ts > since) AS notes,
+    coalesce((SELECT sum(l_quantity) FROM lineitem WHERE l_suppkey = user_id AND l_linestatus = 'O'), 0) AS incoming,
+    round(coalesce((SELECT sum(value) FROM events v WHERE v.user_id = gone.user_id AND event_type = 'purchase' AND v.ts > TIMESTAMP '2024-01-01' AND v.ts <= TIMESTAMP '2024-01-31'), 0), 6) AS recent_sales FROM gone""",
+)
+def b23_out_of_stock_profile(spark, sf_dir):
+    """Incoming open lines of the supplier of that number, and 30 days of purchases, beside the notes."""
+    events, now = t(spark, sf_dir, "events"), F.lit("2024-01-31").cast("date")
+    gone = out_of_stock(events, "user_id", "ts", "event_id", F.col("event_type") == "error", now)
+    incoming = t(spark, sf_dir, "lineitem").where("l_linestatus = 'O'").select(F.col("l_suppkey").alias("user_id"), F.col("l_quantity").alias("quantity"))
+    rows = out_of_stock_profile(gone, "user_id", events, incoming, events.where("event_type = 'purchase'"), "ts", "value", now)
+    return rows.select("user_id", day_text("since").alias("since"), "days_out", "notes", "incoming", F.round("recent_sales", 6).alias("recent_sales"))
+
+
+def oos_label(missing: DataFrame, orders: DataFrame, bundles: DataFrame, product: str, order: str) -> DataFrame:
+    """Missing products with the orders of the lookback: REAL without any, IN-COMBO where a bundle holds it, else OVERLAPPING."""
+    n = orders.groupBy(product).agg(F.count_distinct(order).alias("orders"))
+    inside = bundles.select(product, F.lit(True).alias("_inside")).distinct()
+    rows = missing.select(product).join(n, product, "left").join(inside, product, "left").na.fill(0, ["orders"])
+    rules = [(F.col("orders") == 0, "REAL"), (F.col("_inside").isNotNull(), "IN-COMBO")]
+    return rows.select(product, R.classify(rules, "OVERLAPPING").alias("label"), "orders")
+
+
 @query(
     "b24_oos_label",
     """SELECT p_partkey, CASE WHEN n = 0 THEN 'REAL' WHEN p_partkey % 10 = 0 THEN 'IN-COMBO' ELSE 'OVERLAPPING' END AS label, n AS orders FROM (SELECT p_partkey, count(DISTINCT l_orderkey) AS n FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_shipdate > TIMESTAMP '2001-08-01' WHERE p_size < 10 GROUP BY 1)""",
 )
 def b24_oos_label(spark, sf_dir):
-    """Kinds of missing items with a lookback of orders."""
-    late = t(spark, sf_dir, "lineitem").where(F.col("l_shipdate") > F.lit("2001-08-01").cast("timestamp")).groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count_distinct("l_orderkey").alias("orders"))
-    rows = t(spark, sf_dir, "part").where("p_size < 10").join(late, "p_partkey", "left").na.fill(0, ["orders"])
-    return rows.select("p_partkey", R.classify([(F.col("orders") == 0, "REAL"), (F.col("p_partkey") % 10 == 0, "IN-COMBO")], "OVERLAPPING").alias("label"), "orders")
+    """Kinds of missing items with a lookback of orders; every tenth product is in a bundle."""
+    part = t(spark, sf_dir, "part")
+    late = t(spark, sf_dir, "lineitem").where(F.col("l_shipdate") > F.lit("2001-08-01").cast("timestamp"))
+    return oos_label(part.where("p_size < 10"), late.withColumnRenamed("l_partkey", "p_partkey"), part.where("p_partkey % 10 = 0"), "p_partkey", "l_orderkey")
+
+
+def nearly_out(stock: DataFrame, sales: DataFrame, product: str, available: str, quantity: str, periods: float) -> DataFrame:
+    """Products of which less is available than the mean demand of one of the `periods` that the sales cover."""
+    demand = sales.groupBy(product).agg((F.sum(quantity) / periods).alias("demand"))
+    return stock.join(demand, product).where(F.col(available) < F.col("demand"))
 
 
 @query("b25_nearly_oos", "SELECT p_partkey, round(demand, 6) AS demand FROM part JOIN (SELECT l_partkey, sum(l_quantity) / 80 AS demand FROM lineitem GROUP BY 1) ON l_partkey = p_partkey WHERE p_size < demand")
 def b25_nearly_oos(spark, sf_dir):
-    """Less available than the average demand of a month."""
-    demand = t(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg((F.sum("l_quantity") / 80).alias("demand"))
-    return t(spark, sf_dir, "part").join(demand, "p_partkey").where("p_size < demand").select("p_partkey", F.round("demand", 6).alias("demand"))
+    """Less available than the average demand of a month, over 80 months of sales."""
+    sales = t(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    rows = nearly_out(t(spark, sf_dir, "part"), sales, "p_partkey", "p_size", "l_quantity", 80)
+    return rows.select("p_partkey", F.round("demand", 6).alias("demand"))
+
+
+def expense_hierarchy(rows: DataFrame, sheet: str, line: str, head: Column, code: Column) -> DataFrame:
+    """Sheet rows with the nearest head above them in their sheet as `parent`, and a code cut out of a cell."""
+    return rows.withColumn("_head", head).withColumns({"parent": R.fill_forward("_head", [sheet], [line]), "code": code}).drop("_head")
 
 
 @query(
@@ -207,8 +257,14 @@ def b25_nearly_oos(spark, sf_dir):
 )
 def b53_expense_hierarchy(spark, sf_dir):
     """Parents of sheet rows filled downward."""
-    head = t(spark, sf_dir, "part").withColumn("head", F.when(F.col("p_partkey") % 10 == 0, F.col("p_name")))
-    return head.select("p_partkey", R.fill_forward("head", ["p_brand"], ["p_partkey"]).alias("parent"), C.part_at("p_brand", "#", 1).alias("code"))
+    head = F.when(F.col("p_partkey") % 10 == 0, F.col("p_name"))
+    return expense_hierarchy(t(spark, sf_dir, "part"), "p_brand", "p_partkey", head, C.part_at("p_brand", "#", 1)).select("p_partkey", "parent", "code")
+
+
+def status_then_and_now(changes: DataFrame, key: str, status: str, at: str, tie: str, then: Column) -> DataFrame:
+    """The status of each entity at its last change before a time, and at its last change of all."""
+    newest = lambda df, n: df.groupBy(key).agg(R.latest_value(status, at, tie).alias(n))
+    return newest(changes.where(F.col(at) < then), "before").join(newest(changes, "now"), key, "full")
 
 
 @query(
@@ -217,9 +273,16 @@ def b53_expense_hierarchy(spark, sf_dir):
 )
 def b59_month_end_status(spark, sf_dir):
     """The status at a day against now."""
-    events = t(spark, sf_dir, "events")
-    at = lambda df, n: df.groupBy("user_id").agg(R.latest_value("event_type", "ts", "event_id").alias(n))
-    return at(events.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp")), "before").join(at(events, "now"), "user_id", "full")
+    return status_then_and_now(t(spark, sf_dir, "events"), "user_id", "event_type", "ts", "event_id", F.lit("2024-01-16").cast("timestamp"))
+
+
+def stock_ageing(moves: DataFrame, product: str, at: str, picked: Column, as_of: Column, near: int = 90, far: int = 365) -> DataFrame:
+    """Products by days since the last pick (active, black over `near`, dead over `far` or never) and since the last put (I, II, III)."""
+    days = lambda c: F.datediff(as_of, F.max(F.when(c, F.col(at))))
+    rows = moves.groupBy(product).agg(days(picked).alias("pick"), days(~picked).alias("put"))
+    pick, put = F.col("pick"), F.col("put")
+    kind = R.classify([(pick.isNull() | (pick > far), "dead"), (pick > near, "black")], "active")
+    return rows.withColumns({"class": kind, "age": R.classify([(put <= near, "I"), (put <= far, "II")], "III")})
 
 
 @query(
@@ -228,20 +291,23 @@ def b59_month_end_status(spark, sf_dir):
     date_diff('day', max(l_shipdate) FILTER (WHERE l_returnflag <> 'R'), DATE '2001-11-04') AS put FROM lineitem GROUP BY 1)""",
 )
 def b61_stock_ageing(spark, sf_dir):
-    """Days since the last pick and put to classes."""
-    now, back = F.lit("2001-11-04").cast("date"), F.col("l_returnflag") == "R"
-    days = lambda c: F.datediff(now, F.max(F.when(c, F.col("l_shipdate"))))
-    rows = t(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(days(back).alias("pick"), days(~back).alias("put"))
-    pick, put = F.col("pick"), F.col("put")
-    return rows.select("l_partkey", R.classify([(pick.isNull() | (pick > 365), "dead"), (pick > 90, "black")], "active").alias("class"), R.classify([(put <= 90, "I"), (put <= 365, "II")], "III").alias("age"))
+    """Days since the last pick and put to classes; returned lines are picks."""
+    rows = stock_ageing(t(spark, sf_dir, "lineitem"), "l_partkey", "l_shipdate", F.col("l_returnflag") == "R", F.lit("2001-11-04").cast("date"))
+    return rows.select("l_partkey", "class", "age")
+
+
+def location_flow(locations: DataFrame, stock_in: DataFrame, stock_out: DataFrame, location: str, quantity: str) -> DataFrame:
+    """Total in, total out and what is there now for each listed location, zero where nothing moved."""
+    flow = stock_balance(stock_in, stock_out, [location], quantity).withColumnRenamed("balance", "now").drop("only")
+    return locations.select(location).join(flow, location, "left").na.fill(0.0)
 
 
 @query(
     "b63_damage_flow",
-    f"""WITH {_BALANCE} SELECT s_suppkey, coalesce(sum(total_in), 0) AS total_in, coalesce(sum(total_out), 0) AS total_out, coalesce(sum(total_in - total_out), 0) AS now FROM supplier LEFT JOIN bal ON l_suppkey = s_suppkey WHERE s_suppkey % 5 = 0 GROUP BY 1""",
+    f"""WITH {_BALANCE} SELECT s_suppkey, coalesce(sum(total_in), 0) AS total_in, coalesce(sum(total_out), 0) AS total_out, coalesce(sum(total_in - total_out), 0) AS now FROM supplier LEFT JOIN bal ON l_suppkey = s_suppkey WHERE s_acctbal < 5000 GROUP BY 1""",
 )
 def b63_damage_flow(spark, sf_dir):
-    """Stock, in and out for a list of locations."""
-    flow = stock_balance(*_flows(spark, sf_dir), ["l_suppkey"], "l_quantity").withColumnRenamed("l_suppkey", "s_suppkey")
-    listed = t(spark, sf_dir, "supplier").where("s_suppkey % 5 = 0").select("s_suppkey")
-    return listed.join(flow, "s_suppkey", "left").na.fill(0.0).select("s_suppkey", "total_in", "total_out", F.col("balance").alias("now"))
+    """Stock, in and out for a list of locations; suppliers of a low balance are the damage locations."""
+    stock_in, stock_out = (df.withColumnRenamed("l_suppkey", "s_suppkey") for df in _flows(spark, sf_dir))
+    listed = t(spark, sf_dir, "supplier").where("s_acctbal < 5000")
+    return location_flow(listed, stock_in, stock_out, "s_suppkey", "l_quantity").select("s_suppkey", "total_in", "total_out", "now")

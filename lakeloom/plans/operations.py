@@ -67,6 +67,11 @@ def b40_backlog_ageing(spark, sf_dir):
     return backlog_ageing(open_, "o_orderdate", F.lit("2001-08-01 10:30:00").cast("timestamp")).select("o_orderkey", "age_hours", "age_code")
 
 
+def expand_rules(rules: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
+    """One row for each whole number of a rule's range, both ends included; a rule whose end is before its start or null gives none."""
+    return rules.where(low <= high).withColumn(name, F.explode(F.sequence(low, high)))
+
+
 @query(
     "b41_expand_rules",
     """SELECT s_suppkey, h AS hour, count(event_id) AS events FROM (SELECT s_suppkey, unnest(generate_series(CAST(s_suppkey % 12 AS INTEGER), CAST(s_suppkey % 12 + 6 AS INTEGER))) AS h FROM supplier) LEFT JOIN events ON user_id = s_suppkey AND hour(ts) = h GROUP BY ALL""",
@@ -74,7 +79,7 @@ def b40_backlog_ageing(spark, sf_dir):
 def b41_expand_rules(spark, sf_dir):
     """One row for each hour of a rule's range."""
     low = (F.col("s_suppkey") % 12).cast("int")
-    rules = t(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.sequence(low, low + 6)).alias("hour"))
+    rules = expand_rules(t(spark, sf_dir, "supplier").select("s_suppkey"), low, low + 6, "hour")
     n = t(spark, sf_dir, "events").groupBy(F.col("user_id").alias("s_suppkey"), F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("events"))
     return rules.join(n, ["s_suppkey", "hour"], "left").na.fill(0, ["events"])
 
@@ -104,15 +109,33 @@ def b42_cutoff_route(spark, sf_dir):
     return cutoff_route(t(spark, sf_dir, "events"), routes, "event_id", "ts")
 
 
+def productivity(stages: dict[str, DataFrame], worker: str, flags: dict[str, Column] | None = None) -> DataFrame:
+    """Tickets of all stages by worker and stage, with the number of each flag, ranked within the stage."""
+    rows = reduce(DataFrame.unionByName, (df.withColumn("stage", F.lit(n)) if n else df for n, df in stages.items()))
+    counts = [F.count(F.lit(1)).alias("n"), *(F.count_if(c).alias(n) for n, c in (flags or {}).items())]
+    sums = rows.groupBy(worker, "stage").agg(*counts)
+    return sums.withColumn("place", F.rank().over(W.partitionBy("stage").orderBy(F.col("n").desc())))
+
+
 @query(
     "b43_productivity",
-    """SELECT worker, stage, n, rank() OVER (PARTITION BY stage ORDER BY n DESC) AS place FROM (SELECT l_suppkey AS worker, 'ship' AS stage, count(*) AS n FROM lineitem GROUP BY 1 UNION ALL SELECT o_custkey % 50, 'order', count(*) FROM orders GROUP BY 1 UNION ALL SELECT user_id, event_type, count(*) FROM events GROUP BY ALL)""",
+    """SELECT worker, stage, n, late, rank() OVER (PARTITION BY stage ORDER BY n DESC) AS place FROM (SELECT l_suppkey AS worker, 'ship' AS stage, count(*) AS n, count(*) FILTER (WHERE l_linestatus = 'O') AS late FROM lineitem GROUP BY 1
+    UNION ALL SELECT o_custkey % 50, 'order', count(*), count(*) FILTER (WHERE o_orderstatus = 'O') FROM orders GROUP BY 1 UNION ALL SELECT user_id, event_type, count(*), count(*) FILTER (WHERE value > 50) FROM events GROUP BY ALL)""",
 )
 def b43_productivity(spark, sf_dir):
-    """Tickets of all stages, ranked by worker."""
-    stages = [t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("worker"), F.lit("ship").alias("stage")), t(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("worker"), F.lit("order").alias("stage")), t(spark, sf_dir, "events").select(F.col("user_id").alias("worker"), F.col("event_type").alias("stage"))]
-    n = reduce(DataFrame.unionByName, stages).groupBy("worker", "stage").agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("place", F.rank().over(W.partitionBy("stage").orderBy(F.col("n").desc())))
+    """Tickets of all stages with a flag, ranked by worker."""
+    ships = t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("worker"), (F.col("l_linestatus") == "O").alias("is_late"))
+    orders = t(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("worker"), (F.col("o_orderstatus") == "O").alias("is_late"))
+    events = t(spark, sf_dir, "events").select(F.col("user_id").alias("worker"), (F.col("value") > 50).alias("is_late"), F.col("event_type").alias("stage"))
+    return productivity({"ship": ships, "order": orders, "": events}, "worker", {"late": F.col("is_late")})
+
+
+def ticket_sla(tickets: DataFrame, owner: str, done: str, due: Column, feedback: str, newest_by: list[str]) -> DataFrame:
+    """Tickets done in time and late by owner, and the feedback of the newest one."""
+    late = F.col(done) > due
+    return tickets.groupBy(owner).agg(
+        F.count_if(~late).alias("on_time"), F.count_if(late).alias("late"), F.max_by(feedback, F.struct(*newest_by)).alias("last_flag")
+    )
 
 
 @query(
@@ -122,9 +145,8 @@ def b43_productivity(spark, sf_dir):
 def b44_ticket_sla(spark, sf_dir):
     """On time or late against the due time, and the newest feedback."""
     rows = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
-    late = F.col("l_shipdate") > F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")
-    newest = F.max_by("l_returnflag", F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"))
-    return rows.groupBy("l_suppkey").agg(F.count_if(~late).alias("on_time"), F.count_if(late).alias("late"), newest.alias("last_flag"))
+    due = F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")
+    return ticket_sla(rows, "l_suppkey", "l_shipdate", due, "l_returnflag", ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"])
 
 
 def care_followup(tasks: DataFrame, orders: DataFrame, key: str, task: str, at: str, days: int = 7, cancelled: str = "P") -> DataFrame:
