@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,15 +44,22 @@ def customer_month_label(orders: DataFrame, cancelled: str = "P") -> DataFrame:
     return months.withColumn("label", F.when(gap.isNull(), "New").when(gap > 1, "Reacquired").otherwise("Repeat"))
 
 
-def order_fact(orders: DataFrame, items: DataFrame, cancelled: str = "P") -> DataFrame:
-    """One row an order: money by status, latest shipping, and the label of its customer's month, which all orders of the month share."""
+def order_fact(orders: DataFrame, items: DataFrame, cancelled: str = "P", ratings: DataFrame | None = None) -> DataFrame:
+    """One row an order: money by status, latest shipping, and the label of its customer's month, which all orders of the month share.
+
+    `ratings` (o_orderkey, rating, rated_at) adds each order's newest rating; of equal times the greater one.
+    """
     sums = items.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(exact_net()).cast("double").alias("net"), F.max("l_shipdate").alias("last_ship"))
     live = F.col("o_orderstatus") != cancelled
     months = customer_month_label(orders, cancelled)
     rows = orders.withColumn("month", F.trunc("o_orderdate", "month")).join(months, ["o_custkey", "month"], "left").join(sums, "o_orderkey", "left")
+    rating = []
+    if ratings is not None:
+        newest = ratings.groupBy("o_orderkey").agg(R.latest_value("rating", "rated_at", "rating").alias("rating"))
+        rows, rating = rows.join(newest, "o_orderkey", "left"), ["rating"]
     return rows.select(
         "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("gmv"), F.when(live, F.round("o_totalprice", 2)).otherwise(0.0).alias("gmv_live"),
-        F.when(F.col("o_orderstatus") == "F", F.col("net")).otherwise(0.0).alias("fulfilled"), day_text("last_ship").alias("last_ship"), "label",
+        F.when(F.col("o_orderstatus") == "F", F.col("net")).otherwise(0.0).alias("fulfilled"), day_text("last_ship").alias("last_ship"), "label", *rating,
     )
 
 
@@ -126,12 +135,19 @@ def b7_unit_conversion(spark, sf_dir):
 
 
 def strategic_measures(orders: DataFrame, items: DataFrame, grain: Column) -> DataFrame:
-    """Measures by period in long form: GMV before and after cancelled orders, fulfilled value, backlog and counts."""
+    """Measures by period in long form: GMV before and after cancelled orders, NMV (net of discounts and returned lines), fulfilled value, backlog, orders and their deliveries (DO: an order's days of shipping)."""
     money, status = F.col("o_totalprice"), F.col("o_orderstatus")
     a = orders.groupBy(grain.alias("period")).agg(
         F.round(F.sum(money), 2).alias("gmv_before_cancel"), F.round(F.sum(F.when(status != "P", money)), 2).alias("gmv_after_cancel"), F.round(F.sum(F.when(status == "F", money)), 2).alias("fulfilled"),
         F.count_if(status == "O").cast("double").alias("backlog"), F.count(F.lit(1)).cast("double").alias("so_count"),
     )
+    sold = orders.where(status != "P").select("o_orderkey", grain.alias("period")).join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+    kept = F.when(F.col("l_returnflag") != "R", exact_net())
+    b = sold.groupBy("period").agg(
+        F.coalesce(F.sum(kept).cast("double"), F.lit(0.0)).alias("nmv"),
+        F.count_distinct("o_orderkey", F.to_date("l_shipdate")).cast("double").alias("do_count"),
+    )
+    a = a.join(b, "period", "left").na.fill(0.0, ["nmv", "do_count"])
     return R.unpivot(a, ["period"], [c for c in a.columns if c != "period"])
 
 
@@ -139,7 +155,10 @@ def strategic_measures(orders: DataFrame, items: DataFrame, grain: Column) -> Da
     "b13_strategic_measures",
     """SELECT period, measure, value FROM (SELECT strftime(o_orderdate, '%Y-%m') AS period, round(sum(o_totalprice), 2) AS gmv_before_cancel, round(sum(o_totalprice) FILTER (WHERE o_orderstatus <> 'P'), 2) AS gmv_after_cancel,
     round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 2) AS fulfilled, CAST(count(*) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE) AS backlog, CAST(count(*) AS DOUBLE) AS so_count FROM orders GROUP BY 1)
-    UNPIVOT (value FOR measure IN (gmv_before_cancel, gmv_after_cancel, fulfilled, backlog, so_count))""",
+    UNPIVOT (value FOR measure IN (gmv_before_cancel, gmv_after_cancel, fulfilled, backlog, so_count))
+    UNION ALL SELECT period, measure, value FROM (SELECT period, coalesce(nmv, 0) AS nmv, coalesce(do_count, 0) AS do_count FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS period FROM orders) LEFT JOIN
+    (SELECT strftime(o_orderdate, '%Y-%m') AS period, CAST(sum(CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) END) AS DOUBLE) AS nmv,
+    CAST(count(DISTINCT (o_orderkey, CAST(l_shipdate AS DATE))) AS DOUBLE) AS do_count FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY 1) USING (period)) UNPIVOT (value FOR measure IN (nmv, do_count))""",
 )
 def b13_strategic_measures(spark, sf_dir):
     return strategic_measures(t(spark, sf_dir, "orders"), t(spark, sf_dir, "lineitem"), F.date_format("o_orderdate", "yyyy-MM"))
@@ -180,10 +199,48 @@ def b26_price_resolution(spark, sf_dir):
     return out.select("p_partkey", "final", "winner")
 
 
+def valid_prices(products: DataFrame, offers: DataFrame, key: str, region: str, at: Column) -> DataFrame:
+    """The lowest offer that holds for each product row: of its product, of its region or of all (null or '00'), in its validity window.
+
+    `offers` has the key, the region, price, start_time and end_time (null: open). The region rule is a union of equal joins.
+    """
+    live = offers.where((F.col("start_time") <= at) & (F.col("end_time").isNull() | (F.col("end_time") >= at)))
+    met = R.exact_or_any_join(products.select(key, region).distinct(), live, [key], region)
+    return met.groupBy(key, region).agg(F.min("price").alias("price"))
+
+
+@query(
+    "b26_region_prices",
+    """WITH shop AS (SELECT p_partkey, r_regionkey AS region, p_retailprice FROM part, region WHERE p_partkey % 5 = r_regionkey),
+    offer AS (SELECT l_partkey AS k, CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '00' ELSE CAST(l_linenumber % 5 AS VARCHAR) END AS region, l_extendedprice / l_quantity AS price, l_shipdate AS a,
+    CASE WHEN l_linenumber = 3 THEN NULL ELSE l_shipdate + INTERVAL 2 YEAR END AS b FROM lineitem WHERE l_discount >= 0.05),
+    deal AS (SELECT p_partkey, shop.region, min(price) AS deal FROM shop JOIN offer ON k = p_partkey AND (offer.region IS NULL OR offer.region = '00' OR offer.region = CAST(shop.region AS VARCHAR))
+    WHERE a <= TIMESTAMP '2001-01-01' AND (b IS NULL OR b >= TIMESTAMP '2001-01-01') GROUP BY ALL)
+    SELECT p_partkey, least(deal, p_retailprice) AS final, CASE WHEN deal = least(deal, p_retailprice) THEN 'deal' ELSE 'base' END AS winner FROM shop LEFT JOIN deal USING (p_partkey, region)""",
+)
+def b26_region_prices(spark, sf_dir):
+    """Offers by region or for all, within their window; a part is sold in the region of its number."""
+    shops = t(spark, sf_dir, "part").withColumn("region", (F.col("p_partkey") % 5).cast("string"))
+    shops = shops.join(t(spark, sf_dir, "region").select(F.col("r_regionkey").cast("string").alias("region")), "region", "left_semi")
+    number = F.col("l_linenumber")
+    code = F.when(number == 1, F.lit(None)).when(number == 2, "00").otherwise((number % 5).cast("string"))
+    end = F.when(number != 3, F.col("l_shipdate") + F.expr("INTERVAL 2 YEARS"))
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    lines = t(spark, sf_dir, "lineitem").where("l_discount >= 0.05")
+    offers = lines.select(F.col("l_partkey").alias("p_partkey"), code.alias("region"), price.alias("price"), F.col("l_shipdate").alias("start_time"), end.alias("end_time"))
+    deals = valid_prices(shops, offers, "p_partkey", "region", F.lit("2001-01-01").cast("timestamp"))
+    return resolve_price(shops, {"deal": deals.select("p_partkey", "price")}, "p_partkey", "p_retailprice").select("p_partkey", "final", "winner")
+
+
+def price_frequency(items: DataFrame, product: str, price: Column, at: str, order: str, band: float = 100) -> DataFrame:
+    """Orders by product, price band and month."""
+    keys = F.col(product), F.floor(price / band).alias("price_band"), F.date_format(at, "yyyy-MM").alias("month")
+    return items.groupBy(*keys).agg(F.count_distinct(order).alias("orders"))
+
+
 @query("b27_price_frequency", "SELECT l_partkey, CAST(floor(l_extendedprice / l_quantity / 100) AS BIGINT) AS price_band, strftime(l_shipdate, '%Y-%m') AS month, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY ALL")
 def b27_price_frequency(spark, sf_dir):
-    band = F.floor(F.col("l_extendedprice") / F.col("l_quantity") / 100)
-    return t(spark, sf_dir, "lineitem").groupBy("l_partkey", band.alias("price_band"), F.date_format("l_shipdate", "yyyy-MM").alias("month")).agg(F.count_distinct("l_orderkey").alias("orders"))
+    return price_frequency(t(spark, sf_dir, "lineitem"), "l_partkey", F.col("l_extendedprice") / F.col("l_quantity"), "l_shipdate", "l_orderkey")
 
 
 def margin(items: DataFrame, bills: DataFrame, purchases: DataFrame, product: str, at: str) -> DataFrame:
@@ -215,32 +272,90 @@ def b28_margin(spark, sf_dir):
     return rows.groupBy("cost_from").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(profit), 3).alias("profit"))
 
 
+def profit_lines(
+    rows: DataFrame, rebates: DataFrame, fees: DataFrame, product: str, seller: str, at: str, price: Column, quantity: str
+) -> DataFrame:
+    """margin() lines with the rest of the waterfall: cost less the best rebate that runs on the day, the seller's fee, and the profit.
+
+    `rebates` has the product, start, end (null: open) and rate; `fees` has the seller and fee_rate. A line without a cost has no profit.
+    """
+    days = rows.select("line", product, F.to_date(at).alias("_day"))
+    best = R.interval_join(days, rebates, [product], "_day", "start", "end").groupBy("line").agg(F.max("rate").alias("rebate_rate"))
+    out = rows.join(best, "line", "left").join(fees.select(seller, "fee_rate"), seller, "left").na.fill(0.0, ["rebate_rate", "fee_rate"])
+    cost = F.col("cost") * (1 - F.col("rebate_rate"))
+    fee = price * F.col("fee_rate")
+    return out.withColumns({"net_cost": cost, "fee": fee, "profit": (price - cost - fee) * F.col(quantity)})
+
+
+@query(
+    "b28_profit_lines",
+    """WITH item AS (SELECT *, l_extendedprice / l_quantity AS price FROM lineitem), told AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, price, price * 0.8 AS cost,
+    CASE WHEN l_partkey % 3 = 0 AND CAST(l_shipdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' THEN 0.05 ELSE 0 END AS rebate, (l_suppkey % 4) / 100.0 AS fee_rate FROM item WHERE l_linenumber = 1)
+    SELECT l_orderkey, l_partkey, l_suppkey, round(sum(cost * (1 - rebate) * l_quantity), 6) AS net_cost, round(sum(price * fee_rate * l_quantity), 6) AS fee, round(sum((price - cost * (1 - rebate) - price * fee_rate) * l_quantity), 6) AS profit FROM told GROUP BY ALL""",
+)
+def b28_profit_lines(spark, sf_dir):
+    """Rebate and seller's fee by line; billed lines, a rebate of two years on every third product, fees by supplier."""
+    items = items_of(spark, sf_dir).where("l_linenumber = 1")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    bills = items.groupBy("line").agg(F.min(price * 0.8).alias("bill_cost"))
+    purchases = items.select("l_partkey", F.col("l_shipdate").alias("cost_at"), (price * 0.8).alias("cost")).where("false")
+    day = lambda d: F.lit(d).cast("date")
+    parts = t(spark, sf_dir, "part").where("p_partkey % 3 = 0")
+    rebates = parts.select(F.col("p_partkey").alias("l_partkey"), day("1997-01-01").alias("start"), day("1998-12-31").alias("end"), F.lit(0.05).alias("rate"))
+    fees = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_suppkey") % 4 / 100.0).alias("fee_rate"))
+    rows = profit_lines(margin(items, bills, purchases, "l_partkey", "l_shipdate"), rebates, fees, "l_partkey", "l_suppkey", "l_shipdate", price, "l_quantity")
+    sums = {"net_cost": F.col("net_cost") * F.col("l_quantity"), "fee": F.col("fee") * F.col("l_quantity"), "profit": F.col("profit")}
+    return rows.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(*(F.round(F.sum(c), 6).alias(n) for n, c in sums.items()))
+
+
+def net_margin(items: DataFrame, keys: list[str], value: Column, returned: Column) -> DataFrame:
+    """Sold and returned value by key (an order, or an order's line), from two aggregates and a full join."""
+    sold = items.where(~returned).groupBy(*keys).agg(F.sum(value).cast("double").alias("sold"))
+    back = items.where(returned).groupBy(*keys).agg(F.sum(value).cast("double").alias("returned"))
+    return sold.join(back, keys, "full").na.fill(0.0, ["returned"])
+
+
 @query(
     "b29_net_margin",
-    """SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) FILTER (WHERE l_returnflag <> 'R') AS DOUBLE) AS sold, coalesce(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) FILTER (WHERE l_returnflag = 'R') AS DOUBLE), 0) AS returned FROM lineitem GROUP BY 1""",
+    """SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) FILTER (WHERE l_returnflag <> 'R') AS DOUBLE) AS sold, coalesce(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) FILTER (WHERE l_returnflag = 'R') AS DOUBLE), 0) AS returned FROM lineitem GROUP BY ALL""",
 )
 def b29_net_margin(spark, sf_dir):
-    """Sales by order net of returns, from two aggregates and a full join."""
-    items, net = t(spark, sf_dir, "lineitem"), exact_net()
-    sold = items.where("l_returnflag <> 'R'").groupBy("l_orderkey").agg(F.sum(net).cast("double").alias("sold"))
-    back = items.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.sum(net).cast("double").alias("returned"))
-    return sold.join(back, "l_orderkey", "full").na.fill(0.0, ["returned"])
+    """Sales by line net of returns."""
+    return net_margin(t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], exact_net(), F.col("l_returnflag") == "R")
+
+
+def rebate_progress(rebates: DataFrame, bought: DataFrame, sold: DataFrame, key: str, at: str, value: str, quantity: str) -> DataFrame:
+    """What was bought and what was sold within each rebate's window, in its unit (value or quantity), and both as a percentage of its goal.
+
+    `rebates` has the key, start, end, unit and goal; a rebate without any movement has zeros.
+    """
+    unit = F.col("unit") == "value"
+
+    def within(rows: DataFrame, name: str) -> DataFrame:
+        met = R.interval_join(rows.withColumn("_day", F.to_date(at)), rebates, [key], "_day", "start", "end")
+        return met.groupBy(key, "start").agg(F.sum(F.when(unit, F.col(value)).otherwise(F.col(quantity))).alias(name))
+
+    out = rebates.join(within(bought, "bought"), [key, "start"], "left").join(within(sold, "sold"), [key, "start"], "left")
+    out = out.na.fill(0.0, ["bought", "sold"])
+    return out.withColumns({f"{c}_percent": F.col(c) / F.col("goal") * 100 for c in ("bought", "sold")})
 
 
 @query(
     "b31_rebate_progress",
-    """WITH rebate AS (SELECT s_suppkey AS k, DATE '1998-01-01' + CAST(s_suppkey % 12 AS INTEGER) * 30 AS a, CASE WHEN s_suppkey % 2 = 0 THEN 'value' ELSE 'quantity' END AS unit, 1000000.0 AS goal FROM supplier)
-    SELECT k AS s_suppkey, unit, round(CASE WHEN unit = 'value' THEN sum(l_extendedprice) ELSE sum(l_quantity) END, 2) AS reached, round(CASE WHEN unit = 'value' THEN sum(l_extendedprice) ELSE sum(l_quantity) END / goal * 100, 4) AS percent
-    FROM rebate JOIN lineitem ON l_suppkey = k AND CAST(l_shipdate AS DATE) BETWEEN a AND a + 365 GROUP BY k, unit, goal""",
+    """WITH rebate AS (SELECT s_suppkey AS k, DATE '1998-01-01' + CAST(s_suppkey % 12 AS INTEGER) * 30 AS a, CASE WHEN s_suppkey % 2 = 0 THEN 'value' ELSE 'quantity' END AS unit, 1000000.0 AS goal FROM supplier),
+    told AS (SELECT k, unit, goal, coalesce(sum(CASE WHEN unit = 'value' THEN l_extendedprice ELSE l_quantity END) FILTER (WHERE l_returnflag <> 'R'), 0) AS bought,
+    coalesce(sum(CASE WHEN unit = 'value' THEN l_extendedprice ELSE l_quantity END) FILTER (WHERE l_returnflag = 'R'), 0) AS sold FROM rebate LEFT JOIN lineitem ON l_suppkey = k AND CAST(l_shipdate AS DATE) BETWEEN a AND a + 365 GROUP BY ALL)
+    SELECT k AS s_suppkey, unit, round(bought, 2) AS bought, round(sold, 2) AS sold, round(bought / goal * 100, 4) AS bought_percent, round(sold / goal * 100, 4) AS sold_percent FROM told""",
 )
 def b31_rebate_progress(spark, sf_dir):
-    """Value or quantity within a rebate's window against its target."""
+    """Bought and sold within a rebate's window against its goal; returned lines stand for sold ones."""
     start = F.date_add(F.lit("1998-01-01").cast("date"), (F.col("s_suppkey") % 12 * 30).cast("int"))
-    rebates = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), start.alias("a"), F.date_add(start, 365).alias("b"), F.when(F.col("s_suppkey") % 2 == 0, "value").otherwise("quantity").alias("unit"), F.lit(1e6).alias("goal"))
-    rows = R.interval_join(t(spark, sf_dir, "lineitem").withColumn("d", F.to_date("l_shipdate")), rebates, ["l_suppkey"], "d", "a", "b")
-    reached = F.when(F.col("unit") == "value", F.sum("l_extendedprice")).otherwise(F.sum("l_quantity"))
-    sums = rows.groupBy(F.col("l_suppkey").alias("s_suppkey"), "unit", "goal").agg(reached.alias("r"))
-    return sums.select("s_suppkey", "unit", F.round("r", 2).alias("reached"), F.round(F.col("r") / F.col("goal") * 100, 4).alias("percent"))
+    unit = F.when(F.col("s_suppkey") % 2 == 0, "value").otherwise("quantity")
+    rebates = t(spark, sf_dir, "supplier").select("s_suppkey", start.alias("start"), F.date_add(start, 365).alias("end"), unit.alias("unit"), F.lit(1e6).alias("goal"))
+    items = t(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "s_suppkey")
+    rows = rebate_progress(rebates, items.where("l_returnflag <> 'R'"), items.where("l_returnflag = 'R'"), "s_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
+    rounded = {"bought": 2, "sold": 2, "bought_percent": 4, "sold_percent": 4}
+    return rows.select("s_suppkey", "unit", *(F.round(c, n).alias(c) for c, n in rounded.items()))
 
 
 def voucher_allocation(orders: DataFrame, vouchers: str, order: str, gmv: str) -> DataFrame:
@@ -271,17 +386,24 @@ def b32_voucher_allocation(spark, sf_dir):
     return rows.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("gmv_share"), 3).alias("gmv_share"))
 
 
+def voucher_usage(issued: DataFrame, used: DataFrame, code: str, order: str) -> DataFrame:
+    """Vouchers with how often each was issued (`issued`), used and remains, and its status."""
+    n = used.groupBy(code).agg(F.count_distinct(order).alias("used"))
+    rows = issued.select(code, "issued").join(n, code, "left").na.fill(0, ["used"])
+    status = R.classify([(F.col("used") == 0, "unused"), (F.col("used") >= F.col("issued"), "used up")], "active")
+    return rows.withColumns({"remaining": F.col("issued") - F.col("used"), "status": status})
+
+
 @query(
     "b33_voucher_usage",
     f"""WITH {_VOUCHER} SELECT concat('V', i) AS code, i * 5000 AS issued, coalesce(used, 0) AS used, i * 5000 - coalesce(used, 0) AS remaining, CASE WHEN coalesce(used, 0) = 0 THEN 'unused' WHEN coalesce(used, 0) >= i * 5000 THEN 'used up' ELSE 'active' END AS status
     FROM (SELECT unnest(generate_series(1, 9)) AS i) LEFT JOIN (SELECT code, count(DISTINCT o_orderkey) AS used FROM voucher GROUP BY 1) ON code = concat('V', i)""",
 )
 def b33_voucher_usage(spark, sf_dir):
-    """Issued, used and remaining."""
-    used = voucher_allocation(_vouchers(spark, sf_dir), "vouchers", "o_orderkey", "o_totalprice").groupBy("code").agg(F.count_distinct("o_orderkey").alias("used"))
+    """Issued, used and remaining; each code is issued 5,000 times its number."""
+    rows = voucher_allocation(_vouchers(spark, sf_dir), "vouchers", "o_orderkey", "o_totalprice")
     issued = spark.range(1, 10).select(F.concat(F.lit("V"), "id").alias("code"), (F.col("id") * 5000).alias("issued"))
-    out = issued.join(used, "code", "left").na.fill(0, ["used"])
-    return out.select("code", "issued", "used", (F.col("issued") - F.col("used")).alias("remaining"), R.classify([(F.col("used") == 0, "unused"), (F.col("used") >= F.col("issued"), "used up")], "active").alias("status"))
+    return voucher_usage(issued, rows, "code", "o_orderkey")
 
 
 def threshold_reached(facts: DataFrame, entity: str, order: list[str], value: str, threshold: float) -> DataFrame:
@@ -306,6 +428,14 @@ def b34_gamification(spark, sf_dir):
     return done.join(eligible, "o_custkey", "left_semi").select("o_custkey", day_text("o_orderdate").alias("completed"))
 
 
+def seller_performance(items: DataFrame, orders: DataFrame, order: str, seller: str, at: str, shipped: str, status: str, since: Column) -> DataFrame:
+    """Orders, fill rate, cancel rate and mean days from order to shipping by seller, over orders after `since`."""
+    rows = items.join(orders.where(F.col(at) > since), order)
+    rate = lambda s: F.try_divide(F.count_if(F.col(status) == s), F.count(F.lit(1)))
+    lead = F.avg(F.datediff(shipped, at)).alias("lead_days")
+    return rows.groupBy(seller).agg(F.count_distinct(order).alias("orders"), rate("F").alias("fill_rate"), rate("P").alias("cancel_rate"), lead)
+
+
 @query(
     "b46_seller_performance",
     """SELECT l_suppkey, count(DISTINCT l_orderkey) AS orders, round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 6) AS fill_rate, round(count(*) FILTER (WHERE o_orderstatus = 'P') / count(*), 6) AS cancel_rate,
@@ -313,10 +443,20 @@ def b34_gamification(spark, sf_dir):
 )
 def b46_seller_performance(spark, sf_dir):
     """Rates and lead time over 90 days."""
-    late = t(spark, sf_dir, "orders").where(F.col("o_orderdate") > F.lit("2001-05-03").cast("timestamp"))
-    rows = t(spark, sf_dir, "lineitem").join(late, F.col("o_orderkey") == F.col("l_orderkey"))
-    rate = lambda s: F.round(F.try_divide(F.count_if(F.col("o_orderstatus") == s), F.count(F.lit(1))), 6)
-    return rows.groupBy("l_suppkey").agg(F.count_distinct("l_orderkey").alias("orders"), rate("F").alias("fill_rate"), rate("P").alias("cancel_rate"), F.round(F.avg(F.datediff("l_shipdate", "o_orderdate")), 6).alias("lead_days"))
+    items = t(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    since = F.lit("2001-05-03").cast("timestamp")
+    rows = seller_performance(items, t(spark, sf_dir, "orders"), "o_orderkey", "l_suppkey", "o_orderdate", "l_shipdate", "o_orderstatus", since)
+    return rows.select("l_suppkey", "orders", *(F.round(c, 6).alias(c) for c in ("fill_rate", "cancel_rate", "lead_days")))
+
+
+def substitutes(products: DataFrame, product: str, alike: list[str], size: str, near: int = 2) -> DataFrame:
+    """Each two products that are alike in all the given columns, once, with the kind of relation by size. Choose columns that part the products finely: the result has a row for each pair."""
+    own = products.select(product, *alike, size)
+    other = own.select(*alike, F.col(product).alias("other"), F.col(size).alias("_size"))
+    gap = F.abs(F.col(size) - F.col("_size"))
+    pairs = own.join(other, alike).where(F.col(product) < F.col("other"))
+    kind = R.classify([(gap == 0, "same size"), (gap <= near, "near size")], "other size")
+    return pairs.select(F.col(product).alias("product"), "other", kind.alias("relation"))
 
 
 @query(
@@ -325,11 +465,38 @@ def b46_seller_performance(spark, sf_dir):
 )
 def b47_substitutes(spark, sf_dir):
     """Products of one brand and type, with the kind of relation."""
-    part = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    other = part.select("p_brand", "p_type", F.col("p_partkey").alias("other"), F.col("p_size").alias("other_size"))
-    gap = F.abs(F.col("p_size") - F.col("other_size"))
-    pairs = part.join(other, ["p_brand", "p_type"]).where("p_partkey < other")
-    return pairs.select(F.col("p_partkey").alias("product"), "other", R.classify([(gap == 0, "same size"), (gap <= 2, "near size")], "other size").alias("relation"))
+    return substitutes(t(spark, sf_dir, "part"), "p_partkey", ["p_brand", "p_type"], "p_size")
+
+
+def sell_out(items: DataFrame, blocked: DataFrame, customer: str, at: str, keys: list[str], quantity: str, at_least: float) -> DataFrame:
+    """Monthly sell-out by key, less blocked customers, of groups over a least quantity."""
+    rows = R.not_in(items, blocked, customer)
+    sums = rows.groupBy(F.date_format(at, "yyyy-MM").alias("month"), *keys).agg(F.count_distinct(customer).alias("customers"), F.sum(quantity).alias("quantity"))
+    return sums.where(F.col("quantity") > at_least)
+
+
+def nested_detail(orders: DataFrame, order: str, detail: str) -> DataFrame:
+    """One row for each scan of each pick of each item, from JSON of three levels; an item without picks and a pick without scans keep one row with nulls."""
+    kind = "struct<sku:string,picks:array<struct<bin:string,scans:array<struct<code:string,n:long>>>>>"
+    rows = orders.select(order, F.explode_outer(C.json_array(detail, kind)).alias("i"))
+    rows = rows.select(order, "i.sku", F.explode_outer("i.picks").alias("p")).select(order, "sku", "p.bin", F.explode_outer("p.scans").alias("s"))
+    return rows.select(order, "sku", "bin", "s.code", "s.n")
+
+
+@query(
+    "b51_nested_detail",
+    """SELECT l_orderkey AS k, concat('P', l_partkey) AS sku, CASE WHEN l_linenumber % 3 <> 0 THEN concat('B', l_suppkey) END AS bin, CASE WHEN l_linenumber % 3 = 1 THEN concat('S', s) END AS code, CASE WHEN l_linenumber % 3 = 1 THEN s * l_linenumber END AS n
+    FROM lineitem, (VALUES (1), (2)) v(s) WHERE l_linenumber % 3 = 1 OR s = 1""",
+)
+def b51_nested_detail(spark, sf_dir):
+    """Picks and scans nested in JSON; every third line has none, every third a pick without scans."""
+    number, line = F.col("l_linenumber") % 3, F.col("l_linenumber").cast("long")
+    scan = lambda s: F.struct(F.lit(f"S{s}").alias("code"), (line * s).alias("n"))
+    scans = F.when(number == 1, F.array(scan(1), scan(2)))
+    picks = F.when(number != 0, F.array(F.struct(F.concat(F.lit("B"), "l_suppkey").alias("bin"), scans.alias("scans"))))
+    item = F.struct(F.concat(F.lit("P"), "l_partkey").alias("sku"), picks.alias("picks"))
+    orders = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.to_json(F.collect_list(item)).alias("detail"))
+    return nested_detail(orders, "k", "detail")
 
 
 @query(
@@ -340,22 +507,66 @@ def b47_substitutes(spark, sf_dir):
 def b51_data_share(spark, sf_dir):
     """A filtered monthly sell-out."""
     items = t(spark, sf_dir, "lineitem").where((F.col("l_returnflag") != "R") & (F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp")))
-    people = t(spark, sf_dir, "customer")
-    people = R.not_in(people, people.where("c_acctbal < 0"), "c_custkey")
-    rows = items.join(t(spark, sf_dir, "orders").where("o_orderstatus <> 'P'"), F.col("o_orderkey") == F.col("l_orderkey")).join(people, F.col("c_custkey") == F.col("o_custkey")).join(t(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).join(t(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    return rows.groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month"), "p_brand", "n_name").agg(F.count_distinct("o_custkey").alias("customers"), F.sum("l_quantity").alias("quantity")).where("quantity > 20")
+    people = t(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    rows = items.join(t(spark, sf_dir, "orders").where("o_orderstatus <> 'P'"), F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = rows.join(people.select("o_custkey", F.col("c_nationkey").alias("n_nationkey")), "o_custkey").join(t(spark, sf_dir, "nation"), "n_nationkey")
+    rows = rows.join(t(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    return sell_out(rows, people.where("c_acctbal < 0"), "o_custkey", "l_shipdate", ["p_brand", "n_name"], "l_quantity", 20)
+
+
+def daily_sales(sources: list[DataFrame]) -> DataFrame:
+    """Lines and quantity by product and day over several sources of (product, at, quantity)."""
+    rows = reduce(DataFrame.unionByName, (df.select("product", "at", "quantity") for df in sources))
+    return rows.groupBy("product", F.to_date("at").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"))
 
 
 @query(
     "b56_tender_union",
-    """SELECT product, strftime(d, '%Y-%m-%d') AS day, count(*) AS n, round(sum(q), 4) AS quantity FROM (SELECT l_partkey AS product, CAST(l_shipdate AS DATE) AS d, l_quantity AS q FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-07-01'
+    """SELECT product, strftime(d, '%Y-%m-%d') AS day, count(*) AS n, round(sum(q), 4) AS quantity FROM (SELECT l_partkey AS product, CAST(l_shipdate AS DATE) AS d, l_quantity AS q FROM lineitem
     UNION ALL SELECT user_id, CAST(ts AS DATE), value FROM events WHERE event_type = 'purchase') GROUP BY ALL""",
 )
 def b56_tender_union(spark, sf_dir):
     """Two sources in one fact, sales by product and day."""
-    a = t(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit("2001-07-01").cast("timestamp")).select(F.col("l_partkey").alias("product"), F.col("l_shipdate").alias("at"), F.col("l_quantity").alias("q"))
-    b = t(spark, sf_dir, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("product"), F.col("ts").alias("at"), F.col("value").alias("q"))
-    return a.unionByName(b).groupBy("product", day_text("at").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("q"), 4).alias("quantity"))
+    a = t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product"), F.col("l_shipdate").alias("at"), F.col("l_quantity").alias("quantity"))
+    b = t(spark, sf_dir, "events").where("event_type = 'purchase'").select(F.col("user_id").alias("product"), F.col("ts").alias("at"), F.col("value").alias("quantity"))
+    return daily_sales([a, b]).select("product", day_text("day").alias("day"), "n", F.round("quantity", 4).alias("quantity"))
+
+
+def attribution(items: DataFrame, period: Column, order: str, product: str, value: str, recommended: Column) -> DataFrame:
+    """Orders, products and value by period, in all and of the recommended items alone."""
+    own = lambda c: F.when(recommended, F.col(c))
+    return items.groupBy(period.alias("period")).agg(
+        F.count_distinct(order).alias("orders"), F.count_distinct(own(order)).alias("orders_rcm"), F.count_distinct(own(product)).alias("products_rcm"),
+        F.sum(value).alias("value"), F.sum(own(value)).alias("value_rcm"),
+    )
+
+
+def recommendation_feeds(events: DataFrame, lines: DataFrame, user: str, item: str, at: str, kinds: dict[str, str]) -> DataFrame:
+    """One feed of (user, item, kind, at, weight): views and carts as they come, and completed lines net of what came back.
+
+    `kinds` names the events taken, by event_type; `lines` has user, item, at, quantity and returned; a line that came back whole is left out.
+    """
+    kind = R.classify([(F.col("event_type") == k, n) for k, n in kinds.items()])
+    seen = events.select(user, item, kind.alias("kind"), at, F.lit(1.0).alias("weight")).where("kind IS NOT NULL")
+    left = (F.col("quantity") - F.coalesce("returned", F.lit(0.0))).alias("weight")
+    done = lines.select(user, item, F.lit("completed").alias("kind"), at, left).where("weight > 0")
+    return seen.unionByName(done)
+
+
+@query(
+    "b50_recommendation_feeds",
+    """SELECT user_id, event_id % 100 AS item, CASE event_type WHEN 'view' THEN 'view' ELSE 'cart' END AS kind, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, 1.0 * count(*) AS weight FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL
+    UNION ALL SELECT o_custkey, l_partkey, 'completed', strftime(o_orderdate, '%Y-%m-%d'), count(*), sum(q - r) FROM (SELECT l_orderkey, l_partkey, sum(l_quantity) AS q, coalesce(sum(l_quantity) FILTER (WHERE l_returnflag = 'R'), 0) AS r FROM lineitem GROUP BY ALL)
+    JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus <> 'P' WHERE q > r GROUP BY ALL""",
+)
+def b50_recommendation_feeds(spark, sf_dir):
+    """Views, carts (clicks) and completed lines net of returns."""
+    events = t(spark, sf_dir, "events").select("user_id", (F.col("event_id") % 100).alias("item"), "event_type", F.col("ts").alias("at"))
+    quantity, back = F.sum("l_quantity").alias("quantity"), F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))).alias("returned")
+    sums = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("item")).agg(quantity, back)
+    live = t(spark, sf_dir, "orders").where("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("at"))
+    feed = recommendation_feeds(events, sums.join(live, "o_orderkey"), "user_id", "item", "at", {"view": "view", "click": "cart"})
+    return feed.groupBy("user_id", "item", "kind", day_text("at").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
 
 
 @query(
@@ -366,11 +577,8 @@ def b56_tender_union(spark, sf_dir):
 def b60_recommendation_attribution(spark, sf_dir):
     """Values and counts by source beside the total; line 1 stands for a recommended item."""
     rows = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-    own = lambda c: F.when(F.col("l_linenumber") == 1, F.col(c))
-    return rows.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
-        F.count_distinct("o_orderkey").alias("orders"), F.count_distinct(own("o_orderkey")).alias("orders_rcm"), F.count_distinct(own("l_partkey")).alias("products_rcm"),
-        F.round(F.sum("l_extendedprice"), 2).alias("value"), F.round(F.sum(own("l_extendedprice")), 2).alias("value_rcm"),
-    )
+    told = attribution(rows, F.date_format("o_orderdate", "yyyy-MM"), "o_orderkey", "l_partkey", "l_extendedprice", F.col("l_linenumber") == 1)
+    return told.select(F.col("period").alias("month"), "orders", "orders_rcm", "products_rcm", *(F.round(c, 2).alias(c) for c in ("value", "value_rcm")))
 
 
 def item_discount_split(items: DataFrame, discounts: DataFrame, order: str, product: str, value: str) -> DataFrame:
