@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .common import crc_remainder, has_columns, ship, text_hash
 
 #: Presence bits for the hashed n-grams of 1, 2, 3 and 4 characters: several times what the longest texts of one language fill.
-SLOTS, PIECE = (1 << 12, 1 << 13, 1 << 15, 1 << 16), 1_000_000
+SLOTS, PIECE = (1 << 12, 1 << 13, 1 << 14, 1 << 15), 1_000_000
 ORDERS, BITS = len(SLOTS), sum(SLOTS)
 
 
@@ -43,6 +43,13 @@ def presence(text: str | None):
     return found if any_letter else None
 
 
+def _bits(rows):
+    """Presence bits as they are, or unpacked from eight a byte."""
+    import numpy as np
+
+    return np.unpackbits(rows, axis=1) if rows.shape[1] == BITS // 8 else rows
+
+
 def kernel(x, z):
     """The blended-spectrum presence kernel of rows: n-grams in common over the root of the product of their numbers."""
     import numpy as np
@@ -50,7 +57,7 @@ def kernel(x, z):
     z = z.astype(np.float32)
     out = np.zeros((len(x), len(z)), np.float32)
     for k in range(0, len(x), 128):
-        part = x[k : k + 128].astype(np.float32)
+        part = _bits(x[k : k + 128]).astype(np.float32)
         out[k : k + 128] = (part @ z.T) / np.sqrt(np.maximum(part.sum(axis=1), 1))[:, None]
     return out / np.sqrt(np.maximum(z.sum(axis=1), 1))[None, :]
 
@@ -66,7 +73,7 @@ def fit(rows, langs: list[str], landmarks: int = 200, ridge: float = 1e-3) -> di
     names = sorted(set(langs))
     if not names:
         return {"names": [], "matrix": np.zeros((BITS, 0), np.float32), "offset": np.zeros(0, np.float32)}
-    z = rows[np.unique(np.linspace(0, len(rows) - 1, min(landmarks, len(rows))).astype(int))].astype(np.float32)
+    z = _bits(rows[np.unique(np.linspace(0, len(rows) - 1, min(landmarks, len(rows))).astype(int))]).astype(np.float32)
     s, u = np.linalg.eigh(kernel(z, z).astype(np.float64))
     keep = s > 1e-8 * s[-1]
     root = u[:, keep] / np.sqrt(s[keep])
@@ -103,7 +110,7 @@ def predict(model: dict, texts: list[str | None]) -> list[tuple[str, float]]:
 
 
 def train(docs: DataFrame, sample_docs: int = 3000, landmarks: int = 200, held_out_of: int = 4, held_out: int = 2) -> dict:
-    """Fits on at most `sample_docs` documents with a language: those of least hash, held-out rows excepted. Their presence bits (14 kB each) reach the driver."""
+    """Fits on at most `sample_docs` documents with a language: those of least hash, held-out rows excepted. Their presence bits (8 kB each) reach the driver."""
     import numpy as np
 
     spark = docs.sparkSession
@@ -124,8 +131,8 @@ def train(docs: DataFrame, sample_docs: int = 3000, landmarks: int = 200, held_o
     picked = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(least).alias("row")).select("doc_id", "row.text", "row.lang")
     rows = picked.mapInArrow(featurise, "doc_id long, lang string, bits binary").where("bits IS NOT NULL").collect()
     rows.sort(key=lambda r: r.doc_id)
-    bits = np.array([np.unpackbits(np.frombuffer(r.bits, np.uint8)) for r in rows], np.uint8).reshape(-1, BITS)
-    return fit(bits, [r.lang for r in rows], landmarks)
+    packed = np.array([np.frombuffer(r.bits, np.uint8) for r in rows], np.uint8).reshape(-1, BITS // 8)
+    return fit(packed, [r.lang for r in rows], landmarks)
 
 
 def identify_language(docs: DataFrame, model: dict) -> DataFrame:
