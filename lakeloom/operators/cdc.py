@@ -7,6 +7,7 @@ Where two changes of an entity have the same `synced_at`, a delete beats an upda
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,53 @@ def incremental_current_state(log: DataFrame, target: DataFrame | None, overlap:
     return target.join(fresh, "mg_id", "left_anti").select(*target.columns).unionByName(winners.select(*target.columns))
 
 
+def refresh_partitions(
+    log: DataFrame, path: str, staging: str, partition: str, cutoff_days: int = 7, overlap: str = "1 hour", lookback: str = "3 hours",
+    checkpoint: str = "ingest_time",
+) -> bool:
+    """Brings the table at `path` up to date with the log, rewriting only the partitions that touched entities lie in; False where nothing was new.
+
+    The checkpoint is the greatest ingest time in the partitions of the last `cutoff_days` (of all, where they hold none), less `overlap`. Entities with a
+    later change are touched; their winners come from the log since `lookback` before that and from their own row. Their old rows leave their partitions,
+    and the winners enter those of their own `partition` value, a date. Deletes stay as rows (`action` d), which readers drop. The new partitions are
+    written to `staging` first, as a table can't be overwritten while it is read.
+    """
+    spark = log.sparkSession
+    try:
+        target = spark.read.schema(log.schema).parquet(path)
+    except AnalysisException:  # there is no table yet
+        latest_by_key(log, drop_deleted=False).write.partitionBy(partition).parquet(path)
+        return True
+    recent = target.where(F.col(partition) >= F.date_sub(F.current_date(), cutoff_days)).agg(F.max(checkpoint)).first()[0]
+    since = recent or target.agg(F.max(checkpoint)).first()[0]
+    from_ = F.lit(since) - F.expr(f"INTERVAL {overlap}")
+    late = log if since is None else log.where(F.col(checkpoint) > from_ - F.expr(f"INTERVAL {lookback}"))
+    fresh = late if since is None else late.where(F.col(checkpoint) > from_)
+    known = target.select("mg_id", "key", checkpoint)
+    news = fresh.join(known, ["mg_id", "key", checkpoint], "left_anti").select("mg_id").distinct()
+    before = target.join(news, "mg_id", "left_semi")
+    winners = latest_by_key(late.join(news, "mg_id", "left_semi").unionByName(before), drop_deleted=False)
+    changed = winners.join(known, ["mg_id", "key", checkpoint], "left_anti")
+    changed.write.mode("overwrite").parquet(f"{staging}/winners")
+    changed = spark.read.schema(log.schema).parquet(f"{staging}/winners")
+    if changed.isEmpty():
+        return False
+    gone = target.join(changed.select("mg_id"), "mg_id", "left_semi")
+    parts = gone.select(partition).union(changed.select(partition)).distinct()  # as many rows as the table has partitions, at most
+    parts.write.mode("overwrite").parquet(f"{staging}/parts")
+    parts = spark.read.parquet(f"{staging}/parts")
+    kept = target.join(parts, partition, "left_semi").join(changed.select("mg_id"), "mg_id", "left_anti")
+    kept.select(*log.columns).unionByName(changed.select(*log.columns)).write.mode("overwrite").parquet(f"{staging}/rows")
+    rows = spark.read.schema(log.schema).parquet(f"{staging}/rows")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    empty = parts.join(rows.select(partition), partition, "left_anti")  # partitions that their last row left
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for row in empty.toLocalIterator():
+        where = hadoop(f"{path}/{partition}={row[0]}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return True
+
+
 def ignore_changes(log: DataFrame, predicate: Column | str) -> DataFrame:
     """Without the changes for which the predicate holds; where it is null they stay."""
     predicate = F.expr(predicate) if isinstance(predicate, str) else predicate
@@ -100,14 +148,17 @@ def evolve_schema(target: DataFrame, schema_meta: list[tuple[str, str]]) -> Data
 
 
 def merge_upsert(target: DataFrame, winners: DataFrame, key: str = "pk", at: str = "sync_at", operation: str = "operation") -> DataFrame:
-    """The target after a merge: a delete at least as new removes, a strictly newer change replaces, an unmatched one that is no delete is inserted."""
+    """The target after a merge: a delete at least as new removes, a strictly newer change replaces, an unmatched one that is no delete is inserted.
+
+    A row whose time is null, and a change without one, compare as neither newer nor older, so that such rows stay as they are.
+    """
     t, w = target.alias("t"), winners.alias("w")
     both = t.join(w, F.col(f"t.{key}") == F.col(f"w.{key}"), "full")
     has_t, has_w = F.col(f"t.{key}").isNotNull(), F.col(f"w.{key}").isNotNull()
     delete = F.coalesce(F.col(f"w.{operation}") == "DELETE", F.lit(False))
-    older = F.col(f"t.{at}")
-    removed = has_w & delete & (~has_t | (F.col(f"w.{at}") >= older) | older.isNull())
-    taken = has_w & ~delete & (~has_t | (F.col(f"w.{at}") > older) | older.isNull())
+    newer = lambda c: F.coalesce(c, F.lit(False))
+    removed = has_w & delete & (~has_t | newer(F.col(f"w.{at}") >= F.col(f"t.{at}")))
+    taken = has_w & ~delete & (~has_t | newer(F.col(f"w.{at}") > F.col(f"t.{at}")))
     values = [F.when(taken, F.col(f"w.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
     return both.where(~removed & (has_t | taken)).select(*values)
 

@@ -150,6 +150,6 @@ def byte_buckets(df: DataFrame, keys: list[str], order: list[str], text: str, li
     return df.withColumn("bucket", F.floor((F.sum(size).over(w) - size) / limit))
 
 
-def densify(entities: DataFrame, spine: DataFrame, first: str, day: str) -> DataFrame:
-    """Entity and day for each day of the spine from the entity's first one on. The spine is a calendar, so it is small and sent to all tasks."""
-    return entities.join(F.broadcast(spine), F.col(day) >= F.col(first))
+def densify(entities: DataFrame, first: str, spine: Column, day: str) -> DataFrame:
+    """Each entity with every day of the spine (an array column, so nothing is joined or broadcast) from its first one on."""
+    return entities.withColumn(day, F.explode(F.filter(spine, lambda d: d >= F.col(first))))

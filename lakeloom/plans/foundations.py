@@ -41,6 +41,20 @@ def f5_nth_index(spark, sf_dir):
     return t(spark, sf_dir, "part").select("p_partkey", C.nth_index("p_name", "a", 2).alias("second_a"))
 
 
+@query(
+    "f8_regex",
+    """SELECT p_partkey, len(regexp_extract_all(p_name, '[aeiou]')) AS vowels, array_to_string(regexp_extract_all(p_name, '[aeiou]'), '') AS all_vowels,
+    CASE WHEN regexp_matches(p_name, '[aeiou]') THEN length(regexp_replace(p_name, '[aeiou].*$', '')) + 1 ELSE 0 END AS first_at, nullif(regexp_extract(p_type, '^([A-Z]+)', 1), '') AS head FROM part""",
+)
+def f8_regex(spark, sf_dir):
+    """F8: one match, all matches, the place of the first; no match is null."""
+    found = F.regexp_extract_all("p_name", F.lit("[aeiou]"), F.lit(0))
+    return t(spark, sf_dir, "part").select(
+        "p_partkey", F.size(found).cast("long").alias("vowels"), F.array_join(found, "").alias("all_vowels"),
+        F.regexp_instr("p_name", F.lit("[aeiou]")).cast("long").alias("first_at"), C.extract("p_type", "^([A-Z]+)", 1).alias("head"),
+    )
+
+
 @query(
     "f_numbers",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, TRY_CAST(l_returnflag AS INTEGER) AS bad, TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS good,
@@ -102,6 +116,29 @@ def d_dates(spark, sf_dir):
     )
 
 
+@query(
+    "d1_local_time",
+    "SELECT event_id, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M') AS here FROM events",
+)
+def d1_local_time(spark, sf_dir):
+    """Zone-less local time of an instant; Indochina keeps seven hours all year."""
+    return t(spark, sf_dir, "events").select("event_id", F.date_format(C.to_local("ts", "Asia/Ho_Chi_Minh"), "yyyy-MM-dd HH:mm").alias("here"))
+
+
+@query(
+    "d10_dates_as_text",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders",
+)
+def d10_dates_as_text(spark, sf_dir):
+    """Dates of 10, 24 and 8 characters, and junk, to one form."""
+    d, kind = F.col("o_orderdate"), F.col("o_orderkey") % 4
+    forms = {0: F.date_format(d, "dd/MM/yyyy"), 1: F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'.000Z'"), 2: F.date_format(d, "ddMMyyyy")}
+    said = F.lit("31/31/2000")
+    for n, form in forms.items():
+        said = F.when(kind == n, form).otherwise(said)
+    return t(spark, sf_dir, "orders").select("o_orderkey", day_text(C.normalise_date(said)).alias("day"))
+
+
 @query(
     "d_parsing",
     """SELECT o_orderkey, strftime(try_strptime(s, '%d%m%Y'), '%Y-%m-%d') AS d8, strftime(try_strptime(m, '%d%m%Y'), '%Y-%m-%d') AS d6,
@@ -136,6 +173,20 @@ def n_json(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", C.json_value("props", "$.k").alias("k"), (k * 2).alias("twice"), keys.alias("name"), F.to_json(F.struct(k.alias("k"))).alias("again"))
 
 
+@query(
+    "n2_json_parts",
+    """SELECT o_orderkey, concat('{"price":', CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR), ',"tags":["', o_orderstatus, '","', o_orderpriority, '"]}') AS part,
+    concat(o_orderstatus, '|', o_orderpriority) AS tags, o_orderpriority AS second FROM orders""",
+)
+def n2_json_parts(spark, sf_dir):
+    """A sub-document by path, and arrays of strings in JSON."""
+    inner = F.struct(F.floor("o_totalprice").alias("price"), F.array("o_orderstatus", "o_orderpriority").alias("tags"))
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(F.col("o_custkey").alias("who"), inner.alias("order"))).alias("doc"))
+    part = F.get_json_object("doc", "$.order")
+    tags = C.json_array(F.get_json_object("doc", "$.order.tags"))
+    return rows.select("o_orderkey", part.alias("part"), F.array_join(tags, "|").alias("tags"), F.get(tags, F.lit(1)).alias("second"))
+
+
 @query(
     "n_arrays",
     """SELECT o_orderkey, count(*) AS n, string_agg(CAST(l_partkey AS VARCHAR), '-' ORDER BY l_partkey, l_linenumber) AS parts, sum(l_quantity) AS quantity, max(l_partkey) AS last
@@ -281,6 +332,23 @@ def j8_exact_or_any(spark, sf_dir):
     return R.exact_or_any_join(want, price, ["brand"], "region").groupBy("brand", "region").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("price"), 2).alias("lowest"))
 
 
+@query(
+    "j5_densify",
+    """WITH first AS (SELECT o_custkey, CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS a FROM orders GROUP BY 1),
+    spine AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2000-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m)
+    SELECT first.o_custkey, strftime(m, '%Y-%m') AS month, count(o_orderkey) AS orders FROM first JOIN spine ON m >= a LEFT JOIN orders o ON o.o_custkey = first.o_custkey AND date_trunc('month', o_orderdate) = m GROUP BY ALL""",
+)
+def j5_densify(spark, sf_dir):
+    """Customers by month of a spine from their first one on, with their orders."""
+    orders = t(spark, sf_dir, "orders").withColumn("month", F.trunc("o_orderdate", "month"))
+    first = orders.groupBy("o_custkey").agg(F.min("month").alias("first_month"))
+    months = F.sequence(F.lit("2000-01-01").cast("date"), F.lit("2001-08-01").cast("date"), F.expr("INTERVAL 1 MONTH"))
+    rows = R.densify(first, "first_month", months, "month")
+    n = orders.groupBy("o_custkey", "month").agg(F.count(F.lit(1)).alias("orders"))
+    out = rows.join(n, ["o_custkey", "month"], "left").na.fill(0, ["orders"])
+    return out.select("o_custkey", F.date_format("month", "yyyy-MM").alias("month"), "orders")
+
+
 @query(
     "j9_j10_semi_anti",
     """SELECT 'with' AS kind, count(*) AS n FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')

@@ -23,7 +23,8 @@ def stream_current_state(log: DataFrame, state_path: str, checkpoint: str) -> St
     """Keeps the current state of a change log up to date, a batch at a time.
 
     The state is written as numbered versions, each the winners of the last version and the batch, so that a batch that runs again gives the same
-    version and readers never see a half-written one. State rows keep their deletes; late, older changes lose
+    version and readers never see a half-written one. The version before the last stays for readers that still read it; older ones are deleted, so that
+    disk is bounded by three states. State rows keep their deletes; late, older changes lose
     against the row that is there, however late they come, since nothing is dropped by a watermark.
     """
 
@@ -31,6 +32,9 @@ def stream_current_state(log: DataFrame, state_path: str, checkpoint: str) -> St
         spark = batch.sparkSession
         rows = batch if number == 0 else spark.read.schema(batch.schema).parquet(f"{state_path}/version={number - 1}").unionByName(batch)
         latest_by_key(rows, drop_deleted=False).select(*batch.columns).write.mode("overwrite").parquet(f"{state_path}/version={number}")
+        if number > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/version={number - 2}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -109,7 +109,9 @@ def test_sources(spark):
     io.truncate_insert(df, f"{root}/u")
     assert spark.read.parquet(f"{root}/u").count() == 3
     assert io.audit_row(spark, "n", 1, F.lit(datetime(2024, 1, 1)), {"a": 1}).first().props == '{"a": 1}'
-    assert rows(io.read_table(spark, root, "none", []) if False else df.select("v")) == [(1,), (2,), (3,)]
+    df.withColumn("at", F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(F.col("v"))).write.parquet(f"{root}/named.parquet")
+    read = lambda **how: rows(io.read_table(spark, root, "named", ["v"], **how))
+    assert read() == [(1,), (2,), (3,)] and read(since=F.lit(datetime(2024, 1, 2)), time_col="at") == [(2,), (3,)]
 
 
 def test_lifecycle_gaps_and_partition(spark):
