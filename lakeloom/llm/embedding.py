@@ -35,6 +35,26 @@ def collision_chance(reach: float, cell: float, grids: int) -> float:
     return math.erf(reach / math.sqrt(2)) * same**grids
 
 
+def layout(largest: int, cosine: float, reach: float, recall: float) -> tuple[int, int, float]:
+    """(tables, grids, cell) for labels of up to `largest` vectors.
+
+    The grids are as many and as fine as let a vector collide with one random vector of its label in a table, however large the label; the tables
+    are as many as then let a pair at the threshold collide twice with probability `recall`. So work grows with the vectors times the tables, which
+    are some 40 for a thousand vectors in a label, 230 for a million, 740 for 10**8.
+    """
+    far = math.sqrt(2) / math.sqrt(max(2 - 2 * cosine, 1e-6))  # a random pair's deviation in those of a pair at the threshold
+    window = math.erf(reach / far / math.sqrt(2))
+    grids = max(1, round(math.log(max(largest, 2), 3)) - 1)
+    wanted, low, high = min(1 / (largest * window), 0.999), 0.01, 50.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if collision_chance(math.inf, middle / far, grids) < wanted else (low, middle)
+    chance, tables = collision_chance(reach, low, grids), 2
+    while calibrate(tables, chance, recall) < 2:
+        tables += 1
+    return tables, grids, low
+
+
 def calibrate(tables: int, chance: float, recall: float) -> int:
     """The least count of collisions that a pair at the threshold attains with the wanted probability, from the binomial (tables, chance)."""
     missed, count = 0.0, 0
@@ -257,14 +277,14 @@ def _verify(cosine: float):
     return verify
 
 
-def embedding_groups(vectors: DataFrame, cosine: float = 0.93, tables: int = 60, grids: int = 6, reach: float = 2.5, cell: float = 3.2, recall: float = 0.999, seed: int = 7) -> DataFrame:
+def embedding_groups(vectors: DataFrame, cosine: float = 0.93, reach: float = 2.5, recall: float = 0.999, seed: int = 7) -> DataFrame:
     """Vectors of equal label linked at `cosine` or more: vec_id, n_links, component_id, kept for every row.
 
-    Equal vectors are one node with a number of copies, found by grouping. For each of `tables` the nodes are sorted by one projection inside
-    the cells of `grids` further ones, over all partitions; two nodes of a cell collide where one lies in the window around the other. Collisions are
-    counted by pair, and pairs that reach the count that a pair at the threshold attains with probability `recall` are verified in
-    double precision. A pair at a smaller angle collides more often; a random pair in 64 dimensions collides in one table in some 2,000, so that
-    the work grows far slower than the square of a label.
+    Equal vectors are one node with a number of copies, found by grouping. For each of several tables the nodes are sorted by one projection inside
+    the cells of a few further ones, over all partitions; two nodes of a cell collide where one lies in the window of `reach` deviations around the
+    other. Collisions are counted by pair, and pairs that reach the count that a pair at the threshold attains with probability `recall` are verified
+    in double precision; a pair at a smaller angle collides more often. layout() fits the tables and cells to the size of the largest label, so that
+    the work grows little faster than the number of vectors.
 
     A cell of more than CELL nodes gives no pairs: its nodes are compared by blocks, exactly, which give numbers of links and a forest, so that a
     large group of near copies costs no row a pair. A pair that shares several such cells counts in the first.
@@ -276,7 +296,6 @@ def embedding_groups(vectors: DataFrame, cosine: float = 0.93, tables: int = 60,
     spark = vectors.sparkSession
     ship(spark)
     width = math.sqrt(max(2 - 2 * cosine, 1e-6))
-    count = max(calibrate(tables, collision_chance(reach, cell, grids), recall), 1)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     big = F.lit(float("inf"))
     sound = F.forall("embedding", lambda v: F.coalesce((v > -big) & (v < big), F.lit(False))) & F.exists("embedding", lambda v: v != 0)
@@ -284,6 +303,9 @@ def embedding_groups(vectors: DataFrame, cosine: float = 0.93, tables: int = 60,
     nodes = rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     nodes = written(nodes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
 
+    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
+    tables, grids, cell = layout(largest, cosine, reach, recall)
+    count = calibrate(tables, collision_chance(reach, cell, grids), recall)
     owner = F.xxhash64("label", F.size("embedding")).alias("owner")
     packed = nodes.select("cid", owner, F.size("embedding").alias("dims"), "copies", "embedding").mapInArrow(_packed, "cid long, owner long, dims int, copies long, vector binary")
     sorted_rows = packed.mapInArrow(_tables(width, cell, tables, grids, seed), TABLE).repartitionByRange("key", "at").sortWithinPartitions("key", "at")

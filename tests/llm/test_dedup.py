@@ -228,7 +228,8 @@ def test_calibration():
     """The chance and the count against drawn pairs at the threshold: cells, offsets and windows as the tables have them."""
     from lakeloom.llm import embedding
 
-    tables, grids, reach, cell = 60, 6, 2.5, 3.2
+    reach = 2.5
+    tables, grids, cell = embedding.layout(3000, 0.93, reach, 0.999)
     width, rng, hits = np.sqrt(2 - 2 * 0.93), np.random.default_rng(2), []
     for k in range(40):
         x, y = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
@@ -241,6 +242,17 @@ def test_calibration():
     assert count >= 2 and np.mean(np.array(hits) >= count) >= 0.95
 
 
+def test_layout_keeps_collisions_in_check():
+    """Per vector and table about one random collision, whatever the size; recall by calculation."""
+    from lakeloom.llm import embedding
+
+    far = np.sqrt(2) / np.sqrt(2 - 2 * 0.93)
+    for largest in (1, 2, 100, 5000, 10**6, 10**9):
+        tables, grids, cell = embedding.layout(largest, 0.93, 2.5, 0.999)
+        assert largest * embedding.collision_chance(2.5 / far, cell / far, grids) <= 1.01
+        assert calibrate(tables, embedding.collision_chance(2.5, cell, grids), 0.999) >= 2 and tables < 2000
+
+
 def all_pairs(rows, cosine):
     """(links by row, component by row) of vectors by label, by brute force."""
     labels = np.array([r[2] for r in rows])
