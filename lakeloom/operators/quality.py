@@ -48,18 +48,22 @@ def check_balance(df: DataFrame, group: list[str], lhs: Column, rhs: Column, tol
 
 
 def mismatch_report(log: DataFrame, state: DataFrame, entity: str = "mg_id") -> DataFrame:
-    """How a state table differs from its log: kind, entity and the entity's actions, newest first.
+    """How a state table differs from its log: kind, entity and how often the entity had each action, that of the newest change first.
 
     DELETED_RECORDS: in the state, but deleted in the log; MISSING_RECORDS: live in the log, not in the state; WRONG_UPDATE: another
     synced_at than the log's newest. One more row, TOTAL COUNT, has the number of live entities in `n`.
     """
-    newest = latest_by_key(log, entity, drop_deleted=False).select(entity, "action", F.col("synced_at").alias("log_at"))
+    narrow = log.select(entity, "action", "synced_at", *(c for c in ("last_updated_time", "key") if c in log.columns))
+    newest = latest_by_key(narrow, entity, drop_deleted=False).select(entity, "action", F.col("synced_at").alias("log_at"))
     both = newest.join(state.select(entity, F.col("synced_at").alias("state_at"), F.lit(True).alias("there")), entity, "full")
     live = F.coalesce(F.col("action") != "d", F.lit(False))
     kind = F.when(F.col("there").isNotNull() & (F.col("action") == "d"), "DELETED_RECORDS").when(F.col("there").isNull() & live, "MISSING_RECORDS").when(live & (F.col("log_at") != F.col("state_at")), "WRONG_UPDATE")
     wrong = both.withColumn("kind", kind).where("kind IS NOT NULL").select(entity, "kind")
-    history = log.join(wrong.select(entity), entity, "left_semi").groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("synced_at", "action")), asc=False).alias("history"))
-    found = wrong.join(history, entity).select("kind", F.col(entity).cast("string").alias("entity"), F.array_join("history.action", ",").alias("actions"), F.lit(1).cast("long").alias("n"))
+    # Counted by action before they meet, so that an entity with very many changes costs a few rows.
+    counts = narrow.join(wrong.select(entity), entity, "left_semi").groupBy(entity, "action").agg(F.max("synced_at").alias("at"), F.count(F.lit(1)).alias("times"))
+    history = counts.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("at", "action", "times")), asc=False).alias("history"))
+    told = F.array_join(F.transform("history", lambda h: F.concat(h["action"], F.lit(" "), h["times"].cast("string"))), ",")
+    found = wrong.join(history, entity).select("kind", F.col(entity).cast("string").alias("entity"), told.alias("actions"), F.lit(1).cast("long").alias("n"))
     total = newest.agg(F.count_if(F.col("action") != "d").alias("n")).select(F.lit("TOTAL COUNT").alias("kind"), F.lit(None).cast("string").alias("entity"), F.lit(None).cast("string").alias("actions"), "n")
     return found.unionByName(total)
 
@@ -111,11 +115,11 @@ def guarded_snapshot_repair(read: Callable[[], DataFrame], write: Callable[[Data
     return True
 
 
-def latency_profile(log: DataFrame, group: list[str], start: str = "synced_at", end: str = "ingest_time", exact: bool = False) -> DataFrame:
-    """Seconds from start to end by group: avg, min, max and the 50th, 90th and 95th percentiles."""
+def latency_profile(log: DataFrame, group: list[str], start: str = "synced_at", end: str = "ingest_time", accuracy: int = 10_000) -> DataFrame:
+    """Seconds from start to end by group: avg, min, max and the approximate 50th, 90th and 95th percentiles, exact for groups of at most `accuracy` rows."""
     seconds = F.unix_micros(end) / F.lit(1e6) - F.unix_micros(start) / F.lit(1e6)
     points = F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95))
-    q = F.percentile("seconds", points) if exact else F.percentile_approx("seconds", points)
+    q = F.percentile_approx("seconds", points, accuracy)
     out = log.withColumn("seconds", seconds).groupBy(*group).agg(F.avg("seconds").alias("avg"), F.min("seconds").alias("min"), F.max("seconds").alias("max"), q.alias("q"))
     return out.select(*group, "avg", "min", "max", *(F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95"))))
 

@@ -293,14 +293,17 @@ def _listed(rule: str, value: str) -> Column:
     return F.col(rule).isNull() | F.array_contains(F.transform(F.split(F.col(rule), ","), lambda x: F.trim(x)), F.col(value).cast("string"))
 
 
-def dynamic_segment(rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P") -> DataFrame:
+def dynamic_segment(rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P", max_rules: int = 1000) -> DataFrame:
     """(segment_id, c_custkey) of the customers that meet each rule row; every part of a rule may be null.
 
     segments: comma list of market segments; time_range with count_order and sum_gmv: thresholds on the orders in it; operator with range1,
     products1, range2, products2: NEW (nothing bought of the first), CHURN and EXCEPT (bought of the first, nothing of the second).
-    Rules are a small stated set, sent to all rows; each order meets the rules whose range it is in.
+    Rules are a small stated set: over `max_rules` of them raise ValueError, so that what is sent to all rows is bounded. Each order meets the rules
+    whose range it is in; a rule that lists products meets the sold items of these by an equal join, and rules without an operator meet none.
     """
     now = F.lit(as_of).cast("date")
+    if (n := rules.count()) > max_rules:
+        raise ValueError(f"{n} rules, over {max_rules}")
     parsed = rules
     for name in ("time_range", "range1", "range2"):
         start, end = _range(name, now)
@@ -310,7 +313,15 @@ def dynamic_segment(rules: DataFrame, customers: DataFrame, orders: DataFrame, i
     live = orders.where(F.col("o_orderstatus") != cancelled).select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.to_date("o_orderdate").alias("day"))
     sums = live.join(small, within("time_range")).groupBy("segment_id", "c_custkey").agg(F.count_distinct("o_orderkey").alias("n"), F.sum("o_totalprice").alias("gmv"))
     sold = live.join(items.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey"), "o_orderkey")
-    bought = lambda i: sold.join(small, within(f"range{i}") & _listed(f"products{i}", "l_partkey")).select("segment_id", "c_custkey").distinct().withColumn(f"bought{i}", F.lit(True))
+
+    def bought(i: int) -> DataFrame:
+        used = parsed.where(F.col("operator").isin(*(("NEW", "CHURN", "EXCEPT") if i == 1 else ("CHURN", "EXCEPT"))))
+        listed = used.where(F.col(f"products{i}").isNotNull())
+        product = F.explode(F.array_distinct(F.transform(F.split(f"products{i}", ","), lambda x: C.safe_cast(F.trim(x), "long"))))
+        listed = sold.join(listed.withColumn("l_partkey", product), "l_partkey").where(within(f"range{i}")).select("segment_id", "c_custkey")
+        any_product = sold.join(F.broadcast(used.where(F.col(f"products{i}").isNull())), within(f"range{i}")).select("segment_id", "c_custkey")
+        return listed.unionByName(any_product).distinct().withColumn(f"bought{i}", F.lit(True))
+
     keys = ["segment_id", "c_custkey"]
     rows = customers.join(small, _listed("segments", "c_mktsegment")).join(sums, keys, "left").join(bought(1), keys, "left").join(bought(2), keys, "left")
     one, two = F.col("bought1").isNotNull(), F.col("bought2").isNotNull()
