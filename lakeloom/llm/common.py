@@ -24,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset and Spark runs on one machine."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset
+    and Spark runs on one machine.
+    """
     sc = spark.sparkContext
     if where := sc.getConf().get("spark.checkpoint.dir"):
         return where.rstrip("/")
@@ -50,13 +52,16 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame:
-    """As written(), dealt by hash of `key` to as many buckets as there are shuffle partitions, so that joins and groupings by it need no exchange.
+    """As written(), dealt by hash of `key` to as many buckets as there are shuffle partitions, so that joins and
+    groupings by it need no exchange.
 
     Each bucket is one sorted file; `dealt` says that the rows are dealt so already.
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     n, table_name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lakeloom_{uuid.uuid4().hex}"
-    (df if dealt else df.repartition(n, key)).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table_name)
+    (
+        df if dealt else df.repartition(n, key)
+    ).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table_name)
     out = spark.table(table_name)
     out._lakeloom_path, out._lakeloom_table = path, table_name
     return out

@@ -22,7 +22,9 @@ LINKS = "cid long, links long, a long, b long"
 
 @functools.lru_cache(maxsize=16)
 def projections(dims: int, tables: int, grids: int, seed: int):
-    """Normal directions, `grids` and one more a table, and the grids' offsets in cells: for unit vectors x and y each coordinate of the difference is normal with deviation |x - y|."""
+    """Normal directions, `grids` and one more a table, and the grids' offsets in cells: for unit vectors x and y each
+    coordinate of the difference is normal with deviation |x - y|.
+    """
     import numpy as np
 
     rng = np.random.default_rng([seed, dims])
@@ -30,7 +32,9 @@ def projections(dims: int, tables: int, grids: int, seed: int):
 
 
 def collision_chance(reach: float, cell: float, grids: int) -> float:
-    """The chance that a pair at the threshold collides in one table: its values within the window of `reach` deviations, and in one cell of `cell` deviations in each grid."""
+    """The chance that a pair at the threshold collides in one table: its values within the window of `reach`
+    deviations, and in one cell of `cell` deviations in each grid.
+    """
     same = math.erf(cell / math.sqrt(2)) - 2 / (cell * math.sqrt(2 * math.pi)) * (1 - math.exp(-cell * cell / 2))
     return math.erf(reach / math.sqrt(2)) * same**grids
 
@@ -38,11 +42,13 @@ def collision_chance(reach: float, cell: float, grids: int) -> float:
 def layout(largest: int, cosine: float, reach: float, recall: float) -> tuple[int, int, float]:
     """(tables, grids, cell) for labels of up to `largest` vectors.
 
-    The grids are as many and as fine as let a vector collide with one random vector of its label in a table, however large the label; the tables
-    are as many as then let a pair at the threshold collide twice with probability `recall`. So work grows with the vectors times the tables, which
-    are some 40 for a thousand vectors in a label, 230 for a million, 740 for 10**8.
+    The grids are as many and as fine as let a vector collide with one random vector of its label in a table, however
+    large the label; the tables are as many as then let a pair at the threshold collide twice with probability `recall`.
+    So work grows with the vectors times the tables, which are some 40 for a thousand vectors in a label, 230 for a
+    million, 740 for 10**8.
     """
-    far = math.sqrt(2) / math.sqrt(max(2 - 2 * cosine, 1e-6))  # a random pair's deviation in those of a pair at the threshold
+    # a random pair's deviation in those of a pair at the threshold
+    far = math.sqrt(2) / math.sqrt(max(2 - 2 * cosine, 1e-6))
     window = math.erf(reach / far / math.sqrt(2))
     grids = max(1, round(math.log(max(largest, 2), 3)) - 1)
     wanted, low, high = min(1 / (largest * window), 0.999), 0.01, 50.0
@@ -56,9 +62,13 @@ def layout(largest: int, cosine: float, reach: float, recall: float) -> tuple[in
 
 
 def calibrate(tables: int, chance: float, recall: float) -> int:
-    """The least count of collisions that a pair at the threshold attains with the wanted probability, from the binomial (tables, chance)."""
+    """The least count of collisions that a pair at the threshold attains with the wanted probability, from the binomial
+    (tables, chance).
+    """
     missed, count = 0.0, 0
-    while (missed := missed + math.comb(tables, count) * chance**count * (1 - chance) ** (tables - count)) <= 1 - recall:
+    while (
+        missed := missed + math.comb(tables, count) * chance**count * (1 - chance) ** (tables - count)
+    ) <= 1 - recall:
         count += 1
     return count
 
@@ -67,7 +77,9 @@ def _vectors(packed: list[bytes], dims: list[int]):
     """Unit vectors of equal length, in double precision."""
     import numpy as np
 
-    x = np.stack([np.frombuffer(p, "<f4" if len(p) == 4 * d else "<f8") for p, d in zip(packed, dims, strict=True)]).astype(np.float64)
+    x = np.stack(
+        [np.frombuffer(p, "<f4" if len(p) == 4 * d else "<f8") for p, d in zip(packed, dims, strict=True)]
+    ).astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
@@ -89,7 +101,9 @@ def _packed(batches: Iterator) -> Iterator:
 
 
 def _cells(x, owner, width: float, cell: float, tables: int, grids: int, seed: int):
-    """(keys, values): each vector's cell in each table, as a hash of label, table and grid values; and its value on the table's sorted projection."""
+    """(keys, values): each vector's cell in each table, as a hash of label, table and grid values; and its value on the
+    table's sorted projection.
+    """
     import numpy as np
 
     directions, offsets = projections(x.shape[1], tables, grids, seed)
@@ -124,13 +138,17 @@ def _tables(width: float, cell: float, tables: int, grids: int, seed: int):
                 x = _vectors(part.column("vector").to_pylist(), part.column("dims").to_pylist())
                 keys, at = _cells(x, part.column("owner").to_numpy(), width, cell, tables, grids, seed)
                 cid = np.repeat(part.column("cid").to_numpy(), tables)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(at.ravel()), pa.array(cid)], ["key", "at", "cid"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.ravel()), pa.array(at.ravel()), pa.array(cid)], ["key", "at", "cid"]
+                )
 
     return project
 
 
 def _windows(width: float, reach: float):
-    """Of a partition sorted by cell and value: a pair for each two vectors of a cell within the window around one of them; large cells, and those that go on in another partition, as they are."""
+    """Of a partition sorted by cell and value: a pair for each two vectors of a cell within the window around one of
+    them; large cells, and those that go on in another partition, as they are.
+    """
 
     def collide(batches: Iterator) -> Iterator:
         import numpy as np
@@ -147,7 +165,8 @@ def _windows(width: float, reach: float):
             ends = np.repeat(starts + np.where(rest, 0, size), size)
             pairs, active, d = [], np.arange(len(key)), 1
             while len(active := active[active + d < ends[active]]):
-                active = active[at[active + d] - at[active] <= reach * width * 1.0001]  # sorted: whoever is past the window stays past it
+                # sorted: whoever is past the window stays past it
+                active = active[at[active + d] - at[active] <= reach * width * 1.0001]
                 pairs.append((cid[active], cid[active + d]))
                 d += 1
             if pairs:
@@ -157,7 +176,9 @@ def _windows(width: float, reach: float):
             kept = np.repeat(rest, size)
             if kept.any():
                 none = [pa.nulls(int(kept.sum()), pa.int64())] * 2
-                yield pa.RecordBatch.from_arrays([*none, pa.array(key[kept]), pa.array(at[kept]), pa.array(cid[kept])], names)
+                yield pa.RecordBatch.from_arrays(
+                    [*none, pa.array(key[kept]), pa.array(at[kept]), pa.array(cid[kept])], names
+                )
 
         held, first = None, True
         for batch in batches:
@@ -190,13 +211,22 @@ def _blocks(batches: Iterator) -> Iterator:
         cells = np.zeros((len(rows), max(len(r[3]) for r in rows)), np.int64)
         for k, r in enumerate(rows):
             cells[k, : len(r[3])] = r[3]
-        values = [base + made, key, rows[0][4], [r[0] for r in rows], [r[1] for r in rows], cells.tobytes(), _vectors([r[2] for r in rows], [r[4] for r in rows]).tobytes()]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in BLOCKS.split(", ")])
+        values = [
+            base + made, key, rows[0][4], [r[0] for r in rows], [r[1] for r in rows], cells.tobytes(),
+            _vectors([r[2] for r in rows], [r[4] for r in rows]).tobytes()
+        ]
+        kinds = [
+            pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in BLOCKS.split(", ")]
+        )
 
     last, rows = None, []
     for batch in batches:
-        for key, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "cid", "copies", "vector", "cells", "dims")), strict=True):
+        for key, *row in zip(
+            *(batch.column(c).to_pylist() for c in ("key", "cid", "copies", "vector", "cells", "dims")), strict=True
+        ):
             if rows and (last != (key, row[4]) or len(rows) == BLOCK):
                 yield block(last[0], rows)
                 rows = []
@@ -231,7 +261,9 @@ def _forest(linked):
 
 
 def _compare(cosine: float):
-    """Of each two blocks of a large cell: the links of their vectors, as numbers by vector and a forest; a pair counts in the first large cell that it shares."""
+    """Of each two blocks of a large cell: the links of their vectors, as numbers by vector and a forest; a pair counts
+    in the first large cell that it shares.
+    """
 
     def compare(batches: Iterator) -> Iterator:
         import numpy as np
@@ -244,7 +276,8 @@ def _compare(cosine: float):
                 near = x @ y.T >= cosine
                 if row["block"] == row["block_b"]:
                     near = np.triu(near, 1)
-                # Cells are in the order of the tables, so the first one shared is the first that any place of one list has in the other's.
+                # Cells are in the order of the tables, so the first one shared is the first that any place of one list
+                # has in the other's.
                 i, j = np.nonzero(near)
                 for k in range(0, len(i), 20_000):
                     a, b = p[i[k : k + 20_000]], q[j[k : k + 20_000]]
@@ -254,10 +287,15 @@ def _compare(cosine: float):
                     near[i[k : k + 20_000][gone], j[k : k + 20_000][gone]] = False
                 if near.any():
                     out = []
-                    for cids, links in ((row["cids"], near @ np.array(row["copies_b"], np.int64)), (row["cids_b"], near.T @ np.array(row["copies"], np.int64))):
+                    for cids, links in (
+                        (row["cids"], near @ np.array(row["copies_b"], np.int64)),
+                        (row["cids_b"], near.T @ np.array(row["copies"], np.int64))
+                    ):
                         out += [(cids[k], int(links[k]), None, None) for k in np.flatnonzero(links).tolist()]
                     out += [(None, None, row["cids"][r], row["cids_b"][c]) for r, c in _forest(near)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cid", "links", "a", "b"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cid", "links", "a", "b"]
+                    )
 
     return compare
 
@@ -270,62 +308,123 @@ def _verify(cosine: float):
 
         for batch in batches:
             for part in _of_one_length(batch):
-                x, y = (_vectors(part.column(c).to_pylist(), part.column("dims").to_pylist()) for c in ("vector", "vector_b"))
+                x, y = (
+                    _vectors(
+                        part.column(c).to_pylist(), part.column("dims").to_pylist()
+                    ) for c in ("vector", "vector_b")
+                )
                 linked = np.flatnonzero(np.einsum("ij,ij->i", x, y) >= cosine)
                 yield part.select(["a", "b", "copies", "copies_b"]).take(linked)
 
     return verify
 
 
-def embedding_groups(vectors: DataFrame, cosine: float = 0.93, reach: float = 2.5, recall: float = 0.999, seed: int = 7) -> DataFrame:
+def embedding_groups(
+    vectors: DataFrame, cosine: float = 0.93, reach: float = 2.5, recall: float = 0.999, seed: int = 7
+) -> DataFrame:
     """Vectors of equal label linked at `cosine` or more: vec_id, n_links, component_id, kept for every row.
 
-    Equal vectors are one node with a number of copies, found by grouping. For each of several tables the nodes are sorted by one projection inside
-    the cells of a few further ones, over all partitions; two nodes of a cell collide where one lies in the window of `reach` deviations around the
-    other. Collisions are counted by pair, and pairs that reach the count that a pair at the threshold attains with probability `recall` are verified
-    in double precision; a pair at a smaller angle collides more often. layout() fits the tables and cells to the size of the largest label, so that
-    the work grows little faster than the number of vectors.
+    Equal vectors are one node with a number of copies, found by grouping. For each of several tables the nodes are
+    sorted by one projection inside the cells of a few further ones, over all partitions; two nodes of a cell collide
+    where one lies in the window of `reach` deviations around the other. Collisions are counted by pair, and pairs that
+    reach the count that a pair at the threshold attains with probability `recall` are verified in double precision; a
+    pair at a smaller angle collides more often. layout() fits the tables and cells to the size of the largest label, so
+    that the work grows little faster than the number of vectors.
 
-    A cell of more than CELL nodes gives no pairs: its nodes are compared by blocks, exactly, which give numbers of links and a forest, so that a
-    large group of near copies costs no row a pair. A pair that shares several such cells counts in the first.
+    A cell of more than CELL nodes gives no pairs: its nodes are compared by blocks, exactly, which give numbers of
+    links and a forest, so that a large group of near copies costs no row a pair. A pair that shares several such cells
+    counts in the first.
 
-    Null, zero or non-finite vectors, and null labels, link with nothing and stay in their own component. Vectors of different
-    length don't link. A null vec_id gets its group's component_id and isn't kept. Repeated rows count as vectors; extra columns are left out; an
-    empty table gives no rows.
+    Null, zero or non-finite vectors, and null labels, link with nothing and stay in their own component. Vectors of
+    different length don't link. A null vec_id gets its group's component_id and isn't kept. Repeated rows count as
+    vectors; extra columns are left out; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
     width = math.sqrt(max(2 - 2 * cosine, 1e-6))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
+        F.col("embedding").cast("array<double>").alias("embedding")
+    )
     big = F.lit(float("inf"))
-    sound = F.forall("embedding", lambda v: F.coalesce((v > -big) & (v < big), F.lit(False))) & F.exists("embedding", lambda v: v != 0)
+    sound = F.forall(
+        "embedding", lambda v: F.coalesce((v > -big) & (v < big), F.lit(False))
+    ) & F.exists("embedding", lambda v: v != 0)
     sound = F.coalesce(sound & F.col("label").isNotNull(), F.lit(False))
-    nodes = rows.where(sound).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    nodes = (
+        rows
+        .where(sound)
+        .groupBy("label", "embedding")
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    )
     nodes = written(nodes.withColumn("cid", F.monotonically_increasing_id()), "vectors")
 
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     tables, grids, cell = layout(largest, cosine, reach, recall)
     count = calibrate(tables, collision_chance(reach, cell, grids), recall)
     owner = F.xxhash64("label", F.size("embedding")).alias("owner")
-    packed = nodes.select("cid", owner, F.size("embedding").alias("dims"), "copies", "embedding").mapInArrow(_packed, "cid long, owner long, dims int, copies long, vector binary")
-    sorted_rows = packed.mapInArrow(_tables(width, cell, tables, grids, seed), TABLE).repartitionByRange("key", "at").sortWithinPartitions("key", "at")
+    packed = nodes.select(
+        "cid", owner, F.size("embedding").alias("dims"), "copies", "embedding"
+    ).mapInArrow(_packed, "cid long, owner long, dims int, copies long, vector binary")
+    sorted_rows = (
+        packed
+        .mapInArrow(_tables(width, cell, tables, grids, seed), TABLE)
+        .repartitionByRange("key", "at")
+        .sortWithinPartitions("key", "at")
+    )
     collisions = written(sorted_rows.mapInArrow(_windows(width, reach), COLLISIONS), "collisions")
 
     large = collisions.where("key IS NOT NULL").select("key", "at", "cid")
     # Equal cells are equal keys of one table, so lists in the order of their keys are in one order for all.
     cells = large.groupBy("cid").agg(F.array_sort(F.collect_set("key")).alias("cells"))
-    members = large.join(cells, "cid").join(packed, "cid").select("key", "at", "cid", "copies", "vector", "cells", "dims")
-    blocks = written(members.repartitionByRange("key", "dims", "at").sortWithinPartitions("key", "dims", "at").mapInArrow(_blocks, BLOCKS), "blocks")
-    other = blocks.select("key", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "cids", "copies", "cells", "vectors")))
-    dense = blocks.join(other, ["key", "dims"]).where("block <= block_b").repartition("block", "block_b").mapInArrow(_compare(cosine), LINKS)
-
-    pairs = collisions.where("a IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= count).select("a", "b")
-    own = packed.join(cells, "cid", "left").select("cid", "owner", "dims", "copies", "vector", F.coalesce("cells", F.array().cast("array<long>")).alias("cells"))
-    full = pairs.join(own.withColumnRenamed("cid", "a"), "a").join(own.select(*(F.col(c).alias("b" if c == "cid" else f"{c}_b") for c in own.columns)), "b")
-    full = full.where((F.col("owner") == F.col("owner_b")) & (F.col("dims") == F.col("dims_b")) & ~F.arrays_overlap("cells", "cells_b"))
-    close = full.select("a", "b", "dims", "copies", "copies_b", "vector", "vector_b").mapInArrow(_verify(cosine), "a long, b long, copies long, copies_b long")
+    members = (
+        large
+        .join(cells, "cid")
+        .join(packed, "cid")
+        .select("key", "at", "cid", "copies", "vector", "cells", "dims")
+    )
+    blocks = written(
+        members.repartitionByRange("key", "dims", "at").sortWithinPartitions("key", "dims", "at").mapInArrow(_blocks, BLOCKS),
+        "blocks"
+    )
+    other = blocks.select(
+        "key", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "cids", "copies", "cells", "vectors"))
+    )
+    dense = (
+        blocks
+        .join(other, ["key", "dims"])
+        .where("block <= block_b")
+        .repartition("block", "block_b")
+        .mapInArrow(_compare(cosine), LINKS)
+    )
+
+    pairs = (
+        collisions
+        .where("a IS NOT NULL")
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= count)
+        .select("a", "b")
+    )
+    own = packed.join(cells, "cid", "left").select(
+        "cid", "owner", "dims", "copies", "vector", F.coalesce("cells", F.array().cast("array<long>")).alias("cells")
+    )
+    full = pairs.join(own.withColumnRenamed("cid", "a"), "a").join(
+        own.select(*(F.col(c).alias("b" if c == "cid" else f"{c}_b") for c in own.columns)), "b"
+    )
+    full = full.where(
+        (
+            F.col("owner") == F.col("owner_b")
+        ) & (F.col("dims") == F.col("dims_b")) & ~F.arrays_overlap("cells", "cells_b")
+    )
+    close = full.select("a", "b", "dims", "copies", "copies_b", "vector", "vector_b").mapInArrow(
+        _verify(cosine), "a long, b long, copies long, copies_b long"
+    )
     single = close.select(F.explode(F.array(
-        F.struct(F.col("a").alias("cid"), F.col("copies_b").alias("links"), F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")),
+        F.struct(
+            F.col("a").alias("cid"), F.col("copies_b").alias("links"), F.lit(None).cast("long").alias("a"),
+            F.lit(None).cast("long").alias("b")
+        ),
         F.struct(F.col("b").alias("cid"), F.col("copies").alias("links"), F.col("a"), F.col("b")),
     )).alias("x")).select("x.*")
     found = written(dense.unionByName(single), "found")
@@ -333,10 +432,17 @@ def embedding_groups(vectors: DataFrame, cosine: float = 0.93, reach: float = 2.
     links = found.where("cid IS NOT NULL").groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.where("a IS NOT NULL").select("a", "b"), "a", "b")
     told = nodes.join(roots, nodes.cid == roots.node, "left").join(links, "cid", "left")
-    told = told.select("label", "embedding", "least", F.coalesce("root", "cid").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    told = told.select(
+        "label", "embedding", "least", F.coalesce("root", "cid").alias("root"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
     told = written(told, "told")
     component = told.groupBy("root").agg(F.min("least").alias("component_id"))
     told = told.join(component, "root").select("label", "embedding", "n_links", "component_id")
     linked = rows.where(sound).join(told, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
-    alone = rows.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    alone = rows.where(~sound).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
+    )
+    return linked.unionByName(alone).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    )

@@ -23,7 +23,9 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def pack_places(places, first):
-    """Ascending positions, list after list (`first` marks where one begins), as gaps in bytes of seven bits, the last of each gap marked; and each gap's size in bytes."""
+    """Ascending positions, list after list (`first` marks where one begins), as gaps in bytes of seven bits, the last
+    of each gap marked; and each gap's size in bytes.
+    """
     import numpy as np
 
     gaps = np.diff(places, prepend=0)
@@ -56,17 +58,21 @@ def unpack_places(data: bytes, counts):
 
 @dataclass(frozen=True)
 class Index:
-    """A stored index: `postings` (block, term, n, positions) of all words, `documents` (block, doc_ids, text_hashes, firsts)."""
+    """A stored index: `postings` (block, term, n, positions) of all words, `documents` (block, doc_ids, text_hashes,
+    firsts).
+    """
 
     postings: DataFrame
     documents: DataFrame
 
 
 def build_index(docs: DataFrame) -> Index:
-    """The stored index of the documents: for each block of about a million words, the positions of every word, in a byte or two each.
+    """The stored index of the documents: for each block of about a million words, the positions of every word, in a
+    byte or two each.
 
-    Whole documents are laid end to end in a block, so that each occurrence of a phrase lies in one block; a document longer than a block is a
-    block. It serves any number of benchmarks without the texts. Null ids are kept as the least long; a null text has no words; extra columns are left out.
+    Whole documents are laid end to end in a block, so that each occurrence of a phrase lies in one block; a document
+    longer than a block is a block. It serves any number of benchmarks without the texts. Null ids are kept as the least
+    long; a null text has no words; extra columns are left out.
     """
     ship(docs.sparkSession)
 
@@ -78,7 +84,11 @@ def build_index(docs: DataFrame) -> Index:
 
         base, made = TaskContext.get().partitionId() << 32, 0
         names = [x.split()[0] for x in STORED.split(", ")]
-        kinds = [{"int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}.get(x.split()[1], pa.int64()) for x in STORED.split(", ")]
+        kinds = [
+            {
+                "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())
+            }.get(x.split()[1], pa.int64()) for x in STORED.split(", ")
+        ]
 
         def post(ids: list, hashes: list, words: list) -> Iterator:
             nonlocal made
@@ -86,7 +96,13 @@ def build_index(docs: DataFrame) -> Index:
             made += 1
             firsts = np.cumsum([0, *map(len, words)])
             doc_ids = [-(1 << 63) if i is None else i for i in ids]
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((block, None, None, None, doc_ids, hashes, firsts), kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([v], k) for v,
+                    k in zip((block, None, None, None, doc_ids, hashes, firsts), kinds, strict=True)
+                ],
+                names
+            )
             coded = pa.concat_arrays(words).dictionary_encode()
             code = coded.indices.to_numpy()
             if not len(code):
@@ -97,21 +113,31 @@ def build_index(docs: DataFrame) -> Index:
             first[np.cumsum(count) - count] = True
             packed, size = pack_places(place, first)
             offsets = np.r_[0, np.cumsum(np.add.reduceat(size, np.flatnonzero(first)))].astype(np.int32)
-            lists = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed.tobytes())])
+            lists = pa.Array.from_buffers(
+                pa.binary(), len(count), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed.tobytes())]
+            )
             terms = pc.array_sort_indices(coded.dictionary)  # terms in order, so that a scan may skip row groups
             for k in range(0, len(count), 50_000):
                 own = terms.slice(k, 50_000)
                 none = [pa.nulls(len(own), kind) for kind in kinds[4:]]
-                columns = [pa.array(np.full(len(own), block)), coded.dictionary.take(own), pa.array(count.astype(np.int32)).take(own), lists.take(own), *none]
+                columns = [
+                    pa.array(np.full(len(own), block)), coded.dictionary.take(own),
+                    pa.array(count.astype(np.int32)).take(own), lists.take(own), *none
+                ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
         ids, hashes, words, size = [], [], [], 0
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                texts = pa.array([t.as_buffer().to_pybytes().translate(_TABLE) if t.is_valid else b"" for t in part.column("text")], pa.binary())
+                texts = pa.array(
+                    [t.as_buffer().to_pybytes().translate(_TABLE) if t.is_valid else b"" for t in part.column("text")],
+                    pa.binary()
+                )
                 split = pc.ascii_split_whitespace(texts.cast(pa.string()))
-                for doc_id, digest, own in zip(part.column("doc_id").to_pylist(), part.column("text_hash").to_pylist(), split, strict=True):
+                for doc_id, digest, own in zip(
+                    part.column("doc_id").to_pylist(), part.column("text_hash").to_pylist(), split, strict=True
+                ):
                     own = own.values
                     blank = pc.equal(own, "") if len(own) and (own[0].as_py() == "" or own[-1].as_py() == "") else None
                     ids.append(doc_id)
@@ -126,11 +152,16 @@ def build_index(docs: DataFrame) -> Index:
 
     docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
     stored = written(docs.mapInArrow(scan, STORED), "postings")
-    return Index(stored.where("term IS NOT NULL").select("block", "term", "n", "positions"), stored.where("term IS NULL").select("block", "doc_ids", "text_hashes", "firsts"))
+    return Index(
+        stored.where("term IS NOT NULL").select("block", "term", "n", "positions"),
+        stored.where("term IS NULL").select("block", "doc_ids", "text_hashes", "firsts")
+    )
 
 
 def phrase_windows(benchmark: DataFrame, n: int) -> DataFrame:
-    """(window, terms, item): the items' windows of n consecutive words, or all words of a shorter item that has any; `window` numbers the different ones."""
+    """(window, terms, item): the items' windows of n consecutive words, or all words of a shorter item that has any;
+    `window` numbers the different ones.
+    """
     ship(benchmark.sparkSession)
 
     def cut(batches: Iterator) -> Iterator:
@@ -141,7 +172,10 @@ def phrase_windows(benchmark: DataFrame, n: int) -> DataFrame:
                 words = words_of(text.encode("utf-8") if text else None)
                 for k in range(0, max(len(words) - n, 0) + 1 if words else 0, 1000):
                     windows = [words[i : i + n] for i in range(k, min(k + 1000, max(len(words) - n, 0) + 1))]
-                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(windows), pa.string()), pa.array(windows, pa.list_(pa.binary()))], ["item", "terms"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(windows), pa.string()), pa.array(windows, pa.list_(pa.binary()))],
+                        ["item", "terms"]
+                    )
 
     items = has_columns(benchmark, item_id="string", text="string").where("item_id IS NOT NULL")
     cuts = written(items.mapInArrow(cut, "item string, terms array<binary>").distinct(), "cuts")
@@ -150,12 +184,14 @@ def phrase_windows(benchmark: DataFrame, n: int) -> DataFrame:
 
 
 def intersect(windows, lengths, rarest, counts, positions, firsts, slop: int = 0):
-    """(window, first, last) of each match in one block: lists of terms, shifted by their offsets, intersected from the rarest on.
-
-    `windows` holds numbers of terms, padded by -1; `counts` and `positions` the terms' lists; `rarest` the offset of each window's rarest
-    term in the corpus; `firsts` the documents' first positions, and the end. A match stands where the first word stands at s, and every word k of the
-    window somewhere from s + k - slop to s + k + slop in the same document; of several places the nearest counts, of two as near the
-    first. So matches depend on the document alone, neither on its block nor on which term is the rarest.
+    """(window, first, last) of each match in one block: lists of terms, shifted by their offsets, intersected from the
+    rarest on.
+
+    `windows` holds numbers of terms, padded by -1; `counts` and `positions` the terms' lists; `rarest` the offset of
+    each window's rarest term in the corpus; `firsts` the documents' first positions, and the end. A match stands where
+    the first word stands at s, and every word k of the window somewhere from s + k - slop to s + k + slop in the same
+    document; of several places the nearest counts, of two as near the first. So matches depend on the document alone,
+    neither on its block nor on which term is the rarest.
     """
     import numpy as np
 
@@ -169,10 +205,14 @@ def intersect(windows, lengths, rarest, counts, positions, firsts, slop: int = 0
     anchor = windows[np.arange(len(windows)), rarest]
     load, found, at = np.cumsum(counts[anchor]), [], 0
     while at < len(windows):
-        upto = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + CANDIDATES // (2 * slop + 1), side="right")))
+        upto = max(
+            at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + CANDIDATES // (2 * slop + 1), side="right"))
+        )
         own = np.arange(at, upto)
         window = np.repeat(own, counts[anchor[own]])
-        place = np.arange(len(window)) - np.repeat(np.cumsum(counts[anchor[own]]) - counts[anchor[own]], counts[anchor[own]]) + begin[anchor[window]]
+        place = np.arange(len(window)) - np.repeat(
+            np.cumsum(counts[anchor[own]]) - counts[anchor[own]], counts[anchor[own]]
+        ) + begin[anchor[window]]
         spot = positions[place]
         doc = np.searchsorted(firsts, spot, side="right") - 1
         shifts = np.tile(np.arange(-slop, slop + 1), len(window))
@@ -183,7 +223,9 @@ def intersect(windows, lengths, rarest, counts, positions, firsts, slop: int = 0
         if slop:  # the first word stands exactly at the start, which several places of the rarest term may tell
             head = windows[window, 0] * stride + start
             keep = keys[np.minimum(np.searchsorted(keys, head), len(keys) - 1)] == head
-            window, doc, start = (x[0] for x in np.split(np.unique(np.stack([window[keep], doc[keep], start[keep]]), axis=1), 3))
+            window, doc, start = (
+                x[0] for x in np.split(np.unique(np.stack([window[keep], doc[keep], start[keep]]), axis=1), 3)
+            )
         low, high = start.copy(), start.copy()
         for k in range(n):
             offset = order[window, k]
@@ -219,7 +261,9 @@ def _search(n: int, slop: int):
         positions = unpack_places(b"".join(rows["positions"][k] for k in lists), counts)
         told = told.to_pydict()
         names = np.array(told["window"], np.int64)
-        windows = np.array([[number.get(t, -2) for t in terms] + [-1] * (n - len(terms)) for terms in told["terms"]], np.int64).reshape(-1, n)
+        windows = np.array(
+            [[number.get(t, -2) for t in terms] + [-1] * (n - len(terms)) for terms in told["terms"]], np.int64
+        ).reshape(-1, n)
         there = (windows > -2).all(axis=1)  # in this block each of its words occurs
         names, windows, rarest = names[there], windows[there], np.array(told["rarest"], np.int64)[there]
         window, first, last = intersect(windows, (windows >= 0).sum(axis=1), rarest, counts, positions, firsts, slop)
@@ -256,13 +300,15 @@ def _search(n: int, slop: int):
 def search_index(index: Index, benchmark: DataFrame, n: int = 13, slop: int = 0) -> DataFrame:
     """Where the benchmark's phrases of `n` words occur in the indexed documents: one row for every document.
 
-    Returns doc_id, text_hash (tells rows of one doc_id apart), n_words, n_hit (words inside any occurrence), items (ids of the items that occur, sorted, as
-    strings), and the maximal hit intervals as `starts` and `ends` in words. With slop 0 phrases match exactly; with more, each word
-    may stand up to `slop` places off in the same document, counted from the first word, and the interval spans the nearest words found.
+    Returns doc_id, text_hash (tells rows of one doc_id apart), n_words, n_hit (words inside any occurrence), items (ids
+    of the items that occur, sorted, as strings), and the maximal hit intervals as `starts` and `ends` in words. With
+    slop 0 phrases match exactly; with more, each word may stand up to `slop` places off in the same document, counted
+    from the first word, and the interval spans the nearest words found.
 
-    The benchmark stays in partitions: its different words are joined to the postings, each window to its rarest word in the corpus and
-    so to the blocks that hold that word; a block then meets only the windows told for it. Items without an id or words are no test. A null or wordless text
-    has no words and no hits. Null or repeated doc_ids stay rows of their own; an empty table gives no rows, an empty benchmark no hits.
+    The benchmark stays in partitions: its different words are joined to the postings, each window to its rarest word in
+    the corpus and so to the blocks that hold that word; a block then meets only the windows told for it. Items without
+    an id or words are no test. A null or wordless text has no words and no hits. Null or repeated doc_ids stay rows of
+    their own; an empty table gives no rows, an empty benchmark no hits.
     """
     cuts = written(phrase_windows(benchmark, n), "tests")
     windows = cuts.select("window", "terms").dropDuplicates(["window"])
@@ -270,17 +316,43 @@ def search_index(index: Index, benchmark: DataFrame, n: int = 13, slop: int = 0)
     hits = written(index.postings.join(terms, "term"), "hits")
     often = hits.groupBy("term").agg(F.sum("n").alias("often"))
     placed = windows.select("window", F.posexplode("terms").alias("rarest", "term")).join(often, "term")
-    told = placed.groupBy("window").agg(F.min(F.struct("often", "rarest", "term")).alias("least"), F.count(F.lit(1)).alias("found"))
-    told = windows.join(told, "window").where(F.size("terms") == F.col("found")).select("window", "terms", "least.rarest", "least.term")
+    told = placed.groupBy("window").agg(
+        F.min(F.struct("often", "rarest", "term")).alias("least"), F.count(F.lit(1)).alias("found")
+    )
+    told = (
+        windows
+        .join(told, "window")
+        .where(F.size("terms") == F.col("found"))
+        .select("window", "terms", "least.rarest", "least.term")
+    )
     told = told.join(hits.select("term", "block"), "term").select("block", "window", "terms", "rarest")
-    heads = index.documents.select("block", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("binary").alias("positions"), "doc_ids", "text_hashes", "firsts")
-    lists = hits.select("block", "term", "n", "positions", *(F.lit(None).cast("array<long>").alias(c) for c in ("doc_ids", "text_hashes", "firsts")))
-    found = heads.unionByName(lists).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_search(n, slop), MATCHES)
+    heads = index.documents.select(
+        "block", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("int").alias("n"),
+        F.lit(None).cast("binary").alias("positions"), "doc_ids", "text_hashes", "firsts"
+    )
+    lists = hits.select(
+        "block", "term", "n", "positions",
+        *(F.lit(None).cast("array<long>").alias(c) for c in ("doc_ids", "text_hashes", "firsts"))
+    )
+    found = (
+        heads
+        .unionByName(lists)
+        .groupBy("block")
+        .cogroup(told.groupBy("block"))
+        .applyInArrow(_search(n, slop), MATCHES)
+    )
     found = written(found, "found")
-    named = found.where("n_hit > 0").select("block", "place", F.explode("windows").alias("window")).join(cuts.select("window", "item"), "window")
+    named = (
+        found
+        .where("n_hit > 0")
+        .select("block", "place", F.explode("windows").alias("window"))
+        .join(cuts.select("window", "item"), "window")
+    )
     named = named.groupBy("block", "place").agg(F.sort_array(F.collect_set("item")).alias("items"))
     items = F.coalesce("items", F.array().cast("array<string>")).alias("items")
-    return found.join(named, ["block", "place"], "left").select("doc_id", "text_hash", "n_words", "n_hit", items, "starts", "ends")
+    return found.join(named, ["block", "place"], "left").select(
+        "doc_id", "text_hash", "n_words", "n_hit", items, "starts", "ends"
+    )
 
 
 def find_tests(docs: DataFrame, benchmark: DataFrame, n: int = 13, slop: int = 0) -> DataFrame:
@@ -289,6 +361,8 @@ def find_tests(docs: DataFrame, benchmark: DataFrame, n: int = 13, slop: int = 0
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, one_in: int = 20) -> DataFrame:
-    """find_tests with `contaminated`: some word is hit, and at least one word in `one_in`. Texts are searched whole, however long."""
+    """find_tests with `contaminated`: some word is hit, and at least one word in `one_in`. Texts are searched whole,
+    however long.
+    """
     found = find_tests(docs, benchmark, n)
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .common import crc_remainder, has_columns, ship, text_hash
 
-#: Classes of characters: lower and upper letters, other letters, digits, white space, sentence marks, bars, other signs.
+#: Classes of characters: lower and upper letters, other letters, digits, white space, sentence marks, bars, other
+#: signs.
 LOWER, UPPER, LETTER, DIGIT, BLANK, SENTENCE, BAR, SIGN = range(8)
 OWN, RUN_LINES = 14, 20_000
 
@@ -40,7 +41,12 @@ def _own_features(lines: list[str]):
     n = len(lines)
     points = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
     line = np.cumsum(points == 10)
-    counts = np.bincount(line * 8 + _classes()[points] if len(points) else np.zeros(0, np.int64), minlength=8 * n).reshape(n, 8).astype(np.float64)
+    counts = (
+        np
+        .bincount(line * 8 + _classes()[points] if len(points) else np.zeros(0, np.int64), minlength=8 * n)
+        .reshape(n, 8)
+        .astype(np.float64)
+    )
     length = np.array([len(x) for x in lines], np.float64)
     counts[:-1, BLANK] -= 1  # the line feed itself
     words = np.zeros((n, 4))
@@ -51,15 +57,18 @@ def _own_features(lines: list[str]):
     size, w = np.maximum(length, 1), np.maximum(words[:, 0], 1)
     letters = np.maximum(counts[:, :3].sum(axis=1), 1)
     own = np.column_stack([
-        np.ones(n), np.log1p(length) / 5, length == 0, counts[:, UPPER] / letters, counts[:, DIGIT] / size, counts[:, SENTENCE] / size * 5,
-        np.minimum(counts[:, BAR] / w, 1), np.minimum(counts[:, SIGN] / w, 2), 1 - words[:, 1] / w, words[:, 2] / w, words[:, 3] / w,
+        np.ones(n), np.log1p(length) / 5, length == 0, counts[:, UPPER] / letters, counts[:, DIGIT] / size,
+        counts[:, SENTENCE] / size * 5,
+        np.minimum(counts[:, BAR] / w, 1), np.minimum(counts[:, SIGN] / w, 2), 1 - words[:, 1] / w, words[:, 2] / w,
+        words[:, 3] / w,
         np.minimum(letters / w, 20) / 10, words[:, 0] == 1, counts[:, BAR] > 0,
     ])
     return own, length
 
 
 def line_features(text: str | None):
-    """(features, weights): a row for each line, with its own features and those of the lines before and after it; weights are lengths plus one.
+    """(features, weights): a row for each line, with its own features and those of the lines before and after it;
+    weights are lengths plus one.
 
     A text of no line feed is one line, so that null and empty texts have one empty line.
     """
@@ -74,7 +83,9 @@ def line_features(text: str | None):
 
 
 def line_emissions(weights, text: str | None):
-    """(emissions, weights) by line: line_features() times the weights, in runs of RUN_LINES, so that a long text takes a few numbers a line."""
+    """(emissions, weights) by line: line_features() times the weights, in runs of RUN_LINES, so that a long text takes
+    a few numbers a line.
+    """
     import numpy as np
 
     lines = (text or "").split("\n")
@@ -101,7 +112,8 @@ def _padded(documents: list):
 
 
 def good_lines(moves, scores, there):
-    """Forward and backward over all lines, by logarithms: the probability of a good line, and the sums that pairs and the partition need.
+    """Forward and backward over all lines, by logarithms: the probability of a good line, and the sums that pairs and
+    the partition need.
 
     `scores` (document, line) favours a good line; `there` marks lines that exist.
     """
@@ -124,12 +136,16 @@ def good_lines(moves, scores, there):
 
 
 def marginals(model: dict, x, there, told=0.0):
-    """The probability of a good line, and what training needs: pair marginals and the log partition; `told` is added to every line's score."""
+    """The probability of a good line, and what training needs: pair marginals and the log partition; `told` is added to
+    every line's score.
+    """
     import numpy as np
 
     moves = model["moves"]
     good, emission, forward, backward, total = good_lines(moves, x @ model["weights"] + told, there)
-    pairs = forward[:, :-1, :, None] + moves + (emission[:, 1:] + backward[:, 1:])[:, :, None, :] - total[:, None, None, None]
+    pairs = forward[:, :-1, :, None] + moves + (
+        emission[:, 1:] + backward[:, 1:]
+    )[:, :, None, :] - total[:, None, None, None]
     return good, np.exp(np.minimum(pairs, 0)) * there[:, 1:, None, None], total
 
 
@@ -151,15 +167,19 @@ def _ascend(model: dict, batches: list, witness: float, steps: int, rate: float,
     return model | {"weights": weights}
 
 
-def fit(documents: list, labels: list[int], trust: float = 0.9, steps: int = 160, rate: float = 0.08, ridge: float = 2e-3) -> dict:
+def fit(
+    documents: list, labels: list[int], trust: float = 0.9, steps: int = 160, rate: float = 0.08, ridge: float = 2e-3
+) -> dict:
     """A CRF with hidden line labels, fitted to the documents' labels.
 
-    Each line's label is hidden; the document's label is a witness of it that is right with probability `trust`. So the gradient is
-    what the chain expects with the witnesses less what it expects without, and a line may come out other than its document. Lines of a
-    document share the likelihood equally, so that long documents don't outweigh short ones.
+    Each line's label is hidden; the document's label is a witness of it that is right with probability `trust`. So the
+    gradient is what the chain expects with the witnesses less what it expects without, and a line may come out other
+    than its document. Lines of a document share the likelihood equally, so that long documents don't outweigh short
+    ones.
 
-    The same likelihood would teach the moves never to switch, as a document has one label. So the weights are fitted without
-    moves first; the moves are then the pointwise mutual information of neighbouring lines under these weights, and the weights are fitted again with them.
+    The same likelihood would teach the moves never to switch, as a document has one label. So the weights are fitted
+    without moves first; the moves are then the pointwise mutual information of neighbouring lines under these weights,
+    and the weights are fitted again with them.
     """
     import numpy as np
 
@@ -183,10 +203,14 @@ def fit(documents: list, labels: list[int], trust: float = 0.9, steps: int = 160
 
 
 def calibrate(model: dict, documents: list, labels: list[int]) -> dict:
-    """Adds a logistic curve of the length-weighted mean, fitted with equal weight for both classes, so that a score is a probability."""
+    """Adds a logistic curve of the length-weighted mean, fitted with equal weight for both classes, so that a score is
+    a probability.
+    """
     import numpy as np
 
-    means = np.array([_mean(g, w) for x, w in documents for g in [marginals(model, x[None], np.ones((1, len(x)), bool))[0][0]]])
+    means = np.array(
+        [_mean(g, w) for x, w in documents for g in [marginals(model, x[None], np.ones((1, len(x)), bool))[0][0]]]
+    )
     y = np.array(labels)
     if not 0 < y.sum() < len(y):
         return model | {"slope": 1.0 if len(y) else 0.0, "middle": 0.0}
@@ -210,18 +234,31 @@ def _logit(mean):
     return np.log(mean / (1 - mean))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sample_lines: int = 300, held_out_of: int = 5) -> dict:
-    """Fits on at most `sample_docs` labelled documents of at most `sample_lines` lines: those of least hash, held-out rows excepted.
+def train(
+    docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sample_lines: int = 300, held_out_of: int = 5
+) -> dict:
+    """Fits on at most `sample_docs` labelled documents of at most `sample_lines` lines: those of least hash, held-out
+    rows excepted.
 
-    Only the sample's features reach the driver, at most sample_docs * sample_lines rows of 43 numbers. Conflicting or repeated
-    labels of a document count by the least; null labels and null ids don't count.
+    Only the sample's features reach the driver, at most sample_docs * sample_lines rows of 43 numbers. Conflicting or
+    repeated labels of a document count by the least; null labels and null ids don't count.
     """
     spark = docs.sparkSession
     ship(spark)
     docs = has_columns(docs, doc_id="long", text="string")
-    labelled = has_columns(labels, doc_id="long", quality="int").where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    labelled = (
+        has_columns(labels, doc_id="long", quality="int")
+        .where("quality IS NOT NULL AND doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"))
+    )
     lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1))
-    known = docs.where((crc_remainder(F.col("doc_id"), held_out_of) > 0) & (lines <= sample_lines)).select("doc_id").join(labelled, "doc_id")
+    known = (
+        docs
+        .where((crc_remainder(F.col("doc_id"), held_out_of) > 0) & (lines <= sample_lines))
+        .select("doc_id")
+        .join(labelled, "doc_id")
+    )
     chosen = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
 
     def featurise(batches: Iterator) -> Iterator:
@@ -230,10 +267,19 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 3000, sample_li
 
         for batch in batches:
             rows = [np.column_stack(line_features(t)).astype(np.float32) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "quality", "x"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("quality"), pa.array([r.tobytes() for r in rows], pa.binary())],
+                ["doc_id", "quality", "x"]
+            )
 
     # Of rows that share an id, the text of least hash is learned from; so at most sample_docs rows reach the driver.
-    picked = docs.where(lines <= sample_lines).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(text_hash(F.col("text")), "text")).alias("text"))
+    picked = (
+        docs
+        .where(lines <= sample_lines)
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min_by("text", F.struct(text_hash(F.col("text")), "text")).alias("text"))
+    )
     rows = picked.mapInArrow(featurise, "doc_id long, quality int, x binary").limit(sample_docs).collect()
     import numpy as np
 
@@ -266,7 +312,9 @@ def line_marginals(model: dict, texts: list[str | None]) -> list[tuple]:
 
 
 def document_scores(model: dict, texts: list[str | None]) -> list[float]:
-    """The mean probability of a good line, weighted by the lines' lengths, on the calibrated scale; one half where nothing was learned."""
+    """The mean probability of a good line, weighted by the lines' lengths, on the calibrated scale; one half where
+    nothing was learned.
+    """
     import numpy as np
 
     slope, middle = model.get("slope", 1.0), model.get("middle", 0.0)
@@ -275,10 +323,11 @@ def document_scores(model: dict, texts: list[str | None]) -> list[float]:
 
 
 def label_lines(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, text_hash, line (from 0), length, good (the probability of a good line), label (1 where that is at least one half), for every line of every document.
+    """doc_id, text_hash, line (from 0), length, good (the probability of a good line), label (1 where that is at least
+    one half), for every line of every document.
 
-    A null or empty text is one empty line. Repeated rows give their lines each time; null ids stay null; extra columns are left out; an empty table
-    gives no rows.
+    A null or empty text is one empty line. Repeated rows give their lines each time; null ids stay null; extra columns
+    are left out; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -295,7 +344,10 @@ def label_lines(docs: DataFrame, model: dict) -> DataFrame:
                 owner = pa.array(np.repeat(np.arange(len(told)), [len(g) for g, _ in told]))
                 good, weight = (np.concatenate([t[i] for t in told]) for i in (0, 1))
                 place = np.concatenate([np.arange(len(g)) for g, _ in told])
-                columns = [part.column("doc_id").take(owner), part.column("text_hash").take(owner), pa.array(place), pa.array((weight - 1).astype(np.int64)), pa.array(good), pa.array((good >= 0.5).astype(np.int32))]
+                columns = [
+                    part.column("doc_id").take(owner), part.column("text_hash").take(owner), pa.array(place),
+                    pa.array((weight - 1).astype(np.int64)), pa.array(good), pa.array((good >= 0.5).astype(np.int32))
+                ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "length", "good", "label"])
 
     docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
@@ -316,19 +368,27 @@ def score_quality(docs: DataFrame, model: dict, column: str = "score") -> DataFr
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
                 scores = document_scores(sent.value, part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, column])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, column]
+                )
 
     kinds = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
     return docs.mapInArrow(score, f"{kinds}, `{column}` double")
 
 
-def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, held_out_of: int = 5, **sample: int) -> DataFrame:
+def classify_quality(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, held_out_of: int = 5, **sample: int
+) -> DataFrame:
     """doc_id, held_out, score, predicted for every row: 1 where the score is at least `threshold`.
 
-    A null or empty text is one empty line and gets a score like any other. A null doc_id is never held out and never learned
-    from. Without a usable label every score is one half. Repeated rows get their result each time; extra columns are left out; an empty table
-    gives no rows. Texts are scored whole, in a few numbers a line, so that one of a million lines fits into a task.
+    A null or empty text is one empty line and gets a score like any other. A null doc_id is never held out and never
+    learned from. Without a usable label every score is one half. Repeated rows get their result each time; extra
+    columns are left out; an empty table gives no rows. Texts are scored whole, in a few numbers a line, so that one of
+    a million lines fits into a task.
     """
     model = train(docs, labels, held_out_of=held_out_of, **sample)
     scored = score_quality(has_columns(docs, doc_id="long", text="string"), model)
-    return scored.select("doc_id", (crc_remainder(F.col("doc_id"), held_out_of) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(
+        "doc_id", (crc_remainder(F.col("doc_id"), held_out_of) == 0).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted")
+    )

@@ -30,7 +30,9 @@ def vocabulary(name: str) -> str:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=13, one_in=20)
     n_items, digest = F.size("items").cast("long"), F.sha2(F.array_join(F.array_sort("items"), ","), 256)
-    return out.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), "contaminated")
+    return out.select(
+        "doc_id", "n_words", "n_hit", n_items.alias("n_items"), digest.alias("items_sha256"), "contaminated"
+    )
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,8 +60,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rotate_perspectives(table(spark, sf_dir, "conversations"))
-    spans = F.array_join(F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))), ",")
-    return out.select("conv_id", "speaker", "n_turns", "n_own", F.sha2("text", 256).alias("text_sha256"), F.sha2(spans, 256).alias("mask_sha256"))
+    spans = F.array_join(
+        F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string"))), ","
+    )
+    return out.select(
+        "conv_id", "speaker", "n_turns", "n_own", F.sha2("text", 256).alias("text_sha256"),
+        F.sha2(spans, 256).alias("mask_sha256")
+    )
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,14 +105,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": r"""
         WITH doc AS (
-            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'),
                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
         ), item AS (
-            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'),
                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
         ), test AS (
             SELECT DISTINCT item_id, least(len(words), 13) AS n, array_to_string(words[i:i + 12], ' ') AS phrase
-            FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 12, 1))) AS i FROM item WHERE len(words) > 0)
+            FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 12, 1))) AS i FROM item WHERE
+            len(words) > 0)
         ), word AS (
             SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM doc
         ), hit AS (
@@ -114,22 +124,27 @@ ORACLE_SQL: dict[str, str] = {
                   FROM word, (SELECT DISTINCT n FROM test) WHERE i + n - 1 <= len(words)) AS word
             JOIN test ON test.n = word.n AND test.phrase = word.phrase
         ), covered AS (
-            SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM hit) GROUP BY doc_id
+            SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS
+            place FROM hit) GROUP BY doc_id
         ), items AS (
             SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
             FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
         )
-        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS
+        n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >=
+               len(words) AS contaminated
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
     "op3_substring_dedup": r"""
         WITH doc AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
         ), word AS (
-            SELECT doc_id, i, words[i] AS word, len(words) AS n FROM (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM doc)
+            SELECT doc_id, i, words[i] AS word, len(words) AS n FROM (SELECT doc_id, words, unnest(generate_series(1,
+            len(words))) AS i FROM doc)
         ), coded AS (
-            SELECT doc_id, list(id ORDER BY i) AS ids FROM (SELECT doc_id, i, dense_rank() OVER (ORDER BY word) AS id FROM word) GROUP BY doc_id
+            SELECT doc_id, list(id ORDER BY i) AS ids FROM (SELECT doc_id, i, dense_rank() OVER (ORDER BY word) AS id
+            FROM word) GROUP BY doc_id
         ), window_at AS (
             SELECT doc_id, i, row_number() OVER (PARTITION BY ids[i:i + 19] ORDER BY doc_id, i) AS nth
             FROM (SELECT doc_id, ids, unnest(generate_series(1, len(ids) - 19)) AS i FROM coded)
@@ -142,7 +157,8 @@ ORACLE_SQL: dict[str, str] = {
                    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text
             FROM near GROUP BY doc_id
         )
-        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text,
+        '')) AS kept_sha256
         FROM documents LEFT JOIN kept USING (doc_id)
     """,
     "op5_line_dedup": r"""
@@ -157,19 +173,23 @@ ORACLE_SQL: dict[str, str] = {
             SELECT key FROM line WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
         )
         SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE common.key IS NULL), '')) AS
+               kept_sha256
         FROM line LEFT JOIN common USING (key) GROUP BY doc_id
     """,
     "op4_embedding_dedup": r"""
         WITH RECURSIVE sound AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT
+            isfinite(x))) = 0
               AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ), link AS (
-            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+            AND len(a.v) = len(b.v)
             WHERE list_cosine_similarity(a.v, b.v) >= 0.93
         ), reach AS (
-            SELECT a AS vec_id, b AS other FROM link UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON reach.other = link.a
+            SELECT a AS vec_id, b AS other FROM link UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON
+            reach.other = link.a
         ), least AS (
             SELECT vec_id, min(other) AS other FROM reach GROUP BY vec_id
         ), degree AS (
@@ -182,18 +202,22 @@ ORACLE_SQL: dict[str, str] = {
     "op7_chat_rotation": r"""
         WITH turn AS (
             SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS n
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'),
+                   coalesce(text, '')) AS n
             FROM conversations
         ), told AS (
-            SELECT turn.*, speaker, role = speaker AS own, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
+            SELECT turn.*, speaker, role = speaker AS own, CASE WHEN role = 'system' THEN '<|system|>' WHEN role =
+            speaker THEN '<|assistant|>'
                    ELSE concat('<|user:', role, '|>') END AS head
             FROM turn JOIN (SELECT DISTINCT conv_id, role AS speaker FROM turn WHERE role <> 'system') USING (conv_id)
         ), placed AS (
-            SELECT *, sum(length(head) + 1 + length(text) + 8) OVER (PARTITION BY conv_id, speaker ORDER BY n) AS upto FROM told
+            SELECT *, sum(length(head) + 1 + length(text) + 8) OVER (PARTITION BY conv_id, speaker ORDER BY n) AS upto
+            FROM told
         )
         SELECT conv_id, speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
                sha256(string_agg(concat(head, chr(10), text, '<|end|>', chr(10)), '' ORDER BY n)) AS text_sha256,
-               sha256(string_agg(concat(CAST(upto - length(text) - 8 AS BIGINT), '-', CAST(upto AS BIGINT)), ',' ORDER BY n) FILTER (WHERE own)) AS mask_sha256
+               sha256(string_agg(concat(CAST(upto - length(text) - 8 AS BIGINT), '-', CAST(upto AS BIGINT)), ',' ORDER
+               BY n) FILTER (WHERE own)) AS mask_sha256
         FROM placed GROUP BY conv_id, speaker
     """,
 }

@@ -13,7 +13,8 @@ from pyspark.sql import Window
 from .common import has_columns, new_path, ship, written
 from .tokens import load_spec, worker_tokenizer
 
-#: A record: length of the payload (8 bytes), masked crc of those 8, payload, masked crc of the payload, a line feed as record mark.
+#: A record: length of the payload (8 bytes), masked crc of those 8, payload, masked crc of the payload, a line feed as
+#: record mark.
 HEAD, TAIL, MARK = struct.Struct("<QI"), struct.Struct("<I"), b"\n"
 #: A payload: doc_id, flags (1: doc_id is null; 2: ids of four bytes, else two), the ids.
 DOC = struct.Struct("<qB")
@@ -25,7 +26,8 @@ MASK = 0xA282EAD8
 
 
 def masked(data: bytes) -> int:
-    """The data's crc32, rotated right by 15 bits plus a constant, so that a crc of data with crcs inside stays sound."""
+    """The data's crc32, rotated right by 15 bits plus a constant, so that a crc of data with crcs inside stays sound.
+    """
     crc = zlib.crc32(data)
     return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
 
@@ -50,12 +52,13 @@ def unframe(content, at: int) -> tuple[int | None, bytes, bool, int]:
 
 
 def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_bytes: int = 16 << 20) -> None:
-    """Encodes each whole text (null: empty), adds `end_id`, and writes the records in ascending doc_id order under `path`.
+    """Encodes each whole text (null: empty), adds `end_id`, and writes the records in ascending doc_id order under
+    `path`.
 
-    A file covers one range of doc_ids and holds `max_bytes` at most, or a single longer record; files are ordered by their part number, then
-    by their chunk, and null ids come first. Rows that repeat a doc_id stay, ordered by the hash of their text; equal rows
-    may lie in different files, so that no id, nor the rows without one, must meet in one task. Spark's own writer commits the
-    files, on any file system that it knows.
+    A file covers one range of doc_ids and holds `max_bytes` at most, or a single longer record; files are ordered by
+    their part number, then by their chunk, and null ids come first. Rows that repeat a doc_id stay, ordered by the hash
+    of their text; equal rows may lie in different files, so that no id, nor the rows without one, must meet in one
+    task. Spark's own writer commits the files, on any file system that it knows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -66,7 +69,12 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str, max_b
         import pyarrow as pa
 
         tok = worker_tokenizer(spec.value)
-        end, wide, width = np.array([end_id], dtype=tok.dtype).tobytes(), tok.dtype == "<u4", np.dtype(tok.dtype).itemsize
+        end, wide, width = (
+            np
+            .array([end_id], dtype=tok.dtype)
+            .tobytes(), tok.dtype == "<u4", np
+            .dtype(tok.dtype).itemsize
+        )
         made: list[bytes] = []
         size = 0
 
@@ -102,7 +110,9 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def build_index(spark: SparkSession, path: str) -> DataFrame:
-    """The offset index of all files under `path`, from reading them whole and checking every checksum: one row a record."""
+    """The offset index of all files under `path`, from reading them whole and checking every checksum: one row a
+    record.
+    """
     ship(spark)
 
     def scan(batches: Iterator) -> Iterator:
@@ -112,7 +122,9 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
         import pyarrow as pa
 
         names = [field.split()[0] for field in INDEX.split(", ")]
-        kinds = [{"int": pa.int32(), "string": pa.string()}.get(field.split()[1], pa.int64()) for field in INDEX.split(", ")]
+        kinds = [
+            {"int": pa.int32(), "string": pa.string()}.get(field.split()[1], pa.int64()) for field in INDEX.split(", ")
+        ]
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 content = memoryview(content.as_buffer())
@@ -121,10 +133,14 @@ def build_index(spark: SparkSession, path: str) -> DataFrame:
                 while at < len(content):
                     doc_id, ids, wide, after = unframe(content, at)
                     ids = np.frombuffer(ids, "<u4" if wide else "<u2").astype("<u4")
-                    rows.append((part, chunk, name, record, at, after - at, doc_id, len(ids), before, zlib.crc32(ids.tobytes())))
+                    rows.append(
+                        (part, chunk, name, record, at, after - at, doc_id, len(ids), before, zlib.crc32(ids.tobytes()))
+                    )
                     at, record, before = after, record + 1, before + len(ids)
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names
+                    )
 
     return _files(spark, path).mapInArrow(scan, INDEX)
 
@@ -143,17 +159,26 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
                 content = memoryview(content.as_buffer())
                 rows = [unframe(content, at)[:3] for at in offsets]
                 ids = [np.frombuffer(x, "<u4" if wide else "<u2").astype("int64") for _, x, wide in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([d for d, _, _ in rows], pa.int64()), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d for d, _, _ in rows], pa.int64()), pa.array(ids, pa.list_(pa.int64()))],
+                    ["doc_id", "ids"]
+                )
 
     chosen = index.groupBy("path").agg(F.collect_list("offset").alias("offsets"))
-    return _files(spark, path).join(chosen, "path").select("content", "offsets").mapInArrow(pick, "doc_id long, ids array<long>")
+    return (
+        _files(spark, path)
+        .join(chosen, "path")
+        .select("content", "offsets")
+        .mapInArrow(pick, "doc_id long, ids array<long>")
+    )
 
 
 def tokenize_to_records(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> DataFrame:
-    """Writes the record files and their index (Parquet, `path`-index) and returns the index with `start`, the ids of all records before.
+    """Writes the record files and their index (Parquet, `path`-index) and returns the index with `start`, the ids of
+    all records before.
 
-    Extra columns are left out; an empty table writes no records and gives an empty index. The running total
-    runs over files (one row each), not over documents.
+    Extra columns are left out; an empty table writes no records and gives an empty index. The running total runs over
+    files (one row each), not over documents.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "records")
@@ -162,5 +187,12 @@ def tokenize_to_records(docs: DataFrame, tokenizer: str, end_id: int, path: str
     index.write.parquet(f"{path}-index")
     index = spark.read.schema(INDEX).parquet(f"{path}-index")
     files = index.groupBy("part", "chunk").agg(F.sum("n_tokens").alias("n"))
-    files = files.select("part", "chunk", (F.sum("n").over(Window.orderBy("part", "chunk")) - F.col("n")).alias("files_before"))
-    return index.join(files, ["part", "chunk"]).withColumn("start", F.col("files_before") + F.col("ids_before")).drop("files_before")
+    files = files.select(
+        "part", "chunk", (F.sum("n").over(Window.orderBy("part", "chunk")) - F.col("n")).alias("files_before")
+    )
+    return (
+        index
+        .join(files, ["part", "chunk"])
+        .withColumn("start", F.col("files_before") + F.col("ids_before"))
+        .drop("files_before")
+    )

@@ -120,7 +120,8 @@ class Block:
 def bucket_names(spark: SparkSession, n: int) -> list[int]:
     """n numbers that Spark's hash deals to n different partitions, so that equal buckets make equal tasks."""
     numbers = spark.range(40 * n).select(F.col("id").cast("int").alias("id"))
-    own = numbers.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id")).collect()  # n rows at most
+    # n rows at most
+    own = numbers.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id")).collect()
     names = sorted(r.id for r in own)
     return names + [i for i in range(-1, -1 - n + len(names), -1)]
 
@@ -131,7 +132,9 @@ def _packed(ids, counts) -> bytes:
 
     gaps = np.diff(ids, prepend=ids[:1])
     narrow = len(ids) > 0 and 0 <= gaps.min() and gaps.max() < 1 << 32
-    return struct.pack("<q?I", int(ids[0]) if len(ids) else 0, narrow, len(ids)) + (gaps.astype("<u4") if narrow else ids.astype("<i8")).tobytes() + counts.astype("<u4").tobytes()
+    return struct.pack(
+        "<q?I", int(ids[0]) if len(ids) else 0, narrow, len(ids)
+    ) + (gaps.astype("<u4") if narrow else ids.astype("<i8")).tobytes() + counts.astype("<u4").tobytes()
 
 
 def _unpacked(data: bytes):
@@ -141,7 +144,9 @@ def _unpacked(data: bytes):
     first, narrow, n = struct.unpack_from("<q?I", data)
     at = struct.calcsize("<q?I")
     end = at + n * (4 if narrow else 8)
-    ids = first + np.cumsum(np.frombuffer(data[at:end], "<u4").astype(np.int64)) if narrow else np.frombuffer(data[at:end], "<i8")
+    ids = first + np.cumsum(
+        np.frombuffer(data[at:end], "<u4").astype(np.int64)
+    ) if narrow else np.frombuffer(data[at:end], "<i8")
     return ids, np.r_[0, np.cumsum(np.frombuffer(data[end:], "<u4").astype(np.int64))]
 
 
@@ -166,9 +171,11 @@ def _places(data: bytes):
 
 
 def _scan(n: int, names: list[int], exact: bool, bits: int = 64):
-    """Of each block: one window of each hash, dealt to buckets by hash; the positions of windows that repeat within the block; its documents.
+    """Of each block: one window of each hash, dealt to buckets by hash; the positions of windows that repeat within the
+    block; its documents.
 
-    In the first round all windows that repeat in the block count as repeated; in the exact one only those after the first.
+    In the first round all windows that repeat in the block count as repeated; in the exact one only those after the
+    first.
     """
 
     buckets = len(names)
@@ -193,7 +200,8 @@ def _scan(n: int, names: list[int], exact: bool, bits: int = 64):
             again = ~first if exact else ~first | np.r_[~first[1:], False][: len(first)]
             again, at = np.sort(at[order[again]]), at[order[first]]
             hashes = [h[first] for h in sorted_hashes]
-            # The upper 16 bits choose the bucket; of those below 32 travel, and in the exact round the whole second hash.
+            # The upper 16 bits choose the bucket; of those below 32 travel, and in the exact round the whole second
+            # hash.
             bucket = ((hashes[0] >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
             order = np.argsort(bucket << 32 | at)
             at, bucket = at[order], bucket[order]
@@ -207,14 +215,22 @@ def _scan(n: int, names: list[int], exact: bool, bits: int = 64):
                 told = short[own].tobytes() + (whole[own].tobytes() if exact else b"")
                 rows.append((names[b], name, 0, told, _gaps(at[own]), docs_of_block if exact else None))
             rows.append((names[name % buckets], name, 1, _gaps(again), None, None))
-            rows.append((names[name % buckets], name, 2, docs_of_block, block.text_hashes.astype("<i8").tobytes(), None))
+            rows.append(
+                (names[name % buckets], name, 2, docs_of_block, block.text_hashes.astype("<i8").tobytes(), None)
+            )
             kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in PARTS.split(", ")])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                [x.split()[0] for x in PARTS.split(", ")]
+            )
 
         docs, size = [], 0
         for batch in batches:
             spans = batch.column("spans").to_pylist() if exact else [None] * batch.num_rows
-            for d, t, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), spans, strict=True):
+            for d, t, text, own in zip(
+                batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), spans,
+                strict=True
+            ):
                 own = [(s["start"], s["end"]) for s in own] if exact else None
                 docs.append((d, t, text.as_buffer().to_pybytes().split() if text.is_valid else [], own))
                 size += len(docs[-1][2])
@@ -235,7 +251,9 @@ def _found(rows: list[tuple]):
 
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
     columns = zip(*rows, strict=True) if rows else [[]] * 4
-    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")])
+    return pa.table(
+        [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")]
+    )
 
 
 def _parts(group):
@@ -284,7 +302,9 @@ def _later(group):
     if windows:
         counts = [len(a) // 12 for _, a, _, _ in windows]
         short = np.concatenate([np.frombuffer(a, "<u4", n) for n, (_, a, _, _) in zip(counts, windows, strict=True)])
-        whole = np.concatenate([np.frombuffer(a, "<u8", n, 4 * n) for n, (_, a, _, _) in zip(counts, windows, strict=True)])
+        whole = np.concatenate(
+            [np.frombuffer(a, "<u8", n, 4 * n) for n, (_, a, _, _) in zip(counts, windows, strict=True)]
+        )
         found = np.flatnonzero(_repeated(whole))
         sizes = np.cumsum([0, *counts])
         which = np.searchsorted(sizes, found, side="right") - 1
@@ -296,7 +316,8 @@ def _later(group):
                 ids, firsts = _unpacked(c)
                 doc[own] = ids[np.searchsorted(firsts, at[own], side="right") - 1]
         names = np.array([w[0] for w in windows], np.int64)
-        order = np.lexsort((at, names[which], doc, short[found], whole[found]))  # a null doc_id stands before all others
+        # a null doc_id stands before all others
+        order = np.lexsort((at, names[which], doc, short[found], whole[found]))
         x, y = short[found][order], whole[found][order]
         gone = order[1:][(x[1:] == x[:-1]) & (y[1:] == y[:-1])]
         for k in np.unique(which[gone]).tolist():
@@ -325,33 +346,47 @@ def _intervals(n: int):
             starts, ends, owner = at[new], at[np.r_[new[1:], True]] + n, doc[new]
             docs, cuts = np.unique(owner, return_index=True)
             for d, i, j in zip(docs.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(owner)], strict=True):
-                rows.append((None if ids[d] == -(1 << 63) else int(ids[d]), int(hashes[d]), starts[i:j] - firsts[d], ends[i:j] - firsts[d]))
+                rows.append(
+                    (
+                        None if ids[d] == -(1 << 63) else int(ids[d]), int(hashes[d]), starts[i:j] - firsts[d],
+                        ends[i:j] - firsts[d]
+                    )
+                )
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         columns = zip(*rows, strict=True) if rows else [[]] * 4
-        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text_hash", "starts", "ends"])
+        return pa.table(
+            [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
+            ["doc_id", "text_hash", "starts", "ends"]
+        )
 
     return merge
 
 
 def _by_document(found: DataFrame, n: int) -> DataFrame:
-    return found.groupBy("block").applyInArrow(_intervals(n), "doc_id long, text_hash long, starts array<long>, ends array<long>")
+    return found.groupBy("block").applyInArrow(
+        _intervals(n), "doc_id long, text_hash long, starts array<long>, ends array<long>"
+    )
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """The rows with a key of id and text, and numbers in reading order."""
     docs = has_columns(docs, doc_id="long", text="string").withColumn("text_hash", text_hash(F.col("text")))
-    return docs.withColumns({"doc_key": F.coalesce("doc_id", F.lit(-(1 << 63))), "row": F.monotonically_increasing_id()})
+    return docs.withColumns(
+        {"doc_key": F.coalesce("doc_id", F.lit(-(1 << 63))), "row": F.monotonically_increasing_id()}
+    )
 
 
 def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None, hash_bits: int = 64) -> DataFrame:
-    """(doc_id, text_hash, starts, ends): the maximal word intervals that hold only windows seen earlier, for documents that have any.
-
-    First round: blocks of about half a million words deal one window of each hash to buckets, with 32 bits of it, and each bucket tells the
-    blocks which of their windows may stand elsewhere too. Second round: only those windows, with 96 bits of two other hashes, go
-    to buckets, which keep the one that starts first by (doc_id, position). A passage that a third of all documents share sends one row a
-    block, not one a document. Positions, not texts, return to the blocks. There is a bucket for each 64 MB of text, and at least one a
-    shuffle partition, so that a bucket stays as large as it is when the table grows. `hash_bits` narrows the first round's hash, which costs time
-    and changes no result.
+    """(doc_id, text_hash, starts, ends): the maximal word intervals that hold only windows seen earlier, for documents
+    that have any.
+
+    First round: blocks of about half a million words deal one window of each hash to buckets, with 32 bits of it, and
+    each bucket tells the blocks which of their windows may stand elsewhere too. Second round: only those windows, with
+    96 bits of two other hashes, go to buckets, which keep the one that starts first by (doc_id, position). A passage
+    that a third of all documents share sends one row a block, not one a document. Positions, not texts, return to the
+    blocks. There is a bucket for each 64 MB of text, and at least one a shuffle partition, so that a bucket stays as
+    large as it is when the table grows. `hash_bits` narrows the first round's hash, which costs time and changes no
+    result.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -362,10 +397,18 @@ def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None,
     keyed = _keyed(docs)
     parts = keyed.select("doc_id", "text", "text_hash").mapInArrow(_scan(n, names, False, hash_bits), PARTS)
     maybe = _by_document(parts.groupBy("bucket").applyInArrow(_candidates, FOUND), n)
-    span = F.transform(F.arrays_zip("starts", "ends"), lambda s: F.struct(s["starts"].alias("start"), (s["ends"] - n + 1).alias("end"))).alias("spans")
+    span = F.transform(
+        F.arrays_zip("starts", "ends"), lambda s: F.struct(s["starts"].alias("start"), (s["ends"] - n + 1).alias("end"))
+    ).alias("spans")
     # Rows equal in id and text have the same windows, so any one's spans do for all.
-    maybe = maybe.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key"), "text_hash", span).groupBy("doc_key", "text_hash").agg(F.max("spans").alias("spans"))
-    again = keyed.join(maybe, ["doc_key", "text_hash"]).select("doc_id", "text", "text_hash", "spans", "row")  # columns as in substring_dedup, so that texts are shuffled once
+    maybe = (
+        maybe
+        .select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key"), "text_hash", span)
+        .groupBy("doc_key", "text_hash")
+        .agg(F.max("spans").alias("spans"))
+    )
+    # columns as in substring_dedup, so that texts are shuffled once
+    again = keyed.join(maybe, ["doc_key", "text_hash"]).select("doc_id", "text", "text_hash", "spans", "row")
     parts = again.mapInArrow(_scan(n, names, True), PARTS)
     return _by_document(parts.groupBy("bucket").applyInArrow(_later, FOUND), n)
 
@@ -377,7 +420,9 @@ def _remove(batches: Iterator) -> Iterator:
         for k in range(0, batch.num_rows, 1000):
             part = batch.slice(k, 1000)
             kept, counts, gone = [], [], []
-            for text, starts, ends in zip(part.column("text"), part.column("starts").to_pylist(), part.column("ends").to_pylist(), strict=True):
+            for text, starts, ends in zip(
+                part.column("text"), part.column("starts").to_pylist(), part.column("ends").to_pylist(), strict=True
+            ):
                 words = text.as_buffer().to_pybytes().split() if text.is_valid else []
                 counts.append(len(words))
                 left, at = [], 0
@@ -388,28 +433,48 @@ def _remove(batches: Iterator) -> Iterator:
                 gone.append(len(words) - len(left))
                 kept.append(b" ".join(left))
             sums = [hashlib.sha256(x).hexdigest() for x in kept]
-            columns = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()), pa.array(sums)]
+            columns = [
+                part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
+                pa.array(kept, pa.binary()), pa.array(sums)
+            ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
 
 def substring_dedup(docs: DataFrame, n: int = 20, buckets: int | None = None, hash_bits: int = 64) -> DataFrame:
-    """Removes each word in a window of `n` words whose words also start earlier: in a smaller doc_id or earlier in the same one.
+    """Removes each word in a window of `n` words whose words also start earlier: in a smaller doc_id or earlier in the
+    same one.
 
-    Returns doc_id, n_words, n_removed, kept (the words left, joined by a space), kept_sha256, for every row. Null or empty texts have no
-    words. A null doc_id counts as smaller than any other, and rows that share a doc_id count in reading order: of rows equal in id
-    and text, the first keeps what the others lose. Extra columns are left out, an empty table gives no rows, and texts of any length are
-    searched whole.
+    Returns doc_id, n_words, n_removed, kept (the words left, joined by a space), kept_sha256, for every row. Null or
+    empty texts have no words. A null doc_id counts as smaller than any other, and rows that share a doc_id count in
+    reading order: of rows equal in id and text, the first keeps what the others lose. Extra columns are left out, an
+    empty table gives no rows, and texts of any length are searched whole.
     """
     ship(docs.sparkSession)
     keyed = _keyed(docs)
     cuts = removal_intervals(docs, n, buckets, hash_bits).withColumn("doc_key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     size = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
-    cuts = cuts.groupBy("doc_key", "text_hash").agg(F.count(F.lit(1)).alias("cut_rows"), F.min_by(F.struct("starts", "ends"), size).alias("least"))
-    copies = keyed.groupBy("doc_key", "text_hash").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    cuts = cuts.groupBy("doc_key", "text_hash").agg(
+        F.count(F.lit(1)).alias("cut_rows"), F.min_by(F.struct("starts", "ends"), size).alias("least")
+    )
+    copies = (
+        keyed
+        .groupBy("doc_key", "text_hash")
+        .agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
+    )
     # Rows equal in id and text: all but the first lose every word, as far as any window of them is long enough.
     told = cuts.join(copies, ["doc_key", "text_hash"], "left")
-    none, all_words = F.lit(None), F.struct(F.array(F.lit(0).cast("long")).alias("starts"), F.array(F.lit(1 << 40)).alias("ends"))
+    none, all_words = F.lit(None), F.struct(
+        F.array(F.lit(0).cast("long")).alias("starts"), F.array(F.lit(1 << 40)).alias("ends")
+    )
     own = F.when(F.col("cut_rows") == F.coalesce("copies", F.lit(1)), F.col("least")).otherwise(none)
     cut = F.when(F.col("row") > F.col("first"), all_words).otherwise(own)
-    out = keyed.join(told, ["doc_key", "text_hash"], "left").select("doc_id", "text", cut.alias("cut")).select("doc_id", "text", "cut.starts", "cut.ends")
-    return out.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept binary, kept_sha256 string").withColumn("kept", F.col("kept").cast("string"))
+    out = (
+        keyed
+        .join(told, ["doc_key", "text_hash"], "left")
+        .select("doc_id", "text", cut.alias("cut"))
+        .select("doc_id", "text", "cut.starts", "cut.ends")
+    )
+    return out.mapInArrow(
+        _remove, "doc_id long, n_words long, n_removed long, kept binary, kept_sha256 string"
+    ).withColumn("kept", F.col("kept").cast("string"))

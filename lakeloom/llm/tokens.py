@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Texts are encoded in steps of about so many bytes. A cache has two generations of so many pieces: a full one becomes the older
+#: Texts are encoded in steps of about so many bytes. A cache has two generations of so many pieces: a full one becomes
+#: the older
 #: one, from which pieces still in use return, so that a worker's memory is bounded. Longer pieces aren't cached.
 STEP_BYTES, CACHE_PIECES, PIECE_CHARS = 8 << 20, 250_000, 48
 #: What Unicode takes for white space, as a class of RE2.
@@ -41,10 +42,10 @@ def worker_tokenizer(spec: str) -> PieceTokenizer:
 class PieceTokenizer:
     """encode(texts) gives the same ids as the library's encode on whole texts with add_special_tokens=False.
 
-    A text is cut where no token can span the cut: at ASCII white space where the tokenizer drops it, else before a space
-    that stands between a word and a word. Cutting, finding the distinct pieces and laying their ids end to end are vectorised; only
-    pieces that this worker hasn't seen go to the library. Texts that hold a special token's text, or white space around a space, and all
-    texts of tokenizers of another build, are encoded whole by the library.
+    A text is cut where no token can span the cut: at ASCII white space where the tokenizer drops it, else before a
+    space that stands between a word and a word. Cutting, finding the distinct pieces and laying their ids end to end
+    are vectorised; only pieces that this worker hasn't seen go to the library. Texts that hold a special token's text,
+    or white space around a space, and all texts of tokenizers of another build, are encoded whole by the library.
     """
 
     def __init__(self, spec: str):
@@ -62,14 +63,18 @@ class PieceTokenizer:
         self.kind = "whole"
         if normal is None and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
             self.kind = "spaces kept"
-        elif steps == ["NFC", "Replace", "Lowercase"] and parts == ["Split", "ByteLevel"] and pre["pretokenizers"][0]["invert"]:
+        elif steps == [
+            "NFC", "Replace", "Lowercase"
+        ] and parts == ["Split", "ByteLevel"] and pre["pretokenizers"][0]["invert"]:
             self.kind = "spaces dropped"
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> Iterator[tuple]:
-        """(ids, counts) for one run of texts after the other: the ids of the run laid end to end, and their number by text; null is empty."""
+        """(ids, counts) for one run of texts after the other: the ids of the run laid end to end, and their number by
+        text; null is empty.
+        """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         size = np.cumsum(pc.binary_length(texts).to_numpy())
         at = 0
@@ -81,7 +86,9 @@ class PieceTokenizer:
     def _run(self, texts: pa.Array) -> tuple:
         whole = self._whole(texts)
         safe = texts if not whole.any() else pc.if_else(pa.array(whole), "", texts)
-        ids, counts = self._cut(safe) if self.kind != "whole" else (np.zeros(0, self.dtype), np.zeros(len(texts), np.int64))
+        ids, counts = self._cut(safe) if self.kind != "whole" else (
+            np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
+        )
         if not whole.any():
             return ids, counts
         runs = np.split(ids, np.cumsum(counts)[:-1])
@@ -135,13 +142,17 @@ class PieceTokenizer:
             ids = older(p := pieces[k])
             if ids is None and (plain := _PLAIN.fullmatch(p)):
                 word, signs = plain.groups()
-                ids = (self.words.get(word) or self._word(word)) + ((self.words.get(signs) or self._word(signs)) if signs else b"")
+                ids = (self.words.get(word) or self._word(word)) + (
+                    (self.words.get(signs) or self._word(signs)) if signs else b""
+                )
             if ids is None:
                 rare.append(k)
             else:
                 made[k] = ids
         code = "H" if self.dtype == "<u2" else "I"  # tasks run on little-endian machines, as Arrow does
-        for k, e in zip(rare, self.tokenizer.encode_batch_fast([pieces[k] for k in rare], add_special_tokens=False), strict=True):
+        for k, e in zip(
+            rare, self.tokenizer.encode_batch_fast([pieces[k] for k in rare], add_special_tokens=False), strict=True
+        ):
             made[k] = array(code, e.ids).tobytes()
         if len(self.pieces) + len(missing) > CACHE_PIECES:
             self.pieces, self.older = {}, self.pieces

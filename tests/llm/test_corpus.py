@@ -36,8 +36,13 @@ def test_pieces_give_the_same_ids(name, cache, monkeypatch):
     monkeypatch.setattr(tokens, "STEP_BYTES", 10 * cache)
 
     rnd = random.Random(4)
-    parts = ["a", "b", " ", "  ", "\n", "\t", "é", "'s", "!!", "1", "<|endoftext|>", "\x1c", "ß", "İ", "́", " \n", "中", "Σ", "\0", " ", " ", "x" * 60, "Word,", "Word.", "don't"]
-    texts = [r[1] for r in awkward()] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(4000)]
+    parts = [
+        "a", "b", " ", "  ", "\n", "\t", "é", "'s", "!!", "1", "<|endoftext|>", "\x1c", "ß", "İ", "́", " \n", "中", "Σ",
+        "\0", " ", " ", "x" * 60, "Word,", "Word.", "don't"
+    ]
+    texts = [r[1] for r in awkward()] + [
+        "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(4000)
+    ]
     texts += [" ".join(rnd.choice(parts) for _ in range(1_000_000)), "word " * 1_000_000]  # millions of characters
     whole = Tokenizer.from_file(vocabulary(name))
     own = PieceTokenizer(load_spec(vocabulary(name)))
@@ -46,7 +51,9 @@ def test_pieces_give_the_same_ids(name, cache, monkeypatch):
     want = whole.encode_batch([t or "" for t in texts], add_special_tokens=False)
     assert len(got) == len(want) and all(np.array_equal(g, w.ids) for g, w in zip(got, want, strict=True))
     part = pa.array(texts).slice(3, 40)
-    assert [len(run) for ids, counts in own.encode(part) for run in np.split(ids, np.cumsum(counts)[:-1])] == [len(w.ids) for w in want[3:43]]
+    assert [
+        len(run) for ids, counts in own.encode(part) for run in np.split(ids, np.cumsum(counts)[:-1])
+    ] == [len(w.ids) for w in want[3:43]]
     assert not list(own.encode(part.slice(0, 0)))
 
 
@@ -80,7 +87,14 @@ def test_records_round_trip(spark):
 def test_files_are_bounded_in_bytes(spark):
     path = new_path(spark, "chunks")
     write_records(frame(spark), vocabulary(NAMES[0]), 0, path, max_bytes=2000)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length", "content").collect()
+    files = (
+        spark.read
+        .format("binaryFile")
+        .option("pathGlobFilter", "part-*")
+        .load(path)
+        .select("length", "content")
+        .collect()
+    )
     several = [f for f in files if f.length > 2000]
     assert len(files) > 8 and len(several) <= 3  # a longer record has a file to itself
     assert all(unframe(memoryview(bytes(f.content)), 0)[3] == f.length for f in several)
@@ -94,7 +108,9 @@ def test_every_byte_passes_through_the_files(spark):
     texts = [(k, tokenizer.decode(rng.integers(0, 50_000, 300).tolist())) for k in range(50)]
     path = new_path(spark, "bytes")
     index = tokenize_to_records(spark.createDataFrame(texts, "doc_id long, text string"), vocabulary(NAMES[0]), 0, path)
-    content = b"".join(bytes(f.content) for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect())
+    content = b"".join(
+        bytes(f.content) for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+    )
     assert set(content) == set(range(256))
     want = dict(ids_of(NAMES[0], texts, 0))
     assert {r.doc_id: list(r.ids) for r in read_records(index, path).collect()} == want
@@ -120,7 +136,9 @@ def test_damage_is_found():
             unframe(memoryview(bytes(bad)), 0)
 
 
-@pytest.mark.parametrize(("window", "packet", "targets"), [(2048, 128, None), (64, 8, None), (50, 7, {"s0": 3.0, "s1": 1.0, None: 1.0})])
+@pytest.mark.parametrize(
+    ("window", "packet", "targets"), [(2048, 128, None), (64, 8, None), (50, 7, {"s0": 3.0, "s1": 1.0, None: 1.0})]
+)
 def test_packing(spark, window, packet, targets):
     rows = awkward()
     pieces = pack(frame(spark), vocabulary(NAMES[1]), 1, window, packet, targets).collect()
@@ -155,7 +173,9 @@ def test_packing(spark, window, packet, targets):
 def test_windows_follow_the_mixture(spark):
     rows = [(k, f"token {k} " * 60, "en", f"s{k % 4 if k % 4 < 3 else 0}", 0) for k in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    pieces = pack(docs, vocabulary(NAMES[1]), 1, window=256, packet=16).join(docs.select("doc_id", "source"), "doc_id").collect()
+    pieces = pack(
+        docs, vocabulary(NAMES[1]), 1, window=256, packet=16
+    ).join(docs.select("doc_id", "source"), "doc_id").collect()
     total, share, last = sum(p.length for p in pieces), Counter(), max(p.sequence_id for p in pieces)
     for p in pieces:
         share[p.source] += p.length / total
@@ -170,7 +190,9 @@ def test_windows_follow_the_mixture(spark):
 def test_windows_follow_given_targets(spark, targets):
     rows = [(k, f"token {k} " * 60, "en", f"s{k % 3}", 0) for k in range(240)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    pieces = pack(docs, vocabulary(NAMES[1]), 1, window=256, packet=16, targets=targets).join(docs.select("doc_id", "source"), "doc_id").collect()
+    pieces = pack(
+        docs, vocabulary(NAMES[1]), 1, window=256, packet=16, targets=targets
+    ).join(docs.select("doc_id", "source"), "doc_id").collect()
     tokens = Counter()
     for p in pieces:
         tokens[p.source] += p.length
@@ -203,24 +225,34 @@ def plain_hits(rows, tests, n, slop=0):
                     if words[k][s : s + len(window)] == window:
                         hit.update(range(s, s + len(window)))
                         items.add(str(item))
-        out.append((r[0], len(words[k]), len(hit), tuple(sorted(items)), len(hit) > 0 and 20 * len(hit) >= len(words[k])))
+        out.append(
+            (r[0], len(words[k]), len(hit), tuple(sorted(items)), len(hit) > 0 and 20 * len(hit) >= len(words[k]))
+        )
     return out
 
 
 @pytest.mark.parametrize("n", [3, 13])
 def test_decontamination(spark, n):
     rows = awkward()
-    tests = [(1, rows[9][1]), (22, "one two"), (3, None), (4, ""), (None, "one"), (5, " ".join(rows[20][1].split()[5:25])), (6, "ÀÉ́ y"), (3, "w1"), (3, "w1")]
+    tests = [
+        (1, rows[9][1]), (22, "one two"), (3, None), (4, ""), (None, "one"), (5, " ".join(rows[20][1].split()[5:25])),
+        (6, "ÀÉ́ y"), (3, "w1"), (3, "w1")
+    ]
     bench = spark.createDataFrame([(*t, 0, "x") for t in tests], "item_id long, text string, block int, part string")
     got = decontaminate(frame(spark), bench, n).collect()
-    assert sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in got), key=lambda r: text_key(r[:3]) + (r[3],)) == sorted(plain_hits(rows, tests, n), key=lambda r: text_key(r[:3]) + (r[3],))
+    assert sorted(
+        ((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in got),
+        key=lambda r: text_key(r[:3]) + (r[3],)
+    ) == sorted(plain_hits(rows, tests, n), key=lambda r: text_key(r[:3]) + (r[3],))
     assert all(sum(b - a for a, b in zip(r.starts, r.ends, strict=True)) == r.n_hit for r in got)
     assert decontaminate(empty(spark), bench, n).count() == 0
     assert decontaminate(frame(spark), bench.where("item_id < 0"), n).agg(F.sum("n_hit")).first()[0] == 0
 
 
 def plain_matches(words, window, slop):
-    """The hit words by the definition: the first word at s, every word k within slop of s + k; the nearest places count."""
+    """The hit words by the definition: the first word at s, every word k within slop of s + k; the nearest places
+    count.
+    """
     hit = set()
     for s in range(len(words)):
         if words[s] != window[0]:
@@ -238,8 +270,14 @@ def plain_matches(words, window, slop):
 def test_proximity_against_brute_force(spark, slop):
     """The same hits however the documents are dealt to blocks, and for two benchmarks against one stored index."""
     rnd = random.Random(slop)
-    docs = [(k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 40)))) for k in range(120)] + [(None, None), (500, "x a"), (501, "a b"), (502, "a x b y c")]
-    tests = [[(k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 7)))) for k in range(12)] + [(90, "a b c"), (91, "a b"), (92, "zz a")] for _ in range(2)]
+    docs = [
+        (k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 40)))) for k in range(120)
+    ] + [(None, None), (500, "x a"), (501, "a b"), (502, "a x b y c")]
+    tests = [
+        [
+            (k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 7)))) for k in range(12)
+        ] + [(90, "a b c"), (91, "a b"), (92, "zz a")] for _ in range(2)
+    ]
     for parts in (1, 3, 50):
         index = build_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts))
         for items in tests if parts == 3 else tests[:1]:
@@ -274,12 +312,17 @@ def test_postings_hold_all_words(spark):
 
 def test_packed_places():
     rng = np.random.default_rng(2)
-    lists = [np.sort(rng.choice(m, k, replace=False)) for m, k in ((10, 1), (300, 200), (10**6, 50), (1 << 27, 9), (1 << 27, 1))]
+    lists = [
+        np.sort(rng.choice(m, k, replace=False)) for m,
+        k in ((10, 1), (300, 200), (10**6, 50), (1 << 27, 9), (1 << 27, 1))
+    ]
     places = np.concatenate(lists)
     first = np.zeros(len(places), bool)
     first[np.cumsum([0, *map(len, lists)])[:-1]] = True
     packed, size = pack_places(places, first)
-    assert size.sum() == len(packed) and unpack_places(packed.tobytes(), np.array([len(x) for x in lists])).tolist() == places.tolist()
+    assert size.sum() == len(packed) and unpack_places(
+        packed.tobytes(), np.array([len(x) for x in lists])
+    ).tolist() == places.tolist()
 
 
 def test_intersection_in_small_rounds(monkeypatch):
@@ -291,17 +334,34 @@ def test_intersection_in_small_rounds(monkeypatch):
     where = [np.flatnonzero(words == t) for t in range(3)]
     windows = np.unique([words[k : k + 4] for k in range(0, 390, 13)], axis=0)
     counts = np.array([len(x) for x in where])
-    window, first, last = intersect(windows, np.full(len(windows), 4), np.argmin(counts[windows], axis=1), counts, np.concatenate(where), np.array([0, 400]))
+    window, first, last = intersect(
+        windows, np.full(len(windows), 4), np.argmin(counts[windows], axis=1), counts, np.concatenate(where),
+        np.array([0, 400])
+    )
     got = {(tuple(windows[w]), int(s)) for w, s in zip(window, first, strict=True)}
     want = {(tuple(w), s) for w in windows for s in range(397) if (words[s : s + 4] == w).all()}
     assert got == want and (last - first == 3).all()
 
 
 def test_chat_rotation(spark):
-    rows = [(1, 0, "system", "be nice"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, "ann", "é!"), (2, 0, "system", "x"), (3, None, None, "lost"), (None, 1, "u", "a"), (None, 1, "u", "a")]
-    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "conv_id long, turn long, role string, text string, parts string, speaker int")
-    got = sorted(((r.conv_id, r.speaker, r.n_turns, r.n_own, r.text, [(m.start, m.end) for m in r["mask"]]) for r in rotate_perspectives(df).collect()), key=lambda r: (r[0] or 0, r[1]))
-    assert [g[:4] for g in got] == [(None, "u", 1, 1), (None, "u", 1, 1), (1, "ann", 4, 2), (1, "bob", 4, 1), (3, "unknown", 1, 1)]
+    rows = [
+        (1, 0, "system", "be nice"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, "ann", "é!"),
+        (2, 0, "system", "x"), (3, None, None, "lost"), (None, 1, "u", "a"), (None, 1, "u", "a")
+    ]
+    df = spark.createDataFrame(
+        [(*r, "clash", 1) for r in rows], "conv_id long, turn long, role string, text string, parts string, speaker int"
+    )
+    got = sorted(
+        (
+            (
+                r.conv_id, r.speaker, r.n_turns, r.n_own, r.text, [(m.start, m.end) for m in r["mask"]]
+            ) for r in rotate_perspectives(df).collect()
+        ),
+        key=lambda r: (r[0] or 0, r[1])
+    )
+    assert [g[:4] for g in got] == [
+        (None, "u", 1, 1), (None, "u", 1, 1), (1, "ann", 4, 2), (1, "bob", 4, 1), (3, "unknown", 1, 1)
+    ]
     ann = got[2]
     assert ann[4] == "<|system|>\nbe nice<|end|>\n<|assistant|>\nhi<|end|>\n<|user:bob|>\n<|end|>\n<|assistant|>\né!<|end|>\n"
     assert [ann[4][a:b] for a, b in ann[5]] == ["hi<|end|>\n", "é!<|end|>\n"]
@@ -318,7 +378,8 @@ def test_pipeline_stages_against_plain_versions(spark):
     import corpus_pipeline as p
 
     sf_dir = "/root/testdata/sf0.001"
-    plain = lambda df: [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in df.orderBy("doc_id").collect()]
+    # noqa: E731
+    plain = lambda df: [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in df.orderBy("doc_id").collect()]
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = plain(docs)
 
@@ -336,8 +397,17 @@ def test_pipeline_stages_against_plain_versions(spark):
     three = written(p.simhash_stage(spark, two, sf_dir), "stage")
     codes = np.array([np.frombuffer(set_fingerprint(r[1].encode()), np.uint8) for r in rows])
     within = np.array([np.bitwise_count(codes ^ c).sum(axis=1) <= radius(0.8, 512) for c in codes])
-    meet = np.any([(codes[:, None, i] == codes[None, :, i]) & (codes[:, None, j] == codes[None, :, j]) for i, j in byte_pairs(64, 48)], axis=0)
-    groups = least_component([r[0] for r in rows], [(rows[i][0], rows[j][0]) for i, j in zip(*np.nonzero(within & meet), strict=True) if i < j])
+    meet = np.any(
+        [
+            (codes[:, None, i] == codes[None, :, i]) & (codes[:, None, j] == codes[None, :, j]) for i,
+            j in byte_pairs(64, 48)
+        ],
+        axis=0
+    )
+    groups = least_component(
+        [r[0] for r in rows],
+        [(rows[i][0], rows[j][0]) for i, j in zip(*np.nonzero(within & meet), strict=True) if i < j]
+    )
     rows = [r for r in rows if groups[r[0]] == r[0]]
     assert plain(three) == rows and three.columns == docs.columns
 
@@ -350,7 +420,9 @@ def test_pipeline_stages_against_plain_versions(spark):
     five = p.packing_stage(spark, four, sf_dir).collect()
     assert sum(x.length for x in five) == sum(len(i) for _, i in ids_of(NAMES[1], rows, 1))
     assert {x.doc_id for x in five} == {r[0] for r in rows}
-    assert {(x.doc_id, x.start, x.length) for x in p.run(spark, sf_dir).collect()} == {(x.doc_id, x.start, x.length) for x in five}
+    assert {
+        (x.doc_id, x.start, x.length) for x in p.run(spark, sf_dir).collect()
+    } == {(x.doc_id, x.start, x.length) for x in five}
 
 
 def test_pipeline_stages_take_awkward_tables(spark):

@@ -25,7 +25,9 @@ def lower_ascii(text):
 
 def test_components(spark):
     rnd = random.Random(3)
-    edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, x) for x in range(5001, 5200)] + [(7, 7)]
+    edges = [
+        (rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(150)
+    ] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, x) for x in range(5001, 5200)] + [(7, 7)]
     df = spark.createDataFrame([*edges, (None, 4), (5, None)], "a long, b long")
     want = least_component({x for e in edges for x in e}, edges)
     got = dict(components(df, "a", "b").collect())
@@ -51,12 +53,18 @@ def text_key(row):
 @pytest.mark.parametrize("min_docs", [2, 10])
 def test_line_dedup(spark, min_docs):
     rows = awkward()
-    got = [tuple(r) for r in line_dedup(frame(spark), min_docs=min_docs).select("doc_id", "text", "n_lines", "n_dropped").collect()]
+    got = [
+        tuple(r) for r in line_dedup(frame(spark), min_docs=min_docs).select(
+            "doc_id", "text", "n_lines", "n_dropped"
+        ).collect()
+    ]
     assert sorted(got, key=text_key) == sorted(plain_line_dedup(rows, min_docs), key=text_key)
 
 
 def test_line_dedup_keeps_columns_and_empty_tables(spark):
-    assert line_dedup(frame(spark), keep=("lang", "source")).columns == ["doc_id", "text", "n_lines", "n_dropped", "lang", "source"]
+    assert line_dedup(frame(spark), keep=("lang", "source")).columns == [
+        "doc_id", "text", "n_lines", "n_dropped", "lang", "source"
+    ]
     assert line_dedup(empty(spark)).count() == 0
 
 
@@ -71,12 +79,22 @@ def test_line_runs_compact(spark):
     got = dict(runs.counts().collect())
     assert got.keys() == total.keys()
     assert all(got[h] == n if n < 5 else got[h] >= 5 for h, n in total.items())
-    assert [r.hash for r in runs.unseen(spark.createDataFrame([("h1", 1), ("new", 1)], "hash string, n_docs long")).collect()] == ["new"]
+    assert [
+        r.hash for r in runs.unseen(
+            spark.createDataFrame([("h1", 1), ("new", 1)], "hash string, n_docs long")
+        ).collect()
+    ] == ["new"]
 
 
 def test_line_runs_are_not_shuffled_again(spark):
     runs = LineRuns(spark, fanout=3, settled=5)
-    batch = lambda k: spark.range(k, k + 50).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs"))
+    batch = (
+        lambda k: spark
+        .range(k, k + 50)
+        .select(F.unhex(F.md5(F.col("id").cast("string"))).alias("hash"))
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("n_docs"))
+    )
     runs.add(batch(0))
     runs.add(batch(20))
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
@@ -91,7 +109,11 @@ def test_line_runs_are_not_shuffled_again(spark):
 
 
 def plain_fingerprint(text):
-    words = [lower_ascii(w) for w in (text or "").replace("\x1c", "\x1c").translate(str.maketrans(dict.fromkeys(SPACE, " "))).split(" ") if w]
+    words = [
+        lower_ascii(w) for w in (text or "").replace("\x1c", "\x1c").translate(
+            str.maketrans(dict.fromkeys(SPACE, " "))
+        ).split(" ") if w
+    ]
     shingles = [" ".join(words[i : i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
     h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
@@ -113,7 +135,10 @@ def test_simhash_groups(spark):
         least[comp[i]].append(rows[i][0])
     least = {k: min((x for x in v if x is not None), default=None) for k, v in least.items()}
     want = sorted(((rows[i][0], f"{prints[i]:016x}", least[comp[i]]) for i in nodes), key=text_key)
-    assert sorted((tuple(r) for r in simhash_groups(frame(spark)).select("doc_id", "fingerprint", "component_id").collect()), key=text_key) == want
+    assert sorted(
+        (tuple(r) for r in simhash_groups(frame(spark)).select("doc_id", "fingerprint", "component_id").collect()),
+        key=text_key
+    ) == want
     assert simhash_groups(empty(spark)).count() == 0
 
 
@@ -132,7 +157,9 @@ def test_hamming_links_connect_the_same(spark, spread):
     codes = sorted(codes)
     a = np.array(codes, np.uint64)
     near = np.bitwise_count(a[:, None] ^ a[None, :]) <= 3
-    want = least_component(range(len(codes)), [(int(i), int(j)) for i, j in zip(*np.nonzero(near), strict=True) if i < j])
+    want = least_component(
+        range(len(codes)), [(int(i), int(j)) for i, j in zip(*np.nonzero(near), strict=True) if i < j]
+    )
     rows = [(i, c.to_bytes(8, "big")) for i, c in enumerate(codes)]
     links = hamming_links(spark.createDataFrame(rows, "id long, code binary").repartition(3)).collect()
     pairs = [(r.a, r.b) for r in links]
@@ -144,7 +171,11 @@ def test_window_hashes():
     h = np.random.default_rng(1).integers(0, 1 << 63, 90).astype(np.uint64)
     for n in (1, 2, 3, 5, 7, 13, 20, 31):
         base = 0x9E3779B97F4A7C15
-        want = [sum(int(x) * pow(base, n - 1 - k, 1 << 64) for k, x in enumerate(h[i : i + n])) % (1 << 64) for i in range(90 - n + 1)]
+        want = [
+            sum(
+                int(x) * pow(base, n - 1 - k, 1 << 64) for k, x in enumerate(h[i : i + n])
+            ) % (1 << 64) for i in range(90 - n + 1)
+        ]
         assert window_hashes(h, n).tolist() == want
 
 
@@ -158,7 +189,12 @@ def plain_substring(rows, n):
             if window in seen:
                 gone[i].update(range(k, k + n))
             seen.add(window)
-    return [(rows[i][0], len(words[i]), len(gone[i]), hashlib.sha256(b" ".join(w for k, w in enumerate(words[i]) if k not in gone[i])).hexdigest()) for i in range(len(rows))]
+    return [
+        (
+            rows[i][0], len(words[i]), len(gone[i]),
+            hashlib.sha256(b" ".join(w for k, w in enumerate(words[i]) if k not in gone[i])).hexdigest()
+        ) for i in range(len(rows))
+    ]
 
 
 @pytest.mark.parametrize("n", [3, 20])
@@ -170,15 +206,22 @@ def test_substring_dedup(spark, n):
 
 @pytest.mark.parametrize("bits", [8, 1])
 def test_substring_dedup_with_colliding_hashes(spark, bits):
-    """The first round only finds candidates: with a hash of a few bits, which all windows share, the second still tells them apart."""
+    """The first round only finds candidates: with a hash of a few bits, which all windows share, the second still tells
+    them apart.
+    """
     rows = [r for r in awkward() if r[0] is not None]
-    got = substring_dedup(frame(spark, rows), 20, buckets=3, hash_bits=bits).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    got = substring_dedup(
+        frame(spark, rows), 20, buckets=3, hash_bits=bits
+    ).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(plain_substring(rows, 20))
 
 
 def test_positions_as_gaps():
     rng = np.random.default_rng(8)
-    for at in ([], [0], [255, 256, 511, 766], [70_000, 200_000], rng.choice(10_000, 300, replace=False), rng.choice(3_000_000, 200, replace=False)):
+    for at in (
+        [], [0], [255, 256, 511, 766], [70_000, 200_000], rng.choice(10_000, 300, replace=False),
+        rng.choice(3_000_000, 200, replace=False)
+    ):
         at = np.sort(np.array(at, np.int64))
         assert _places(_gaps(at)).tolist() == at.tolist()
 
@@ -196,17 +239,29 @@ def test_many_rows_equal_in_id_and_text(spark):
 def test_substring_dedup_null_ids_and_empty_tables(spark):
     got = substring_dedup(frame(spark), 20).select("doc_id", "n_words", "n_removed").collect()
     assert len(got) == len(awkward())
-    assert {tuple(r) for r in got if r.doc_id is None} == {(None, 3, 0), (None, 40, 0), (None, 0, 0)}  # they stand before all others
+    # they stand before all others
+    assert {tuple(r) for r in got if r.doc_id is None} == {(None, 3, 0), (None, 40, 0), (None, 0, 0)}
     assert substring_dedup(empty(spark), 20).count() == 0
 
 
 def plain_embedding(rows, cosine):
-    sound = [k for k, (_, v, label) in enumerate(rows) if v is not None and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    scaled = {k: np.array(rows[k][1], float) / np.abs(np.array(rows[k][1], float)).max() for k in sound}  # so that no square overflows
+    sound = [
+        k for k,
+        (_, v, label) in enumerate(rows) if v is not None and label is not None and all(
+            x is not None and np.isfinite(x) for x in v
+        ) and any(v)
+    ]
+    # so that no square overflows
+    scaled = {k: np.array(rows[k][1], float) / np.abs(np.array(rows[k][1], float)).max() for k in sound}
     unit = {k: v / np.linalg.norm(v) for k, v in scaled.items()}
-    pairs = [(i, j) for i, j in itertools.combinations(sound, 2) if rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= cosine]
+    pairs = [
+        (i, j) for i,
+        j in itertools.combinations(sound, 2) if rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= cosine
+    ]
     n = Counter(x for p in pairs for x in p)
-    comp = least_component(range(len(rows)), [(min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])) for i, j in pairs])
+    comp = least_component(
+        range(len(rows)), [(min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])) for i, j in pairs]
+    )
     return [(rows[k][0], n[k], comp[rows[k][0]], comp[rows[k][0]] == rows[k][0]) for k in range(len(rows))]
 
 
@@ -216,8 +271,13 @@ def test_embedding_groups(spark):
     for k in range(700):
         base = rng.standard_normal(16) if k % 5 == 0 else np.array(rows[-1][1]) + rng.standard_normal(16) * rng.choice([0.0, 0.1, 0.25, 0.5])
         rows.append((k, [float(x) for x in base], int(k // 50) % 3))
-    rows += [(700, None, 1), (701, [0.0] * 16, 1), (702, [float("nan")] * 16, 1), (703, [None] + [1.0] * 15, 1), (704, rows[0][1], None), (705, [1.0, 2.0], 1), (706, [1e200, 2e200], 1), (707, [2.0, 4.0], 1), (708, [], 1)]
-    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, label int, cid int, block string").repartition(3)
+    rows += [
+        (700, None, 1), (701, [0.0] * 16, 1), (702, [float("nan")] * 16, 1), (703, [None] + [1.0] * 15, 1),
+        (704, rows[0][1], None), (705, [1.0, 2.0], 1), (706, [1e200, 2e200], 1), (707, [2.0, 4.0], 1), (708, [], 1)
+    ]
+    df = spark.createDataFrame(
+        [(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, label int, cid int, block string"
+    ).repartition(3)
     got = sorted(map(tuple, embedding_groups(df).collect()))
     want = sorted(plain_embedding(rows, 0.93))
     assert got == want
@@ -225,7 +285,9 @@ def test_embedding_groups(spark):
 
 
 def test_calibration():
-    """The chance and the count against drawn pairs at the threshold: cells, offsets and windows as the tables have them."""
+    """The chance and the count against drawn pairs at the threshold: cells, offsets and windows as the tables have
+    them.
+    """
     from lakeloom.llm import embedding
 
     reach = 2.5
@@ -280,7 +342,11 @@ def test_embedding_recall_against_all_pairs(spark, kind):
         for k in range(1800):
             spread = 0.02 if k % 3 == 0 else 0.2 if k % 3 == 1 else 3.0
             rows.append((k, (middle + spread * rng.standard_normal(64)).tolist(), k % 2))
-    got = {r.vec_id: r for r in embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    got = {
+        r.vec_id: r for r in embedding_groups(
+            spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        ).collect()
+    }
     n, component = all_pairs(rows, 0.93)
     assert all(got[k].n_links <= n[k] for k in range(len(rows)))
     found = sum(got[k].n_links for k in range(len(rows)))
@@ -290,13 +356,22 @@ def test_embedding_recall_against_all_pairs(spark, kind):
 
 def test_a_threshold_of_one(spark):
     rows = [(1, [1.0, 2.0], 0), (2, [2.0, 4.0], 0), (3, [1.0, 2.5], 0)]
-    got = {r.vec_id: r.n_links for r in embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=1.0 - 1e-12).collect()}
+    got = {
+        r.vec_id: r.n_links for r in embedding_groups(
+            spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=1.0 - 1e-12
+        ).collect()
+    }
     assert got == {1: 1, 2: 1, 3: 0}
-    assert embedding_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=1.0).count() == 3
+    assert embedding_groups(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=1.0
+    ).count() == 3
 
 
 def test_repeated_vectors_and_null_ids(spark):
-    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.01], 0), (9, [0.0, 1.0], 0)], "vec_id long, embedding array<double>, label int")
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.01], 0), (9, [0.0, 1.0], 0)],
+        "vec_id long, embedding array<double>, label int"
+    )
     got = sorted((tuple(r) for r in embedding_groups(df).collect()), key=text_key)
     assert got == [(None, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (9, 0, 9, True)]
     assert df.select(F.lit(1)).count() == 4
@@ -308,7 +383,8 @@ def plain_shingles(text):
 
 
 def near_copies(seed, texts, edits, least=60, most=300):
-    """Copies with edits at all distances, so that most near ones differ in more than three bits of their fingerprints."""
+    """Copies with edits at all distances, so that most near ones differ in more than three bits of their fingerprints.
+    """
     rnd, rows = random.Random(seed), []
     for _ in range(texts):
         body = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.randint(least, most))]
@@ -335,7 +411,9 @@ def similar_pairs(rows, least):
 
 def test_near_duplicates_by_similarity(spark):
     rows = near_copies(8, 60, (0, 0, 1, 2, 3, 4, 6, 9, 14, 20))
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    ).repartition(3)
     got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
     pairs = similar_pairs(rows, 0.6)
     sure = [p for p in pairs if p[0] >= 0.8]
@@ -351,7 +429,9 @@ def test_near_duplicates_of_awkward_texts(spark):
     groups = {r.doc_id: r.component_id for r in got if r.doc_id is not None}
     assert groups[0] == groups[1] == groups[2] == 0  # null, empty and blank texts are alike
     assert groups[9] == groups[10] == 9
-    assert {r.doc_id for r in got if r.kept} == {c for c in groups.values() if c is not None} | {r.doc_id for r in got if r.kept and r.doc_id is None}
+    assert {r.doc_id for r in got if r.kept} == {c for c in groups.values() if c is not None} | {
+        r.doc_id for r in got if r.kept and r.doc_id is None
+    }
     assert near_duplicates(empty(spark)).count() == 0
 
 
@@ -361,7 +441,9 @@ def test_radius():
         hits = 0
         for _ in range(200):
             common = rng.integers(0, 10**9, round(400 * 2 * similarity / (1 + similarity)))
-            texts = [" ".join(map(str, np.r_[common, rng.integers(0, 10**9, 400 - len(common))])).encode() for _ in range(2)]
+            texts = [
+                " ".join(map(str, np.r_[common, rng.integers(0, 10**9, 400 - len(common))])).encode() for _ in range(2)
+            ]
             a, b = (np.frombuffer(set_fingerprint(t, 1), np.uint8) for t in texts)
             hits += np.bitwise_count(a ^ b).sum() <= radius(0.8, 512)
         assert low <= hits / 200 <= high
@@ -373,7 +455,11 @@ def test_pipeline_keeps_one_document_of_each_group(spark):
 
     one, two = ("alpha beta gamma delta epsilon zeta eta theta " * 3 + x for x in ("iota", "iota"))
     other, third = "completely different words stand in this text of mine", "and here is one more text that nothing resembles at all"
-    rows = [(5, one), (None, two), (None, other), (None, third), (None, third), (7, other), (7, third), (8, None), (9, "")]
-    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = [
+        (5, one), (None, two), (None, other), (None, third), (None, third), (7, other), (7, third), (8, None), (9, "")
+    ]
+    docs = spark.createDataFrame(
+        [(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long"
+    )
     kept = sorted(((r.doc_id, r.text) for r in p.simhash_stage(spark, docs, "").collect()), key=text_key)
     assert kept == sorted([(5, one), (7, other), (7, third), (8, None)], key=text_key)

@@ -25,7 +25,11 @@ def test_marginals_equal_enumeration():
     for k, d in enumerate(documents):
         sums, weights = np.zeros(len(d)), []
         for y in itertools.product((0, 1), repeat=len(d)):
-            w = np.exp(sum(d[i] @ model["weights"] for i in range(len(d)) if y[i]) + sum(model["moves"][a, b] for a, b in itertools.pairwise(y)))
+            w = np.exp(
+                sum(
+                    d[i] @ model["weights"] for i in range(len(d)) if y[i]
+                ) + sum(model["moves"][a, b] for a, b in itertools.pairwise(y))
+            )
             weights.append(w)
             sums += w * np.array(y)
         assert np.allclose(good[k, : len(d)], sums / sum(weights))
@@ -36,12 +40,17 @@ def test_marginals_equal_enumeration():
 def test_features_of_odd_texts():
     for row in awkward():
         x, weight = quality.line_features(row[1])
-        assert x.shape == (len((row[1] or "").split("\n")), 3 * quality.OWN) and np.isfinite(x).all() and (weight > 0).all()
+        assert x.shape == (
+            len((row[1] or "").split("\n")), 3 * quality.OWN
+        ) and np.isfinite(x).all() and (weight > 0).all()
 
 
 def test_scores_do_not_depend_on_neighbours_in_a_batch():
     rng = np.random.default_rng(2)
-    model = {"weights": rng.standard_normal(3 * quality.OWN) / 4, "moves": np.array([[1.0, -1.0], [-1.0, 1.0]]), "slope": 1.0, "middle": 0.0}
+    model = {
+        "weights": rng.standard_normal(3 * quality.OWN) / 4, "moves": np.array([[1.0, -1.0], [-1.0, 1.0]]),
+        "slope": 1.0, "middle": 0.0
+    }
     texts = [r[1] for r in awkward()] + ["long\n" * 45_000]
     together = quality.document_scores(model, texts)
     assert np.allclose(together, [quality.document_scores(model, [t])[0] for t in texts])
@@ -57,7 +66,9 @@ def test_emissions_in_runs_equal_features_times_weights(monkeypatch):
 
 
 def test_gradient_of_the_hidden_chain():
-    """The expectations' difference is the slope of the log likelihood of the documents' labels, by enumeration of all line labels."""
+    """The expectations' difference is the slope of the log likelihood of the documents' labels, by enumeration of all
+    line labels.
+    """
     rng = np.random.default_rng(5)
     x, there = quality._padded([rng.standard_normal((4, 3 * quality.OWN))])
     witness = np.log(9.0)
@@ -65,7 +76,9 @@ def test_gradient_of_the_hidden_chain():
     def likelihood(model):
         told, free = [], []
         for y in itertools.product((0, 1), repeat=4):
-            score = sum(x[0, i] @ model["weights"] for i in range(4) if y[i]) + sum(model["moves"][a, b] for a, b in itertools.pairwise(y))
+            score = sum(x[0, i] @ model["weights"] for i in range(4) if y[i]) + sum(
+                model["moves"][a, b] for a, b in itertools.pairwise(y)
+            )
             free.append(score)
             told.append(score + witness * sum(y))
         return np.logaddexp.reduce(told) - np.logaddexp.reduce(free)
@@ -89,7 +102,9 @@ def test_gradient_of_the_hidden_chain():
 def test_lines_may_differ_from_their_document():
     """Good documents that carry some junk and bad ones that carry some prose: the chain switches inside a document."""
     rnd = random.Random(6)
-    prose = lambda: " ".join(rnd.choice(["the", "river", "was", "calm", "and", "cold,"]) for _ in range(rnd.randint(8, 15))).capitalize() + "."
+    prose = lambda: " ".join(
+        rnd.choice(["the", "river", "was", "calm", "and", "cold,"]) for _ in range(rnd.randint(8, 15))
+    ).capitalize() + "."
     junk = lambda: "!!! $$$ BUY NOW 9999 *** " * rnd.randint(1, 3)
 
     def lines(share):
@@ -112,14 +127,19 @@ def test_lines_may_differ_from_their_document():
 
 def test_line_labels(spark):
     rng = np.random.default_rng(7)
-    model = {"weights": rng.standard_normal(3 * quality.OWN) / 4, "moves": np.array([[1.0, -1.0], [-1.0, 1.0]]), "slope": 1.0, "middle": 0.0}
+    model = {
+        "weights": rng.standard_normal(3 * quality.OWN) / 4, "moves": np.array([[1.0, -1.0], [-1.0, 1.0]]),
+        "slope": 1.0, "middle": 0.0
+    }
     rows = quality.label_lines(frame(spark), model).collect()
     assert len(rows) == sum(len((r[1] or "").split("\n")) for r in awkward())
     for doc_id, text, *_ in awkward():
         if doc_id == 20:
             own = sorted((r.line, r.length, r.good, r.label) for r in rows if r.doc_id == 20)
             assert [o[1] for o in own] == [len(x) for x in text.split("\n")]
-            assert np.allclose([o[2] for o in own], quality.line_marginals(model, [text])[0][0]) and all(o[3] == (o[2] >= 0.5) for o in own)
+            assert np.allclose(
+                [o[2] for o in own], quality.line_marginals(model, [text])[0][0]
+            ) and all(o[3] == (o[2] >= 0.5) for o in own)
     assert quality.label_lines(empty(spark), model).count() == 0
 
 
@@ -136,14 +156,20 @@ def tables():
 def test_quality_on_held_out_documents(spark, tables):
     docs, labels = (spark.read.parquet(f"{tables}/{n}.parquet") for n in ("documents", "labels"))
     rows = quality.classify_quality(docs, labels).join(labels.select("doc_id", "quality"), "doc_id").collect()
-    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in rows)
+    assert all(
+        r.held_out == (
+            zlib.crc32(str(r.doc_id).encode()) % 5 == 0
+        ) and r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in rows
+    )
     held = [r for r in rows if r.held_out]
     assert auc([r.score for r in held if r.quality], [r.score for r in held if not r.quality]) >= 0.98
     assert sum(r.predicted for r in held if r.quality) >= 0.99 * sum(1 for r in held if r.quality)
 
 
 def test_quality_of_awkward_tables(spark):
-    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 1), (None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (2, 0, 0), (2, 1, 1), (None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int"
+    )
     rows = quality.classify_quality(frame(spark), labels).collect()
     assert len(rows) == len(awkward()) and all(0 <= r.score <= 1 and r.held_out is not None for r in rows)
     assert {r.score for r in quality.classify_quality(frame(spark), labels.where("doc_id < 0")).collect()} == {0.5}
@@ -167,13 +193,24 @@ def test_kernel_counts_common_ngrams():
 
 
 def test_fused_matrix_equals_dense_kernel_regression():
-    """With every row a landmark, the product with the fused matrix is kernel ridge regression on the n-gram sets themselves."""
+    """With every row a landmark, the product with the fused matrix is kernel ridge regression on the n-gram sets
+    themselves.
+    """
     rnd = random.Random(2)
-    words = {"aa": ["der", "und", "nicht", "haus"], "bb": ["the", "and", "not", "house"], "cc": ["le", "et", "pas", "maison"]}
-    texts = [(lang, " ".join(rnd.choice(w) + rnd.choice("xyz ") for _ in range(8))) for lang, w in words.items() for _ in range(25)]
+    words = {
+        "aa": ["der", "und", "nicht", "haus"], "bb": ["the", "and", "not", "house"], "cc": ["le", "et", "pas", "maison"]
+    }
+    texts = [
+        (lang, " ".join(rnd.choice(w) + rnd.choice("xyz ") for _ in range(8))) for lang,
+        w in words.items() for _ in range(25)
+    ]
     train, test = texts[::2], texts[1::2]
-    grams = lambda t: {("".join(c if c.isalpha() else " " for c in t))[i : i + n] for n in range(1, 5) for i in range(len(t) - n + 1)}
-    dense = lambda p, q: np.array([[len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b))) for _, b in q] for _, a in p])
+    grams = lambda t: {
+        ("".join(c if c.isalpha() else " " for c in t))[i : i + n] for n in range(1, 5) for i in range(len(t) - n + 1)
+    }
+    dense = lambda p, q: np.array(
+        [[len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b))) for _, b in q] for _, a in p]
+    )
     k, n = dense(train, train), len(train)
     y = np.array([[1.0 if g == name else -1.0 for name in sorted(words)] for g, _ in train])
     center = np.eye(n) - 1 / n
@@ -192,7 +229,10 @@ def test_language_of_very_long_texts(spark, tables):
     for r in docs.orderBy("doc_id").collect():
         if zlib.crc32(str(r.doc_id).encode()) % 4 == 2:
             held[r.lang] += r.text.split()
-    texts = [(lang, " ".join((words * (1 + 40_000 // len(words)))[at : at + 20_000])) for lang, words in held.items() for at in (0, 7_000)]
+    texts = [
+        (lang, " ".join((words * (1 + 40_000 // len(words)))[at : at + 20_000])) for lang,
+        words in held.items() for at in (0, 7_000)
+    ]
     assert len(held) > 2 and [g for g, _ in langid.predict(model, [t for _, t in texts])] == [lang for lang, _ in texts]
     filled = [langid.presence(t)[-langid.SLOTS[-1] :].mean() for _, t in texts]
     assert max(filled) < 0.5  # presence doesn't saturate
