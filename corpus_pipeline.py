@@ -30,14 +30,21 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: of the least doc_id (null last), and of the least text hash where that id repeats.
+    """One document of each near-duplicate group stays: of the least doc_id (null last), and of the least text hash
+    where that id repeats.
 
-    Groups link documents by SimHash fingerprints of their sets of 5-word shingles, at the radius of a Jaccard similarity of 0.8. Of rows equal
-    in id and text one stays, and so of null texts; clashing extra columns are left out.
+    Groups link documents by SimHash fingerprints of their sets of 5-word shingles, at the radius of a Jaccard
+    similarity of 0.8. Of rows equal in id and text one stays, and so of null texts; clashing extra columns are left
+    out.
     """
     docs = docs.select(*COLUMNS)
     key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
-    kept = written(near_duplicates(docs, words=5, similarity=0.8).where("kept").select(key, F.col("text_hash").alias("digest")).distinct(), "kept")
+    kept = written(
+        near_duplicates(docs, words=5, similarity=0.8).where("kept").select(
+            key, F.col("text_hash").alias("digest")
+        ).distinct(),
+        "kept"
+    )
     chosen = docs.select("*", key, text_hash(F.col("text")).alias("digest")).join(kept, ["key", "digest"], "left_semi")
     return chosen.dropDuplicates(["key", "digest"]).select(*COLUMNS)
 
@@ -46,9 +53,16 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents with at least one word in twenty inside a benchmark phrase go."""
     docs = docs.select(*COLUMNS)
     key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(key, F.col("text_hash").alias("digest"))
+    found = decontaminate(
+        docs, table(spark, sf_dir, "benchmark")
+    ).where("contaminated").select(key, F.col("text_hash").alias("digest"))
     found = written(found.distinct(), "contaminated")
-    return docs.select("*", key, text_hash(F.col("text")).alias("digest")).join(found, ["key", "digest"], "left_anti").select(*COLUMNS)
+    return (
+        docs
+        .select("*", key, text_hash(F.col("text")).alias("digest"))
+        .join(found, ["key", "digest"], "left_anti")
+        .select(*COLUMNS)
+    )
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
