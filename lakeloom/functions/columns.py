@@ -85,7 +85,13 @@ def nth_index(text: Cols, part: str, nth: int) -> Column:
     """1-based place of the nth occurrence of `part`, 0 if there are fewer."""
     text = _c(text)
     before = F.substring_index(text, part, nth)
-    return F.when(before == text, F.when(F.endswith(text, F.lit(part)) & (F.size(F.split(text, _quoted(part))) == nth + 1), F.char_length(text) - len(part) + 1).otherwise(0)).otherwise(F.char_length(before) + 1)
+    return F.when(
+        before == text,
+        F.when(
+            F.endswith(text, F.lit(part)) & (F.size(F.split(text, _quoted(part))) == nth + 1),
+            F.char_length(text) - len(part) + 1
+        ).otherwise(0)
+    ).otherwise(F.char_length(before) + 1)
 
 
 def _quoted(text: str) -> str:
@@ -113,7 +119,9 @@ def created_partition(ts: Cols, zone: str, unknown: str = "2099-01-01") -> Colum
 def object_id_time(object_id: Cols) -> Column:
     """The creation time in the first eight hex digits of a document id; null where they are none."""
     head = F.substring(_c(object_id), 1, 8)
-    return F.when(F.regexp_like(head, F.lit("^[0-9a-fA-F]{8}$")), F.timestamp_seconds(F.conv(head, 16, 10).cast("long")))
+    return F.when(
+        F.regexp_like(head, F.lit("^[0-9a-fA-F]{8}$")), F.timestamp_seconds(F.conv(head, 16, 10).cast("long"))
+    )
 
 
 def date_diff(part: str, later: Cols, earlier: Cols) -> Column:
@@ -137,11 +145,16 @@ def week_of_year(day: Cols) -> Column:
     """0 to 53: the number of Mondays of the year up to the day; not the ISO week."""
     day = _c(day)
     first = F.trunc(day, "year")
-    return F.floor((F.datediff(day, first) + F.weekday(first)) / 7).cast("int") + F.when(F.weekday(first) == 0, 1).otherwise(0)
+    return F.floor(
+        (F.datediff(day, first) + F.weekday(first)) / 7
+    ).cast("int") + F.when(F.weekday(first) == 0, 1).otherwise(0)
 
 
 #: Format codes and their Spark patterns.
-CODES = {"%Y": "yyyy", "%y": "yy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%j": "DDD", "%b": "MMM", "%B": "MMMM", "%a": "EEE", "%A": "EEEE", "%p": "a", "%I": "hh", "%F": "yyyy-MM-dd", "%T": "HH:mm:ss", "%R": "HH:mm"}
+CODES = {
+    "%Y": "yyyy", "%y": "yy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%j": "DDD", "%b": "MMM",
+    "%B": "MMMM", "%a": "EEE", "%A": "EEEE", "%p": "a", "%I": "hh", "%F": "yyyy-MM-dd", "%T": "HH:mm:ss", "%R": "HH:mm"
+}
 
 
 def strftime_pattern(codes: str) -> str:
@@ -163,7 +176,9 @@ def format_time(ts: Cols, codes: str) -> Column:
 
 
 def normalise_date(text: Cols) -> Column:
-    """A date from the text forms in use, by length: MMyyyy (6; first of month), ddMMyyyy (8), dd/MM/yyyy or yyyy-MM-dd (10), ISO instants (24); else null."""
+    """A date from the text forms in use, by length: MMyyyy (6; first of month), ddMMyyyy (8), dd/MM/yyyy or yyyy-MM-dd
+    (10), ISO instants (24); else null.
+    """
     text = F.trim(_c(text))
     n = F.char_length(text)
     return (
@@ -178,7 +193,14 @@ def normalise_date(text: Cols) -> Column:
 def expiry_bucket(expires: Cols, as_of: Cols) -> Column:
     """A label for the time left."""
     left = F.datediff(_c(expires), _c(as_of))
-    return F.when(left.isNull(), "unknown").when(left < 0, "expired").when(left <= 90, "0-3 months").when(left <= 180, "3-6 months").when(left <= 365, "6-12 months").otherwise("over 12 months")
+    return (
+        F.when(left.isNull(), "unknown")
+        .when(left < 0, "expired")
+        .when(left <= 90, "0-3 months")
+        .when(left <= 180, "3-6 months")
+        .when(left <= 365, "6-12 months")
+        .otherwise("over 12 months")
+    )
 
 
 def age_years(born: Cols, as_of: Cols) -> Column:
@@ -234,7 +256,9 @@ def json_keys(doc: Cols) -> Column:
 
 
 def lookup(entries: Cols, key: str) -> Column:
-    """The value of a key in an array of (key, value) structs; the last one where the key repeats, null where it is absent."""
+    """The value of a key in an array of (key, value) structs; the last one where the key repeats, null where it is
+    absent.
+    """
     found = F.filter(_c(entries), lambda e: e["key"] == key)
     return F.try_element_at(found, F.lit(-1))["value"]
 
@@ -250,6 +274,14 @@ def parse_pg_array(text: Cols) -> Column:
     inner = F.substring(text, 2, 1 << 30)
     inner = F.substring(inner, F.lit(1), F.char_length(inner) - 1)
     parts = F.regexp_extract_all(inner, F.lit(r'("(?:[^"\\]|\\.)*"|[^,]+)'), F.lit(1))
-    plain = F.transform(parts, lambda p: F.when(F.startswith(F.trim(p), F.lit('"')), F.regexp_replace(F.regexp_replace(F.trim(p), '^"|"$', ""), r"\\(.)", "$1")).otherwise(F.when(F.upper(F.trim(p)) != "NULL", F.trim(p))))
+    plain = F.transform(
+        parts,
+        lambda p: F.when(
+            F.startswith(F.trim(p), F.lit('"')),
+            F.regexp_replace(F.regexp_replace(F.trim(p), '^"|"$', ""), r"\\(.)", "$1")
+        ).otherwise(F.when(F.upper(F.trim(p)) != "NULL", F.trim(p)))
+    )
     literal = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
-    return F.when(literal, F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(plain)).when(text.isNotNull(), F.array(text))
+    return F.when(
+        literal, F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(plain)
+    ).when(text.isNotNull(), F.array(text))

@@ -48,34 +48,65 @@ def check_balance(df: DataFrame, group: list[str], lhs: Column, rhs: Column, tol
 
 
 def mismatch_report(log: DataFrame, state: DataFrame, entity: str = "mg_id") -> DataFrame:
-    """How a state table differs from its log: kind, entity and how often the entity had each action, that of the newest change first.
+    """How a state table differs from its log: kind, entity and how often the entity had each action, that of the newest
+    change first.
 
-    DELETED_RECORDS: in the state, but deleted in the log; MISSING_RECORDS: live in the log, not in the state; WRONG_UPDATE: another
-    synced_at than the log's newest. One more row, TOTAL COUNT, has the number of live entities in `n`.
+    DELETED_RECORDS: in the state, but deleted in the log; MISSING_RECORDS: live in the log, not in the state;
+    WRONG_UPDATE: another synced_at than the log's newest. One more row, TOTAL COUNT, has the number of live entities in
+    `n`.
     """
     narrow = log.select(entity, "action", "synced_at", *(c for c in ("last_updated_time", "key") if c in log.columns))
-    newest = latest_by_key(narrow, entity, drop_deleted=False).select(entity, "action", F.col("synced_at").alias("log_at"))
-    both = newest.join(state.select(entity, F.col("synced_at").alias("state_at"), F.lit(True).alias("there")), entity, "full")
+    newest = latest_by_key(narrow, entity, drop_deleted=False).select(
+        entity, "action", F.col("synced_at").alias("log_at")
+    )
+    both = newest.join(
+        state.select(entity, F.col("synced_at").alias("state_at"), F.lit(True).alias("there")), entity, "full"
+    )
     live = F.coalesce(F.col("action") != "d", F.lit(False))
-    kind = F.when(F.col("there").isNotNull() & (F.col("action") == "d"), "DELETED_RECORDS").when(F.col("there").isNull() & live, "MISSING_RECORDS").when(live & (F.col("log_at") != F.col("state_at")), "WRONG_UPDATE")
+    kind = (
+        F.when(F.col("there").isNotNull() & (F.col("action") == "d"), "DELETED_RECORDS")
+        .when(F.col("there").isNull() & live, "MISSING_RECORDS")
+        .when(live & (F.col("log_at") != F.col("state_at")), "WRONG_UPDATE")
+    )
     wrong = both.withColumn("kind", kind).where("kind IS NOT NULL").select(entity, "kind")
     # Counted by action before they meet, so that an entity with very many changes costs a few rows.
-    counts = narrow.join(wrong.select(entity), entity, "left_semi").groupBy(entity, "action").agg(F.max("synced_at").alias("at"), F.count(F.lit(1)).alias("times"))
-    history = counts.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("at", "action", "times")), asc=False).alias("history"))
-    told = F.array_join(F.transform("history", lambda h: F.concat(h["action"], F.lit(" "), h["times"].cast("string"))), ",")
-    found = wrong.join(history, entity).select("kind", F.col(entity).cast("string").alias("entity"), told.alias("actions"), F.lit(1).cast("long").alias("n"))
-    total = newest.agg(F.count_if(F.col("action") != "d").alias("n")).select(F.lit("TOTAL COUNT").alias("kind"), F.lit(None).cast("string").alias("entity"), F.lit(None).cast("string").alias("actions"), "n")
+    counts = (
+        narrow
+        .join(wrong.select(entity), entity, "left_semi")
+        .groupBy(entity, "action")
+        .agg(F.max("synced_at").alias("at"), F.count(F.lit(1)).alias("times"))
+    )
+    history = counts.groupBy(entity).agg(
+        F.sort_array(F.collect_list(F.struct("at", "action", "times")), asc=False).alias("history")
+    )
+    told = F.array_join(
+        F.transform("history", lambda h: F.concat(h["action"], F.lit(" "), h["times"].cast("string"))), ","
+    )
+    found = wrong.join(history, entity).select(
+        "kind", F.col(entity).cast("string").alias("entity"), told.alias("actions"), F.lit(1).cast("long").alias("n")
+    )
+    total = newest.agg(F.count_if(F.col("action") != "d").alias("n")).select(
+        F.lit("TOTAL COUNT").alias("kind"), F.lit(None).cast("string").alias("entity"),
+        F.lit(None).cast("string").alias("actions"), "n"
+    )
     return found.unionByName(total)
 
 
 def mismatch_percent(report: DataFrame) -> float:
     """Mismatches in percent of the live entities, rounded to whole percents."""
-    row = report.agg(F.sum(F.when(F.col("kind") == "TOTAL COUNT", F.col("n"))).alias("total"), F.count_if(F.col("kind") != "TOTAL COUNT").alias("wrong")).first()
+    row = report.agg(
+        F.sum(F.when(F.col("kind") == "TOTAL COUNT", F.col("n"))).alias("total"),
+        F.count_if(F.col("kind") != "TOTAL COUNT").alias("wrong")
+    ).first()
     return float(round(100 * row["wrong"] / row["total"])) if row["total"] else (100.0 if row["wrong"] else 0.0)
 
 
-def mismatch_gate(report: Callable[[], DataFrame], rebuild: Callable[[], None], percent: float = 1.0, retries: int = 2) -> list[dict]:
-    """Rebuilds while the mismatch is at least `percent`, up to `retries` times, then fails; returns the log of attempts."""
+def mismatch_gate(
+    report: Callable[[], DataFrame], rebuild: Callable[[], None], percent: float = 1.0, retries: int = 2
+) -> list[dict]:
+    """Rebuilds while the mismatch is at least `percent`, up to `retries` times, then fails; returns the log of
+    attempts.
+    """
     log = []
     for attempt in range(retries + 1):
         now = mismatch_percent(report())
@@ -88,11 +119,21 @@ def mismatch_gate(report: Callable[[], DataFrame], rebuild: Callable[[], None],
 
 
 def keep_newest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
-
-
-def repair_duplicates(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], keys: list[str], order: list[Column], retries: int = 2) -> list[dict]:
-    """Rewrites the table with the newest row of each key until the check is clean, up to `retries` times; returns the log."""
+    return (
+        df
+        .withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        .where("_n = 1")
+        .drop("_n")
+    )
+
+
+def repair_duplicates(
+    read: Callable[[], DataFrame], write: Callable[[DataFrame], None], keys: list[str], order: list[Column],
+    retries: int = 2
+) -> list[dict]:
+    """Rewrites the table with the newest row of each key until the check is clean, up to `retries` times; returns the
+    log.
+    """
     log = []
     for attempt in range(retries + 1):
         n = check_unique(read(), keys).count()
@@ -104,8 +145,13 @@ def repair_duplicates(read: Callable[[], DataFrame], write: Callable[[DataFrame]
     raise RuntimeError(f"{log[-1]['duplicates']} keys still repeat")
 
 
-def guarded_snapshot_repair(read: Callable[[], DataFrame], write: Callable[[DataFrame], None], snapshot: Callable[[DataFrame], None], keys: list[str], order: list[Column]) -> bool:
-    """Where keys repeat: saves the bad table, rewrites one row for each key, and asserts that it is clean. True if it repaired."""
+def guarded_snapshot_repair(
+    read: Callable[[], DataFrame], write: Callable[[DataFrame], None], snapshot: Callable[[DataFrame], None],
+    keys: list[str], order: list[Column]
+) -> bool:
+    """Where keys repeat: saves the bad table, rewrites one row for each key, and asserts that it is clean. True if it
+    repaired.
+    """
     if check_unique(read(), keys).isEmpty():
         return False
     snapshot(read())
@@ -115,34 +161,58 @@ def guarded_snapshot_repair(read: Callable[[], DataFrame], write: Callable[[Data
     return True
 
 
-def latency_profile(log: DataFrame, group: list[str], start: str = "synced_at", end: str = "ingest_time", accuracy: int = 10_000) -> DataFrame:
-    """Seconds from start to end by group: avg, min, max and the approximate 50th, 90th and 95th percentiles, exact for groups of at most `accuracy` rows."""
+def latency_profile(
+    log: DataFrame, group: list[str], start: str = "synced_at", end: str = "ingest_time", accuracy: int = 10_000
+) -> DataFrame:
+    """Seconds from start to end by group: avg, min, max and the approximate 50th, 90th and 95th percentiles, exact for
+    groups of at most `accuracy` rows.
+    """
     seconds = F.unix_micros(end) / F.lit(1e6) - F.unix_micros(start) / F.lit(1e6)
     points = F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95))
     q = F.percentile_approx("seconds", points, accuracy)
-    out = log.withColumn("seconds", seconds).groupBy(*group).agg(F.avg("seconds").alias("avg"), F.min("seconds").alias("min"), F.max("seconds").alias("max"), q.alias("q"))
-    return out.select(*group, "avg", "min", "max", *(F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95"))))
+    out = (
+        log
+        .withColumn("seconds", seconds)
+        .groupBy(*group)
+        .agg(F.avg("seconds").alias("avg"), F.min("seconds").alias("min"), F.max("seconds").alias("max"), q.alias("q"))
+    )
+    return out.select(
+        *group, "avg", "min", "max", *(F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95")))
+    )
 
 
 def throughput(log: DataFrame, at: str, size: Column, grain: str = "hour") -> DataFrame:
     """Rows and bytes by hour (or another grain), and the change against the one before."""
-    hours = log.groupBy(F.date_trunc(grain, at).alias("slot")).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes"))
+    hours = log.groupBy(F.date_trunc(grain, at).alias("slot")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")
+    )
     before = Window.orderBy("slot")  # one row for each slot of the calendar
-    return hours.withColumns({"n_change": F.col("n") - F.lag("n").over(before), "bytes_change": F.col("bytes") - F.lag("bytes").over(before)})
+    return hours.withColumns(
+        {"n_change": F.col("n") - F.lag("n").over(before), "bytes_change": F.col("bytes") - F.lag("bytes").over(before)}
+    )
 
 
 def table_freshness(df: DataFrame, times: list[str], start: Column, end: Column, grain: str = "hour") -> DataFrame:
     """Counts of each named time by slot, for every slot of the spine from start to end, zero where there are none."""
     spark = df.sparkSession
-    spine = spark.range(1).select(F.explode(F.sequence(F.date_trunc(grain, start), F.date_trunc(grain, end), F.expr(f"INTERVAL 1 {grain}"))).alias("slot"))
+    spine = spark.range(1).select(
+        F.explode(
+            F.sequence(F.date_trunc(grain, start), F.date_trunc(grain, end), F.expr(f"INTERVAL 1 {grain}"))
+        ).alias("slot")
+    )
     slots = F.array(*(F.struct(F.lit(t).alias("name"), F.date_trunc(grain, F.col(t)).alias("slot")) for t in times))
     counts = df.select(F.explode(slots).alias("s")).groupBy("s.slot").pivot("s.name", times).count()
-    return spine.join(counts.select(F.col("slot"), *(F.col(t).alias(f"n_{t}") for t in times)), "slot", "left").na.fill(0)
+    return spine.join(
+        counts.select(F.col("slot"), *(F.col(t).alias(f"n_{t}") for t in times)), "slot", "left"
+    ).na.fill(0)
 
 
 def job_cost_usage(jobs: DataFrame, group: list[str], size: str, failed: Column) -> DataFrame:
     """Jobs, failures and size by group and day."""
-    return jobs.groupBy(*group).agg(F.count(F.lit(1)).alias("jobs"), F.count_if(failed).alias("failures"), F.sum(size).alias("size"), F.max(size).alias("largest"))
+    return jobs.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("jobs"), F.count_if(failed).alias("failures"), F.sum(size).alias("size"),
+        F.max(size).alias("largest")
+    )
 
 
 def compare_series(a: DataFrame, b: DataFrame, grains: list[str], value: str) -> DataFrame:
@@ -150,10 +220,17 @@ def compare_series(a: DataFrame, b: DataFrame, grains: list[str], value: str) ->
     x = a.groupBy(*grains).agg(F.sum(value).alias("a"))
     y = b.groupBy(*grains).agg(F.sum(value).alias("b"))
     side = F.when(F.col("a").isNull(), "only b").when(F.col("b").isNull(), "only a").otherwise("both")
-    return x.join(y, grains, "full").withColumns({"side": side, "difference": F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0))})
+    return x.join(y, grains, "full").withColumns(
+        {"side": side, "difference": F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0))}
+    )
 
 
 def full_refresh_compare(incremental: DataFrame, full: DataFrame) -> DataFrame:
     """Rows of one but not the other, repeats counted."""
     full = full.select(*incremental.columns)
-    return incremental.exceptAll(full).withColumn("side", F.lit("incremental")).unionByName(full.exceptAll(incremental).withColumn("side", F.lit("full")))
+    return (
+        incremental
+        .exceptAll(full)
+        .withColumn("side", F.lit("incremental"))
+        .unionByName(full.exceptAll(incremental).withColumn("side", F.lit("full")))
+    )

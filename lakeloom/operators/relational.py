@@ -21,12 +21,22 @@ def first_valid(*choices: tuple[Column, Column]) -> Column:
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
     """The first k rows of each group; the order should be total."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= k).drop("_n")
+    return (
+        df
+        .withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        .where(F.col("_n") <= k)
+        .drop("_n")
+    )
 
 
 def latest_set(df: DataFrame, keys: list[str], at: str) -> DataFrame:
     """All rows of each group that share its newest time."""
-    return df.withColumn("_n", F.rank().over(Window.partitionBy(*keys).orderBy(F.col(at).desc_nulls_last()))).where("_n = 1").drop("_n")
+    return (
+        df
+        .withColumn("_n", F.rank().over(Window.partitionBy(*keys).orderBy(F.col(at).desc_nulls_last())))
+        .where("_n = 1")
+        .drop("_n")
+    )
 
 
 def latest_value(value: str, at: str, tie: str) -> Column:
@@ -40,10 +50,13 @@ def gate_by_newest(df: DataFrame, keys: list[str], order: list[Column], predicat
     return df.withColumn("_ok", F.first(F.coalesce(predicate, F.lit(False))).over(w)).where("_ok").drop("_ok")
 
 
-def exact_or_any_join(left: DataFrame, right: DataFrame, keys: list[str], optional: str, wildcards: tuple[str, ...] = ("00",)) -> DataFrame:
+def exact_or_any_join(
+    left: DataFrame, right: DataFrame, keys: list[str], optional: str, wildcards: tuple[str, ...] = ("00",)
+) -> DataFrame:
     """Inner join on keys and on `optional`, where a null or wildcard on the right matches every left row.
 
-    An OR condition would be a nested loop; the union of two equal joins stays a hash join. A left row may match both ways.
+    An OR condition would be a nested loop; the union of two equal joins stays a hash join. A left row may match both
+    ways.
     """
     any_value = F.col(optional).isNull() | F.col(optional).isin(*wildcards)
     exact = left.join(right.where(~any_value), [*keys, optional])
@@ -51,7 +64,9 @@ def exact_or_any_join(left: DataFrame, right: DataFrame, keys: list[str], option
     return exact.select(*wide.columns).unionByName(wide)
 
 
-def interval_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, start: str, end: str, how: str = "inner") -> DataFrame:
+def interval_join(
+    left: DataFrame, right: DataFrame, keys: list[str], at: str, start: str, end: str, how: str = "inner"
+) -> DataFrame:
     """Rows of equal keys with `at` in [start, end]; a null end is open."""
     r = right.select("*", *(F.col(k).alias(f"_r_{k}") for k in keys)).drop(*keys)
     on = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_r_{k}") for k in keys))
@@ -59,14 +74,26 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, s
     return left.join(r, on & inside, how).drop(*(f"_r_{k}" for k in keys))
 
 
-def day_bucket_range_join(left: DataFrame, right: DataFrame, at: str, start: str, end: str, days: int = 32) -> DataFrame:
-    """Pure range join of `at` in [start, end] without other keys: intervals are dealt to buckets of days, so the join stays equal."""
+def day_bucket_range_join(
+    left: DataFrame, right: DataFrame, at: str, start: str, end: str, days: int = 32
+) -> DataFrame:
+    """Pure range join of `at` in [start, end] without other keys: intervals are dealt to buckets of days, so the join
+    stays equal.
+    """
     bucket = lambda c: F.floor(F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")) / days)
     parts = right.withColumn("_b", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end)))))
-    return left.withColumn("_b", bucket(F.col(at))).join(parts, "_b").where(F.col(at).between(F.col(start), F.col(end))).drop("_b")
-
-
-def latest_at_or_after(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, order: list[Column]) -> DataFrame:
+    return (
+        left
+        .withColumn("_b", bucket(F.col(at)))
+        .join(parts, "_b")
+        .where(F.col(at).between(F.col(start), F.col(end)))
+        .drop("_b")
+    )
+
+
+def latest_at_or_after(
+    left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, order: list[Column]
+) -> DataFrame:
     """Left rows with their key's newest right row, where that is not older than the left time; else nulls."""
     newest = top_k(right, [key], order)
     joined = left.join(newest, key, "left")
@@ -80,11 +107,15 @@ def until_next(df: DataFrame, keys: list[str], at: str, end: str = "next_at", ti
     return df.withColumn(end, F.lead(at).over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def strictly_between_events(events: DataFrame, notes: DataFrame, keys: list[str], at: str, note_at: str, tie: str) -> DataFrame:
+def strictly_between_events(
+    events: DataFrame, notes: DataFrame, keys: list[str], at: str, note_at: str, tie: str
+) -> DataFrame:
     """Notes strictly after an event and before the next one of the same keys."""
     spans = until_next(events, keys, at, "_next", tie)
     joined = spans.join(notes, keys)
-    return joined.where((F.col(note_at) > F.col(at)) & (F.col("_next").isNull() | (F.col(note_at) < F.col("_next")))).drop("_next")
+    return joined.where(
+        (F.col(note_at) > F.col(at)) & (F.col("_next").isNull() | (F.col(note_at) < F.col("_next")))
+    ).drop("_next")
 
 
 def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -96,7 +127,10 @@ def fallback_lookup(df: DataFrame, dim: DataFrame, levels: list[str], key: str,
     """`value` of the dimension for the first of the level columns that it knows."""
     small = dim.select(key, value).dropDuplicates([key])
     for i, level in enumerate(levels):
-        df = df.join(small.select(F.col(key).alias(f"_k{i}"), F.col(value).alias(f"_v{i}")), F.col(level) == F.col(f"_k{i}"), "left")
+        df = df.join(
+            small.select(F.col(key).alias(f"_k{i}"), F.col(value).alias(f"_v{i}")), F.col(level) == F.col(f"_k{i}"),
+            "left"
+        )
     n = range(len(levels))
     return df.withColumn(value, F.coalesce(*(F.col(f"_v{i}") for i in n))).drop(*(f"_{c}{i}" for i in n for c in "kv"))
 
@@ -105,7 +139,9 @@ def pivot(df: DataFrame, keys: list[str], column: str, values: list, **aggregate
     return df.groupBy(*keys).pivot(column, values).agg(*(a.alias(n) for n, a in aggregates.items()))
 
 
-def unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str = "measure", value: str = "value") -> DataFrame:
+def unpivot(
+    df: DataFrame, keys: list[str], columns: list[str], name: str = "measure", value: str = "value"
+) -> DataFrame:
     """Columns to rows, without nulls."""
     return df.unpivot(keys, columns, name, value).where(F.col(value).isNotNull())
 
@@ -127,20 +163,31 @@ def change_points(df: DataFrame, keys: list[str], order: list[str], value: str)
     """Rows whose value differs from the one before in their group, and each group's first."""
     before = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order))
     n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumns({"_before": before, "_n": n}).where((F.col("_n") == 1) | ~F.col(value).eqNullSafe(F.col("_before"))).drop("_before", "_n")
+    return (
+        df
+        .withColumns({"_before": before, "_n": n})
+        .where((F.col("_n") == 1) | ~F.col(value).eqNullSafe(F.col("_before")))
+        .drop("_before", "_n")
+    )
 
 
 def fill_forward(value: str, keys: list[str], order: list[str]) -> Column:
-    return F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return F.last(value, ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    )
 
 
 def fill_backward(value: str, keys: list[str], order: list[str]) -> Column:
-    return F.first(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing))
+    return F.first(value, ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+    )
 
 
 def spread(value: str, keys: list[str], order: list[str]) -> Column:
     """The group's first known value, on all its rows."""
-    return F.first(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return F.first(value, ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
 
 
 def byte_buckets(df: DataFrame, keys: list[str], order: list[str], text: str, limit: int) -> DataFrame:
@@ -151,5 +198,7 @@ def byte_buckets(df: DataFrame, keys: list[str], order: list[str], text: str, li
 
 
 def densify(entities: DataFrame, first: str, spine: Column, day: str) -> DataFrame:
-    """Each entity with every day of the spine (an array column, so nothing is joined or broadcast) from its first one on."""
+    """Each entity with every day of the spine (an array column, so nothing is joined or broadcast) from its first one
+    on.
+    """
     return entities.withColumn(day, F.explode(F.filter(spine, lambda d: d >= F.col(first))))

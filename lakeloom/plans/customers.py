@@ -14,43 +14,68 @@ from lakeloom.operators import relational as R
 from .registry import day_text, query, t
 
 
-def calendar(spark: SparkSession, start: str, end: str, holidays: tuple[str, ...] = (), as_of: str | None = None) -> DataFrame:
+def calendar(
+    spark: SparkSession, start: str, end: str, holidays: tuple[str, ...] = (), as_of: str | None = None
+) -> DataFrame:
     """One row a day: keys, bounds of week, month and quarter, ages in days and months at `as_of`, labels, holiday."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day"))
     d, now = F.col("day"), F.lit(as_of or end).cast("date")
     return days.select(
-        d, F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"), F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"), C.week_of_year(d).alias("week"), F.dayofweek(d).alias("day_of_week"),
-        F.trunc(d, "week").alias("week_start"), F.date_add(F.trunc(d, "week"), 6).alias("week_end"), F.trunc(d, "month").alias("month_start"), F.last_day(d).alias("month_end"), F.trunc(d, "quarter").alias("quarter_start"),
-        C.date_diff("DAY", now, d).alias("days_ago"), C.date_diff("MONTH", now, d).alias("months_ago"), F.date_format(d, "yyyy-MM").alias("month_label"), d.isin(*(F.lit(h).cast("date") for h in holidays)).alias("is_holiday"),
+        d, F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"), F.year(d).alias("year"),
+        F.quarter(d).alias("quarter"), F.month(d).alias("month"), C.week_of_year(d).alias("week"),
+        F.dayofweek(d).alias("day_of_week"),
+        F.trunc(d, "week").alias("week_start"), F.date_add(F.trunc(d, "week"), 6).alias("week_end"),
+        F.trunc(d, "month").alias("month_start"), F.last_day(d).alias("month_end"),
+        F.trunc(d, "quarter").alias("quarter_start"),
+        C.date_diff("DAY", now, d).alias("days_ago"), C.date_diff("MONTH", now, d).alias("months_ago"),
+        F.date_format(d, "yyyy-MM").alias("month_label"),
+        d.isin(*(F.lit(h).cast("date") for h in holidays)).alias("is_holiday"),
     )
 
 
 @query(
     "b1_calendar",
-    """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, year(d) AS year, quarter(d) AS quarter, month(d) AS month, CAST(strftime(d, '%W') AS INTEGER) AS week, dayofweek(d) + 1 AS day_of_week,
-    strftime(date_trunc('week', d), '%Y-%m-%d') AS week_start, strftime(date_trunc('week', d) + INTERVAL 6 DAY, '%Y-%m-%d') AS week_end, strftime(date_trunc('month', d), '%Y-%m-%d') AS month_start,
-    strftime(last_day(d), '%Y-%m-%d') AS month_end, strftime(date_trunc('quarter', d), '%Y-%m-%d') AS quarter_start, date_diff('day', d, DATE '2001-08-01') AS days_ago, date_diff('month', d, DATE '2001-08-01') AS months_ago,
+    """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, year(d) AS year, quarter(d) AS quarter, month(d) AS
+    month, CAST(strftime(d, '%W') AS INTEGER) AS week, dayofweek(d) + 1 AS day_of_week,
+    strftime(date_trunc('week', d), '%Y-%m-%d') AS week_start, strftime(date_trunc('week', d) + INTERVAL 6 DAY,
+    '%Y-%m-%d') AS week_end, strftime(date_trunc('month', d), '%Y-%m-%d') AS month_start,
+    strftime(last_day(d), '%Y-%m-%d') AS month_end, strftime(date_trunc('quarter', d), '%Y-%m-%d') AS quarter_start,
+    date_diff('day', d, DATE '2001-08-01') AS days_ago, date_diff('month', d, DATE '2001-08-01') AS months_ago,
     strftime(d, '%m') = '01' AND strftime(d, '%d') = '01' AND year(d) = 2000 AS is_holiday, coalesce(n, 0) AS orders
-    FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS o, count(*) AS n FROM orders GROUP BY 1) ON o = d""",
+    FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS d) LEFT
+    JOIN (SELECT CAST(o_orderdate AS DATE) AS o, count(*) AS n FROM orders GROUP BY 1) ON o = d""",
 )
 def b1_calendar(spark, sf_dir):
     """The calendar with the orders of each day."""
     n = t(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
     days = calendar(spark, "1995-01-01", "2001-08-01", ("2000-01-01",))
     out = days.join(n, "day", "left").na.fill(0, ["orders"])
-    return out.select("date_key", "year", "quarter", "month", "week", "day_of_week", *(day_text(c).alias(c) for c in ("week_start", "week_end", "month_start", "month_end", "quarter_start")), "days_ago", "months_ago", "is_holiday", "orders")
+    return out.select(
+        "date_key", "year", "quarter", "month", "week", "day_of_week",
+        *(day_text(c).alias(c) for c in ("week_start", "week_end", "month_start", "month_end", "quarter_start")),
+        "days_ago", "months_ago", "is_holiday", "orders"
+    )
 
 
 def geo_hierarchy(nations: DataFrame, regions: DataFrame, urban: Column) -> DataFrame:
     """Places of both levels as one dimension: code, level, name, parent, and whether it is urban (null for regions)."""
-    low = nations.select(F.concat(F.lit("N"), "n_nationkey").alias("code"), F.lit("nation").alias("level"), F.col("n_name").alias("name"), F.concat(F.lit("R"), "n_regionkey").alias("parent"), F.when(urban, "urban").otherwise("rural").alias("kind"))
-    high = regions.select(F.concat(F.lit("R"), "r_regionkey").alias("code"), F.lit("region").alias("level"), F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("kind"))
+    low = nations.select(
+        F.concat(F.lit("N"), "n_nationkey").alias("code"), F.lit("nation").alias("level"),
+        F.col("n_name").alias("name"), F.concat(F.lit("R"), "n_regionkey").alias("parent"),
+        F.when(urban, "urban").otherwise("rural").alias("kind")
+    )
+    high = regions.select(
+        F.concat(F.lit("R"), "r_regionkey").alias("code"), F.lit("region").alias("level"),
+        F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent"),
+        F.lit(None).cast("string").alias("kind")
+    )
     return low.unionByName(high)
 
 
 @query(
     "b2_geo_hierarchy",
-    """SELECT concat('N', n_nationkey) AS code, 'nation' AS level, n_name AS name, concat('R', n_regionkey) AS parent, CASE WHEN n_nationkey % 4 = 0 THEN 'urban' ELSE 'rural' END AS kind FROM nation
+    """SELECT concat('N', n_nationkey) AS code, 'nation' AS level, n_name AS name, concat('R', n_regionkey) AS parent,
+    CASE WHEN n_nationkey % 4 = 0 THEN 'urban' ELSE 'rural' END AS kind FROM nation
     UNION ALL SELECT concat('R', r_regionkey), 'region', r_name, NULL, NULL FROM region""",
 )
 def b2_geo_hierarchy(spark, sf_dir):
@@ -60,17 +85,33 @@ def b2_geo_hierarchy(spark, sf_dir):
 def customer_dim(customers: DataFrame, orders: DataFrame, nations: DataFrame, cancelled: str = "P") -> DataFrame:
     """Profile, place, first and last order, counts, level label and flags, one row a customer."""
     done = orders.where(F.col("o_orderstatus") != cancelled)
-    facts = done.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderdate").alias("first_at"), F.max("o_orderdate").alias("last_at"), R.latest_value("o_orderkey", "o_orderdate", "o_orderkey").alias("last_order"), F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("gmv"))
-    level = R.classify([(F.col("gmv") >= 3e6, "gold"), (F.col("gmv") >= 1.5e6, "silver"), (F.col("gmv") > 0, "bronze")], "none")
+    facts = done.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.min("o_orderdate").alias("first_at"), F.max("o_orderdate").alias("last_at"),
+        R.latest_value("o_orderkey", "o_orderdate", "o_orderkey").alias("last_order"),
+        F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("gmv")
+    )
+    level = R.classify(
+        [(F.col("gmv") >= 3e6, "gold"), (F.col("gmv") >= 1.5e6, "silver"), (F.col("gmv") > 0, "bronze")], "none"
+    )
     out = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(facts, "c_custkey", "left")
-    return out.select("c_custkey", F.initcap("c_mktsegment").alias("segment"), F.coalesce("n_name", F.lit("unknown")).alias("nation"), day_text("first_at").alias("first_day"), day_text("last_at").alias("last_day"), "last_order", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), level.alias("level"), (F.col("c_acctbal") < 0).alias("in_debt"))
+    return out.select(
+        "c_custkey", F.initcap("c_mktsegment").alias("segment"), F.coalesce("n_name", F.lit("unknown")).alias("nation"),
+        day_text("first_at").alias("first_day"), day_text("last_at").alias("last_day"), "last_order",
+        F.coalesce("n_orders", F.lit(0)).alias("n_orders"), level.alias("level"),
+        (F.col("c_acctbal") < 0).alias("in_debt")
+    )
 
 
 @query(
     "b3_customer_dim",
-    """SELECT c_custkey, concat(upper(c_mktsegment[1]), lower(c_mktsegment[2:])) AS segment, n_name AS nation, strftime(first_at, '%Y-%m-%d') AS first_day, strftime(last_at, '%Y-%m-%d') AS last_day, last_order, coalesce(n, 0) AS n_orders,
-    CASE WHEN gmv >= 3000000 THEN 'gold' WHEN gmv >= 1500000 THEN 'silver' WHEN gmv > 0 THEN 'bronze' ELSE 'none' END AS level, c_acctbal < 0 AS in_debt FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN
-    (SELECT o_custkey, min(o_orderdate) AS first_at, max(o_orderdate) AS last_at, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order, count(*) AS n, sum(o_totalprice) AS gmv FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1) ON o_custkey = c_custkey""",
+    """SELECT c_custkey, concat(upper(c_mktsegment[1]), lower(c_mktsegment[2:])) AS segment, n_name AS nation,
+    strftime(first_at, '%Y-%m-%d') AS first_day, strftime(last_at, '%Y-%m-%d') AS last_day, last_order, coalesce(n, 0)
+    AS n_orders,
+    CASE WHEN gmv >= 3000000 THEN 'gold' WHEN gmv >= 1500000 THEN 'silver' WHEN gmv > 0 THEN 'bronze' ELSE 'none' END AS
+    level, c_acctbal < 0 AS in_debt FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN
+    (SELECT o_custkey, min(o_orderdate) AS first_at, max(o_orderdate) AS last_at, arg_max(o_orderkey, (o_orderdate,
+    o_orderkey)) AS last_order, count(*) AS n, sum(o_totalprice) AS gmv FROM orders WHERE o_orderstatus <> 'P' GROUP BY
+    1) ON o_custkey = c_custkey""",
 )
 def b3_customer_dim(spark, sf_dir):
     return customer_dim(t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders"), t(spark, sf_dir, "nation"))
@@ -84,37 +125,66 @@ def monthly_activity(facts: DataFrame, entity: str, at: str, spark: SparkSession
     month = F.trunc(F.to_date(at), "month")
     active = facts.groupBy(entity, month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
     first = active.groupBy(entity).agg(F.min("month").alias("first_month"))
-    spine = first.select(entity, "first_month", F.explode(F.sequence("first_month", F.trunc(F.lit(end).cast("date"), "month"), F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    spine = first.select(
+        entity, "first_month",
+        F.explode(
+            F.sequence("first_month", F.trunc(F.lit(end).cast("date"), "month"), F.expr("INTERVAL 1 MONTH"))
+        ).alias("month")
+    )
     rows = spine.join(active, [entity, "month"], "left").withColumn("active", F.col("n").isNotNull())
     w = W.partitionBy(entity).orderBy("month")
-    last = F.last(F.when(F.col("active"), F.col("month")), ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))
-    return rows.select(entity, "month", "first_month", "active", F.lag("active").over(w).alias("active_before"), last.alias("last_active"))
+    last = F.last(
+        F.when(F.col("active"), F.col("month")), ignorenulls=True
+    ).over(w.rowsBetween(W.unboundedPreceding, -1))
+    return rows.select(
+        entity, "month", "first_month", "active", F.lag("active").over(w).alias("active_before"),
+        last.alias("last_active")
+    )
 
 
 def lifecycle(activity: DataFrame) -> DataFrame:
-    """Activity with one state a row: new, repeat (also active the month before), reacquired, churn (the first inactive month) or idle."""
+    """Activity with one state a row: new, repeat (also active the month before), reacquired, churn (the first inactive
+    month) or idle.
+    """
     before = F.coalesce("active_before", F.lit(False))
-    return activity.withColumn("state", F.when(F.col("month") == F.col("first_month"), "new").when(F.col("active") & before, "repeat").when(F.col("active"), "reacquired").when(before, "churn").otherwise("idle"))
-
-
-_ACTIVITY = """active AS (SELECT DISTINCT {k} AS k, date_trunc('month', {d}) AS m FROM {tab}), spine AS (SELECT k, first, CAST(unnest(generate_series(first, TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT k, CAST(min(m) AS TIMESTAMP) AS first FROM active GROUP BY k)),
-    acts AS (SELECT s.k, s.m, s.first, a.k IS NOT NULL AS act, lag(a.k IS NOT NULL) OVER (PARTITION BY s.k ORDER BY s.m) AS before, lag(a.k IS NOT NULL, 2) OVER (PARTITION BY s.k ORDER BY s.m) AS before2 FROM spine s LEFT JOIN active a ON a.k = s.k AND a.m = s.m)"""
-_STATE = "CASE WHEN m = first THEN 'new' WHEN act AND coalesce(before, false) THEN 'repeat' WHEN act THEN 'reacquired' WHEN coalesce(before, false) THEN 'churn' ELSE 'idle' END"
+    return activity.withColumn(
+        "state",
+        F.when(
+            F.col("month") == F.col("first_month"), "new"
+        ).when(F.col("active") & before, "repeat").when(F.col("active"), "reacquired").when(before, "churn").otherwise("idle")
+    )
+
+
+_ACTIVITY = """active AS (SELECT DISTINCT {k} AS k, date_trunc('month', {d}) AS m FROM {tab}), spine AS (SELECT k,
+first, CAST(unnest(generate_series(first, TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT k,
+CAST(min(m) AS TIMESTAMP) AS first FROM active GROUP BY k)),
+    acts AS (SELECT s.k, s.m, s.first, a.k IS NOT NULL AS act, lag(a.k IS NOT NULL) OVER (PARTITION BY s.k ORDER BY s.m)
+    AS before, lag(a.k IS NOT NULL, 2) OVER (PARTITION BY s.k ORDER BY s.m) AS before2 FROM spine s LEFT JOIN active a
+    ON a.k = s.k AND a.m = s.m)"""
+_STATE = (
+    "CASE WHEN m = first THEN 'new' WHEN act AND coalesce(before, false) THEN 'repeat' WHEN act THEN 'reacquired' "
+    "WHEN coalesce(before, false) THEN 'churn' ELSE 'idle' END"
+)
 
 
 @query(
     "b9_customer_lifecycle",
-    f"WITH {_ACTIVITY.format(k='o_custkey', d='o_orderdate', tab='orders')} SELECT strftime(m, '%Y-%m') AS month, {_STATE} AS state, count(*) AS customers FROM acts GROUP BY ALL",
+    f"WITH {_ACTIVITY.format(k='o_custkey', d='o_orderdate', tab='orders')} SELECT strftime(m, '%Y-%m') AS month, "
+    f"{_STATE} AS state, count(*) AS customers FROM acts GROUP BY ALL",
 )
 def b9_customer_lifecycle(spark, sf_dir):
     """Customers by month and state."""
     states = lifecycle(monthly_activity(t(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", spark, "2001-08-01"))
-    return states.groupBy(F.date_format("month", "yyyy-MM").alias("month"), "state").agg(F.count(F.lit(1)).alias("customers"))
+    return states.groupBy(
+        F.date_format("month", "yyyy-MM").alias("month"), "state"
+    ).agg(F.count(F.lit(1)).alias("customers"))
 
 
 @query(
     "b11_sku_profile",
-    f"""WITH {_ACTIVITY.format(k='l_partkey', d='l_shipdate', tab="(SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '2001-08-31')")} SELECT strftime(m, '%Y-%m') AS month, count(*) FILTER (WHERE act) AS active, count(*) FILTER (WHERE NOT act AND before) AS churn_1m,
+    f"""WITH {_ACTIVITY.format(k='l_partkey', d='l_shipdate', tab="(SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '2001-08-31')")}
+    SELECT strftime(m, '%Y-%m') AS month, count(*) FILTER (WHERE act) AS active, count(*) FILTER (WHERE NOT act
+    AND before) AS churn_1m,
     count(*) FILTER (WHERE NOT act AND NOT before AND before2) AS churn_2m FROM acts GROUP BY 1""",
 )
 def b11_sku_profile(spark, sf_dir):
@@ -123,32 +193,59 @@ def b11_sku_profile(spark, sf_dir):
     rows = monthly_activity(items, "l_partkey", "l_shipdate", spark, "2001-08-01")
     two = F.lag("active", 2).over(W.partitionBy("l_partkey").orderBy("month"))
     gone = ~F.col("active")
-    return rows.withColumn("two", two).groupBy(F.date_format("month", "yyyy-MM").alias("month")).agg(F.count_if("active").alias("active"), F.count_if(gone & F.col("active_before")).alias("churn_1m"), F.count_if(gone & ~F.col("active_before") & F.col("two")).alias("churn_2m"))
+    return (
+        rows
+        .withColumn("two", two)
+        .groupBy(F.date_format("month", "yyyy-MM").alias("month"))
+        .agg(
+            F.count_if("active").alias("active"), F.count_if(gone & F.col("active_before")).alias("churn_1m"),
+            F.count_if(gone & ~F.col("active_before") & F.col("two")).alias("churn_2m")
+        )
+    )
 
 
 def recency_lifecycle(orders: DataFrame, entity: str, at: str, near: int = 30, far: int = 60) -> DataFrame:
-    """Each entity's purchases with a label by days since the one before: NEW, REPEAT (under `near`), REACQUIRED_NEAR (under `far`), REACQUIRED_FAR."""
+    """Each entity's purchases with a label by days since the one before: NEW, REPEAT (under `near`), REACQUIRED_NEAR
+    (under `far`), REACQUIRED_FAR.
+    """
     days = orders.select(entity, F.to_date(at).alias("day")).distinct()
     gap = F.datediff("day", F.lag("day").over(W.partitionBy(entity).orderBy("day")))
-    return days.withColumn("gap", gap).withColumn("label", R.classify([(F.col("gap").isNull(), "NEW"), (F.col("gap") < near, "REPEAT"), (F.col("gap") < far, "REACQUIRED_NEAR")], "REACQUIRED_FAR"))
+    return days.withColumn("gap", gap).withColumn(
+        "label",
+        R.classify(
+            [(F.col("gap").isNull(), "NEW"), (F.col("gap") < near, "REPEAT"), (F.col("gap") < far, "REACQUIRED_NEAR")],
+            "REACQUIRED_FAR"
+        )
+    )
 
 
 @query(
     "b10_recency_lifecycle",
-    """SELECT strftime(d, '%Y-%m') AS month, CASE WHEN gap IS NULL THEN 'NEW' WHEN gap < 30 THEN 'REPEAT' WHEN gap < 60 THEN 'REACQUIRED_NEAR' ELSE 'REACQUIRED_FAR' END AS label, count(DISTINCT k) AS customers
-    FROM (SELECT k, d, date_diff('day', lag(d) OVER (PARTITION BY k ORDER BY d), d) AS gap FROM (SELECT DISTINCT o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders)) GROUP BY ALL""",
+    """SELECT strftime(d, '%Y-%m') AS month, CASE WHEN gap IS NULL THEN 'NEW' WHEN gap < 30 THEN 'REPEAT' WHEN gap < 60
+    THEN 'REACQUIRED_NEAR' ELSE 'REACQUIRED_FAR' END AS label, count(DISTINCT k) AS customers
+    FROM (SELECT k, d, date_diff('day', lag(d) OVER (PARTITION BY k ORDER BY d), d) AS gap FROM (SELECT DISTINCT
+    o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders)) GROUP BY ALL""",
 )
 def b10_recency_lifecycle(spark, sf_dir):
     rows = recency_lifecycle(t(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
-    return rows.groupBy(F.date_format("day", "yyyy-MM").alias("month"), "label").agg(F.count_distinct("o_custkey").alias("customers"))
+    return rows.groupBy(
+        F.date_format("day", "yyyy-MM").alias("month"), "label"
+    ).agg(F.count_distinct("o_custkey").alias("customers"))
 
 
 def seller_classification(items: DataFrame, seller: str, at: str) -> DataFrame:
     """Active months of each seller with new, repeat or return, and whether the seller is gone in the month after."""
     months = items.select(seller, F.trunc(F.to_date(at), "month").alias("month")).distinct()
     w = W.partitionBy(seller).orderBy("month")
-    before, after = (C.date_diff("MONTH", "month", F.lag("month").over(w)), C.date_diff("MONTH", F.lead("month").over(w), "month"))
-    return months.withColumns({"kind": R.classify([(before.isNull(), "new"), (before == 1, "repeat")], "return"), "gone_next": F.coalesce(after != 1, F.lit(True))})
+    before, after = (
+        C.date_diff("MONTH", "month", F.lag("month").over(w)), C.date_diff("MONTH", F.lead("month").over(w), "month")
+    )
+    return months.withColumns(
+        {
+            "kind": R.classify([(before.isNull(), "new"), (before == 1, "repeat")], "return"),
+            "gone_next": F.coalesce(after != 1, F.lit(True))
+        }
+    )
 
 
 def monthly_recency(
@@ -156,15 +253,20 @@ def monthly_recency(
 ) -> DataFrame:
     """One label for each user and month from the month of joining on.
 
-    USER_ONLY: nothing bought so far; NEW: the month of the first purchase; REPEAT, REACQUIRED_NEAR, REACQUIRED_FAR: bought, by the days between
-    the month's first purchase and the one before it; CHURN: bought before, but not in this month. The spine is bounded by the users' ages.
+    USER_ONLY: nothing bought so far; NEW: the month of the first purchase; REPEAT, REACQUIRED_NEAR, REACQUIRED_FAR:
+    bought, by the days between the month's first purchase and the one before it; CHURN: bought before, but not in this
+    month. The spine is bounded by the users' ages.
     """
     month = lambda c: F.trunc(F.to_date(c), "month")
-    bought = orders.groupBy(who, month(at).alias("month")).agg(F.to_date(F.min(at)).alias("_first"), F.to_date(F.max(at)).alias("_last"))
+    bought = orders.groupBy(who, month(at).alias("month")).agg(
+        F.to_date(F.min(at)).alias("_first"), F.to_date(F.max(at)).alias("_last")
+    )
     last = F.trunc(F.lit(end).cast("date"), "month")
     spine = users.select(who, F.explode(F.sequence(month(joined), last, F.expr("INTERVAL 1 MONTH"))).alias("month"))
     rows = spine.join(bought, [who, "month"], "left")
-    before = F.last("_last", ignorenulls=True).over(W.partitionBy(who).orderBy("month").rowsBetween(W.unboundedPreceding, -1))
+    before = F.last("_last", ignorenulls=True).over(
+        W.partitionBy(who).orderBy("month").rowsBetween(W.unboundedPreceding, -1)
+    )
     gap, none = F.datediff("_first", "_before"), F.col("_first").isNull()
     rules = [
         (none & F.col("_before").isNull(), "USER_ONLY"), (none, "CHURN"), (F.col("_before").isNull(), "NEW"),
@@ -175,10 +277,14 @@ def monthly_recency(
 
 @query(
     "b10_monthly_recency",
-    """WITH spine AS (SELECT k, CAST(unnest(generate_series(TIMESTAMP '1995-01-01' + to_months(CAST(k % 40 AS INTEGER)), TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT c_custkey AS k FROM customer)),
-    bought AS (SELECT o_custkey AS k, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY ALL),
-    told AS (SELECT s.k, s.m, a, last_value(b IGNORE NULLS) OVER (PARTITION BY s.k ORDER BY s.m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spine s LEFT JOIN bought o ON o.k = s.k AND o.m = s.m)
-    SELECT k AS c_custkey, strftime(m, '%Y-%m') AS month, CASE WHEN a IS NULL AND before IS NULL THEN 'USER_ONLY' WHEN a IS NULL THEN 'CHURN' WHEN before IS NULL THEN 'NEW' WHEN date_diff('day', before, a) < 30 THEN 'REPEAT'
+    """WITH spine AS (SELECT k, CAST(unnest(generate_series(TIMESTAMP '1995-01-01' + to_months(CAST(k % 40 AS INTEGER)),
+    TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS m FROM (SELECT c_custkey AS k FROM customer)),
+    bought AS (SELECT o_custkey AS k, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(min(o_orderdate) AS
+    DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY ALL),
+    told AS (SELECT s.k, s.m, a, last_value(b IGNORE NULLS) OVER (PARTITION BY s.k ORDER BY s.m ROWS BETWEEN UNBOUNDED
+    PRECEDING AND 1 PRECEDING) AS before FROM spine s LEFT JOIN bought o ON o.k = s.k AND o.m = s.m)
+    SELECT k AS c_custkey, strftime(m, '%Y-%m') AS month, CASE WHEN a IS NULL AND before IS NULL THEN 'USER_ONLY' WHEN a
+    IS NULL THEN 'CHURN' WHEN before IS NULL THEN 'NEW' WHEN date_diff('day', before, a) < 30 THEN 'REPEAT'
     WHEN date_diff('day', before, a) < 60 THEN 'REACQUIRED_NEAR' ELSE 'REACQUIRED_FAR' END AS label FROM told""",
 )
 def b10_monthly_recency(spark, sf_dir):
@@ -192,19 +298,27 @@ def b10_monthly_recency(spark, sf_dir):
 
 @query(
     "b12_seller_classification",
-    """SELECT strftime(m, '%Y-%m') AS month, kind, count(*) AS sellers, count(*) FILTER (WHERE gone) AS gone FROM (SELECT k, m, CASE WHEN lag(m) OVER w IS NULL THEN 'new' WHEN date_diff('month', lag(m) OVER w, m) = 1 THEN 'repeat' ELSE 'return' END AS kind,
-    coalesce(date_diff('month', m, lead(m) OVER w) <> 1, true) AS gone FROM (SELECT DISTINCT l_suppkey AS k, date_trunc('month', l_shipdate) AS m FROM lineitem) WINDOW w AS (PARTITION BY k ORDER BY m)) GROUP BY ALL""",
+    """SELECT strftime(m, '%Y-%m') AS month, kind, count(*) AS sellers, count(*) FILTER (WHERE gone) AS gone FROM
+    (SELECT k, m, CASE WHEN lag(m) OVER w IS NULL THEN 'new' WHEN date_diff('month', lag(m) OVER w, m) = 1 THEN 'repeat'
+    ELSE 'return' END AS kind,
+    coalesce(date_diff('month', m, lead(m) OVER w) <> 1, true) AS gone FROM (SELECT DISTINCT l_suppkey AS k,
+    date_trunc('month', l_shipdate) AS m FROM lineitem) WINDOW w AS (PARTITION BY k ORDER BY m)) GROUP BY ALL""",
 )
 def b12_seller_classification(spark, sf_dir):
     rows = seller_classification(t(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate")
-    return rows.groupBy(F.date_format("month", "yyyy-MM").alias("month"), "kind").agg(F.count(F.lit(1)).alias("sellers"), F.count_if("gone_next").alias("gone"))
+    return rows.groupBy(F.date_format("month", "yyyy-MM").alias("month"), "kind").agg(
+        F.count(F.lit(1)).alias("sellers"), F.count_if("gone_next").alias("gone")
+    )
 
 
 def store_classification(
-    sales: DataFrame, store: str, period: str, value: str, margin: str, promotion: str | None = None, good_margin: float = 0.95,
+    sales: DataFrame, store: str, period: str, value: str, margin: str, promotion: str | None = None,
+    good_margin: float = 0.95,
     high_promotion: float = 0.5,
 ) -> DataFrame:
-    """Stores by period in five classes of growth by margin; `promotion`, a share of promoted sales, takes a star that lives on promotions down to growing."""
+    """Stores by period in five classes of growth by margin; `promotion`, a share of promoted sales, takes a star that
+    lives on promotions down to growing.
+    """
     growth = F.col(value) - F.lag(value).over(W.partitionBy(store).orderBy(period))
     g, high = F.col("growth"), F.col(margin) >= good_margin
     bought = F.col(promotion) > high_promotion if promotion else F.lit(False)
@@ -214,8 +328,11 @@ def store_classification(
 
 @query(
     "b30_store_classification",
-    """SELECT k AS s_suppkey, y AS year, CASE WHEN growth IS NULL THEN 'new' WHEN growth >= 0 AND margin >= 0.95 THEN 'star' WHEN growth >= 0 THEN 'growing' WHEN margin >= 0.95 THEN 'solid' ELSE 'weak' END AS class FROM
-    (SELECT k, y, total - lag(total) OVER (PARTITION BY k ORDER BY y) AS growth, margin FROM (SELECT l_suppkey AS k, year(l_shipdate) AS y, round(sum(l_extendedprice), 2) AS total, round(1 - sum(l_discount) / count(*), 6) AS margin FROM lineitem GROUP BY ALL))""",
+    """SELECT k AS s_suppkey, y AS year, CASE WHEN growth IS NULL THEN 'new' WHEN growth >= 0 AND margin >= 0.95 THEN
+    'star' WHEN growth >= 0 THEN 'growing' WHEN margin >= 0.95 THEN 'solid' ELSE 'weak' END AS class FROM
+    (SELECT k, y, total - lag(total) OVER (PARTITION BY k ORDER BY y) AS growth, margin FROM (SELECT l_suppkey AS k,
+    year(l_shipdate) AS y, round(sum(l_extendedprice), 2) AS total, round(1 - sum(l_discount) / count(*), 6) AS margin
+    FROM lineitem GROUP BY ALL))""",
 )
 def b30_store_classification(spark, sf_dir):
     """Growth by margin to five classes."""
@@ -228,7 +345,8 @@ def b30_store_classification(spark, sf_dir):
 def user_journey(events: DataFrame, user: str, at: str, tie: str, name: str) -> DataFrame:
     """Steps of each user with repeats collapsed: step number, event, path so far, next event.
 
-    The path so far is the text of all steps up to this one, so a session should be bounded; group by session where users never end.
+    The path so far is the text of all steps up to this one, so a session should be bounded; group by session where
+    users never end.
     """
     w = W.partitionBy(user).orderBy(at, tie)
     steps = R.change_points(events, [user], [at, tie], name)
@@ -238,17 +356,26 @@ def user_journey(events: DataFrame, user: str, at: str, tie: str, name: str) ->
 
 @query(
     "b35_user_journey",
-    """SELECT event_id, row_number() OVER w AS step, string_agg(event_type, '>') OVER (w ROWS UNBOUNDED PRECEDING) AS path, lead(event_type) OVER w AS next_event
-    FROM (SELECT * FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS d, lag(event_type) OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS b FROM events) WHERE b IS NULL OR b <> event_type) WINDOW w AS (PARTITION BY user_id, d ORDER BY ts, event_id)""",
+    """SELECT event_id, row_number() OVER w AS step, string_agg(event_type, '>') OVER (w ROWS UNBOUNDED PRECEDING) AS
+    path, lead(event_type) OVER w AS next_event
+    FROM (SELECT * FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS d, lag(event_type) OVER (PARTITION BY user_id,
+    strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id) AS b FROM events) WHERE b IS NULL OR b <> event_type) WINDOW w AS
+    (PARTITION BY user_id, d ORDER BY ts, event_id)""",
 )
 def b35_user_journey(spark, sf_dir):
     """A user's day as a session."""
-    events = t(spark, sf_dir, "events").withColumn("session", F.concat_ws("/", F.col("user_id").cast("string"), day_text("ts")))
-    return user_journey(events, "session", "ts", "event_id", "event_type").select("event_id", "step", "path", "next_event")
+    events = t(spark, sf_dir, "events").withColumn(
+        "session", F.concat_ws("/", F.col("user_id").cast("string"), day_text("ts"))
+    )
+    return user_journey(
+        events, "session", "ts", "event_id", "event_type"
+    ).select("event_id", "step", "path", "next_event")
 
 
 def daily_activity(events: DataFrame, days: DataFrame, user: str, at: str, kinds: dict[str, Column]) -> DataFrame:
-    """The spine of days with the users of each kind of activity (views, chats, ...) and those with all kinds, zero where there are none."""
+    """The spine of days with the users of each kind of activity (views, chats, ...) and those with all kinds, zero
+    where there are none.
+    """
     marks = [F.max(F.coalesce(c, F.lit(False)).cast("int")).alias(n) for n, c in kinds.items()]
     users = events.groupBy(F.to_date(at).alias("day"), user).agg(*marks)
     both = F.sum(reduce(lambda a, b: a * b, (F.col(n) for n in kinds))).alias("all_kinds")
@@ -258,19 +385,27 @@ def daily_activity(events: DataFrame, days: DataFrame, user: str, at: str, kinds
 
 @query(
     "b37_daily_activity",
-    """SELECT strftime(d, '%Y-%m-%d') AS day, coalesce(v, 0) AS viewers, coalesce(b, 0) AS buyers, coalesce(both_n, 0) AS both_n FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS d) LEFT JOIN
-    (SELECT CAST(ts AS DATE) AS e, count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS v, count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS b FROM events GROUP BY 1) ON e = d LEFT JOIN
-    (SELECT e2, count(*) AS both_n FROM (SELECT CAST(ts AS DATE) AS e2, user_id FROM events WHERE event_type IN ('view', 'purchase') GROUP BY ALL HAVING count(DISTINCT event_type) = 2) GROUP BY 1) ON e2 = d""",
+    """SELECT strftime(d, '%Y-%m-%d') AS day, coalesce(v, 0) AS viewers, coalesce(b, 0) AS buyers, coalesce(both_n, 0)
+    AS both_n FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE)
+    AS d) LEFT JOIN
+    (SELECT CAST(ts AS DATE) AS e, count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS v, count(DISTINCT
+    CASE WHEN event_type = 'purchase' THEN user_id END) AS b FROM events GROUP BY 1) ON e = d LEFT JOIN
+    (SELECT e2, count(*) AS both_n FROM (SELECT CAST(ts AS DATE) AS e2, user_id FROM events WHERE event_type IN ('view',
+    'purchase') GROUP BY ALL HAVING count(DISTINCT event_type) = 2) GROUP BY 1) ON e2 = d""",
 )
 def b37_daily_activity(spark, sf_dir):
     """A spine of days with presence of two kinds."""
     kinds = {"viewers": F.col("event_type") == "view", "buyers": F.col("event_type") == "purchase"}
-    rows = daily_activity(t(spark, sf_dir, "events"), calendar(spark, "2024-01-01", "2024-01-31"), "user_id", "ts", kinds)
+    rows = daily_activity(
+        t(spark, sf_dir, "events"), calendar(spark, "2024-01-01", "2024-01-31"), "user_id", "ts", kinds
+    )
     return rows.select(day_text("day").alias("day"), "viewers", "buyers", F.col("all_kinds").alias("both_n"))
 
 
 def _range(rule: str, as_of: Column) -> tuple[Column, Column]:
-    """Both ends of a rule's text range: each a date or a number of days before `as_of`; a missing end is `as_of`, a missing start null."""
+    """Both ends of a rule's text range: each a date or a number of days before `as_of`; a missing end is `as_of`, a
+    missing start null.
+    """
 
     def end(i: int, default: Column) -> Column:
         said = F.replace(F.get(F.split(F.col(rule), ","), F.lit(i)), F.lit('"'), F.lit(""))
@@ -281,25 +416,38 @@ def _range(rule: str, as_of: Column) -> tuple[Column, Column]:
 
 
 def _meets(rule: str, value: Column) -> Column:
-    """Whether a value meets a threshold text: `>n`, `<n`, `n` (a missing value counts as 0) or `><n,m`; no text is met by all."""
+    """Whether a value meets a threshold text: `>n`, `<n`, `n` (a missing value counts as 0) or `><n,m`; no text is met
+    by all.
+    """
     numbers = F.split(F.regexp_replace(rule, "[^0-9,]+", ""), ",")
     low, high = (C.safe_cast(F.get(numbers, F.lit(i)), "double") for i in (0, 1))
     operator = F.regexp_replace(rule, "[^><=]", "")
-    met = F.when(operator == ">", value > low).when(operator == "<", value < low).when(operator == "><", (value > low) & (value < high)).when(operator.isin("", "="), F.coalesce(value, F.lit(0)) == low)
+    met = (
+        F.when(operator == ">", value > low)
+        .when(operator == "<", value < low)
+        .when(operator == "><", (value > low) & (value < high))
+        .when(operator.isin("", "="), F.coalesce(value, F.lit(0)) == low)
+    )
     return F.col(rule).isNull() | F.coalesce(met, F.lit(False))
 
 
 def _listed(rule: str, value: str) -> Column:
-    return F.col(rule).isNull() | F.array_contains(F.transform(F.split(F.col(rule), ","), lambda x: F.trim(x)), F.col(value).cast("string"))
+    return F.col(rule).isNull() | F.array_contains(
+        F.transform(F.split(F.col(rule), ","), lambda x: F.trim(x)), F.col(value).cast("string")
+    )
 
 
-def dynamic_segment(rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P", max_rules: int = 1000) -> DataFrame:
+def dynamic_segment(
+    rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P",
+    max_rules: int = 1000
+) -> DataFrame:
     """(segment_id, c_custkey) of the customers that meet each rule row; every part of a rule may be null.
 
-    segments: comma list of market segments; time_range with count_order and sum_gmv: thresholds on the orders in it; operator with range1,
-    products1, range2, products2: NEW (nothing bought of the first), CHURN and EXCEPT (bought of the first, nothing of the second).
-    Rules are a small stated set: over `max_rules` of them raise ValueError, so that what is sent to all rows is bounded. Each order meets the rules
-    whose range it is in; a rule that lists products meets the sold items of these by an equal join, and rules without an operator meet none.
+    segments: comma list of market segments; time_range with count_order and sum_gmv: thresholds on the orders in it;
+    operator with range1, products1, range2, products2: NEW (nothing bought of the first), CHURN and EXCEPT (bought of
+    the first, nothing of the second). Rules are a small stated set: over `max_rules` of them raise ValueError, so that
+    what is sent to all rows is bounded. Each order meets the rules whose range it is in; a rule that lists products
+    meets the sold items of these by an equal join, and rules without an operator meet none.
     """
     now = F.lit(as_of).cast("date")
     if (n := rules.count()) > max_rules:
@@ -309,45 +457,91 @@ def dynamic_segment(rules: DataFrame, customers: DataFrame, orders: DataFrame, i
         start, end = _range(name, now)
         parsed = parsed.withColumns({f"{name}_from": start, f"{name}_to": end})
     small = F.broadcast(parsed)
-    within = lambda name: F.col(f"{name}_from").isNull() | F.col("day").between(F.col(f"{name}_from"), F.col(f"{name}_to"))
-    live = orders.where(F.col("o_orderstatus") != cancelled).select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.to_date("o_orderdate").alias("day"))
-    sums = live.join(small, within("time_range")).groupBy("segment_id", "c_custkey").agg(F.count_distinct("o_orderkey").alias("n"), F.sum("o_totalprice").alias("gmv"))
+    within = lambda name: F.col(f"{name}_from").isNull() | F.col("day").between(
+        F.col(f"{name}_from"), F.col(f"{name}_to")
+    )
+    live = orders.where(F.col("o_orderstatus") != cancelled).select(
+        "o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.to_date("o_orderdate").alias("day")
+    )
+    sums = (
+        live
+        .join(small, within("time_range"))
+        .groupBy("segment_id", "c_custkey")
+        .agg(F.count_distinct("o_orderkey").alias("n"), F.sum("o_totalprice").alias("gmv"))
+    )
     sold = live.join(items.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey"), "o_orderkey")
 
     def bought(i: int) -> DataFrame:
         used = parsed.where(F.col("operator").isin(*(("NEW", "CHURN", "EXCEPT") if i == 1 else ("CHURN", "EXCEPT"))))
         listed = used.where(F.col(f"products{i}").isNotNull())
-        product = F.explode(F.array_distinct(F.transform(F.split(f"products{i}", ","), lambda x: C.safe_cast(F.trim(x), "long"))))
-        listed = sold.join(listed.withColumn("l_partkey", product), "l_partkey").where(within(f"range{i}")).select("segment_id", "c_custkey")
-        any_product = sold.join(F.broadcast(used.where(F.col(f"products{i}").isNull())), within(f"range{i}")).select("segment_id", "c_custkey")
+        product = F.explode(
+            F.array_distinct(F.transform(F.split(f"products{i}", ","), lambda x: C.safe_cast(F.trim(x), "long")))
+        )
+        listed = (
+            sold
+            .join(listed.withColumn("l_partkey", product), "l_partkey")
+            .where(within(f"range{i}"))
+            .select("segment_id", "c_custkey")
+        )
+        any_product = sold.join(
+            F.broadcast(used.where(F.col(f"products{i}").isNull())), within(f"range{i}")
+        ).select("segment_id", "c_custkey")
         return listed.unionByName(any_product).distinct().withColumn(f"bought{i}", F.lit(True))
 
     keys = ["segment_id", "c_custkey"]
-    rows = customers.join(small, _listed("segments", "c_mktsegment")).join(sums, keys, "left").join(bought(1), keys, "left").join(bought(2), keys, "left")
+    rows = (
+        customers
+        .join(small, _listed("segments", "c_mktsegment"))
+        .join(sums, keys, "left")
+        .join(bought(1), keys, "left")
+        .join(bought(2), keys, "left")
+    )
     one, two = F.col("bought1").isNotNull(), F.col("bought2").isNotNull()
     kind = F.col("operator")
-    met = F.when(kind.isNull(), True).when(kind == "NEW", ~one).when(kind.isin("CHURN", "EXCEPT"), one & ~two).otherwise(F.raise_error(F.concat(F.lit("no operator "), kind)))
-    return rows.where(_meets("count_order", F.col("n").cast("double")) & _meets("sum_gmv", F.col("gmv")) & met).select(*keys)
-
-
-_SEGMENT = """live AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus <> 'P'), sold AS (SELECT o_custkey, d, l_partkey FROM live JOIN lineitem ON l_orderkey = o_orderkey), seg AS (
-    SELECT 1 AS segment_id, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE '2000-08-01' AND DATE '2001-08-01' GROUP BY 1 HAVING count(*) > 2) AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE '2001-07-02' AND DATE '2001-08-01')
-    UNION ALL SELECT 2, c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE '1999-01-01' AND DATE '2000-12-31' GROUP BY 1 HAVING sum(o_totalprice) > 500000 AND sum(o_totalprice) < 1500000)
-    UNION ALL SELECT 3, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE '1999-08-02' AND DATE '2000-07-31') AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE '2000-08-01' AND DATE '2001-08-01')
-    UNION ALL SELECT 4, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE '2001-05-03' AND DATE '2001-08-01')
-    UNION ALL SELECT 5, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM sold WHERE l_partkey IN (10, 20, 30, 40, 50)) AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE l_partkey IN (11, 21)))"""
+    met = (
+        F.when(kind.isNull(), True)
+        .when(kind == "NEW", ~one)
+        .when(kind.isin("CHURN", "EXCEPT"), one & ~two)
+        .otherwise(F.raise_error(F.concat(F.lit("no operator "), kind)))
+    )
+    return rows.where(
+        _meets("count_order", F.col("n").cast("double")) & _meets("sum_gmv", F.col("gmv")) & met
+    ).select(*keys)
+
+
+_SEGMENT = """live AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus <> 'P'), sold AS (SELECT
+o_custkey, d, l_partkey FROM live JOIN lineitem ON l_orderkey = o_orderkey), seg AS (
+    SELECT 1 AS segment_id, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE
+    '2000-08-01' AND DATE '2001-08-01' GROUP BY 1 HAVING count(*) > 2) AND c_custkey NOT IN (SELECT o_custkey FROM sold
+    WHERE d BETWEEN DATE '2001-07-02' AND DATE '2001-08-01')
+    UNION ALL SELECT 2, c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey IN (SELECT
+    o_custkey FROM live WHERE d BETWEEN DATE '1999-01-01' AND DATE '2000-12-31' GROUP BY 1 HAVING sum(o_totalprice) >
+    500000 AND sum(o_totalprice) < 1500000)
+    UNION ALL SELECT 3, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE
+    '1999-08-02' AND DATE '2000-07-31') AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE d BETWEEN DATE
+    '2000-08-01' AND DATE '2001-08-01')
+    UNION ALL SELECT 4, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM live WHERE d BETWEEN DATE
+    '2001-05-03' AND DATE '2001-08-01')
+    UNION ALL SELECT 5, c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM sold WHERE l_partkey IN (10,
+    20, 30, 40, 50)) AND c_custkey NOT IN (SELECT o_custkey FROM sold WHERE l_partkey IN (11, 21)))"""
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = "segment_id segments time_range count_order sum_gmv operator range1 products1 range2 products2".split()
     rules = [
         {"segment_id": 1, "time_range": "365", "count_order": ">2", "operator": "NEW", "range1": "30"},
-        {"segment_id": 2, "segments": "BUILDING, MACHINERY", "time_range": '"1999-01-01","2000-12-31"', "sum_gmv": "><500000,1500000"},
+        {
+            "segment_id": 2, "segments": "BUILDING, MACHINERY", "time_range": '"1999-01-01","2000-12-31"',
+            "sum_gmv": "><500000,1500000"
+        },
         {"segment_id": 3, "operator": "CHURN", "range1": "730,366", "range2": "365"},
         {"segment_id": 4, "time_range": "90,0", "count_order": "0"},
         {"segment_id": 5, "operator": "EXCEPT", "products1": "10, 20, 30, 40, 50", "products2": "11,21"},
     ]
-    frame = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rules], ", ".join(f"{n} {'int' if n == 'segment_id' else 'string'}" for n in names))
+    frame = spark.createDataFrame(
+        [tuple(r.get(n) for n in names) for r in rules],
+        ", ".join(f"{n} {'int' if n == 'segment_id' else 'string'}" for n in names)
+    )
     return dynamic_segment(frame, *(t(spark, sf_dir, n) for n in ("customer", "orders", "lineitem")), "2001-08-01")
 
 
@@ -366,19 +560,28 @@ def segment_quota(runs: DataFrame, segment: str, run_at: str, member: str, quota
 
 @query(
     "b49_segment_quota",
-    """WITH run AS (SELECT c_mktsegment AS segment, year(o_orderdate) AS run_year, o_custkey FROM orders JOIN customer ON c_custkey = o_custkey),
+    """WITH run AS (SELECT c_mktsegment AS segment, year(o_orderdate) AS run_year, o_custkey FROM orders JOIN customer
+    ON c_custkey = o_custkey),
     newest AS (SELECT segment, max(run_year) AS run_year FROM run GROUP BY 1)
-    SELECT segment, run_year, count(DISTINCT o_custkey) AS n, count(DISTINCT o_custkey) <= 200 AS allowed FROM run JOIN newest USING (segment, run_year) GROUP BY ALL""",
+    SELECT segment, run_year, count(DISTINCT o_custkey) AS n, count(DISTINCT o_custkey) <= 200 AS allowed FROM run JOIN
+    newest USING (segment, run_year) GROUP BY ALL""",
 )
 def b49_segment_quota(spark, sf_dir):
     """The newest run of each segment, gated by its size; a year's buyers of a market segment are a run."""
-    people = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
-    runs = t(spark, sf_dir, "orders").join(people, "o_custkey").withColumn("run_year", F.year("o_orderdate").cast("long"))
+    people = t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment")
+    )
+    runs = t(spark, sf_dir, "orders").join(people, "o_custkey").withColumn(
+        "run_year", F.year("o_orderdate").cast("long")
+    )
     return segment_quota(runs, "segment", "run_year", "o_custkey", 200)
 
 
-def filter_active_segment(customers: DataFrame, orders: DataFrame, lists: dict[str, str], kind: str, since: Column, until: Column) -> DataFrame:
-    """Customers whose columns are in comma lists, less those with an order in the range for kind NEW; other kinds fail."""
+def filter_active_segment(
+    customers: DataFrame, orders: DataFrame, lists: dict[str, str], kind: str, since: Column, until: Column
+) -> DataFrame:
+    """Customers whose columns are in comma lists, less those with an order in the range for kind NEW; other kinds fail.
+    """
     if kind not in ("NEW", "ALL"):
         raise ValueError(f"no segment kind {kind!r}")
     for column, said in lists.items():
@@ -387,37 +590,62 @@ def filter_active_segment(customers: DataFrame, orders: DataFrame, lists: dict[s
     return customers.join(bought, "c_custkey", "left_anti") if kind == "NEW" else customers
 
 
-@query("p13_active_segment", "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '2001-05-01' AND TIMESTAMP '2001-08-01')")
+@query(
+    "p13_active_segment",
+    "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_custkey NOT IN (SELECT "
+    "o_custkey FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '2001-05-01' AND TIMESTAMP '2001-08-01')"
+)
 def p13_active_segment(spark, sf_dir):
     """Comma lists and a relative range."""
     import datetime as dt
 
     start, end = C.relative_range("l3m", dt.date(2001, 8, 1))
     stamp = lambda d: F.lit(d.isoformat()).cast("timestamp")
-    return filter_active_segment(t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders"), {"c_mktsegment": "BUILDING, MACHINERY"}, "NEW", stamp(start), stamp(end)).select("c_custkey")
+    return filter_active_segment(
+        t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders"), {"c_mktsegment": "BUILDING, MACHINERY"}, "NEW",
+        stamp(start), stamp(end)
+    ).select("c_custkey")
 
 
-@query("b54_case_variants", "SELECT lower(code) AS folded, count(DISTINCT code) AS variants FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE upper(p_brand) END AS code FROM part) GROUP BY 1 HAVING count(DISTINCT code) > 1")
+@query(
+    "b54_case_variants",
+    "SELECT lower(code) AS folded, count(DISTINCT code) AS variants FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN "
+    "p_brand ELSE upper(p_brand) END AS code FROM part) GROUP BY 1 HAVING count(DISTINCT code) > 1"
+)
 def b54_case_variants(spark, sf_dir):
     """Codes that differ only in letter case."""
     code = F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).otherwise(F.upper("p_brand"))
-    return t(spark, sf_dir, "part").select(code.alias("code")).groupBy(F.lower("code").alias("folded")).agg(F.count_distinct("code").alias("variants")).where("variants > 1")
+    return (
+        t(spark, sf_dir, "part")
+        .select(code.alias("code"))
+        .groupBy(F.lower("code").alias("folded"))
+        .agg(F.count_distinct("code").alias("variants"))
+        .where("variants > 1")
+    )
 
 
 def shortlist(rows: DataFrame, who: str, product: str, at_least: int) -> DataFrame:
     """Who took at least so many different products of the rows, with the sorted list of them."""
     kinds = rows.groupBy(who).agg(F.sort_array(F.collect_set(product)).alias("_kinds"))
-    return kinds.select(who, F.size("_kinds").cast("long").alias("n"), F.array_join("_kinds", ",").alias("kinds")).where(F.col("n") >= at_least)
+    return kinds.select(
+        who, F.size("_kinds").cast("long").alias("n"), F.array_join("_kinds", ",").alias("kinds")
+    ).where(F.col("n") >= at_least)
 
 
 @query(
     "b55_shortlist",
-    """SELECT o_custkey, count(DISTINCT p_type) AS n, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS kinds FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey AND p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') GROUP BY 1 HAVING count(DISTINCT p_type) >= 3""",
+    """SELECT o_custkey, count(DISTINCT p_type) AS n, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS kinds FROM
+    orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey AND p_brand IN ('Brand#1',
+    'Brand#2', 'Brand#3') GROUP BY 1 HAVING count(DISTINCT p_type) >= 3""",
 )
 def b55_shortlist(spark, sf_dir):
     """Customers with at least k of a product list."""
-    parts = t(spark, sf_dir, "part").where(F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3")).select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    rows = t(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(t(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    parts = t(spark, sf_dir, "part").where(
+        F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3")
+    ).select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    rows = t(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(
+        t(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey")
+    )
     return shortlist(rows, "o_custkey", "p_type", 3)
 
 
@@ -426,13 +654,22 @@ def followup(events: DataFrame, user: str, at: str, tie: str, name: str, first:
     w = W.partitionBy(user).orderBy(at, tie)
     rows = events.withColumns({"nxt": F.lead(name).over(w), "_next_at": F.lead(at).over(w)})
     rows = rows.where((F.col(name) == first) & F.col("nxt").isNotNull())
-    return rows.withColumn("seconds", F.floor((F.unix_micros("_next_at") - F.unix_micros(at)) / 1000000)).drop("_next_at")
+    return rows.withColumn(
+        "seconds", F.floor((F.unix_micros("_next_at") - F.unix_micros(at)) / 1000000)
+    ).drop("_next_at")
 
 
-@query("b57_search_followup", "SELECT event_id, nxt, CAST(floor(epoch(t2) - epoch(ts)) AS BIGINT) AS seconds FROM (SELECT *, lead(event_type) OVER w AS nxt, lead(ts) OVER w AS t2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE event_type = 'view' AND nxt IS NOT NULL")
+@query(
+    "b57_search_followup",
+    "SELECT event_id, nxt, CAST(floor(epoch(t2) - epoch(ts)) AS BIGINT) AS seconds FROM (SELECT *, lead(event_type) "
+    "OVER w AS nxt, lead(ts) OVER w AS t2 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) "
+    "WHERE event_type = 'view' AND nxt IS NOT NULL"
+)
 def b57_search_followup(spark, sf_dir):
     """What follows each view, and when."""
-    return followup(t(spark, sf_dir, "events"), "user_id", "ts", "event_id", "event_type", "view").select("event_id", "nxt", "seconds")
+    return followup(
+        t(spark, sf_dir, "events"), "user_id", "ts", "event_id", "event_type", "view"
+    ).select("event_id", "nxt", "seconds")
 
 
 def channel_first_last(orders: DataFrame, who: str, at: str, online: Column) -> DataFrame:
@@ -446,8 +683,10 @@ def channel_first_last(orders: DataFrame, who: str, at: str, online: Column) ->
 
 @query(
     "b58_channel_first_last",
-    """SELECT o_custkey, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS online, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS offline, strftime(min(o_orderdate) FILTER (WHERE o_orderkey % 3 = 0), '%Y-%m-%d') AS first_online,
-    strftime(max(o_orderdate) FILTER (WHERE o_orderkey % 3 <> 0), '%Y-%m-%d') AS last_offline FROM orders GROUP BY o_custkey""",
+    """SELECT o_custkey, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS online, count(*) FILTER (WHERE o_orderkey % 3 <>
+    0) AS offline, strftime(min(o_orderdate) FILTER (WHERE o_orderkey % 3 = 0), '%Y-%m-%d') AS first_online,
+    strftime(max(o_orderdate) FILTER (WHERE o_orderkey % 3 <> 0), '%Y-%m-%d') AS last_offline FROM orders GROUP BY
+    o_custkey""",
 )
 def b58_channel_first_last(spark, sf_dir):
     rows = channel_first_last(t(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", F.col("o_orderkey") % 3 == 0)

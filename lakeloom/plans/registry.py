@@ -31,14 +31,18 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: A change log from the events table, as `events` has no deletes of its own: by day, so that an entity has ties.
 LOG = """log AS (
-    SELECT event_id AS key, user_id AS mg_id, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'i' ELSE 'u' END AS action,
+    SELECT event_id AS key, user_id AS mg_id, CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'i' ELSE 'u' END
+    AS action,
            CAST(ts AS DATE) AS synced_at, ts AS ingest_time, value, props FROM events
 )"""
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     action = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "i").otherwise("u")
-    return t(spark, sf_dir, "events").select(F.col("event_id").alias("key"), F.col("user_id").alias("mg_id"), action.alias("action"), F.to_date("ts").cast("timestamp").alias("synced_at"), F.col("ts").alias("ingest_time"), "value", "props")
+    return t(spark, sf_dir, "events").select(
+        F.col("event_id").alias("key"), F.col("user_id").alias("mg_id"), action.alias("action"),
+        F.to_date("ts").cast("timestamp").alias("synced_at"), F.col("ts").alias("ingest_time"), "value", "props"
+    )
 
 
 def day(ts: str) -> str:

@@ -12,7 +12,9 @@ from pyspark.sql.types import StructType
 from lakeloom.operators.cdc import latest_by_key
 
 
-def read_log_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
+def read_log_stream(
+    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None
+) -> DataFrame:
     """An append-only change log as a stream of its new files."""
     reader = spark.readStream.schema(schema)
     reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
@@ -22,21 +24,35 @@ def read_log_stream(spark: SparkSession, path: str, schema: StructType, files_pe
 def stream_current_state(log: DataFrame, state_path: str, checkpoint: str) -> StreamingQuery:
     """Keeps the current state of a change log up to date, a batch at a time.
 
-    The state is written as numbered versions, each the winners of the last version and the batch, so that a batch that runs again gives the same
-    version and readers never see a half-written one. The version before the last stays for readers that still read it; older ones are deleted, so that
-    disk is bounded by three states. State rows keep their deletes; late, older changes lose
-    against the row that is there, however late they come, since nothing is dropped by a watermark.
+    The state is written as numbered versions, each the winners of the last version and the batch, so that a batch that
+    runs again gives the same version and readers never see a half-written one. The version before the last stays for
+    readers that still read it; older ones are deleted, so that disk is bounded by three states. State rows keep their
+    deletes; late, older changes lose against the row that is there, however late they come, since nothing is dropped by
+    a watermark.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch if number == 0 else spark.read.schema(batch.schema).parquet(f"{state_path}/version={number - 1}").unionByName(batch)
-        latest_by_key(rows, drop_deleted=False).select(*batch.columns).write.mode("overwrite").parquet(f"{state_path}/version={number}")
+        rows = (
+            batch if number == 0 else spark.read
+            .schema(batch.schema)
+            .parquet(f"{state_path}/version={number - 1}")
+            .unionByName(batch)
+        )
+        latest_by_key(rows, drop_deleted=False).select(*batch.columns).write.mode("overwrite").parquet(
+            f"{state_path}/version={number}"
+        )
         if number > 1:
             old = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/version={number - 2}")
             old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
-    return log.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return (
+        log.writeStream
+        .foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def read_state(spark: SparkSession, state_path: str, version: int, schema: StructType) -> DataFrame:
@@ -48,7 +64,9 @@ def dedup_message_stream(raw: DataFrame, at: str = "publish_time", delay: str =
     return raw.withWatermark(at, delay).dropDuplicatesWithinWatermark(["message_id"])
 
 
-def windowed_counts(events: DataFrame, at: str, keys: list[str], size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
+def windowed_counts(
+    events: DataFrame, at: str, keys: list[str], size: str = "1 hour", delay: str = "0 seconds"
+) -> DataFrame:
     """Rows by tumbling window and keys; batch and stream alike."""
     events = events.withWatermark(at, delay) if events.isStreaming else events
     counts = events.groupBy(F.window(at, size).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
@@ -57,4 +75,6 @@ def windowed_counts(events: DataFrame, at: str, keys: list[str], size: str = "1
 
 def run_to_end(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Runs a stream over all that is there now."""
-    df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    df.writeStream.foreachBatch(each).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start().awaitTermination()
