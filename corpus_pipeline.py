@@ -17,14 +17,22 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line CRF scores at 0.3 or more stay."""
+    """Documents that the line CRF scores at 0.3 or more stay.
+
+    A null or empty text is one empty line and scored like any other; repeated rows stay or go together, null ids are kept
+    out of the training only, and extra columns, also those of clashing names, are left out. An empty table stays empty.
+    """
     docs = docs.select(*COLUMNS)
     model = train(docs, table(spark, sf_dir, "labels"))
     return score_quality(docs, model, "quality_score").where("quality_score >= 0.3").select(*COLUMNS)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go; every document stays, with the length of its new text."""
+    """Lines found in ten documents or more go; every document stays, with the length of its new text.
+
+    A null text is one empty line, so it comes out empty. Each row counts as a document, whatever its id; extra columns are
+    left out.
+    """
     out = line_dedup(docs, min_docs=10, min_chars=1, keep=("lang", "source"))
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
@@ -50,7 +58,11 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with at least one word in twenty inside a benchmark phrase go."""
+    """Documents with at least one word in twenty inside a benchmark phrase go.
+
+    Rows are judged by id and text, so those of one id with different texts on their own; null texts have no words and
+    stay; extra columns are left out.
+    """
     docs = docs.select(*COLUMNS)
     key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
     found = decontaminate(
@@ -66,7 +78,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of 2048 tokens, in the proportions of their sources."""
+    """All documents as pieces of sequences of 2048 tokens, in the proportions of their sources.
+
+    A null or empty text has the end id alone; null ids and repeated rows are packed each; a null source is a source of its
+    own; extra columns are left out; an empty table gives no pieces.
+    """
     return pack(docs, vocabulary("word_bpe_49k.json"), end_id=1, window=2048, packet=128)
 
 
