@@ -111,6 +111,11 @@ def to_local(ts: Cols, zone: str) -> Column:
     return F.from_utc_timestamp(_c(ts), zone).cast("timestamp_ntz")
 
 
+def now_local(zone: str) -> Column:
+    """The zone-less local time of the statement's start; casts to a date or a time of day follow the local clock."""
+    return to_local(F.current_timestamp(), zone)
+
+
 def created_partition(ts: Cols, zone: str, unknown: str = "2099-01-01") -> Column:
     """The local creation date, or the sentinel for a null."""
     return F.coalesce(F.to_date(F.from_utc_timestamp(_c(ts), zone)), F.lit(unknown).cast("date"))

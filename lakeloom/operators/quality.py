@@ -15,6 +15,22 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def unique_assertion(df: DataFrame, key_sets: list[list[str]], at_most: int = 1) -> DataFrame:
+    """One row for each set of keys: the keys, how many of their values repeat, and the values that do, in an array of
+    at most `at_most`, least first.
+    """
+
+    def one(keys: list[str]) -> DataFrame:
+        value = F.concat_ws(",", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
+        failed = check_unique(df, keys).withColumn("value", value)
+        least = failed.orderBy("value").limit(at_most)  # a report of the first failures; the number counts all
+        n = failed.agg(F.count(F.lit(1)).alias("failures"))
+        examples = least.agg(F.sort_array(F.collect_list("value")).alias("examples"))
+        return n.crossJoin(examples).select(F.lit(",".join(keys)).alias("keys"), "failures", "examples")  # one row each
+
+    return reduce(DataFrame.unionByName, map(one, key_sets))
+
+
 def check_not_null(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     """One row for each null in the named columns, with the reason."""
     reasons = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in columns)))

@@ -182,6 +182,31 @@ def d10_dates_as_text(spark, sf_dir):
     return t(spark, sf_dir, "orders").select("o_orderkey", day_text(C.normalise_date(said)).alias("day"))
 
 
+@query(
+    "d14_now",
+    "SELECT o_orderkey, 7 AS ahead, o_orderdate <= TIMESTAMP '2020-01-01' AS past FROM orders",
+)
+def d14_now(spark, sf_dir):
+    """The local clocks of two places against each other, and order dates against now."""
+    here, there = C.now_local("Asia/Ho_Chi_Minh"), C.now_local("UTC")
+    ahead = (F.unix_seconds(here.cast("timestamp")) - F.unix_seconds(there.cast("timestamp"))) / 3600
+    return t(spark, sf_dir, "orders").select(
+        "o_orderkey", ahead.cast("int").alias("ahead"), (F.col("o_orderdate") <= there).alias("past")
+    )
+
+
+@query(
+    "f19_error",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity AS checked FROM lineitem"
+)
+def f19_error(spark, sf_dir):
+    """an expression that would fail the query on a negative quantity."""
+    checked = C.fail_if(F.col("l_quantity") < 0, "negative quantity", F.col("l_quantity"))
+    return t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", checked.alias("checked")
+    )
+
+
 @query(
     "d_parsing",
     """SELECT o_orderkey, strftime(try_strptime(s, '%d%m%Y'), '%Y-%m-%d') AS d8, strftime(try_strptime(m, '%d%m%Y'),

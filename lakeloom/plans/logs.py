@@ -149,7 +149,8 @@ def s14_typed_projection(spark, sf_dir):
 @query(
     "s15_pg_arrays",
     """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 3 ELSE 1 END AS n, CASE p_partkey
-    % 4 WHEN 2 THEN p_brand WHEN 3 THEN p_type END AS first, CASE p_partkey % 4 WHEN 2 THEN p_type END AS last FROM part""",
+    % 4 WHEN 2 THEN p_brand WHEN 3 THEN p_type END AS first, CASE p_partkey % 4 WHEN 2 THEN p_type END AS last FROM
+    part""",
 )
 def s15_pg_arrays(spark, sf_dir):
     """Array literals."""
@@ -419,6 +420,34 @@ def c9_keep_newest(spark, sf_dir):
     ).select("user_id", "event_id")
 
 
+@query(
+    "c8_mismatch_gate",
+    f"""WITH {LOG}, {_LATEST} SELECT CAST(a AS INTEGER) AS attempt, CASE WHEN a = 0 THEN round(100.0 * count(*) FILTER
+    (WHERE mg_id % 2 = 0) / count(*)) ELSE 0 END AS percent, a > 0 AS passed
+    FROM latest, (VALUES (0), (1)) v(a) WHERE action <> 'd' GROUP BY a""",
+)
+def c8_mismatch_gate(spark, sf_dir):
+    """A state that lacks every second entity is rebuilt once, and passes then."""
+    log = change_log(spark, sf_dir)
+    full = cdc.latest_by_key(log)
+    state = [full.where("mg_id % 2 <> 0")]
+    attempts = quality.mismatch_gate(lambda: quality.mismatch_report(log, state[-1]), lambda: state.append(full))
+    return spark.createDataFrame([tuple(a.values()) for a in attempts], "attempt int, percent double, passed boolean")
+
+
+@query(
+    "g2_unique_assertion",
+    """SELECT 'l_orderkey,l_linenumber' AS keys, count(*) AS failures, min(concat(l_orderkey, ',', l_linenumber)) AS
+    first FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)
+    UNION ALL SELECT 'l_orderkey', count(*), min(CAST(l_orderkey AS VARCHAR)) FROM (SELECT l_orderkey FROM lineitem
+    GROUP BY ALL HAVING count(*) > 1)""",
+)
+def g2_unique_assertion(spark, sf_dir):
+    """One assertion over several sets of keys."""
+    rows = quality.unique_assertion(t(spark, sf_dir, "lineitem"), [["l_orderkey", "l_linenumber"], ["l_orderkey"]])
+    return rows.select("keys", "failures", F.get("examples", F.lit(0)).alias("first"))
+
+
 @query(
     "c11_latency",
     """SELECT l_returnflag, round(avg(s), 3) AS avg, min(s) AS min, max(s) AS max, quantile_disc(s, 0.5) AS p50,

@@ -16,6 +16,9 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share, under spark.checkpoint.dir; a temporary one only where that is
     unset.
     """
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not conf and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="lakeloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
