@@ -256,12 +256,10 @@ def b45_care_followup(spark, sf_dir):
 
 @query(
     "b52_growth_territory",
-    """SELECT s_suppkey AS employee, n_nationkey AS ward, coalesce('nation ' || own, region) AS territory FROM (SELECT
-    s_suppkey, n_nationkey, CASE WHEN n_nationkey = s_nationkey THEN n_name END AS own, r_name AS region
-    FROM supplier JOIN nation s ON s.n_nationkey = s_nationkey JOIN region ON r_regionkey = s.n_regionkey JOIN (SELECT
-    n_nationkey, n_name, n_regionkey AS rk FROM nation) w ON w.rk = r_regionkey) q(s_suppkey, n_nationkey, own,
-    region)""".replace("SELECT s_suppkey, n_nationkey, CASE WHEN n_nationkey = s_nationkey THEN n_name END AS own",
-    "SELECT s_suppkey, w.n_nationkey, CASE WHEN w.n_nationkey = s_nationkey THEN w.n_name END AS own"),
+    """SELECT s_suppkey AS employee, w.n_nationkey AS ward,
+    coalesce(CASE WHEN w.n_nationkey = s_nationkey THEN 'nation ' || w.n_name END, r_name) AS territory
+    FROM supplier JOIN nation s ON s.n_nationkey = s_nationkey JOIN region ON r_regionkey = s.n_regionkey
+    JOIN nation w ON w.n_regionkey = r_regionkey""",
 )
 def b52_growth_territory(spark, sf_dir):
     """Employees to wards through nested territories in JSON."""
