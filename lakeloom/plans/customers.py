@@ -82,8 +82,16 @@ def b2_geo_hierarchy(spark, sf_dir):
     return geo_hierarchy(t(spark, sf_dir, "nation"), t(spark, sf_dir, "region"), F.col("n_nationkey") % 4 == 0)
 
 
-def customer_dim(customers: DataFrame, orders: DataFrame, nations: DataFrame, cancelled: str = "P") -> DataFrame:
-    """Profile, place, first and last order, counts, level label and flags, one row a customer."""
+def customer_dim(
+    customers: DataFrame, orders: DataFrame, nations: DataFrame, cancelled: str = "P", tags: DataFrame | None = None,
+    licences: DataFrame | None = None, as_of: Column | None = None,
+) -> DataFrame:
+    """Profile, place, first and last order, counts, level label and flags, one row a customer.
+
+    `tags` (c_custkey, tag) adds the sorted list of a customer's different tags; `licences` (c_custkey, kind, until)
+    adds a list of the kinds that are valid at `as_of` and a flag for one that has run out; customers without any have
+    empty lists.
+    """
     done = orders.where(F.col("o_orderstatus") != cancelled)
     facts = done.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("first_at"), F.max("o_orderdate").alias("last_at"),
@@ -94,11 +102,23 @@ def customer_dim(customers: DataFrame, orders: DataFrame, nations: DataFrame, ca
         [(F.col("gmv") >= 3e6, "gold"), (F.col("gmv") >= 1.5e6, "silver"), (F.col("gmv") > 0, "bronze")], "none"
     )
     out = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(facts, "c_custkey", "left")
+    listed = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
+    more = []
+    if tags is not None:
+        out = out.join(tags.groupBy("c_custkey").agg(listed("tag").alias("tags")), "c_custkey", "left")
+        more.append(F.coalesce("tags", F.lit("")).alias("tags"))
+    if licences is not None:
+        valid = F.col("until") >= as_of
+        held = licences.groupBy("c_custkey").agg(
+            listed(F.when(valid, F.col("kind"))).alias("licences"), F.max(~valid).alias("lapsed")
+        )
+        out = out.join(held, "c_custkey", "left")
+        more += [F.coalesce("licences", F.lit("")).alias("licences"), F.coalesce("lapsed", F.lit(False)).alias("lapsed")]
     return out.select(
         "c_custkey", F.initcap("c_mktsegment").alias("segment"), F.coalesce("n_name", F.lit("unknown")).alias("nation"),
         day_text("first_at").alias("first_day"), day_text("last_at").alias("last_day"), "last_order",
         F.coalesce("n_orders", F.lit(0)).alias("n_orders"), level.alias("level"),
-        (F.col("c_acctbal") < 0).alias("in_debt")
+        (F.col("c_acctbal") < 0).alias("in_debt"), *more,
     )
 
 
@@ -117,6 +137,25 @@ def b3_customer_dim(spark, sf_dir):
     return customer_dim(t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders"), t(spark, sf_dir, "nation"))
 
 
+@query(
+    "b3_customer_tags",
+    """SELECT c_custkey, coalesce(tags, '') AS tags, coalesce(licences, '') AS licences, coalesce(lapsed, false) AS lapsed
+    FROM customer LEFT JOIN (SELECT o_custkey AS k, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority)
+    AS tags, coalesce(string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus)
+    FILTER (WHERE o_orderdate >= TIMESTAMP '2000-01-01'), '') AS licences,
+    bool_or(o_orderdate < TIMESTAMP '2000-01-01') AS lapsed FROM orders GROUP BY 1) ON k = c_custkey""",
+)
+def b3_customer_tags(spark, sf_dir):
+    """Tags and licences of customers; priorities stand for tags, an order's status and date for a licence."""
+    orders = t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    tags = orders.select("c_custkey", F.col("o_orderpriority").alias("tag"))
+    licences = orders.select("c_custkey", F.col("o_orderstatus").alias("kind"), F.col("o_orderdate").alias("until"))
+    people, nations = t(spark, sf_dir, "customer"), t(spark, sf_dir, "nation")
+    as_of = F.lit("2000-01-01").cast("timestamp")
+    rows = customer_dim(people, t(spark, sf_dir, "orders"), nations, tags=tags, licences=licences, as_of=as_of)
+    return rows.select("c_custkey", "tags", "licences", "lapsed")
+
+
 def monthly_activity(facts: DataFrame, entity: str, at: str, spark: SparkSession, end: str) -> DataFrame:
     """Entity by month from its first one to `end`: whether it was active, and when it last was before.
 

@@ -264,6 +264,13 @@ def b13_strategic_measures(spark, sf_dir):
     )
 
 
+def target_vs_actual(targets: list[DataFrame], actual: DataFrame, keys: list[str]) -> DataFrame:
+    """Targets of several kinds, tables of (kind, keys, target), as one table, with what was reached, zero where nothing was."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), targets)
+    out = rows.join(actual.select("kind", *keys, "actual"), ["kind", *keys], "left")
+    return out.withColumn("actual", F.coalesce("actual", F.lit(0.0)))
+
+
 @query(
     "b14_target_vs_actual",
     """SELECT kind, n_name, round(target, 2) AS target, round(coalesce(actual, 0), 2) AS actual FROM (SELECT 'gmv' AS
@@ -289,15 +296,8 @@ def b14_target_vs_actual(spark, sf_dir):
         .agg(F.sum("o_totalprice").alias("gmv"), F.count(F.lit(1)).cast("double").alias("orders"))
     )
     actual = sold.unpivot(["n_nationkey"], ["gmv", "orders"], "kind", "actual")
-    return (
-        targets[0]
-        .unionByName(targets[1])
-        .join(actual, ["kind", "n_nationkey"], "left")
-        .select(
-            "kind", "n_name", F.round("target", 2).alias("target"),
-            F.round(F.coalesce("actual", F.lit(0.0)), 2).alias("actual")
-        )
-    )
+    rows = target_vs_actual(targets, actual, ["n_nationkey"])
+    return rows.select("kind", "n_name", F.round("target", 2).alias("target"), F.round("actual", 2).alias("actual"))
 
 
 def resolve_price(products: DataFrame, sources: dict[str, DataFrame], key: str, base: str) -> DataFrame:
