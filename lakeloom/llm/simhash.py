@@ -69,13 +69,18 @@ def set_fingerprint(text: bytes | None, words: int = 5, bits: int = 512) -> byte
     if not tokens:
         return bytes(bits // 8)
     h = np.unique(window_hashes(word_hashes(tokens), min(words, len(tokens))))
-    with np.errstate(over="ignore"):
-        z = h[:, None] + np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    packed = (z ^ (z >> np.uint64(31))).view(np.uint8)
-    ones = 2 * _ones(packed)
-    return np.packbits((ones > len(h)) | ((ones == len(h)) & np.unpackbits(packed[0]).astype(bool))).tobytes()
+    ones = np.zeros(bits, np.int64)
+    steps = np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(0, len(h), 1 << 16):  # so that a very long text takes no more memory
+        with np.errstate(over="ignore"):
+            z = h[k : k + (1 << 16), None] + steps
+            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        packed = (z ^ (z >> np.uint64(31))).view(np.uint8)
+        if k == 0:
+            least = np.unpackbits(packed[0]).astype(bool)
+        ones += 2 * _ones(packed)
+    return np.packbits((ones > len(h)) | ((ones == len(h)) & least)).tobytes()
 
 
 def radius(similarity: float, bits: int, deviations: float = 1.0) -> int:
