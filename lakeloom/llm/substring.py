@@ -13,7 +13,7 @@ from .common import has_columns, ship, text_hash
 
 #: Odd, so that a product with one loses no bit modulo 2**64; the second round has two hashes of its own.
 BASE, BASES = 0x9E3779B97F4A7C15, (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-BLOCK_WORDS, CACHE_WORDS, BUCKET_BYTES = 500_000, 300_000, 64 << 20
+BLOCK_WORDS, CACHE_WORDS, BUCKET_BYTES = 500_000, 100_000, 64 << 20
 PARTS = "bucket int, block long, kind int, a binary, b binary, c binary"
 _hashes: dict[bytes, int] = {}
 _wide: dict[bytes, bytes] = {}

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 #: Texts are encoded in steps of about so many bytes. A cache has two generations of so many pieces: a full one becomes
 #: the older
 #: one, from which pieces still in use return, so that a worker's memory is bounded. Longer pieces aren't cached.
-STEP_BYTES, CACHE_PIECES, PIECE_CHARS = 8 << 20, 250_000, 48
+STEP_BYTES, CACHE_PIECES, PIECE_CHARS = 8 << 20, 200_000, 48
 #: What Unicode takes for white space, as a class of RE2.
 _SPACE = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Splitting before a space is safe unless white space stands on both sides of it, or before it at the text's end.
