@@ -448,6 +448,31 @@ def g2_unique_assertion(spark, sf_dir):
     return rows.select("keys", "failures", F.get("examples", F.lit(0)).alias("first"))
 
 
+@query(
+    "c10_guarded_repair",
+    """SELECT 'repaired' AS kept_in, user_id, max(event_id) AS event_id, 1 AS n FROM events
+    WHERE (user_id, ts) IN (SELECT user_id, max(ts) FROM events GROUP BY user_id) GROUP BY user_id
+    UNION ALL SELECT 'snapshot', user_id, max(event_id), count(*) FROM events GROUP BY user_id""",
+)
+def c10_guarded_repair(spark, sf_dir):
+    """A table with repeated keys is saved as it is, then rewritten with the newest row of each key."""
+    root, state = io.scratch_folder(spark, "repair"), {"version": 0}
+    read = lambda: spark.read.parquet(f"{root}/{state['version']}")
+
+    def write(df: DataFrame) -> None:
+        df.write.parquet(f"{root}/{state['version'] + 1}")
+        state["version"] += 1
+
+    t(spark, sf_dir, "events").select("user_id", "event_id", "ts").write.parquet(f"{root}/0")
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    snapshot = lambda df: df.write.parquet(f"{root}/snapshot")
+    quality.guarded_snapshot_repair(read, write, snapshot, ["user_id"], order)
+    told = lambda df, name: df.groupBy(F.lit(name).alias("kept_in"), "user_id").agg(
+        F.max("event_id").alias("event_id"), F.count(F.lit(1)).alias("n")
+    )
+    return told(read(), "repaired").unionByName(told(spark.read.parquet(f"{root}/snapshot"), "snapshot"))
+
+
 @query(
     "c11_latency",
     """SELECT l_returnflag, round(avg(s), 3) AS avg, min(s) AS min, max(s) AS max, quantile_disc(s, 0.5) AS p50,
