@@ -16,6 +16,7 @@ from .line_dedup import line_dedup
 from .pack import pack
 from .quality import classify_quality
 from .records import tokenize_to_records
+from .resample import importance_resample
 from .simhash import simhash_groups
 from .substring import substring_dedup
 
@@ -82,6 +83,14 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), orders=(1, 1), buckets=10_000, min_words=20,
+        percent=10, seed=2024
+    )
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_binary_records": op10_binary_records,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": pipeline,
 }
 
@@ -220,4 +230,45 @@ ORACLE_SQL: dict[str, str] = {
                BY n) FILTER (WHERE own)) AS mask_sha256
         FROM placed GROUP BY conv_id, speaker
     """,
+    "op13_importance_resampling": r"""
+        WITH feature AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+        ), wanted AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+        ), crc_table AS (
+            SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c % 2 = 1 THEN
+                   xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS entry
+            FROM (SELECT unnest(generate_series(0, 255)) AS n)
+        ), coded AS (
+            SELECT word, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                   generate_series(1, strlen(word)), lambda i: CAST(16 * (instr('0123456789ABCDEF', hex(encode(word))[2 *
+                   i - 1]) - 1) + instr('0123456789ABCDEF', hex(encode(word))[2 * i]) - 1 AS BIGINT))),
+                   lambda c, b: xor(c >> 8, entry[xor(c, b) % 256 + 1]))) % 10000 AS bucket
+            FROM (SELECT word FROM feature UNION SELECT word FROM wanted), crc_table
+        ), held AS (
+            SELECT bucket, count(*) AS s FROM feature JOIN coded USING (word) GROUP BY bucket
+        ), sought AS (
+            SELECT bucket, count(*) AS t FROM wanted JOIN coded USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM feature) +
+                   10000.0::DOUBLE) / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM wanted) +
+                   10000.0::DOUBLE)))) AS BIGINT) AS gain
+            FROM (SELECT DISTINCT bucket FROM coded) LEFT JOIN held USING (bucket) LEFT JOIN sought USING (bucket)
+        ), weighed AS (
+            SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+            FROM feature JOIN coded USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) +
+                   CAST(floor(-1000 * ln(-ln((CAST(concat('0x', substr(sha256(concat('2024:', doc_id)), 1, 8)) AS BIGINT)
+                   + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+            FROM documents LEFT JOIN weighed USING (doc_id)
+        ), ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+            FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= able * 10 // 100 THEN place END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
 }
