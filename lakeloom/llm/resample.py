@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import has_columns, ship, text_hash
+from .common import has_columns, ship, text_hash, written
 from .pack import running_total
 
 #: Texts are cut into words in steps of about so many bytes (or one longer text).
@@ -99,7 +99,7 @@ def bucket_gains(
     ours = bucket_counts(docs, orders, buckets).withColumnRenamed("n", "s")
     theirs = bucket_counts(target, orders, buckets).withColumnRenamed("n", "t")
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    both = every.join(ours, "bucket", "left").join(theirs, "bucket", "left").na.fill(0, ["s", "t"])
+    both = written(every.join(ours, "bucket", "left").join(theirs, "bucket", "left").na.fill(0, ["s", "t"]), "buckets")
     sums = both.agg(F.sum("s").alias("s"), F.sum("t").alias("t")).first()
     ratio = ((F.col("t") + 1.0) * (sums["s"] + float(buckets))) / ((F.col("s") + 1.0) * (sums["t"] + float(buckets)))
     return both.select("bucket", F.floor(1000 * F.ln(ratio)).alias("gain"))
@@ -126,7 +126,8 @@ def importance_resample(
     one after the other. A null text has no words. Extra columns are left out; an empty target weighs all buckets by
     `docs` alone; an empty `docs` gives no rows.
 
-    Texts are read twice, for the counts and for the weights, and never shuffled. What the tasks of the second reading
+    Texts are read twice, for the counts and for the weights, and never shuffled; the weights, a narrow row a document,
+    are written before they are ranked. What the tasks of the second reading
     get is one number a bucket, so its size is bounded by `buckets`. Ranks are running totals over range partitions,
     so no partition holds more than its share, whatever the ties.
     """
@@ -155,7 +156,7 @@ def importance_resample(
                 at += len(n)
 
     rows = has_columns(docs, doc_id="long", text="string").select("doc_id", "text", text_hash(F.col("text")).alias("digest"))
-    rows = rows.mapInArrow(weigh, "doc_id long, digest long, n_words long, n long, weight long")
+    rows = written(rows.mapInArrow(weigh, "doc_id long, digest long, n_words long, n long, weight long"), "weights")
     score = F.col("weight") + gumbel(F.col("doc_id"), seed)
     rows = rows.withColumn("score", score).withColumns({
         "able": (F.col("n_words") >= min_words).cast("long"), "worst": -F.col("score"),
