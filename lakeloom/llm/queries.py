@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_decode, bpe_encode
 from .chat import rotate_perspectives
 from .common import table
 from .embedding import embedding_groups
@@ -83,6 +84,16 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    out = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return out.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = importance_resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), orders=(1, 1), buckets=10_000, min_words=20,
@@ -108,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_binary_records": op10_binary_records,
+    "op12_byte_bpe": op12_byte_bpe,
     "op13_importance_resampling": op13_importance_resampling,
     "pipeline": pipeline,
 }
