@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .align import align_tokenizers
 from .bpe import bpe_decode, bpe_encode
 from .chat import rotate_perspectives
 from .common import table
@@ -84,6 +85,14 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return align_tokenizers(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"),
+        keep={"groups_sha256": digest},
+    ).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -119,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_binary_records": op10_binary_records,
+    "op11_alignment": op11_alignment,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_importance_resampling": op13_importance_resampling,
     "pipeline": pipeline,
