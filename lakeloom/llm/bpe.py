@@ -32,6 +32,8 @@ PART_CHARS = 1 << 20
 CACHE, CACHED_CHARS, HALF_BYTES = 150_000, 48, 6
 #: What stands for a character when only its class matters.
 _LIKE = {"letter": "a", "number": "0", "space": "\t", "other": "§"}
+#: Rows whose ids leave a worker at once.
+ROWS = 256
 _NEVER = 1 << 62
 _workers: dict[int, Bpe] = {}
 
@@ -289,6 +291,13 @@ def unpack_ids(data: bytes) -> tuple[int, ...]:
     return struct.unpack(f"<{len(data) // 4}I", data)
 
 
+def _few(batches: Iterator) -> Iterator:
+    """The batches in slices of some hundred rows, so that a worker holds few texts and their ids at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def worker_bpe(shared) -> Bpe:
     """One encoder with its caches for each Python worker and set of ranks."""
     key = hash((shared.value[0], shared.value[1]))
@@ -327,7 +336,7 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str, part_chars: int = PART
         import pyarrow as pa
 
         bpe = worker_bpe(shared)
-        for batch in batches:
+        for batch in _few(batches):
             ids = [bpe.tree(text).ids() for text in batch.column("text").to_pylist()]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -397,7 +406,7 @@ def bpe_decode(encoded: DataFrame, ranks: str, pattern: str = "") -> DataFrame:
         import pyarrow as pa
 
         bpe = worker_bpe(shared)
-        for batch in batches:
+        for batch in _few(batches):
             ids = batch.column("ids").to_pylist()
             made = pa.array([None if x is None else bpe.decode(unpack_ids(x)) for x in ids], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "decoded"])
