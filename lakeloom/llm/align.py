@@ -21,7 +21,7 @@ from .tokens import _SPACE, _UNSAFE, load_spec
 
 #: Texts are aligned in steps of about so many bytes; a block closes at so many bytes or documents. A cache has two
 #: generations of so many units; longer units aren't cached.
-STEP_BYTES, BLOCK_BYTES, BLOCK_DOCS, CACHE, CACHED_CHARS = 4 << 20, 16 << 20, 1 << 16, 100_000, 48
+STEP_BYTES, BLOCK_BYTES, BLOCK_DOCS, CACHE, CACHED_CHARS = 2 << 20, 8 << 20, 1 << 16, 60_000, 48
 #: Bytes of a bitmap as bits, and how many documents make that the shorter form.
 DENSE_BYTES = BLOCK_DOCS // 8
 DENSE = DENSE_BYTES // 2
@@ -313,7 +313,7 @@ def pair_index(
                     b=code[some] % aligner.size_b, level=level[some], n=n[some], bitmap=bitmap[some],
                 )
 
-        for batch in batches:
+        for batch in (b.slice(k, 1_000) for b in batches for k in range(0, b.num_rows, 1_000)):
             texts, at = batch.column("text"), 0
             ends = np.cumsum([len(x.as_buffer()) for x in texts])
             while at < len(texts):
