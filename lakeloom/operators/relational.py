@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import range_join
+
 
 def classify(rules: list[tuple[Column, str]], otherwise: str | None = None) -> Column:
     """The label of the first rule that holds."""
@@ -64,33 +66,29 @@ def exact_or_any_join(
     return exact.select(*wide.columns).unionByName(wide)
 
 
+#: Intervals of one key from which on they are joined by blocks of days.
+DENSE_INTERVALS = 64
+
+
 def interval_join(
-    left: DataFrame, right: DataFrame, keys: list[str], at: str, start: str, end: str, how: str = "inner"
+    left: DataFrame, right: DataFrame, keys: list[str], at: str, start: str, end: str, how: str = "inner",
+    dense: int = DENSE_INTERVALS
 ) -> DataFrame:
-    """Rows of equal keys with `at` in [start, end]; a null end is open."""
+    """Rows of equal keys with `at` in [start, end]; a null end is open, a null start matches nothing.
+
+    Where a key has more than `dense` intervals, inner joins go by scans.range_join, whose rows meet only where they
+    match; else an equal join by key compares each row with its key's few intervals.
+    """
+    if how == "inner":
+        most = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        if most > dense:
+            return range_join(left, right, at, start, end, keys)
     r = right.select("*", *(F.col(k).alias(f"_r_{k}") for k in keys)).drop(*keys)
     on = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_r_{k}") for k in keys))
     inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
     return left.join(r, on & inside, how).drop(*(f"_r_{k}" for k in keys))
 
 
-def day_bucket_range_join(
-    left: DataFrame, right: DataFrame, at: str, start: str, end: str, days: int = 32
-) -> DataFrame:
-    """Pure range join of `at` in [start, end] without other keys: intervals are dealt to buckets of days, so the join
-    stays equal.
-    """
-    bucket = lambda c: F.floor(F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")) / days)
-    parts = right.withColumn("_b", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end)))))
-    return (
-        left
-        .withColumn("_b", bucket(F.col(at)))
-        .join(parts, "_b")
-        .where(F.col(at).between(F.col(start), F.col(end)))
-        .drop("_b")
-    )
-
-
 def latest_at_or_after(
     left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, order: list[Column]
 ) -> DataFrame:
@@ -107,17 +105,6 @@ def until_next(df: DataFrame, keys: list[str], at: str, end: str = "next_at", ti
     return df.withColumn(end, F.lead(at).over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def strictly_between_events(
-    events: DataFrame, notes: DataFrame, keys: list[str], at: str, note_at: str, tie: str
-) -> DataFrame:
-    """Notes strictly after an event and before the next one of the same keys."""
-    spans = until_next(events, keys, at, "_next", tie)
-    joined = spans.join(notes, keys)
-    return joined.where(
-        (F.col(note_at) > F.col(at)) & (F.col("_next").isNull() | (F.col(note_at) < F.col("_next")))
-    ).drop("_next")
-
-
 def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left rows whose key isn't among the right's known keys; rows without a key stay."""
     return left.join(right.where(F.col(key).isNotNull()).select(key), key, "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import scans as S
 
 from .registry import day_text, query, t
 
@@ -382,15 +383,23 @@ def b30_store_classification(spark, sf_dir):
 
 
 def user_journey(events: DataFrame, user: str, at: str, tie: str, name: str) -> DataFrame:
-    """Steps of each user with repeats collapsed: step number, event, path so far, next event.
+    """Steps of each user with repeats collapsed: step number, event, next event. A row has the same few bytes however
+    long the session is; journey_paths() tells the path up to a step.
+    """
+    order = [at, tie]
+    steps = S.changes(events, [user], order, name)
+    return S.segmented_scan(steps, [user], order, step=S.running_sum(F.lit(1)), next_event=S.row_after(name))
+
 
-    The path so far is the text of all steps up to this one, so a session should be bounded; group by session where
-    users never end.
+def journey_paths(steps: DataFrame, user: str, name: str, separator: str = ">") -> DataFrame:
+    """Each step with `path`: the text of all events of its session up to this one. A session's events are one array,
+    shared by its rows until the text is made, which is the square of a session in bytes: for sessions of bounded length.
     """
-    w = W.partitionBy(user).orderBy(at, tie)
-    steps = R.change_points(events, [user], [at, tie], name)
-    path = F.array_join(F.collect_list(name).over(w.rowsBetween(W.unboundedPreceding, 0)), ">")
-    return steps.withColumns({"step": F.row_number().over(w), "path": path, "next_event": F.lead(name).over(w)})
+    whole = steps.groupBy(user).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("step", name))), lambda x: x[name]).alias("_events")
+    )
+    text = F.array_join(F.slice("_events", F.lit(1), F.col("step").cast("int")), separator)
+    return steps.join(whole, user).withColumn("path", text).drop("_events")
 
 
 @query(
@@ -406,9 +415,8 @@ def b35_user_journey(spark, sf_dir):
     events = t(spark, sf_dir, "events").withColumn(
         "session", F.concat_ws("/", F.col("user_id").cast("string"), day_text("ts"))
     )
-    return user_journey(
-        events, "session", "ts", "event_id", "event_type"
-    ).select("event_id", "step", "path", "next_event")
+    steps = user_journey(events, "session", "ts", "event_id", "event_type")
+    return journey_paths(steps, "session", "event_type").select("event_id", "step", "path", "next_event")
 
 
 def daily_activity(events: DataFrame, days: DataFrame, user: str, at: str, kinds: dict[str, Column]) -> DataFrame:
@@ -476,65 +484,92 @@ def _listed(rule: str, value: str) -> Column:
     )
 
 
+def _range_totals(customers: DataFrame, ranges: DataFrame, live: DataFrame, items: DataFrame) -> DataFrame:
+    """(c_custkey, c_mktsegment, range_id, n, gmv, sold) of every customer and range: orders and their value in the range
+    (null where there are none) and items sold in it.
+
+    Each customer's days and the edges of all ranges lie in one frame; a total of a range is the difference of the
+    running totals at its two edges, so no order meets a range by comparison.
+    """
+    by_day = (
+        live.groupBy("c_custkey", "day")
+        .agg(F.count_distinct("o_orderkey").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(30,6)")).alias("gmv"))
+        .join(
+            live.join(items, "o_orderkey").groupBy("c_custkey", "day").agg(F.count(F.lit(1)).alias("sold")),
+            ["c_custkey", "day"], "left",
+        )
+    )
+    both = ranges.select(
+        "range_id",
+        # An open range has all days; the running total before the first is the edge of no day at all.
+        F.explode(F.array(
+            F.struct(F.lit(1).alias("sign"), F.when(F.col("from").isNull(), F.lit("9999-12-31").cast("date")).otherwise(F.col("to")).alias("day")),
+            F.struct(F.lit(-1).alias("sign"), F.coalesce(F.date_sub("from", 1), F.lit("0001-01-01").cast("date")).alias("day")),
+        )).alias("e"),
+    ).select("range_id", "e.sign", "e.day")
+    edges = both.agg(F.collect_list(F.struct("range_id", "sign", "day")).alias("edges")).scalar()
+    asked = customers.select("c_custkey", "c_mktsegment", F.explode(edges).alias("e")).select(
+        "c_custkey", "c_mktsegment", "e.range_id", "e.sign", "e.day"
+    )
+    rows = by_day.withColumn("asked", F.lit(0)).unionByName(asked.withColumn("asked", F.lit(1)), allowMissingColumns=True)
+    values = ("n", "gmv", "sold")
+    rows = S.segmented_scan(
+        rows, ["c_custkey"], ["day", "asked", "range_id", "sign"], **{f"to_{v}": S.running_sum(v) for v in values}
+    ).where("asked = 1")
+    sums = {v: F.sum(F.col("sign") * F.coalesce(F.col(f"to_{v}"), F.lit(0))) for v in values}
+    out = rows.groupBy("c_custkey", "c_mktsegment", "range_id").agg(*(c.alias(v) for v, c in sums.items()))
+    some = F.col("n") > 0
+    return out.withColumns({"gmv": F.when(some, F.col("gmv").cast("double")), "n": F.when(some, F.col("n"))})
+
+
 def dynamic_segment(
-    rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P",
-    max_rules: int = 1000
+    rules: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, cancelled: str = "P"
 ) -> DataFrame:
     """(segment_id, c_custkey) of the customers that meet each rule row; every part of a rule may be null.
 
     segments: comma list of market segments; time_range with count_order and sum_gmv: thresholds on the orders in it;
     operator with range1, products1, range2, products2: NEW (nothing bought of the first), CHURN and EXCEPT (bought of
-    the first, nothing of the second). Rules are a small stated set: over `max_rules` of them raise ValueError, so that
-    what is sent to all rows is bounded. Each order meets the rules whose range it is in; a rule that lists products
-    meets the sold items of these by an equal join, and rules without an operator meet none.
+    the first, nothing of the second). Any number of rules: each customer's totals are found once for each distinct
+    range, from running totals by day; rules meet them, and the sold items of the products that they list, by equal
+    joins. `customers` has a row a customer.
     """
-    now = F.lit(as_of).cast("date")
-    if (n := rules.count()) > max_rules:
-        raise ValueError(f"{n} rules, over {max_rules}")
+    now, names = F.lit(as_of).cast("date"), ("time_range", "range1", "range2")
     parsed = rules
-    for name in ("time_range", "range1", "range2"):
+    for name in names:
         start, end = _range(name, now)
-        parsed = parsed.withColumns({f"{name}_from": start, f"{name}_to": end})
-    small = F.broadcast(parsed)
-    within = lambda name: F.col(f"{name}_from").isNull() | F.col("day").between(
-        F.col(f"{name}_from"), F.col(f"{name}_to")
-    )
+        parsed = parsed.withColumns({f"{name}_from": start, f"{name}_to": end}).withColumn(
+            name + "_id", F.concat_ws("/", F.coalesce(F.col(f"{name}_from").cast("string"), F.lit("")), F.col(f"{name}_to").cast("string"))
+        )
+    ranges = reduce(DataFrame.unionByName, (
+        parsed.select(F.col(f"{n}_id").alias("range_id"), F.col(f"{n}_from").alias("from"), F.col(f"{n}_to").alias("to")) for n in names
+    )).distinct()
     live = orders.where(F.col("o_orderstatus") != cancelled).select(
         "o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.to_date("o_orderdate").alias("day")
     )
-    sums = (
-        live
-        .join(small, within("time_range"))
-        .groupBy("segment_id", "c_custkey")
-        .agg(F.count_distinct("o_orderkey").alias("n"), F.sum("o_totalprice").alias("gmv"))
-    )
-    sold = live.join(items.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey"), "o_orderkey")
+    items = items.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    totals = _range_totals(customers, ranges, live, items)
+    sold = live.join(items, "o_orderkey").select("c_custkey", "l_partkey", "day").distinct()
 
     def bought(i: int) -> DataFrame:
         used = parsed.where(F.col("operator").isin(*(("NEW", "CHURN", "EXCEPT") if i == 1 else ("CHURN", "EXCEPT"))))
-        listed = used.where(F.col(f"products{i}").isNotNull())
         product = F.explode(
             F.array_distinct(F.transform(F.split(f"products{i}", ","), lambda x: C.safe_cast(F.trim(x), "long")))
         )
-        listed = (
-            sold
-            .join(listed.withColumn("l_partkey", product), "l_partkey")
-            .where(within(f"range{i}"))
-            .select("segment_id", "c_custkey")
+        start = F.coalesce(f"range{i}_from", F.lit("0001-01-01").cast("date"))
+        end = F.when(F.col(f"range{i}_from").isNotNull(), F.col(f"range{i}_to"))  # no start: all days
+        listed = used.where(F.col(f"products{i}").isNotNull()).select(
+            "segment_id", product.alias("l_partkey"), start.alias("_from"), end.alias("_to")
         )
-        any_product = sold.join(
-            F.broadcast(used.where(F.col(f"products{i}").isNull())), within(f"range{i}")
-        ).select("segment_id", "c_custkey")
+        listed = S.range_join(sold, listed, "day", "_from", "_to", ["l_partkey"]).select("segment_id", "c_custkey")
+        open_lists = used.where(F.col(f"products{i}").isNull()).select("segment_id", F.col(f"range{i}_id").alias("range_id"))
+        any_product = totals.where("sold > 0").join(open_lists, "range_id").select("segment_id", "c_custkey")
         return listed.unionByName(any_product).distinct().withColumn(f"bought{i}", F.lit(True))
 
     keys = ["segment_id", "c_custkey"]
-    rows = (
-        customers
-        .join(small, _listed("segments", "c_mktsegment"))
-        .join(sums, keys, "left")
-        .join(bought(1), keys, "left")
-        .join(bought(2), keys, "left")
+    rows = totals.join(parsed.withColumn("range_id", F.col("time_range_id")), "range_id").where(
+        _listed("segments", "c_mktsegment") & _meets("count_order", F.col("n").cast("double")) & _meets("sum_gmv", F.col("gmv"))
     )
+    rows = rows.select(*keys, "operator").join(bought(1), keys, "left").join(bought(2), keys, "left")
     one, two = F.col("bought1").isNotNull(), F.col("bought2").isNotNull()
     kind = F.col("operator")
     met = (
@@ -543,9 +578,7 @@ def dynamic_segment(
         .when(kind.isin("CHURN", "EXCEPT"), one & ~two)
         .otherwise(F.raise_error(F.concat(F.lit("no operator "), kind)))
     )
-    return rows.where(
-        _meets("count_order", F.col("n").cast("double")) & _meets("sum_gmv", F.col("gmv")) & met
-    ).select(*keys)
+    return rows.where(met).select(*keys)
 
 
 _SEGMENT = """live AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus <> 'P'), sold AS (SELECT
@@ -690,12 +723,10 @@ def b55_shortlist(spark, sf_dir):
 
 def followup(events: DataFrame, user: str, at: str, tie: str, name: str, first: str) -> DataFrame:
     """Each `first` event that something follows: the next event of its user, and the whole seconds until then."""
-    w = W.partitionBy(user).orderBy(at, tie)
-    rows = events.withColumns({"nxt": F.lead(name).over(w), "_next_at": F.lead(at).over(w)})
-    rows = rows.where((F.col(name) == first) & F.col("nxt").isNotNull())
-    return rows.withColumn(
-        "seconds", F.floor((F.unix_micros("_next_at") - F.unix_micros(at)) / 1000000)
-    ).drop("_next_at")
+    rows = S.segmented_scan(events, [user], [at, tie], _next=S.row_after(F.struct(F.col(name).alias("nxt"), F.col(at).alias("at"))))
+    rows = rows.where((F.col(name) == first) & F.col("_next.nxt").isNotNull())
+    seconds = F.floor((F.unix_micros("_next.at") - F.unix_micros(at)) / 1000000)
+    return rows.withColumns({"nxt": F.col("_next.nxt"), "seconds": seconds}).drop("_next")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import scans as S
 from lakeloom.sources import io
 
 from .registry import day_text, query, t
@@ -447,17 +448,72 @@ def j6_interval_join(spark, sf_dir):
     n_nationkey""",
 )
 def j6_pure_range_join(spark, sf_dir):
-    """J6 without an equal key: intervals dealt to buckets of days."""
+    """J6 without an equal key: intervals as blocks of days."""
     start = F.date_add(F.lit("1996-01-01").cast("date"), F.col("n_nationkey") * 37)
     seasons = t(spark, sf_dir, "nation").select("n_nationkey", start.alias("a"), F.date_add(start, 59).alias("b"))
     orders = t(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("on_day"))
     return (
-        R.day_bucket_range_join(orders, seasons, "on_day", "a", "b")
+        S.range_join(orders, seasons, "on_day", "a", "b")
         .groupBy("n_nationkey")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+@query(
+    "j6_open_intervals",
+    """WITH term AS (SELECT s_suppkey, s_nationkey AS nation, DATE '1992-01-01' + CAST(s_suppkey * 61 % 3000 AS INTEGER) AS a,
+    CASE WHEN s_suppkey % 3 > 0 THEN DATE '1992-01-01' + CAST(s_suppkey * 61 % 3000 + s_suppkey % 7 * 90 AS INTEGER) END AS b
+    FROM supplier)
+    SELECT s_suppkey, count(*) AS n, count(DISTINCT o_custkey) AS customers, max(o_orderkey) AS last_key FROM orders JOIN
+    customer ON c_custkey = o_custkey JOIN term ON nation = c_nationkey AND CAST(o_orderdate AS DATE) >= a AND (b IS NULL
+    OR CAST(o_orderdate AS DATE) <= b) GROUP BY s_suppkey""",
+)
+def j6_open_intervals(spark, sf_dir):
+    """Terms of suppliers, every third without an end, and the orders of their nation that fall into them."""
+    first = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("s_suppkey") * 61 % 3000).cast("int"))
+    last = F.when(F.col("s_suppkey") % 3 > 0, F.date_add(first, (F.col("s_suppkey") % 7 * 90).cast("int")))
+    terms = t(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), first.alias("a"), last.alias("b"))
+    people = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    orders = t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("day"))
+    met = S.range_join(orders.join(people, "o_custkey"), terms, "day", "a", "b", ["nation"])
+    return met.groupBy("s_suppkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("customers"), F.max("o_orderkey").alias("last_key")
+    )
+
+
+@query(
+    "j7_as_of_event",
+    """SELECT p.event_id, v.event_id AS view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+    LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON v.user_id = p.user_id AND v.ts <= p.ts
+    QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY v.ts DESC NULLS LAST, v.event_id DESC) = 1""",
+)
+def j7_as_of_event(spark, sf_dir):
+    """Each purchase with the user's last view at or before it."""
+    events = t(spark, sf_dir, "events")
+    bought = events.where("event_type = 'purchase'").select("user_id", "event_id", "ts")
+    views = events.where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("viewed"))
+    return S.as_of_join(bought, views, ["user_id"], "ts", "viewed", ["view_id"]).select("event_id", "view_id")
+
+
+@query(
+    "w9_hot_key_scan",
+    """SELECT l_orderkey, l_linenumber, round(sum(l_quantity) OVER w, 2) AS running, row_number() OVER (PARTITION BY
+    l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber) AS n, last_value(CASE WHEN l_discount = 0.05 THEN
+    l_orderkey END IGNORE NULLS) OVER w AS last_air, lag(l_linestatus) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate,
+    l_orderkey, l_linenumber) AS before, max(l_discount) OVER w AS high FROM lineitem WINDOW w AS (PARTITION BY
+    l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING)""",
+)
+def w9_hot_key_scan(spark, sf_dir):
+    """Running values of three keys, each with a fifth of all lines or more."""
+    air = F.when(F.col("l_discount") == 0.05, F.col("l_orderkey"))
+    rows = S.segmented_scan(
+        t(spark, sf_dir, "lineitem"), ["l_returnflag"], ["l_shipdate", "l_orderkey", "l_linenumber"], min_rows=1_000,
+        running=S.running_sum("l_quantity"), n=S.running_sum(F.lit(1)), last_air=S.last_known(air),
+        before=S.row_before("l_linestatus"), high=S.running_max("l_discount"),
+    )
+    return rows.select("l_orderkey", "l_linenumber", F.round("running", 2).alias("running"), "n", "last_air", "before", "high")
+
+
 @query(
     "j7_as_of_latest",
     """SELECT c_custkey, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN o_orderkey END AS o_orderkey FROM customer
@@ -633,7 +689,7 @@ def j20_between_events(spark, sf_dir):
     errors = events.where("event_type = 'error'").select("user_id", "event_id", "ts")
     views = events.where("event_type = 'view'").select("user_id", F.col("ts").alias("note_at"))
     return (
-        R.strictly_between_events(errors, views, ["user_id"], "ts", "note_at", "event_id")
+        S.between_events(errors, views, ["user_id"], "ts", "note_at", ["event_id"])
         .groupBy("event_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -841,10 +897,9 @@ def w7_w8_fill(spark, sf_dir):
     """Spread, back-fill and forward fill."""
     e = t(spark, sf_dir, "events").withColumn("v", F.when(F.col("event_type") == "purchase", F.col("event_id")))
     order = ["ts", "event_id"]
-    return e.select(
-        "event_id", R.fill_forward("v", ["user_id"], order).alias("forward"),
-        R.fill_backward("v", ["user_id"], order).alias("back"), R.spread("v", ["user_id"], order).alias("spread")
-    )
+    filled = S.segmented_scan(e, ["user_id"], order, forward=S.last_known("v"), back=S.next_known("v"))
+    first = e.groupBy("user_id").agg(F.min_by("v", F.when(F.col("v").isNotNull(), F.struct(*order))).alias("spread"))
+    return filled.join(first, "user_id").select("event_id", "forward", "back", "spread")
 
 
 @query(
@@ -854,7 +909,7 @@ def w7_w8_fill(spark, sf_dir):
 )
 def w12_change_points(spark, sf_dir):
     """Rows where the value changes."""
-    return R.change_points(
+    return S.changes(
         t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_type"
     ).select("event_id", "user_id", "event_type")
 
@@ -868,9 +923,8 @@ def w12_change_points(spark, sf_dir):
 )
 def w14_islands(spark, sf_dir):
     """Gaps and islands."""
-    changed = F.col("event_type") != F.lag("event_type").over(W.partitionBy("user_id").orderBy("ts", "event_id"))
     return (
-        R.islands(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], changed)
+        S.runs(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_type")
         .groupBy("user_id", "island")
         .agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
     )
@@ -885,7 +939,7 @@ def w14_islands(spark, sf_dir):
 def w15_byte_buckets(spark, sf_dir):
     """Rows dealt to buckets of a number of bytes."""
     return (
-        R.byte_buckets(t(spark, sf_dir, "part"), ["p_brand"], ["p_partkey"], "p_name", 500)
+        S.byte_runs(t(spark, sf_dir, "part"), ["p_brand"], ["p_partkey"], "p_name", 500)
         .groupBy("p_brand", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
     )

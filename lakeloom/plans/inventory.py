@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import scans as S
 
 from .registry import day_text, query, t
 
@@ -163,9 +164,8 @@ def status_intervals(
     changes: DataFrame, keys: list[str], at: str, status: str, tie: str, open_end: Column
 ) -> DataFrame:
     """Change points as [start, end) intervals; the last one of an entity ends at `open_end`."""
-    points = R.change_points(changes, keys, [at, tie], status)
-    w = W.partitionBy(*keys).orderBy(at, tie)
-    return points.select(*keys, status, F.col(at).alias("start"), F.coalesce(F.lead(at).over(w), open_end).alias("end"))
+    points = S.spans(S.changes(changes, keys, [at, tie], status), keys, [at, tie])
+    return points.select(*keys, status, "start", F.coalesce("end", open_end).alias("end"))
 
 
 _SPAN = """span AS (SELECT user_id, event_type, ts AS start, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts,
@@ -378,12 +378,8 @@ def b25_nearly_oos(spark, sf_dir):
 
 def expense_hierarchy(rows: DataFrame, sheet: str, line: str, head: Column, code: Column) -> DataFrame:
     """Sheet rows with the nearest head above them in their sheet as `parent`, and a code cut out of a cell."""
-    return (
-        rows
-        .withColumn("_head", head)
-        .withColumns({"parent": R.fill_forward("_head", [sheet], [line]), "code": code})
-        .drop("_head")
-    )
+    filled = S.segmented_scan(rows.withColumn("_head", head), [sheet], [line], parent=S.last_known("_head"))
+    return filled.withColumn("code", code).drop("_head")
 
 
 @query(

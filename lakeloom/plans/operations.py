@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import scans as S
 
 from .registry import day_text, query, t
 
@@ -231,12 +232,11 @@ def care_followup(
 ) -> DataFrame:
     """The first order, not cancelled, of a task's customer from `days` before the task on; null where there is none."""
     live = orders.where(F.col("o_orderstatus") != cancelled).select(
-        F.col("o_custkey").alias(key), "o_orderkey", "o_orderdate"
+        F.col("o_custkey").alias(key), F.col("o_orderkey").alias("first_order"), F.col("o_orderdate").alias("_ordered")
     )
-    met = F.when(
-        F.col("o_orderdate") >= F.col(at) - F.expr(f"INTERVAL {days} DAYS"), F.struct("o_orderdate", "o_orderkey")
-    )
-    return tasks.join(live, key, "left").groupBy(task).agg(F.min(met)["o_orderkey"].alias("first_order"))
+    since = F.col(at) - F.expr(f"INTERVAL {days} DAYS")
+    found = S.as_of_join(tasks, live, [key], since, "_ordered", ["first_order"], direction="forward")
+    return found.groupBy(task).agg(F.min_by("first_order", F.struct("_ordered", "first_order")).alias("first_order"))
 
 
 @query(

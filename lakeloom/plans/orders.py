@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import scans as S
 
 from .registry import day_text, query, t
 
@@ -665,9 +666,7 @@ def b33_voucher_usage(spark, sf_dir):
 
 def threshold_reached(facts: DataFrame, entity: str, order: list[str], value: str, threshold: float) -> DataFrame:
     """The first row of each entity at which its running sum reaches the threshold."""
-    w = W.partitionBy(entity).orderBy(*order)
-    running = facts.withColumn("running", F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return R.top_k(running.where(F.col("running") >= threshold), [entity], [F.col(c) for c in order])
+    return S.reached(facts, [entity], order, value, threshold)
 
 
 @query(

@@ -114,13 +114,3 @@ def test_rules_tickets_and_ranks(spark):
     assert rows(out) == want
     tickets = spark.createDataFrame([("ann", at(1), at(2), "good"), ("ann", at(3), at(2), "bad")], "who string, done timestamp, due timestamp, said string")
     assert rows(operations.ticket_sla(tickets, "who", "done", F.col("due"), "said", ["done"])) == [("ann", 1, 1, "bad")]
-
-
-def test_rules_are_a_bounded_set(spark):
-    rules = spark.range(3).withColumnRenamed("id", "segment_id")
-    try:
-        customers.dynamic_segment(rules, rules, rules, rules, "2024-01-01", max_rules=2)
-    except ValueError as e:
-        assert "3 rules" in str(e)
-    else:
-        raise AssertionError

@@ -30,7 +30,7 @@ def test_entry(spark):
 #: They join with one row, or a handful of regions.
 ONE_ROW = {
     "j12_scalar_subquery", "s8_incremental_state", "s21_append_since", "s22_migrate_merge", "s27_newest_batch",
-    "j8_exact_or_any", "b6_explode_bundle", "b48_dynamic_segment", "b49_segment_quota", "s26_audit_row", "g2_unique_assertion",
+    "j8_exact_or_any", "b6_explode_bundle", "b49_segment_quota", "s26_audit_row", "g2_unique_assertion",
 }
 
 

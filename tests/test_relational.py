@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import quality
 from lakeloom.operators import relational as R
+from lakeloom.operators import scans as S
 from lakeloom.plans import customers, inventory, operations, orders
 from lakeloom.sources import io
 
@@ -38,7 +39,7 @@ def test_range_join_over_bucket_borders(spark):
         "i int, a date, b date"
     )
     want = left.crossJoin(right).where("d BETWEEN a AND b")
-    assert rows(R.day_bucket_range_join(left, right, "d", "a", "b", days=5).select("d", "i", "a", "b")) == rows(want)
+    assert rows(S.range_join(left, right, "d", "a", "b").select("d", "i", "a", "b")) == rows(want)
 
 
 def test_anti_join_with_nulls(spark):
@@ -232,3 +233,16 @@ def test_stage_durations_are_monotone(spark):
     )
     r = operations.stage_durations(e, "k", "s", "at", ("a", "b", "c")).first()
     assert (r.a_to_b, r.b_to_c, r.gap) == (0, 90, 0)
+
+
+@pytest.mark.parametrize("dense", [0, 64])
+def test_interval_join_either_way(spark, dense):
+    day = date(2024, 1, 1)
+    left = spark.createDataFrame([("a", day + timedelta(days=i), i) for i in range(50)] + [(None, day, 99)], "k string, d date, i int")
+    held = [("a", day + timedelta(days=3 * i), day + timedelta(days=5 * i) if i % 3 else None, i) for i in range(12)]
+    held += [("a", None, day, 50), (None, day, None, 51), ("a", day + timedelta(days=9), day, 52)]
+    right = spark.createDataFrame(held, "k string, a date, b date, j int")
+    want = sorted((i, j) for k, d, i in left.collect() for k2, a, b, j in held if k and k == k2 and a and a <= d and (b is None or d <= b))
+    got = R.interval_join(left, right, ["k"], "d", "a", "b", dense=dense)
+    assert sorted((r.i, r.j) for r in got.collect()) == want
+    assert ("_level" in got._jdf.queryExecution().analyzed().toString()) == (dense == 0)
