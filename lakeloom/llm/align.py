@@ -11,17 +11,18 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import has_columns, ship, text_hash, written
-from .tokens import _SPACE, _UNSAFE, load_spec
+from .tokens import _PLAIN, _SPACE, _UNSAFE, load_spec
 
 #: Texts are aligned in steps of about so many bytes; a block closes at so many bytes or documents. A cache has two
 #: generations of so many units; longer units aren't cached.
-STEP_BYTES, BLOCK_BYTES, BLOCK_DOCS, CACHE, CACHED_CHARS = 2 << 20, 8 << 20, 1 << 16, 60_000, 48
+STEP_BYTES, BLOCK_BYTES, BLOCK_DOCS, CACHE, CACHED_CHARS = 2 << 20, 8 << 20, 1 << 16, 80_000, 48
 #: Bytes of a bitmap as bits, and how many documents make that the shorter form.
 DENSE_BYTES = BLOCK_DOCS // 8
 DENSE = DENSE_BYTES // 2
@@ -81,6 +82,7 @@ class Aligner:
         digits = np.array([f"{i}" for i in range(top)], f"S{len(str(top - 1)) + 1}")
         self.digits = digits.view(np.uint8).reshape(top, -1)
         self.n_digits = np.char.str_len(digits).astype(np.int64)
+        self.words: dict[str, list[int]] = {}
         self.known: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
@@ -90,22 +92,26 @@ class Aligner:
         """
         import numpy as np
 
-        ours = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        ours = self._ours(units)
         theirs = self.b.encode([u[1:] for u in units], num_threads=1)
-        out: list[tuple] = [()] * len(units)
-        sound = []
-        for k, (unit, x) in enumerate(zip(units, theirs, strict=True)):
+        for k, unit in enumerate(units):
             if len(unit) == 1:
-                theirs[k] = x = [self.space]
-            data = unit.encode()
-            if b"".join(map(self.b_bytes.__getitem__, x)) == data == b"".join(map(self.a_bytes.__getitem__, ours[k])):
-                sound.append(k)
+                theirs[k] = [self.space]
+        out: list[tuple] = [()] * len(units)
+        sound = list(range(len(units)))
+        if not self._same(units, ours, self.a_bytes, self.width_a) or not self._same(units, theirs, self.b_bytes, self.width_b):
+            told = [(u.encode(), b"".join(map(self.b_bytes.__getitem__, x))) for u, x in zip(units, theirs, strict=True)]
+            sound = [
+                k for k, (data, x) in enumerate(told) if data == x == b"".join(map(self.a_bytes.__getitem__, ours[k]))
+            ]
+            ours, theirs = ([x[k] for k in sound] for x in (ours, theirs))
         if not sound:
             return out
-        n_a, n_b = (np.array([len(x[k]) for k in sound]) for x in (ours, theirs))
-        a, b = (np.fromiter((i for k in sound for i in x[k]), np.int64) for x in (ours, theirs))
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ours, theirs))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ours, theirs))
         end_a, end_b = np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
-        ends = np.union1d(end_a, end_b)  # each stretch between two ends lies in one token of A and one of B: a link
+        ends = np.sort(np.r_[end_a, end_b], kind="stable")  # two sorted runs
+        ends = ends[np.r_[True, ends[1:] != ends[:-1]]]  # a stretch between two lies in one token of A and of B: a link
         in_a, in_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         codes = (a[in_a] * self.size_b + b[in_b]).astype(self.kind)
         both = ends[(end_a[in_a] == ends) & (end_b[in_b] == ends)]
@@ -122,6 +128,42 @@ class Aligner:
             )
         return out
 
+    def _ours(self, units: list[str]) -> list[list[int]]:
+        """A's ids of each unit; words of ASCII letters and the signs after them, which A never joins, on their own."""
+        made, rare, words = [], [], self.words
+        for k, unit in enumerate(units):
+            ids = None
+            if plain := _PLAIN.fullmatch(unit):
+                word, signs = plain.groups()
+                ids = words.get(word) or self._word(word)
+                if signs:
+                    ids = ids + (words.get(signs) or self._word(signs))
+            else:
+                rare.append(k)
+            made.append(ids)
+        for k, e in zip(rare, self.a.encode_batch_fast([units[k] for k in rare], add_special_tokens=False), strict=True):
+            made[k] = e.ids
+        return made
+
+    def _word(self, word: str) -> list[int]:
+        """The ids of letters (maybe with a space before) or of signs by the library's model, in which U+0120 is a space."""
+        ids = [t.id for t in self.a.model.tokenize(word.replace(" ", "\u0120"))]
+        if len(word) <= CACHED_CHARS:
+            if len(self.words) >= CACHE:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
+
+    def _same(self, units: list[str], ids: list[list[int]], spelled: list[bytes], width) -> bool:
+        """Whether the tokens' bytes are each unit's."""
+        import numpy as np
+
+        flat, n = list(chain.from_iterable(ids)), np.fromiter(map(len, ids), np.int64, len(ids))
+        if not n.all() or b"".join(map(spelled.__getitem__, flat)) != "".join(units).encode():
+            return False
+        held = np.add.reduceat(width[np.array(flat)], np.cumsum(n) - n)
+        return held.tolist() == [len(u) if u.isascii() else len(u.encode()) for u in units]
+
     def _told(self, a, b, group_a, group_b) -> tuple:
         """All groups as `a1,a2|b1;a3|b2,b3;`, and where the text of each token begins (and the end)."""
         import numpy as np
@@ -179,7 +221,7 @@ class Aligner:
             by_text[k] = self.units([f" {texts[k].as_py()}"])[0]
         none = (b"", b"", 0, 0, 0)
         made = [x or none for x in made]
-        counts = np.array([x[2:] for x in made], np.int64).reshape(-1, 3)
+        counts = np.stack([np.fromiter((x[c] for x in made), np.int64, len(made)) for c in (2, 3, 4)], axis=1)
         sums = np.cumsum(np.r_[np.zeros((1, 3), np.int64), counts[index]], axis=0)[bounds]
         told = np.diff(sums, axis=0)
         codes = np.frombuffer(b"".join(x[0] for x in made), self.kind)
@@ -193,7 +235,8 @@ class Aligner:
         parts, pieces, order = [], [x[1] for x in made], index.tolist()
         for k, (i, j) in enumerate(zip(bounds, bounds[1:], strict=False)):
             x = by_text.get(k)
-            parts.append((x[1] if x else b"")[:-1] if k in by_text or empty[k] else b"".join([pieces[p] for p in order[i:j]])[:-1])
+            alone_or_none = k in by_text or empty[k]
+            parts.append((x[1] if x else b"")[:-1] if alone_or_none else b"".join(map(pieces.__getitem__, order[i:j]))[:-1])
         told[empty] = 0
         runs = None
         for k, x in by_text.items():
@@ -397,33 +440,39 @@ def align_tokenizers(
     Null and empty texts, and those whose bytes B doesn't give back, have no tokens and only zeros; extra columns are
     left out; an empty table gives no rows.
 
-    The index is read for the counts, joined with them by pair (a block has one row a pair and level, so no pair has more
-    rows than there are blocks times levels), and gathered by block, where the postings add their scores to the
-    block's documents: a block holds some BLOCK_BYTES of text at most, or one longer text.
+    The index is read for the counts; the counts meet the pairs of each block (one narrow row a pair and block, so no pair
+    has more rows than there are blocks) and go to the blocks, where the postings add their scores to the documents.
+    Bitmaps are shuffled once. A block holds some BLOCK_BYTES of text at most, or one longer text.
     """
     index = pair_index(docs, a, b, keep, block_docs)
     held = index.where("a is null").drop("a", "b", "level", "n", "bitmap")
     counts = pair_counts(index).select("a", "b", F.col("n_links").alias("count"), "best")
-    posted = index.where("a is not null").select("a", "b", "block", "level", "n", "bitmap").join(counts, ["a", "b"])
-    posted = posted.select(F.col("block").alias("in_block"), "level", "n", "bitmap", "count", "best")
+    postings = index.where("a is not null").select("a", "b", "block", "level", "n", "bitmap")
+    scores = postings.where(F.col("level") == PRESENT).select("a", "b", "block").join(counts, ["a", "b"])
+    told = postings.unionByName(scores, allowMissingColumns=True).withColumnRenamed("block", "in_block")
     kinds = ", ".join(f"{name} {kind}" for name, kind in held.dtypes) + ", n_best long, count_sum long"
 
-    def score(ours, postings):
+    def score(ours, told):
         import numpy as np
         import pyarrow as pa
 
-        n, level, count = (postings.column(x).to_numpy().astype(np.int64) for x in ("n", "level", "count"))
-        best = postings.column("best").to_numpy().astype(np.int64)
+        pair = told.column("a").to_numpy().astype(np.int64) << 32 | told.column("b").to_numpy()
+        known = told.column("count").is_valid().to_numpy()
+        scores, postings = told.filter(pa.array(known)), told.filter(pa.array(~known))
+        order = np.argsort(pair[known])
+        at = order[np.searchsorted(pair[known], pair[~known], sorter=order)]
+        count = scores.column("count").to_numpy().astype(np.int64)[at]
+        best = scores.column("best").to_numpy().astype(np.int64)[at]
+        n, level = (postings.column(x).to_numpy().astype(np.int64) for x in ("n", "level"))
         weight = np.where(level == PRESENT, 1, 1 << np.maximum(level, 0))
         top = int(np.max(ours.column("doc").to_numpy(), initial=-1)) + 1
         n_best, total = np.zeros(top, np.int64), np.zeros(top, np.int64)
-        bitmap = postings.column("bitmap").combine_chunks()
-        entry, doc = members(n, bitmap)
+        entry, doc = members(n, postings.column("bitmap").combine_chunks())
         np.add.at(n_best, doc, (best * weight)[entry])
         np.add.at(total, doc, (count * weight)[entry])
         place = ours.column("doc").to_numpy()
         return ours.append_column("n_best", pa.array(n_best[place])).append_column("count_sum", pa.array(total[place]))
 
-    scored = held.groupBy("block").cogroup(posted.groupBy("in_block")).applyInArrow(score, kinds)
+    scored = held.groupBy("block").cogroup(told.groupBy("in_block")).applyInArrow(score, kinds)
     names = [c for c in held.columns if c not in ("block", "doc")]
     return scored.select(*names, "n_best", "count_sum")
