@@ -18,7 +18,8 @@ def action_rank(action: str = "action") -> Column:
     return F.when(F.col(action) == "d", 3).when(F.col(action) == "u", 2).otherwise(1)
 
 
-def _order(df: DataFrame, by_action: bool = True) -> list[Column]:
+def change_order(df: DataFrame, by_action: bool = True) -> list[Column]:
+    """What tells which of an entity's changes is newer, ascending."""
     out = [F.col("synced_at")] + ([action_rank()] if by_action else [])
     return out + [F.col(c) for c in ("last_updated_time", "key") if c in df.columns]
 
@@ -28,7 +29,7 @@ def latest_by_key(
 ) -> DataFrame:
     """The newest change of each entity; an entity whose newest change is a delete is dropped."""
     keys = [keys] if isinstance(keys, str) else keys
-    rank = Window.partitionBy(*keys).orderBy(*(c.desc_nulls_last() for c in _order(log, by_action)))
+    rank = Window.partitionBy(*keys).orderBy(*(c.desc_nulls_last() for c in change_order(log, by_action)))
     out = log.withColumn("_n", F.row_number().over(rank)).where("_n = 1").drop("_n")
     return out.where("action <> 'd'") if drop_deleted else out
 
@@ -39,7 +40,7 @@ def winning_key_semi_join(
     """latest_by_key for wide rows: a narrow, map-side combined maximum finds the winning row ids, and only those wide
     rows are moved.
     """
-    place = F.struct(*_order(log, by_action), F.col("action").alias("_action"))
+    place = F.struct(*change_order(log, by_action), F.col("action").alias("_action"))
     best = (
         log
         .select(entity, row_id, place.alias("_place"))
@@ -54,7 +55,7 @@ def winning_key_semi_join(
         .drop("_at")
     )
     # a row id may repeat
-    again = Window.partitionBy(entity).orderBy(*(c.desc_nulls_last() for c in _order(log, by_action)))
+    again = Window.partitionBy(entity).orderBy(*(c.desc_nulls_last() for c in change_order(log, by_action)))
     return wide.withColumn("_n", F.row_number().over(again)).where("_n = 1").drop("_n")
 
 

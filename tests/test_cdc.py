@@ -227,7 +227,7 @@ def test_stream_in_shuffled_order_equals_batch(spark):
         stream.read_log_stream(spark, f"{root}/log", log.schema, 1), f"{root}/state", f"{root}/checkpoint"
     )
     query.awaitTermination()
-    assert pairs(stream.read_state(spark, f"{root}/state", 2, log.schema)) == plain_state(rows, deleted=False)
+    assert pairs(stream.read_state(spark, f"{root}/state", log.schema)) == plain_state(rows, deleted=False)
 
 
 def test_message_stream_and_windows(spark):
