@@ -27,8 +27,8 @@ from .common import has_columns, ship, text_hash
 LEAF_CHARS, EDGE, LOOK = 1024, 16, 3
 #: Longer texts are cut into rows of so many characters, encoded by different tasks.
 PART_CHARS = 1 << 20
-#: Entries of each of a worker's caches; a full one of matches becomes the older one, from which matches still in use
-#: return; a full one of seams is emptied. Longer matches aren't cached.
+#: Entries of a worker's caches of seams and halves, which are emptied when full; that of matches holds a third more and
+#: becomes the older one, from which matches still in use return. Longer matches aren't cached.
 CACHE, CACHED_CHARS, HALF_BYTES = 150_000, 48, 6
 #: What stands for a character when only its class matters.
 _LIKE = {"letter": "a", "number": "0", "space": "\t", "other": "§"}
@@ -100,6 +100,7 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         self.exceptions = exceptions
         points = sorted(exceptions)
+        self.lowest = points[0] if points else 0
         first = [c for c, b in zip(points, [-2, *points], strict=False) if c != b + 1]
         last = [c for c, b in zip(points, [*points, -2][1:], strict=True) if c != b - 1]
         found = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last, strict=True))
@@ -154,13 +155,12 @@ class Bpe:
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of two neighbours' bytes from their encodings."""
-        i, j, step, spelled = len(left) - 1, 1, 1, self.spelled
-        made = self.seam(left[i], right[0])
-        if i == 0 and len(right) == 1:
-            return made
+        i, j, step, spelled, seams = len(left) - 1, 1, 1, self.spelled, self.seams
+        made = seams.get((left[i], right[0])) or self.seam(left[i], right[0])
         while True:
-            before = i == 0 or self.seam(left[i - 1], made[0]) == (left[i - 1], made[0])
-            after = j == len(right) or self.seam(made[-1], right[j]) == (made[-1], right[j])
+            # Tokens that the window leaves as they were stand beside those outside already.
+            before = i == 0 or made[0] == left[i] or self.seam(left[i - 1], made[0]) == (left[i - 1], made[0])
+            after = j == len(right) or made[-1] == right[j - 1] or self.seam(made[-1], right[j]) == (made[-1], right[j])
             if before and after:
                 return (*left[:i], *made, *right[j:])
             i, j, step = max(0, i - step * (not before)), min(len(right), j + step * (not after)), 2 * step
@@ -192,16 +192,26 @@ class Bpe:
                 rank = self.ranks.get(data)
                 made = pack_ids(self.merge(data) if rank is None else (rank,))
             if len(match) <= CACHED_CHARS:
-                if len(self.known) >= CACHE:
+                if len(self.known) >= 4 * CACHE // 3:
                     self.known, self.older = {}, self.known
                 self.known[match] = made
         return made
 
     def matches(self, text: str) -> list[str]:
-        if self.odd is None or text.isascii() or not self.odd.search(text):
+        if self.odd is None or text.isascii() or self._plain_latin(text) or not self.odd.search(text):
             return self.pattern.findall(text)
         return [text[slice(*m.span())] for m in self.pattern.finditer(text.translate(self.exceptions))]
 
+    def _plain_latin(self, text: str) -> bool:
+        """Whether all characters lie below the first exception, by a test that costs a copy."""
+        if self.lowest < 256:
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
+
     def leaf(self, text: str) -> Node:
         matches = self.matches(text)
         ids = list(map(self.known.get, matches))
