@@ -84,15 +84,14 @@ def incremental_current_state(
 
 
 def refresh_partitions(
-    log: DataFrame, path: str, staging: str, partition: str, cutoff_days: int = 7, overlap: str = "1 hour",
-    lookback: str = "3 hours",
-    checkpoint: str = "ingest_time",
+    log: DataFrame, path: str, staging: str, partition: str, as_of: str, cutoff_days: int = 7, overlap: str = "1 hour",
+    lookback: str = "3 hours", checkpoint: str = "ingest_time", undated: str = "2099-01-01",
 ) -> bool:
     """Brings the table at `path` up to date with the log, rewriting only the partitions that touched entities lie in;
     False where nothing was new.
 
-    The checkpoint is the greatest ingest time in the partitions of the last `cutoff_days` (of all, where they hold
-    none), less `overlap`. Entities with a later change are touched; their winners come from the log since `lookback`
+    The checkpoint is the greatest ingest time in the partitions of the last `cutoff_days` before `as_of` (of all, where
+    they hold none), less `overlap`; the partition `undated` of rows without a date isn't one of the last days. Entities with a later change are touched; their winners come from the log since `lookback`
     before that and from their own row. Their old rows leave their partitions, and the winners enter those of their own
     `partition` value, a date. Deletes stay as rows (`action` d), which readers drop. The new partitions are written to
     `staging` first, as a table can't be overwritten while it is read.
@@ -105,7 +104,7 @@ def refresh_partitions(
         return True
     recent = (
         target
-        .where(F.col(partition) >= F.date_sub(F.current_date(), cutoff_days))
+        .where((F.col(partition) >= F.date_sub(F.lit(as_of).cast("date"), cutoff_days)) & (F.col(partition) != F.lit(undated).cast("date")))
         .agg(F.max(checkpoint))
         .first()[0]
     )
@@ -329,12 +328,11 @@ def swapped_deletes(log: DataFrame, entity: str = "mg_id") -> DataFrame:
     key, runner-up key.
     """
     newest = Window.partitionBy(entity).orderBy(F.col("synced_at").desc(), action_rank().desc(), F.col("key").desc())
-    two = log.withColumn("_n", F.row_number().over(newest)).withColumns(
-        {f"next_{c}": F.lead(c).over(newest) for c in ("key", "action", "synced_at")}
-    )
-    return two.where("_n = 1 AND next_synced_at = synced_at AND action = 'd' AND next_action <> 'd'").select(
-        entity, "synced_at", F.col("key").alias("delete_key"), F.col("next_key").alias("runner_up_key")
-    )
+    # Each task keeps its entities' two newest before anything is shuffled.
+    two = log.withColumn("_n", F.row_number().over(newest)).where("_n <= 2")
+    pair = two.groupBy(entity).agg(*(F.max(F.when(F.col("_n") == k, F.struct("key", "action", "synced_at"))).alias(n) for k, n in ((1, "a"), (2, "b"))))
+    found = pair.where("a.synced_at = b.synced_at AND a.action = 'd' AND b.action <> 'd'")
+    return found.select(entity, F.col("a.synced_at").alias("synced_at"), F.col("a.key").alias("delete_key"), F.col("b.key").alias("runner_up_key"))
 
 
 def repair_swapped_delete(log: DataFrame, entity: str = "mg_id") -> DataFrame:

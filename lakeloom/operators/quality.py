@@ -15,22 +15,45 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def unique_assertion(df: DataFrame, key_sets: list[list[str]], at_most: int = 1) -> DataFrame:
-    """One row for each set of keys: the keys, how many of their values repeat, and the values that do, in an array of
-    at most `at_most`, least first.
+def in_touched_partitions(df: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """The rows of the partitions in which changed rows lie; a null partition is one."""
+    parts = touched.select(F.col(partition).alias("_p")).distinct()
+    return df.join(parts, df[partition].eqNullSafe(parts["_p"]), "left_semi")
+
+
+def failing_keys(
+    df: DataFrame, key_sets: list[list[str]], touched: DataFrame | None = None, partition: str | None = None
+) -> DataFrame:
+    """(keys, value, n): every value of each set of keys that more than one row has, one row each, whatever their number;
+    with `touched`, among the rows of the partitions that it lies in.
     """
+    df = df if touched is None else in_touched_partitions(df, touched, partition)
 
     def one(keys: list[str]) -> DataFrame:
         value = F.concat_ws(",", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
-        failed = check_unique(df, keys).withColumn("value", value)
-        least = failed.orderBy("value").limit(at_most)  # a report of the first failures; the number counts all
-        n = failed.agg(F.count(F.lit(1)).alias("failures"))
-        examples = least.agg(F.sort_array(F.collect_list("value")).alias("examples"))
-        return n.crossJoin(examples).select(F.lit(",".join(keys)).alias("keys"), "failures", "examples")  # one row each
+        return check_unique(df, keys).select(F.lit(",".join(keys)).alias("keys"), value.alias("value"), "n")
 
     return reduce(DataFrame.unionByName, map(one, key_sets))
 
 
+def unique_assertion(
+    df: DataFrame, key_sets: list[list[str]], at_most: int | None = None, touched: DataFrame | None = None,
+    partition: str | None = None
+) -> DataFrame:
+    """One row for each set of keys: the keys, how many of their values repeat, and the values that do, least first, in an
+    array of all of them, or of `at_most` for a short report. failing_keys() has them as rows, for tables in which very
+    many may fail.
+    """
+    failed = failing_keys(df, key_sets, touched, partition)
+    w = Window.partitionBy("keys").orderBy("value")
+    some = failed if at_most is None else failed.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= at_most)
+    n = failed.groupBy("keys").agg(F.count(F.lit(1)).alias("failures"))
+    examples = some.groupBy("keys").agg(F.sort_array(F.collect_list("value")).alias("examples"))
+    every = df.sparkSession.createDataFrame([(",".join(k),) for k in key_sets], "keys string")
+    out = every.join(n, "keys", "left").join(examples, "keys", "left")
+    return out.select("keys", F.coalesce("failures", F.lit(0)).alias("failures"), F.coalesce("examples", F.array().cast("array<string>")).alias("examples"))
+
+
 def check_not_null(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     """One row for each null in the named columns, with the reason."""
     reasons = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in columns)))

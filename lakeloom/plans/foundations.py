@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import rollups as U
 from lakeloom.operators import scans as S
 from lakeloom.sources import io
 
@@ -773,6 +777,100 @@ def a8_quantiles(spark, sf_dir):
     )
 
 
+@query(
+    "a8_sketch_rollup",
+    """SELECT l_returnflag, count(*) AS n, CAST(min(d) AS DOUBLE) AS low, CAST(max(d) AS DOUBLE) AS high, true AS ordered, 101
+    AS points FROM (SELECT l_returnflag, date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS d FROM
+    lineitem JOIN orders ON o_orderkey = l_orderkey) GROUP BY l_returnflag""",
+)
+def a8_sketch_rollup(spark, sf_dir):
+    """Days to shipment as sketches by month, merged to quantiles and a distribution of a hundred buckets. How
+    far the ranks may be off is tested; counts, extremes and order are exact.
+    """
+    rows = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    days = F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
+    months = U.quantile_sketches(rows.withColumn("month", F.date_format("l_shipdate", "yyyy-MM")), ["l_returnflag", "month"], days)
+    flags = U.merge_sketches(months, ["l_returnflag"])
+    points = U.sketch_distribution(flags).groupBy("l_returnflag").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "value"))).alias("p")
+    )
+    values = F.transform("p", lambda x: x["value"])
+    points = points.select("l_returnflag", F.size("p").alias("points"), (F.array_sort(values) == values).alias("rising"))
+    told = U.sketch_quantiles(flags, {"p50": 0.5, "p90": 0.9, "p95": 0.95}).join(points, "l_returnflag")
+    steps = [F.col(c) for c in ("low", "p50", "p90", "p95", "high")]
+    ordered = reduce(lambda a, b: a & b, (x <= y for x, y in zip(steps, steps[1:], strict=False))) & F.col("rising")
+    return told.select("l_returnflag", "n", "low", "high", ordered.alias("ordered"), "points")
+
+
+@query(
+    "a3_distinct_rollup",
+    """WITH seen AS (SELECT c_mktsegment, strftime(o_orderdate, '%Y-%m') AS month, o_custkey FROM orders JOIN customer ON
+    c_custkey = o_custkey)
+    SELECT c_mktsegment, month, count(DISTINCT o_custkey) AS n FROM seen GROUP BY ALL UNION ALL
+    SELECT NULL, month, count(DISTINCT o_custkey) FROM seen GROUP BY month UNION ALL
+    SELECT c_mktsegment, NULL, count(DISTINCT o_custkey) FROM seen GROUP BY c_mktsegment UNION ALL
+    SELECT NULL, NULL, count(DISTINCT o_custkey) FROM seen""",
+)
+def a3_distinct_rollup(spark, sf_dir):
+    """Distinct buyers at four grains from one table of bitmaps at the finest."""
+    people = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    seen = t(spark, sf_dir, "orders").join(people, "o_custkey").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    keys, root = ["c_mktsegment", "month"], io.scratch_folder(spark, "bitmaps")
+    U.distinct_bitmaps(seen, keys, "o_custkey").write.parquet(root)
+    stored, grains = spark.read.parquet(root), (keys, keys[1:], keys[:1], [])
+    rows = [U.count_bitmaps(stored, g).select(*(F.col(k) if k in g else F.lit(None).cast("string").alias(k) for k in keys), "n") for g in grains]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(
+    "c7_checksum_difference",
+    """SELECT 'a' AS side, o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'
+    UNION ALL SELECT 'b', o_orderkey, o_totalprice + 1 FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus =
+    'O'""",
+)
+def c7_checksum_difference(spark, sf_dir):
+    """A table against a copy in which some rows were changed, by sums of row hashes first."""
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    changed = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
+    price = F.when(changed, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    rows = U.checksum_difference(orders, orders.withColumn("o_totalprice", price), ["o_orderkey"])
+    return rows.select("side", "o_orderkey", "o_totalprice")
+
+
+@query(
+    "s30_contributions",
+    """SELECT o_custkey, count(*) AS n, CAST(sum(CAST(CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 10 ELSE o_totalprice
+    END AS DECIMAL(18, 2))) AS DOUBLE) AS total, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE))
+    AS last_day FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey""",
+)
+def s30_contributions(spark, sf_dir):
+    """Orders by customer kept by contributions, through cancelled orders and corrected prices."""
+    orders = t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.to_date("o_orderdate").alias("day"),
+    )
+    spec = {"sums": {"total": F.col("price")}, "least": {"first_day": F.col("day")}, "most": {"last_day": F.col("day")}}
+    fact = U.contributions(orders, ["o_custkey"], **spec)
+    before = orders.where("o_orderstatus IN ('P', 'F')")
+    after = before.where("o_orderstatus = 'F'").withColumn("price", (F.col("price") + 10).cast("decimal(18,2)"))
+    source = orders.where("o_orderstatus NOT IN ('P', 'F')").unionByName(after)
+    rows = U.apply_changes(fact, before, after, source, ["o_custkey"], **spec)
+    return rows.select("o_custkey", "n", F.col("total").cast("double").alias("total"), "first_day", "last_day")
+
+
+@query(
+    "u5_closure",
+    """WITH RECURSIVE edge AS (SELECT p_partkey AS c, p_partkey // 2 AS p FROM part WHERE p_partkey > 1), walk AS (
+    SELECT c AS child, p AS ancestor, 1 AS depth FROM edge UNION ALL
+    SELECT child, p, depth + 1 FROM walk JOIN edge ON c = ancestor)
+    SELECT child, ancestor, depth, false AS cyclic FROM walk""",
+)
+def u5_closure(spark, sf_dir):
+    """All ancestors of parts in a tree in which part n hangs from part n / 2."""
+    edges = t(spark, sf_dir, "part").where("p_partkey > 1").select("p_partkey", F.expr("p_partkey div 2").alias("parent"))
+    return U.closure(edges, "p_partkey", "parent")
+
+
 @query(
     "a11_pivot",
     """SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS F_n, count(*) FILTER (WHERE o_orderstatus = 'O')

@@ -59,9 +59,9 @@ def s8_partitioned_state(spark, sf_dir):
     log = log.withColumn("created_date", F.coalesce(made, F.lit("2099-01-01").cast("date")))
     path, staging = io.scratch_folder(spark, "state"), io.scratch_folder(spark, "staging")
     cut = F.lit("2024-01-15 12:00:00").cast("timestamp")
-    cdc.refresh_partitions(log.where(F.col("ingest_time") <= cut), path, f"{staging}/1", "created_date")
-    cdc.refresh_partitions(log, path, f"{staging}/2", "created_date")
-    cdc.refresh_partitions(log, path, f"{staging}/3", "created_date")
+    cdc.refresh_partitions(log.where(F.col("ingest_time") <= cut), path, f"{staging}/1", "created_date", "2024-01-31")
+    cdc.refresh_partitions(log, path, f"{staging}/2", "created_date", "2024-01-31")
+    cdc.refresh_partitions(log, path, f"{staging}/3", "created_date", "2024-01-31")
     return (
         spark.read
         .schema(log.schema)
@@ -448,6 +448,22 @@ def g2_unique_assertion(spark, sf_dir):
     return rows.select("keys", "failures", F.get("examples", F.lit(0)).alias("first"))
 
 
+@query(
+    "g2_failing_keys",
+    """SELECT 'l_orderkey,l_suppkey' AS keys, concat(l_orderkey, ',', l_suppkey) AS value, count(*) AS n FROM lineitem WHERE
+    CAST(l_shipdate AS DATE) IN (SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'R') GROUP BY
+    l_orderkey, l_suppkey HAVING count(*) > 1
+    UNION ALL SELECT 'l_orderkey', CAST(l_orderkey AS VARCHAR), count(*) FROM lineitem WHERE CAST(l_shipdate AS DATE) IN
+    (SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'R') GROUP BY l_orderkey HAVING count(*) >
+    1""",
+)
+def g2_failing_keys(spark, sf_dir):
+    """Every repeated key, in the days of shipment that returned lines touch."""
+    items = t(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    touched = items.where("l_returnflag = 'R'")
+    return quality.failing_keys(items, [["l_orderkey", "l_suppkey"], ["l_orderkey"]], touched, "day")
+
+
 @query(
     "c10_guarded_repair",
     """SELECT 'repaired' AS kept_in, user_id, max(event_id) AS event_id, 1 AS n FROM events

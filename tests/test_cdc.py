@@ -144,12 +144,13 @@ def test_refresh_rewrites_touched_partitions_alone(spark):
     kind = "key long, mg_id long, action string, synced_at timestamp, ingest_time timestamp, created date"
     day = lambda n: (T0 + timedelta(days=n)).date()
     row = lambda k, m, a, n, made: (k, m, a, T0 + timedelta(days=n), T0 + timedelta(days=n), made)
+    as_of = day(9).isoformat()
     first = [row(1, 1, "i", 0, day(0)), row(2, 2, "i", 0, day(0)), row(3, 3, "i", 1, day(1)), row(4, 4, "i", 2, day(2))]
     # noqa: E731
     state = lambda: {(r.mg_id, r.key, r.created.isoformat()) for r in spark.read.parquet(f"{root}/t").collect()}
     files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root}/t/*/*.parquet")}
     refresh = lambda rows, k: cdc.refresh_partitions(
-        spark.createDataFrame(rows, kind), f"{root}/t", f"{root}/s{k}", "created"
+        spark.createDataFrame(rows, kind), f"{root}/t", f"{root}/s{k}", "created", as_of
     )
     assert refresh(first, 0) and len(state()) == 4
     before = files()
@@ -250,3 +251,18 @@ def test_message_stream_and_windows(spark):
     )
     # the newest hour stays open
     assert stream.windowed_counts(raw, "publish_time", []).agg(F.sum("n")).first()[0] == 3 and sum(counts) == 2
+
+
+def test_refresh_depends_on_no_clock(spark):
+    """Rows of the partition without a date don't count as recent, so a log is read from the newest dated change on."""
+    kind = "key int, mg_id int, action string, synced_at timestamp, ingest_time timestamp, created date"
+    root, far = tempfile.mkdtemp(prefix="lakeloom-test-"), datetime(2099, 1, 1).date()
+    row = lambda k, m, a, n, made: (k, m, a, T0 + timedelta(days=n), T0 + timedelta(days=n), made)
+    day = lambda n: (T0 + timedelta(days=n)).date()
+    rows = [row(1, 1, "i", 0, day(0)), row(2, 2, "d", 1, far), row(3, 3, "i", 30, day(30))]
+    frame = lambda some: spark.createDataFrame(some, kind)
+    refresh = lambda some, k, as_of: cdc.refresh_partitions(frame(some), f"{root}/t", f"{root}/s{k}", "created", as_of)
+    assert refresh(rows, 0, "2030-01-01")
+    late = row(4, 1, "u", 29, day(0))  # older than the newest dated change by more than the overlap and the look-back
+    assert not refresh([*rows, late], 1, day(31).isoformat())
+    assert refresh([*rows, row(5, 1, "u", 31, day(0))], 2, day(31).isoformat())

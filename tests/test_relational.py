@@ -246,3 +246,15 @@ def test_interval_join_either_way(spark, dense):
     got = R.interval_join(left, right, ["k"], "d", "a", "b", dense=dense)
     assert sorted((r.i, r.j) for r in got.collect()) == want
     assert ("_level" in got._jdf.queryExecution().analyzed().toString()) == (dense == 0)
+
+
+def test_unique_assertion_names_all_values_of_touched_partitions(spark):
+    rows = [(i // 2, i % 7, p) for p in (1, 2, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, v int, p int")
+    got = {r["keys"]: (r.failures, r.examples) for r in quality.unique_assertion(df, [["k", "p"], ["k", "v", "p"]]).collect()}
+    assert got["k,v,p"] == (0, []) and got["k,p"][0] == 60 and len(got["k,p"][1]) == 60
+    touched = spark.createDataFrame([(2,), (None,)], "p int")
+    some = quality.unique_assertion(df, [["k"]], 3, touched, "p").first()
+    assert (some.failures, some.examples) == (20, ["0", "1", "10"])
+    rows = quality.failing_keys(df, [["k"]], touched, "p").collect()
+    assert sorted((r.value, r.n) for r in rows) == sorted((str(k), 4) for k in range(20))
