@@ -89,9 +89,10 @@ class Block:
     def __init__(self, docs: list[tuple]):
         import numpy as np
 
-        docs.sort(key=lambda d: (d[0] is not None, d[0] or 0))
+        docs.sort(key=lambda d: (d[0] is not None, d[0] or 0, d[4]))
         self.doc_ids = np.array([-(1 << 63) if d[0] is None else d[0] for d in docs], np.int64)
         self.text_hashes = np.array([d[1] for d in docs], np.int64)
+        self.rows = np.array([d[4] for d in docs], np.int64)
         self.counts = np.array([len(d[2]) for d in docs], np.int64)
         self.firsts = np.r_[0, np.cumsum(self.counts)]
         self.words = [w for d in docs for w in d[2]]
@@ -150,6 +151,26 @@ def _unpacked(data: bytes):
     return ids, np.r_[0, np.cumsum(np.frombuffer(data[end:], "<u4").astype(np.int64))]
 
 
+def _owners(block: Block, at) -> bytes:
+    """The documents in which the ascending positions lie: ids, places in reading order, first positions. No more than there
+    are positions, so a bucket's rows don't grow with the blocks' documents.
+    """
+    import numpy as np
+
+    own = np.unique(np.searchsorted(block.firsts, at, side="right") - 1)
+    ids, rows, firsts = block.doc_ids[own], block.rows[own], block.firsts[own]
+    return struct.pack("<I", len(own)) + ids.astype("<i8").tobytes() + rows.astype("<i8").tobytes() + firsts.astype("<u4").tobytes()
+
+
+def _owned(data: bytes):
+    """(ids, rows, first positions) from _owners()."""
+    import numpy as np
+
+    (n,) = struct.unpack_from("<I", data)
+    ids, rows = np.frombuffer(data, "<i8", n, 4), np.frombuffer(data, "<i8", n, 4 + 8 * n)
+    return ids, rows, np.frombuffer(data, "<u4", n, 4 + 16 * n).astype(np.int64)
+
+
 def _gaps(at) -> bytes:
     """Ascending positions as gaps of one or two bytes; a byte or pair of all ones adds its value without a position."""
     import numpy as np
@@ -200,20 +221,19 @@ def _scan(n: int, names: list[int], exact: bool, bits: int = 64):
             again = ~first if exact else ~first | np.r_[~first[1:], False][: len(first)]
             again, at = np.sort(at[order[again]]), at[order[first]]
             hashes = [h[first] for h in sorted_hashes]
-            # The upper 16 bits choose the bucket; of those below 32 travel, and in the exact round the whole second
-            # hash.
-            bucket = ((hashes[0] >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
-            order = np.argsort(bucket << 32 | at)
+            # The upper 32 bits choose the bucket, the lower ones travel, and in the exact round the whole second hash.
+            bucket = ((hashes[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.lexsort((at, bucket))
             at, bucket = at[order], bucket[order]
-            short = (hashes[0][order] >> np.uint64(16)).astype("<u4")
+            short = hashes[0][order].astype("<u4")
             whole = hashes[1][order].astype("<u8") if exact else None
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else [0]
             docs_of_block = _packed(block.doc_ids, block.counts)
             rows = []
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                own = slice(cuts[b], cuts[b + 1])
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                own = slice(i, j)
                 told = short[own].tobytes() + (whole[own].tobytes() if exact else b"")
-                rows.append((names[b], name, 0, told, _gaps(at[own]), docs_of_block if exact else None))
+                rows.append((names[bucket[i]], name, 0, told, _gaps(at[own]), _owners(block, at[own]) if exact else None))
             rows.append((names[name % buckets], name, 1, _gaps(again), None, None))
             rows.append(
                 (names[name % buckets], name, 2, docs_of_block, block.text_hashes.astype("<i8").tobytes(), None)
@@ -227,12 +247,13 @@ def _scan(n: int, names: list[int], exact: bool, bits: int = 64):
         docs, size = [], 0
         for batch in batches:
             spans = batch.column("spans").to_pylist() if exact else [None] * batch.num_rows
-            for d, t, text, own in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), spans,
+            places = batch.column("row").to_pylist() if exact else [0] * batch.num_rows
+            for d, t, text, own, row in zip(
+                batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"), spans, places,
                 strict=True
             ):
                 own = [(s["start"], s["end"]) for s in own] if exact else None
-                docs.append((d, t, text.as_buffer().to_pybytes().split() if text.is_valid else [], own))
+                docs.append((d, t, text.as_buffer().to_pybytes().split() if text.is_valid else [], own, row))
                 size += len(docs[-1][2])
                 if size >= BLOCK_WORDS:
                     yield from parts(docs)
@@ -308,16 +329,16 @@ def _later(group):
         found = np.flatnonzero(_repeated(whole))
         sizes = np.cumsum([0, *counts])
         which = np.searchsorted(sizes, found, side="right") - 1
-        doc, at = np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
+        doc, row, at = (np.zeros(len(found), np.int64) for _ in range(3))
         for k, (_, _, b, c) in enumerate(windows):
             own = np.flatnonzero(which == k)
             if len(own):
                 at[own] = _places(b)[found[own] - sizes[k]]
-                ids, firsts = _unpacked(c)
-                doc[own] = ids[np.searchsorted(firsts, at[own], side="right") - 1]
-        names = np.array([w[0] for w in windows], np.int64)
-        # a null doc_id stands before all others
-        order = np.lexsort((at, names[which], doc, short[found], whole[found]))
+                ids, places, firsts = _owned(c)
+                owner = np.searchsorted(firsts, at[own], side="right") - 1
+                doc[own], row[own] = ids[owner], places[owner]
+        # a null doc_id stands before all others; rows of one id follow in reading order
+        order = np.lexsort((at, row, doc, short[found], whole[found]))
         x, y = short[found][order], whole[found][order]
         gone = order[1:][(x[1:] == x[:-1]) & (y[1:] == y[:-1])]
         for k in np.unique(which[gone]).tolist():
@@ -382,7 +403,7 @@ def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None,
 
     First round: blocks of about half a million words deal one window of each hash to buckets, with 32 bits of it, and
     each bucket tells the blocks which of their windows may stand elsewhere too. Second round: only those windows, with
-    96 bits of two other hashes, go to buckets, which keep the one that starts first by (doc_id, position). A passage
+    96 bits of two other hashes, go to buckets, which keep the one that starts first by (doc_id, reading order, position). A passage
     that a third of all documents share sends one row a block, not one a document. Positions, not texts, return to the
     blocks. There is a bucket for each 64 MB of text, and at least one a shuffle partition, so that a bucket stays as
     large as it is when the table grows. `hash_bits` narrows the first round's hash, which costs time and changes no
@@ -393,7 +414,8 @@ def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None,
     if buckets is None:
         size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    names = bucket_names(spark, min(buckets, 1 << 16))
+    # Many buckets spread over the tasks by themselves.
+    names = bucket_names(spark, buckets) if buckets <= 1 << 16 else range(buckets)
     keyed = _keyed(docs)
     parts = keyed.select("doc_id", "text", "text_hash").mapInArrow(_scan(n, names, False, hash_bits), PARTS)
     maybe = _by_document(parts.groupBy("bucket").applyInArrow(_candidates, FOUND), n)

@@ -204,6 +204,31 @@ def test_substring_dedup(spark, n):
     assert sorted(map(tuple, got)) == sorted(plain_substring(rows, n))
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 20])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substring_dedup_of_one_id_with_different_texts(spark, partitions, seed):
+    """Rows of one id count in reading order, wherever the second round takes them."""
+    rnd = random.Random(seed)
+    words = lambda n: [f"v{rnd.randrange(900)}" for _ in range(n)]
+    passages = [words(20), words(33)]
+    rows = []
+    for k in range(12):
+        for _ in range(rnd.randint(1, 3)):
+            rows.append((k % 7, " ".join(words(rnd.randint(0, 9)) + rnd.choice(passages) + words(rnd.randint(0, 9)))))
+        rows.append((None, " ".join(words(3) + passages[k % 2])))
+    rows += [rows[3], rows[0], (0, rows[0][1] + " more"), rows[0]]
+    rnd.shuffle(rows)
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, partitions), "doc_id long, text string")
+    got = substring_dedup(docs, 20, buckets=5).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(plain_substring(rows, 20), key=repr)
+
+
+def test_substring_dedup_with_very_many_buckets(spark):
+    rows = [r for r in awkward() if r[0] is not None]
+    got = substring_dedup(frame(spark, rows), 20, buckets=1 << 20).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(map(tuple, got.collect())) == sorted(plain_substring(rows, 20))
+
+
 @pytest.mark.parametrize("bits", [8, 1])
 def test_substring_dedup_with_colliding_hashes(spark, bits):
     """The first round only finds candidates: with a hash of a few bits, which all windows share, the second still tells
