@@ -16,7 +16,9 @@ from .graph import components
 CELL, BLOCK = 64, 512
 TABLE = "key long, at float, cid long"
 COLLISIONS = "a long, b long, key long, at float, cid long"
-BLOCKS = "block long, key long, dims int, cids array<long>, copies array<long>, cells binary, vectors binary"
+BLOCKS = "block long, home long, core boolean, dims int, cids array<long>, copies array<long>, vectors binary"
+#: Angles that add up to less than the threshold's by this much prove a link, whatever the rounding.
+SURE = 1e-6
 LINKS = "cid long, links long, a long, b long"
 
 
@@ -197,43 +199,85 @@ def _windows(width: float, reach: float):
     return collide
 
 
+def _cored(cosine: float):
+    """Whether each member of a home lies within half the threshold's angle of the home's pivot, and its angle: any two
+    that do are linked.
+    """
+
+    def mark(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        half = (math.acos(cosine) - SURE) / 2
+        for batch in batches:
+            for part in _of_one_length(batch):
+                dims = part.column("dims").to_pylist()
+                x, p = (_vectors(part.column(c).to_pylist(), dims) for c in ("vector", "pivot"))
+                angle = np.arccos(np.clip(np.einsum("ij,ij->i", x, p), -1, 1))
+                kept = part.select(["home", "cid", "dims", "copies", "vector"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(angle <= half), pa.array(angle)], [*kept.schema.names, "core", "angle"]
+                )
+
+    return mark
+
+
+def _class_pairs(cosine: float):
+    """Of the cores of two homes: whether their pivots and radii prove that all vectors of one are linked with all of the
+    other (1), that none is (-1), or neither (0).
+    """
+
+    def judge(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        limit = math.acos(cosine)
+        for batch in batches:
+            for part in _of_one_length(batch):
+                dims = part.column("dims").to_pylist()
+                x, y = (_vectors(part.column(c).to_pylist(), dims) for c in ("pivot", "pivot_b"))
+                angle = np.arccos(np.clip(np.einsum("ij,ij->i", x, y), -1, 1))
+                reach = part.column("radius").to_numpy() + part.column("radius_b").to_numpy()
+                said = np.where(angle + reach < limit - SURE, 1, np.where(angle - reach > limit + SURE, -1, 0))
+                columns = ["g", "h", "head", "head_b", "total", "total_b"]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.select(columns).columns, pa.array(said.astype(np.int32))], [*columns, "said"]
+                )
+
+    return judge
+
+
 def _blocks(batches: Iterator) -> Iterator:
-    """Blocks of up to BLOCK neighbours of one large cell; `cells` holds each vector's large cells by table."""
-    import numpy as np
+    """Blocks of up to BLOCK vectors of one home, those of its core apart from the rest."""
     import pyarrow as pa
     from pyspark import TaskContext
 
     base, made = TaskContext.get().partitionId() << 32, 0
 
-    def block(key: int, rows: list[tuple]):
+    def block(of: tuple, rows: list[tuple]):
         nonlocal made
         made += 1
-        cells = np.zeros((len(rows), max(len(r[3]) for r in rows)), np.int64)
-        for k, r in enumerate(rows):
-            cells[k, : len(r[3])] = r[3]
         values = [
-            base + made, key, rows[0][4], [r[0] for r in rows], [r[1] for r in rows], cells.tobytes(),
-            _vectors([r[2] for r in rows], [r[4] for r in rows]).tobytes()
-        ]
-        kinds = [
-            pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()
+            base + made, of[0], of[1], rows[0][3], [r[0] for r in rows], [r[1] for r in rows],
+            _vectors([r[2] for r in rows], [r[3] for r in rows]).tobytes()
         ]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in BLOCKS.split(", ")]
         )
 
     last, rows = None, []
     for batch in batches:
-        for key, *row in zip(
-            *(batch.column(c).to_pylist() for c in ("key", "cid", "copies", "vector", "cells", "dims")), strict=True
+        for home, core, *row in zip(
+            *(batch.column(c).to_pylist() for c in ("home", "core", "cid", "copies", "vector", "dims")), strict=True
         ):
-            if rows and (last != (key, row[4]) or len(rows) == BLOCK):
-                yield block(last[0], rows)
+            if rows and (last != (home, core) or len(rows) == BLOCK):
+                yield block(last, rows)
                 rows = []
-            last = key, row[4]
+            last = home, core
             rows.append(row)
     if rows:
-        yield block(last[0], rows)
+        yield block(last, rows)
 
 
 def _forest(linked):
@@ -261,8 +305,8 @@ def _forest(linked):
 
 
 def _compare(cosine: float):
-    """Of each two blocks of a large cell: the links of their vectors, as numbers by vector and a forest; a pair counts
-    in the first large cell that it shares.
+    """Of each two blocks: the links of their vectors, as numbers by vector and a forest. What a step holds is bounded by
+    two blocks.
     """
 
     def compare(batches: Iterator) -> Iterator:
@@ -270,21 +314,12 @@ def _compare(cosine: float):
         import pyarrow as pa
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                (row,) = batch.slice(k, 1).to_pylist()
                 x, y = (np.frombuffer(row[c]).reshape(-1, row["dims"]) for c in ("vectors", "vectors_b"))
-                p, q = (np.frombuffer(row[c], np.int64).reshape(len(v), -1) for c, v in (("cells", x), ("cells_b", y)))
                 near = x @ y.T >= cosine
                 if row["block"] == row["block_b"]:
                     near = np.triu(near, 1)
-                # Cells are in the order of the tables, so the first one shared is the first that any place of one list
-                # has in the other's.
-                i, j = np.nonzero(near)
-                for k in range(0, len(i), 20_000):
-                    a, b = p[i[k : k + 20_000]], q[j[k : k + 20_000]]
-                    shared = ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] != 0)).any(axis=2)
-                    first = a[np.arange(len(a)), np.argmax(shared, axis=1)]
-                    gone = first != row["key"]
-                    near[i[k : k + 20_000][gone], j[k : k + 20_000][gone]] = False
                 if near.any():
                     out = []
                     for cids, links in (
@@ -300,6 +335,81 @@ def _compare(cosine: float):
     return compare
 
 
+def _links(cid=None, links=None, a=None, b=None):
+    """The columns of LINKS."""
+    null = F.lit(None).cast("long")
+    return [(null if c is None else c).cast("long").alias(n) for n, c in (("cid", cid), ("links", links), ("a", a), ("b", b))]
+
+
+def _crowds(large: DataFrame, packed: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the large cells (key, cid) hold: links as LINKS; each vector's home (cid, home); and the pairs of homes (g, h;
+    g <= h) whose vectors have been compared.
+
+    A vector's home is the least of its large cells, so the members of a group of near copies have few homes, however
+    many tables they meet in. Two homes that any large cell holds together are a pair; each pair of vectors has one pair
+    of homes and is compared once. Of each home, what lies within half the threshold's angle of a pivot is its core: all
+    linked, by the triangle inequality, so it is counted without a comparison, as are cores of two homes whose pivots and
+    radii prove it. The rest is compared by blocks.
+    """
+    homes = written(large.groupBy("cid").agg(F.min("key").alias("home")), "homes")
+    met = large.join(homes, "cid").select("key", "home").distinct()
+    pairs = (
+        met.withColumnRenamed("home", "g").join(met.withColumnRenamed("home", "h"), "key").where("g <= h").select("g", "h")
+    )
+    pairs = written(pairs.distinct(), "home-pairs")
+    members = written(packed.join(homes, "cid").select("home", "cid", "dims", "copies", "vector"), "members")
+    pivots = members.groupBy("home").agg(F.min_by("vector", "cid").alias("pivot"))
+    marked = members.join(pivots, "home").mapInArrow(
+        _cored(cosine), "home long, cid long, dims int, copies long, vector binary, core boolean, angle double"
+    )
+    marked = written(marked, "marked")
+    cores = written(
+        marked.where("core").groupBy("home").agg(
+            F.sum("copies").alias("total"), F.max("angle").alias("radius"), F.min("cid").alias("head"), F.first("dims").alias("dims")
+        ).join(pivots, "home"), "cores"
+    )
+    as_b = cores.select(F.col("home").alias("h"), *(F.col(c).alias(f"{c}_b") for c in ("total", "radius", "head", "pivot")))
+    judged = (
+        pairs.where("g < h").join(cores.withColumnRenamed("home", "g"), "g").join(as_b, "h").mapInArrow(
+            _class_pairs(cosine), "g long, h long, head long, head_b long, total long, total_b long, said int"
+        )
+    )
+    judged = written(judged, "judged")
+    whole = judged.where("said = 1")
+    more = whole.select(F.col("g").alias("home"), F.col("total_b").alias("more")).unionByName(
+        whole.select(F.col("h").alias("home"), F.col("total").alias("more"))
+    ).groupBy("home").agg(F.sum("more").alias("more"))
+    core = marked.where("core").select("home", "cid", "copies").join(cores.select("home", "total", "head"), "home").join(
+        more, "home", "left"
+    )
+    counted = core.select(*_links(F.col("cid"), F.col("total") - F.col("copies") + F.coalesce("more", F.lit(0))))
+    stars = core.where("cid <> head").select(*_links(a=F.col("head"), b=F.col("cid")))
+    bridges = whole.select(*_links(a=F.col("head"), b=F.col("head_b")))
+
+    blocks = written(
+        marked.select("home", "core", "cid", "copies", "vector", "dims")
+        .repartitionByRange("home", "core", "cid").sortWithinPartitions("home", "core", "cid")
+        .mapInArrow(_blocks, BLOCKS), "blocks"
+    )
+    kinds = lambda *rows: F.array(*(F.struct(F.lit(x).alias("core"), F.lit(y).alias("core_b")) for x, y in rows))
+    own = pairs.where("g = h").select("g", "h", F.explode(kinds((False, False), (False, True))).alias("k"))
+    cross = pairs.where("g < h").select("g", "h", F.explode(kinds((False, False), (False, True), (True, False))).alias("k"))
+    open_cores = judged.where("said = 0").select("g", "h", kinds((True, True))[0].alias("k"))
+    wanted = own.unionByName(cross).unionByName(open_cores).select("g", "h", "k.core", "k.core_b")
+    other = blocks.select(*(F.col(c).alias(f"{c}_b") for c in ("block", "home", "core", "cids", "copies", "vectors")))
+    # Block numbers meet first; the blocks themselves are joined to the pairs that are left.
+    name = blocks.select("block", F.col("home").alias("g"), "core")
+    name_b = blocks.select(F.col("block").alias("block_b"), F.col("home").alias("h"), F.col("core").alias("core_b"))
+    both = wanted.join(name, ["g", "core"]).join(name_b, ["h", "core_b"])
+    both = both.where("g < h OR core_b OR block <= block_b").select("block", "block_b")
+    compared = (
+        both.join(blocks.drop("home", "core"), "block").join(other.drop("home_b", "core_b"), "block_b")
+        .repartition("block", "block_b")
+        .mapInArrow(_compare(cosine), LINKS)
+    )
+    return counted.unionByName(stars).unionByName(bridges).unionByName(compared), homes, pairs
+
+
 def _verify(cosine: float):
     """The pairs that reach the threshold, by cosine in double precision."""
 
@@ -331,9 +441,8 @@ def embedding_groups(
     pair at a smaller angle collides more often. layout() fits the tables and cells to the size of the largest label, so
     that the work grows little faster than the number of vectors.
 
-    A cell of more than CELL nodes gives no pairs: its nodes are compared by blocks, exactly, which give numbers of
-    links and a forest, so that a large group of near copies costs no row a pair. A pair that shares several such cells
-    counts in the first.
+    A cell of more than CELL nodes gives no pairs: _crowds() counts its links exactly, each pair of vectors once however
+    many cells it shares, and what lies close around a pivot without comparing pairs.
 
     Null, zero or non-finite vectors, and null labels, link with nothing and stay in their own component. Vectors of
     different length don't link. A null vec_id gets its group's component_id and isn't kept. Repeated rows count as
@@ -374,30 +483,8 @@ def embedding_groups(
     )
     collisions = written(sorted_rows.mapInArrow(_windows(width, reach), COLLISIONS), "collisions")
 
-    large = collisions.where("key IS NOT NULL").select("key", "at", "cid")
-    # Equal cells are equal keys of one table, so lists in the order of their keys are in one order for all.
-    cells = large.groupBy("cid").agg(F.array_sort(F.collect_set("key")).alias("cells"))
-    members = (
-        large
-        .join(cells, "cid")
-        .join(packed, "cid")
-        .select("key", "at", "cid", "copies", "vector", "cells", "dims")
-    )
-    blocks = written(
-        members.repartitionByRange("key", "dims", "at").sortWithinPartitions("key", "dims", "at").mapInArrow(_blocks, BLOCKS),
-        "blocks"
-    )
-    other = blocks.select(
-        "key", "dims", *(F.col(c).alias(f"{c}_b") for c in ("block", "cids", "copies", "cells", "vectors"))
-    )
-    dense = (
-        blocks
-        .join(other, ["key", "dims"])
-        .where("block <= block_b")
-        .repartition("block", "block_b")
-        .mapInArrow(_compare(cosine), LINKS)
-    )
-
+    packed = written(packed, "packed")
+    dense, homes, compared = _crowds(collisions.where("key IS NOT NULL").select("key", "cid"), packed, cosine)
     pairs = (
         collisions
         .where("a IS NOT NULL")
@@ -406,17 +493,15 @@ def embedding_groups(
         .where(F.col("n") >= count)
         .select("a", "b")
     )
-    own = packed.join(cells, "cid", "left").select(
-        "cid", "owner", "dims", "copies", "vector", F.coalesce("cells", F.array().cast("array<long>")).alias("cells")
-    )
+    own = packed.join(homes, "cid", "left").select("cid", "owner", "dims", "copies", "vector", "home")
     full = pairs.join(own.withColumnRenamed("cid", "a"), "a").join(
         own.select(*(F.col(c).alias("b" if c == "cid" else f"{c}_b") for c in own.columns)), "b"
     )
-    full = full.where(
-        (
-            F.col("owner") == F.col("owner_b")
-        ) & (F.col("dims") == F.col("dims_b")) & ~F.arrays_overlap("cells", "cells_b")
+    full = full.where((F.col("owner") == F.col("owner_b")) & (F.col("dims") == F.col("dims_b"))).withColumns(
+        {"g": F.least("home", "home_b"), "h": F.greatest("home", "home_b")}
     )
+    one_home = full.where("home IS NULL OR home_b IS NULL")
+    full = one_home.unionByName(full.where("home IS NOT NULL AND home_b IS NOT NULL").join(compared, ["g", "h"], "left_anti").select(*full.columns))
     close = full.select("a", "b", "dims", "copies", "copies_b", "vector", "vector_b").mapInArrow(
         _verify(cosine), "a long, b long, copies long, copies_b long"
     )

@@ -488,3 +488,49 @@ def test_pipeline_keeps_one_document_of_each_group(spark):
     )
     kept = sorted(((r.doc_id, r.text) for r in p.simhash_stage(spark, docs, "").collect()), key=text_key)
     assert kept == sorted([(5, one), (7, other), (7, third), (8, None)], key=text_key)
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.2, 0.3])
+def test_embedding_groups_with_a_cluster_of_near_copies(spark, noise):
+    """Half of six thousand vectors of a label are near copies: close ones are counted around a pivot, others compared once.
+    """
+    import time
+
+    rng = np.random.default_rng(1)
+    x = np.vstack([rng.standard_normal((3_000, 64)), rng.standard_normal(64) + noise * rng.standard_normal((3_000, 64))])
+    rng.shuffle(x)
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    began = time.time()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_groups(df).collect()}
+    took = time.time() - began
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    roots = least_component(range(len(x)), zip(*(v.tolist() for v in np.nonzero(np.triu(near))), strict=True))
+    assert got == {i: (int(near[i].sum()), roots[i]) for i in range(len(x))}
+    assert took < 120  # some 15 s alone on four cores
+
+
+def test_no_pair_of_blocks_is_compared_twice(spark):
+    from lakeloom.llm import embedding
+
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal(16) + 0.22 * rng.standard_normal((900, 16))
+    rows = [(i, 1, 16, 1, v.astype("<f8").tobytes()) for i, v in enumerate(x)]
+    packed = spark.createDataFrame(rows, "cid long, owner long, dims int, copies long, vector binary")
+    cells = [(t * 10 + int(c), i) for t in range(30) for i, c in enumerate(rng.random(900) < 0.8)]
+    large = spark.createDataFrame(cells, "key long, cid long")
+    links, homes, pairs = embedding._crowds(large, packed, 0.93)
+    got = links.collect()
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    count = [0] * 900
+    for r in got:
+        if r.cid is not None:
+            count[r.cid] += r.links
+    assert count == near.sum(axis=1).tolist()
+    own = {r.cid: r.home for r in homes.collect()}
+    assert len(own) == 900 and own[0] == min(k for k, i in cells if i == 0)
+    told = [(r.g, r.h) for r in pairs.collect()]
+    assert len(told) == len(set(told)) and all(g <= h for g, h in told)
