@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import has_columns, ship, text_hash
+from .common import has_columns, ship, text_hash, written
 
 #: Odd, so that a product with one loses no bit modulo 2**64; the second round has two hashes of its own.
 BASE, BASES = 0x9E3779B97F4A7C15, (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -152,23 +152,30 @@ def _unpacked(data: bytes):
 
 
 def _owners(block: Block, at) -> bytes:
-    """The documents in which the ascending positions lie: ids, places in reading order, first positions. No more than there
-    are positions, so a bucket's rows don't grow with the blocks' documents.
+    """The documents in which the ascending positions lie: ids, first positions and, where an id stands on several rows,
+    places in reading order. No more than there are positions, so a bucket's rows don't grow with the blocks' documents.
     """
     import numpy as np
 
     own = np.unique(np.searchsorted(block.firsts, at, side="right") - 1)
     ids, rows, firsts = block.doc_ids[own], block.rows[own], block.firsts[own]
-    return struct.pack("<I", len(own)) + ids.astype("<i8").tobytes() + rows.astype("<i8").tobytes() + firsts.astype("<u4").tobytes()
+    gaps = np.diff(ids, prepend=ids[:1])
+    narrow, tied = bool(gaps.min() >= 0 and gaps.max() < 1 << 32), bool(rows.any())
+    head = struct.pack("<qI??", int(ids[0]), len(own), narrow, tied)
+    told = gaps.astype("<u4") if narrow else ids.astype("<i8")
+    return head + told.tobytes() + firsts.astype("<u4").tobytes() + (rows.astype("<i8").tobytes() if tied else b"")
 
 
 def _owned(data: bytes):
     """(ids, rows, first positions) from _owners()."""
     import numpy as np
 
-    (n,) = struct.unpack_from("<I", data)
-    ids, rows = np.frombuffer(data, "<i8", n, 4), np.frombuffer(data, "<i8", n, 4 + 8 * n)
-    return ids, rows, np.frombuffer(data, "<u4", n, 4 + 16 * n).astype(np.int64)
+    first, n, narrow, tied = struct.unpack_from("<qI??", data)
+    at = struct.calcsize("<qI??")
+    end = at + n * (4 if narrow else 8)
+    ids = first + np.cumsum(np.frombuffer(data[at:end], "<u4").astype(np.int64)) if narrow else np.frombuffer(data[at:end], "<i8")
+    firsts = np.frombuffer(data, "<u4", n, end).astype(np.int64)
+    return ids, np.frombuffer(data, "<i8", n, end + 4 * n) if tied else np.zeros(n, np.int64), firsts
 
 
 def _gaps(at) -> bytes:
@@ -427,10 +434,15 @@ def removal_intervals(docs: DataFrame, n: int = 20, buckets: int | None = None,
         maybe
         .select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_key"), "text_hash", span)
         .groupBy("doc_key", "text_hash")
-        .agg(F.max("spans").alias("spans"))
+        .agg(F.max("spans").alias("spans"), F.count(F.lit(1)).alias("rows"))
     )
+    # Only ids of several rows need the rows' places to be told apart.
+    maybe = written(maybe, "maybe")
+    several = maybe.groupBy("doc_key").agg(F.sum("rows").alias("rows")).where("rows > 1").select("doc_key", F.lit(True).alias("tied"))
+    maybe = maybe.drop("rows").join(several, "doc_key", "left")
     # columns as in substring_dedup, so that texts are shuffled once
-    again = keyed.join(maybe, ["doc_key", "text_hash"]).select("doc_id", "text", "text_hash", "spans", "row")
+    place = F.when(F.col("tied"), F.col("row") + 1).otherwise(0).alias("row")
+    again = keyed.join(maybe, ["doc_key", "text_hash"]).select("doc_id", "text", "text_hash", "spans", place)
     parts = again.mapInArrow(_scan(n, names, True), PARTS)
     return _by_document(parts.groupBy("bucket").applyInArrow(_later, FOUND), n)
 
