@@ -679,6 +679,15 @@ def p13_active_segment(spark, sf_dir):
     ).select("c_custkey")
 
 
+def case_variants(df: DataFrame, code: str) -> DataFrame:
+    """(folded, variants, spellings): codes that are spelt in several ways that differ in letter case alone, with the
+    spellings in order.
+    """
+    spelt = df.where(F.col(code).isNotNull()).select(F.lower(code).alias("folded"), F.col(code).alias("_code")).distinct()
+    found = spelt.groupBy("folded").agg(F.count(F.lit(1)).alias("variants"), F.sort_array(F.collect_list("_code")).alias("spellings"))
+    return found.where("variants > 1")
+
+
 @query(
     "b54_case_variants",
     "SELECT lower(code) AS folded, count(DISTINCT code) AS variants FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN "
@@ -687,13 +696,7 @@ def p13_active_segment(spark, sf_dir):
 def b54_case_variants(spark, sf_dir):
     """Codes that differ only in letter case."""
     code = F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")).otherwise(F.upper("p_brand"))
-    return (
-        t(spark, sf_dir, "part")
-        .select(code.alias("code"))
-        .groupBy(F.lower("code").alias("folded"))
-        .agg(F.count_distinct("code").alias("variants"))
-        .where("variants > 1")
-    )
+    return case_variants(t(spark, sf_dir, "part").select(code.alias("code")), "code").select("folded", "variants")
 
 
 def shortlist(rows: DataFrame, who: str, product: str, at_least: int) -> DataFrame:

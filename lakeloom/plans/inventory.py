@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,6 +47,16 @@ def b15_stock_balance(spark, sf_dir):
     return stock_balance(*_flows(spark, sf_dir), ["l_partkey", "l_suppkey"], "l_quantity")
 
 
+def balance_difference(balance: DataFrame, hand: DataFrame, keys: list[str], told: str, counted: str) -> DataFrame:
+    """What the books and the count say of each key, their absolute difference, and that as a share of the count (null
+    where nothing was counted).
+    """
+    diff = F.abs(F.col(told) - F.col(counted))
+    return balance.select(*keys, told).join(hand.select(*keys, counted), keys).withColumns(
+        {"diff": diff, "diff_share": F.round(F.try_divide(diff, counted), 6)}
+    )
+
+
 @query(
     "b16_balance_diff",
     f"""WITH {_BALANCE} SELECT l_partkey, balance, on_hand, abs(balance - on_hand) AS diff, round(abs(balance - on_hand)
@@ -54,14 +66,17 @@ def b15_stock_balance(spark, sf_dir):
 )
 def b16_balance_diff(spark, sf_dir):
     """Balance against stock on hand."""
-    balance = stock_balance(*_flows(spark, sf_dir), ["l_partkey"], "l_quantity").select("l_partkey", "balance")
+    balance = stock_balance(*_flows(spark, sf_dir), ["l_partkey"], "l_quantity")
     hand = t(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), (F.col("p_size") * F.lit(10.0)).alias("on_hand")
     )
-    diff = F.abs(F.col("balance") - F.col("on_hand"))
-    return balance.join(hand, "l_partkey").withColumns(
-        {"diff": diff, "diff_share": F.round(F.try_divide(diff, "on_hand"), 6)}
-    )
+    return balance_difference(balance, hand, ["l_partkey"], "balance", "on_hand")
+
+
+def last_snapshots(snapshots: DataFrame, keys: list[str], day: str, grain: str = "month") -> DataFrame:
+    """Of daily snapshots the last of each key and month (or another grain): an aggregate, combined before it is shuffled."""
+    newest = F.max_by(F.struct(*snapshots.columns), day).alias("_last")
+    return snapshots.groupBy(*keys, F.trunc(day, grain).alias("_grain")).agg(newest).select("_last.*")
 
 
 @query(
@@ -75,8 +90,7 @@ def b17_snapshots(spark, sf_dir):
     daily = t(spark, sf_dir, "lineitem").groupBy(
         F.col("l_partkey").alias("p"), F.to_date("l_shipdate").alias("d")
     ).agg(F.sum("l_quantity").alias("quantity"))
-    last = R.top_k(daily.withColumn("m", F.trunc("d", "month")), ["p", "m"], [F.col("d").desc()])
-    return last.select("p", day_text("d").alias("day"), "quantity")
+    return last_snapshots(daily, ["p"], "d").select("p", day_text("d").alias("day"), "quantity")
 
 
 def accounting_month(at: Column, cut_off_day: int) -> Column:
@@ -142,6 +156,22 @@ def b18_stock_movement(spark, sf_dir):
     )
 
 
+def signed_allocation(
+    ledger: DataFrame, reference: list[str], amount: str, signs: list[tuple[Column, int]], otherwise: int = 1
+) -> DataFrame:
+    """Ledger rows with `signed`, the amount with the sign of the first rule that holds, and `share`, the row's part of its
+    reference's total amount (null where that is zero). The total is an aggregate joined back, so a reference with very
+    many rows is no single task.
+    """
+    sign = reduce(lambda c, r: c.when(r[0], r[1]), signs[1:], F.when(signs[0][0], signs[0][1])).otherwise(otherwise)
+    total = ledger.groupBy(*(F.col(k).alias(f"_k_{k}") for k in reference)).agg(F.sum(amount).alias("_total"))
+    same = reduce(lambda a, b: a & b, (ledger[k].eqNullSafe(total[f"_k_{k}"]) for k in reference))
+    rows = ledger.join(total, same).withColumns(
+        {"signed": sign * F.col(amount), "share": F.try_divide(F.col(amount), F.col("_total"))}
+    )
+    return rows.drop("_total", *(f"_k_{k}" for k in reference))
+
+
 @query(
     "b19_signed_allocation",
     """SELECT l_orderkey, sum(signed) AS signed, round(max(share), 8) AS largest_share FROM (SELECT l_orderkey, CASE
@@ -150,11 +180,8 @@ def b18_stock_movement(spark, sf_dir):
 )
 def b19_signed_allocation(spark, sf_dir):
     """A ledger's signs, and shares of the reference's total."""
-    sign = F.when(F.col("l_returnflag") == "R", -1).when(F.col("l_linestatus") == "O", 0).otherwise(1)
-    rows = t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", (sign * F.col("l_quantity")).alias("signed"),
-        R.share_of_total("l_quantity", ["l_orderkey"]).alias("share")
-    )
+    signs = [(F.col("l_returnflag") == "R", -1), (F.col("l_linestatus") == "O", 0)]
+    rows = signed_allocation(t(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_quantity", signs)
     return rows.groupBy("l_orderkey").agg(
         F.sum("signed").alias("signed"), F.round(F.max("share"), 8).alias("largest_share")
     )
@@ -228,6 +255,16 @@ def b21_status_by_day(spark, sf_dir):
     return out.select("user_id", "event_type", "filled", day_text("day").alias("day"))
 
 
+def status_rollup(
+    days: DataFrame, group: list[Column], normal: Column, out: Column, names: tuple[str, str, str] = ("NORMAL", "OUT", "MIXED")
+) -> DataFrame:
+    """The status of each group and day from its members: normal where any is, out where all are, else mixed."""
+    status = (
+        F.when(F.count_if(normal) > 0, names[0]).when(F.count_if(out) == F.count(F.lit(1)), names[1]).otherwise(names[2])
+    )
+    return days.groupBy(*group).agg(status.alias("status"))
+
+
 @query(
     "b22_status_rollup",
     f"""WITH {_DAYS} SELECT user_id % 10 AS grp, strftime(d, '%Y-%m-%d') AS day, CASE WHEN count(*) FILTER (WHERE
@@ -237,12 +274,9 @@ def b21_status_by_day(spark, sf_dir):
 def b22_status_rollup(spark, sf_dir):
     """Any normal is normal, all out is out."""
     days = status_by_day(_spans(spark, sf_dir), ["user_id"], "event_type", "2024-01-01", "2024-01-31")
-    status = (
-        F.when(F.count_if(F.col("event_type") == "purchase") > 0, "NORMAL")
-        .when(F.count_if(F.col("event_type") == "error") == F.count(F.lit(1)), "OUT")
-        .otherwise("MIXED")
-    )
-    return days.groupBy((F.col("user_id") % 10).alias("grp"), day_text("day").alias("day")).agg(status.alias("status"))
+    kind = F.col("event_type")
+    group = [(F.col("user_id") % 10).alias("grp"), day_text("day").alias("day")]
+    return status_rollup(days, group, kind == "purchase", kind == "error")
 
 
 def out_of_stock(changes: DataFrame, key: str, at: str, tie: str, out: Column, as_of: Column) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
+from lakeloom.operators import rollups as U
 from lakeloom.operators import scans as S
 
 from .registry import day_text, query, t
@@ -254,6 +255,32 @@ def b45_care_followup(spark, sf_dir):
     return care_followup(tasks, orders, "who", "task", "task_at")
 
 
+def territory_access(staff: DataFrame, person: str, manager: str, owned: DataFrame, place: str) -> DataFrame:
+    """(person, place, depth) of every place that a person may see: their own (depth 0) and those of all staff below them,
+    at any number of levels; the least depth where there are several. `owned` has a person and a place. Managers in a
+    circle see each other's places.
+    """
+    above = U.closure(staff, person, manager).select(F.col("child").alias("_owner"), F.col("ancestor").alias(person), "depth")
+    mine = owned.select(F.col(person).alias("_owner"), place)
+    below = mine.join(above, "_owner").select(person, place, "depth")
+    own = owned.select(person, place, F.lit(0).cast("long").alias("depth"))
+    return own.unionByName(below).groupBy(person, place).agg(F.min("depth").alias("depth"))
+
+
+@query(
+    "b52_territory_access",
+    """WITH RECURSIVE edge AS (SELECT s_suppkey AS c, s_suppkey // 4 AS p FROM supplier WHERE s_suppkey >= 4), walk AS (
+    SELECT s_suppkey AS owner, s_suppkey AS person, 0 AS depth FROM supplier UNION ALL
+    SELECT owner, p, depth + 1 FROM walk JOIN edge ON c = person)
+    SELECT person, s_nationkey AS nation, min(depth) AS depth FROM walk JOIN supplier ON s_suppkey = owner GROUP BY ALL""",
+)
+def b52_territory_access(spark, sf_dir):
+    """Suppliers as staff, supplier n below n / 4, and the nations that each may see."""
+    people = t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("person"), F.col("s_nationkey").alias("nation"))
+    staff = people.where("person >= 4").select("person", F.expr("person div 4").alias("manager"))
+    return territory_access(staff, "person", "manager", people, "nation")
+
+
 @query(
     "b52_growth_territory",
     """SELECT s_suppkey AS employee, w.n_nationkey AS ward,

@@ -22,6 +22,17 @@ def items_of(spark, sf_dir) -> DataFrame:
     )
 
 
+def order_channels(sources: dict[str, tuple[DataFrame, Column, list[tuple[Column, str]], str]]) -> DataFrame:
+    """(order_key, origin, channel) of the orders of several systems. Each origin has its table, the column of its keys, its
+    channel rules in order of precedence, and the channel of orders that no rule names.
+    """
+    rows = [
+        df.select(key.alias("order_key"), F.lit(origin).alias("origin"), R.classify(rules, other).alias("channel"))
+        for origin, (df, key, rules, other) in sources.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query(
     "b4_order_channel",
     """SELECT o_orderkey, 'store' AS origin, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'express' WHEN
@@ -31,15 +42,14 @@ def items_of(spark, sf_dir) -> DataFrame:
 )
 def b4_order_channel(spark, sf_dir):
     """Channel rules, and a second source of orders."""
-    channel = R.classify(
-        [(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "express"), (F.col("o_orderkey") % 2 == 0, "app")], "web"
-    )
-    first = t(spark, sf_dir, "orders").select("o_orderkey", F.lit("store").alias("origin"), channel.alias("channel"))
-    second = t(spark, sf_dir, "events").where("event_type = 'purchase'").select(
-        F.col("event_id").alias("o_orderkey"), F.lit("events").alias("origin"),
-        R.classify([(F.col("value") > 50, "app")], "web").alias("channel")
-    )
-    return first.unionByName(second)
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    sources = {
+        "store": (t(spark, sf_dir, "orders"), F.col("o_orderkey"), [(urgent, "express"), (F.col("o_orderkey") % 2 == 0, "app")], "web"),
+        "events": (
+            t(spark, sf_dir, "events").where("event_type = 'purchase'"), F.col("event_id"), [(F.col("value") > 50, "app")], "web"
+        ),
+    }
+    return order_channels(sources).withColumnRenamed("order_key", "o_orderkey")
 
 
 def exact_net() -> Column:
@@ -436,9 +446,9 @@ def margin(items: DataFrame, bills: DataFrame, purchases: DataFrame, product: st
 @query(
     "b28_margin",
     """WITH item AS (SELECT *, l_extendedprice / l_quantity * 0.8 AS own FROM lineitem), po AS (SELECT l_partkey AS p,
-    CAST(l_shipdate AS DATE) AS d, min(own) AS c FROM item WHERE l_orderkey % 5 = 0 GROUP BY ALL),
+    CAST(l_shipdate AS DATE) AS d, min(own) AS c FROM item WHERE l_returnflag = 'A' GROUP BY ALL),
     mon AS (SELECT l_partkey AS p, date_trunc('month', l_shipdate) + INTERVAL 1 MONTH AS m, avg(own) AS c FROM item
-    WHERE l_orderkey % 5 = 0 GROUP BY ALL)
+    WHERE l_returnflag = 'A' GROUP BY ALL)
     SELECT cost_from, count(*) AS n, round(sum((price - cost) * l_quantity), 3) AS profit FROM (SELECT l_quantity,
     l_extendedprice / l_quantity AS price, CASE WHEN l_linenumber = 1 THEN own WHEN po.c IS NOT NULL THEN po.c ELSE
     mon.c END AS cost,
@@ -452,7 +462,7 @@ def b28_margin(spark, sf_dir):
     own = F.col("l_extendedprice") / F.col("l_quantity") * 0.8
     items = items_of(spark, sf_dir)
     bills = items.where("l_linenumber = 1").groupBy("line").agg(F.min(own).alias("bill_cost"))
-    purchases = items.where("l_orderkey % 5 = 0").select(
+    purchases = items.where("l_returnflag = 'A'").select(
         "l_partkey", F.col("l_shipdate").alias("cost_at"), own.alias("cost")
     )
     rows = margin(items, bills, purchases, "l_partkey", "l_shipdate")
@@ -492,16 +502,16 @@ def profit_lines(
     """WITH item AS (SELECT *, l_extendedprice / l_quantity AS price FROM lineitem), told AS (SELECT l_orderkey,
     l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, price, price * 0.8 AS cost,
     CASE WHEN l_partkey % 3 = 0 AND CAST(l_shipdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' THEN 0.05
-    ELSE 0 END AS rebate, (l_suppkey % 4) / 100.0 AS fee_rate FROM item WHERE l_linenumber = 1)
+    ELSE 0 END AS rebate, (l_suppkey % 4) / 100.0 AS fee_rate FROM item)
     SELECT l_orderkey, l_partkey, l_suppkey, round(sum(cost * (1 - rebate) * l_quantity), 6) AS net_cost,
     round(sum(price * fee_rate * l_quantity), 6) AS fee, round(sum((price - cost * (1 - rebate) - price * fee_rate) *
     l_quantity), 6) AS profit FROM told GROUP BY ALL""",
 )
 def b28_profit_lines(spark, sf_dir):
-    """Rebate and seller's fee by line; billed lines, a rebate of two years on every third product, fees by
+    """Rebate and seller's fee by line; a bill for each line, a rebate of two years on every third product, fees by
     supplier.
     """
-    items = items_of(spark, sf_dir).where("l_linenumber = 1")
+    items = items_of(spark, sf_dir)
     price = F.col("l_extendedprice") / F.col("l_quantity")
     bills = items.groupBy("line").agg(F.min(price * 0.8).alias("bill_cost"))
     purchases = items.select(
@@ -755,6 +765,33 @@ def b47_substitutes(spark, sf_dir):
     return substitutes(t(spark, sf_dir, "part"), "p_partkey", ["p_brand", "p_type"], "p_size")
 
 
+def substitute_classes(products: DataFrame, product: str, alike: list[str], size: str, near: int = 2) -> DataFrame:
+    """Products alike in the given columns as classes of one size, and each class with itself and the others of its kind:
+    (alike, size, other_size, relation, n, n_other). A class stands for its products, so a kind of very many products
+    gives rows by the square of its sizes, not of its products; join substitute members by class where pairs are asked.
+
+    The relation of a class with itself holds between its different products; a class of one has none.
+    """
+    classes = products.groupBy(*alike, size).agg(F.count(product).alias("n"))
+    other = classes.select(*alike, F.col(size).alias("other_size"), F.col("n").alias("n_other"))
+    gap = F.abs(F.col(size) - F.col("other_size"))
+    kind = R.classify([(gap == 0, "same size"), (gap <= near, "near size")], "other size")
+    rows = classes.join(other, alike).where((F.col(size) < F.col("other_size")) | ((gap == 0) & (F.col("n") > 1)))
+    return rows.select(*alike, F.col(size).alias("size"), "other_size", kind.alias("relation"), "n", "n_other")
+
+
+@query(
+    "b47_substitute_classes",
+    """WITH c AS (SELECT p_type, p_size, count(*) AS n FROM part GROUP BY ALL) SELECT a.p_type, a.p_size AS size, b.p_size AS
+    other_size, CASE WHEN a.p_size = b.p_size THEN 'same size' WHEN abs(a.p_size - b.p_size) <= 2 THEN 'near size' ELSE
+    'other size' END AS relation, a.n, b.n AS n_other FROM c a JOIN c b ON a.p_type = b.p_type AND (a.p_size < b.p_size OR
+    (a.p_size = b.p_size AND a.n > 1))""",
+)
+def b47_substitute_classes(spark, sf_dir):
+    """Classes of products of one type and size, and how they relate."""
+    return substitute_classes(t(spark, sf_dir, "part"), "p_partkey", ["p_type"], "p_size")
+
+
 def sell_out(
     items: DataFrame, blocked: DataFrame, customer: str, at: str, keys: list[str], quantity: str, at_least: float
 ) -> DataFrame:

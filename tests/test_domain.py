@@ -114,3 +114,44 @@ def test_rules_tickets_and_ranks(spark):
     assert rows(out) == want
     tickets = spark.createDataFrame([("ann", at(1), at(2), "good"), ("ann", at(3), at(2), "bad")], "who string, done timestamp, due timestamp, said string")
     assert rows(operations.ticket_sla(tickets, "who", "done", F.col("due"), "said", ["done"])) == [("ann", 1, 1, "bad")]
+
+
+def test_channels_variants_and_classes(spark):
+    a, b = spark.createDataFrame([(1, True), (2, None)], "k int, fast boolean"), spark.createDataFrame([(1,)], "id int")
+    sources = {"a": (a, F.col("k"), [(F.col("fast"), "express")], "slow"), "b": (b, F.col("id"), [(F.lit(False), "x")], "y")}
+    assert rows(orders.order_channels(sources)) == [(1, "a", "express"), (1, "b", "y"), (2, "a", "slow")]
+    codes = spark.createDataFrame([("Ab",), ("AB",), ("ab",), ("Ab",), ("c",), (None,)], "code string")
+    assert rows(customers.case_variants(codes, "code")) == [("ab", 3, ["AB", "Ab", "ab"])]
+    wares = spark.createDataFrame([(1, "x", 1), (2, "x", 1), (3, "x", 3), (4, "x", 9), (5, "y", 1)], "p int, kind string, size int")
+    got = rows(orders.substitute_classes(wares, "p", ["kind"], "size"))
+    assert got == [("x", 1, 1, "same size", 2, 2), ("x", 1, 3, "near size", 2, 1), ("x", 1, 9, "other size", 2, 1), ("x", 3, 9, "other size", 1, 1)]
+    pairs = orders.substitutes(wares, "p", ["kind"], "size")
+    assert pairs.count() == sum(n * (n - 1) // 2 if s == o else n * m for _, s, o, _, n, m in got)
+
+
+def test_balances_snapshots_signs_and_rollups(spark):
+    told = spark.createDataFrame([("a", 10.0), ("b", 3.0), ("c", 1.0)], "k string, told double")
+    hand = spark.createDataFrame([("a", 8.0), ("b", 0.0), ("d", 1.0)], "k string, hand double")
+    assert rows(inventory.balance_difference(told, hand, ["k"], "told", "hand")) == [("a", 10.0, 8.0, 2.0, 0.25), ("b", 3.0, 0.0, 3.0, None)]
+    days = spark.createDataFrame([(1, date(2024, 1, 3), 5), (1, date(2024, 1, 30), 6), (1, date(2024, 2, 1), 7), (None, date(2024, 1, 1), 8)], "k int, d date, n int")
+    assert sorted((r.k or 0, r.n) for r in inventory.last_snapshots(days, ["k"], "d").collect()) == [(0, 8), (1, 6), (1, 7)]
+    ledger = spark.createDataFrame([("r", 1.0, "back"), ("r", 3.0, "open"), (None, 2.0, "sold"), ("z", 0.0, "sold")], "ref string, q double, kind string")
+    signs = [(F.col("kind") == "back", -1), (F.col("kind") == "open", 0)]
+    got = inventory.signed_allocation(ledger, ["ref"], "q", signs)
+    assert rows(got.select("ref", "signed", "share")) == rows(spark.createDataFrame(
+        [("r", -1.0, 0.25), ("r", 0.0, 0.75), (None, 2.0, 1.0), ("z", 0.0, None)], "ref string, signed double, share double"
+    ))
+    states = spark.createDataFrame([("g", 1, "ok"), ("g", 1, "out"), ("g", 2, "out"), ("g", 3, "out"), ("g", 3, None)], "g string, d int, s string")
+    said = inventory.status_rollup(states, [F.col("g"), F.col("d")], F.col("s") == "ok", F.col("s") == "out")
+    assert rows(said) == [("g", 1, "NORMAL"), ("g", 2, "OUT"), ("g", 3, "MIXED")]
+
+
+def test_territories_of_staff_at_any_level(spark):
+    staff = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "c"), ("x", "y"), ("y", "x")], "who string, boss string")
+    owned = spark.createDataFrame([("a", 1), ("c", 3), ("d", 3), ("d", 4), ("x", 8), ("y", 9)], "who string, ward int")
+    got = operations.territory_access(staff, "who", "boss", owned, "ward")
+    want = [
+        ("a", 1, 0), ("a", 3, 2), ("a", 4, 3), ("b", 3, 1), ("b", 4, 2), ("c", 3, 0), ("c", 4, 1), ("d", 3, 0), ("d", 4, 0),
+        ("x", 8, 0), ("x", 9, 1), ("y", 8, 1), ("y", 9, 0),
+    ]
+    assert rows(got) == want
