@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import columns as C
 from lakeloom.operators import relational as R
 from lakeloom.operators import scans as S
+from lakeloom.sources.io import scratch_folder
 
 from .registry import day_text, query, t
 
@@ -547,8 +548,11 @@ def dynamic_segment(
         "o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice", F.to_date("o_orderdate").alias("day")
     )
     items = items.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    spark, path = customers.sparkSession, scratch_folder(customers.sparkSession, "range-totals")
     totals = _range_totals(customers, ranges, live, items)
-    sold = live.join(items, "o_orderkey").select("c_custkey", "l_partkey", "day").distinct()
+    totals.write.parquet(path)  # rules meet them up to three times
+    totals = spark.read.schema(totals.schema).parquet(path)
+    sold = live.join(items, "o_orderkey").select("c_custkey", "l_partkey", "day")
 
     def bought(i: int) -> DataFrame:
         used = parsed.where(F.col("operator").isin(*(("NEW", "CHURN", "EXCEPT") if i == 1 else ("CHURN", "EXCEPT"))))
@@ -560,7 +564,8 @@ def dynamic_segment(
         listed = used.where(F.col(f"products{i}").isNotNull()).select(
             "segment_id", product.alias("l_partkey"), start.alias("_from"), end.alias("_to")
         )
-        listed = S.range_join(sold, listed, "day", "_from", "_to", ["l_partkey"]).select("segment_id", "c_custkey")
+        named = sold.join(listed.select("l_partkey").distinct(), "l_partkey", "left_semi").distinct()
+        listed = S.range_join(named, listed, "day", "_from", "_to", ["l_partkey"]).select("segment_id", "c_custkey")
         open_lists = used.where(F.col(f"products{i}").isNull()).select("segment_id", F.col(f"range{i}_id").alias("range_id"))
         any_product = totals.where("sold > 0").join(open_lists, "range_id").select("segment_id", "c_custkey")
         return listed.unionByName(any_product).distinct().withColumn(f"bought{i}", F.lit(True))
