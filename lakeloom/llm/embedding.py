@@ -6,7 +6,7 @@ import functools
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, written
@@ -351,11 +351,11 @@ def _crowds(large: DataFrame, packed: DataFrame, cosine: float) -> tuple[DataFra
     linked, by the triangle inequality, so it is counted without a comparison, as are cores of two homes whose pivots and
     radii prove it. The rest is compared by blocks.
     """
-    homes = written(large.groupBy("cid").agg(F.min("key").alias("home")), "homes")
-    met = large.join(homes, "cid").select("key", "home").distinct()
-    pairs = (
-        met.withColumnRenamed("home", "g").join(met.withColumnRenamed("home", "h"), "key").where("g <= h").select("g", "h")
-    )
+    # A vector lies in no more cells than there are tables.
+    placed = written(large.withColumn("home", F.min("key").over(Window.partitionBy("cid"))), "placed")
+    homes = placed.where("key = home").select("cid", "home")
+    met = placed.groupBy("key").agg(F.array_sort(F.collect_set("home")).alias("all"))
+    pairs = met.select(F.explode("all").alias("g"), "all").select("g", F.explode(F.filter("all", lambda h: h >= F.col("g"))).alias("h"))
     pairs = written(pairs.distinct(), "home-pairs")
     members = written(packed.join(homes, "cid").select("home", "cid", "dims", "copies", "vector"), "members")
     pivots = members.groupBy("home").agg(F.min_by("vector", "cid").alias("pivot"))
@@ -365,9 +365,10 @@ def _crowds(large: DataFrame, packed: DataFrame, cosine: float) -> tuple[DataFra
     marked = written(marked, "marked")
     cores = written(
         marked.where("core").groupBy("home").agg(
-            F.sum("copies").alias("total"), F.max("angle").alias("radius"), F.min("cid").alias("head"), F.first("dims").alias("dims")
-        ).join(pivots, "home"), "cores"
-    )
+            F.sum("copies").alias("total"), F.max("angle").alias("radius"), F.min("cid").alias("head"),
+            F.first("dims").alias("dims"), F.min_by("vector", "cid").alias("pivot")  # the least is the pivot itself
+        ), "cores"
+    )
     as_b = cores.select(F.col("home").alias("h"), *(F.col(c).alias(f"{c}_b") for c in ("total", "radius", "head", "pivot")))
     judged = (
         pairs.where("g < h").join(cores.withColumnRenamed("home", "g"), "g").join(as_b, "h").mapInArrow(
