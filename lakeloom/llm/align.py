@@ -255,7 +255,10 @@ def bitmaps(codes, docs) -> tuple:
     import numpy as np
     import pyarrow as pa
 
-    links = np.sort(codes.astype(np.uint64) << np.uint64(16) | docs.astype(np.uint64))
+    links = codes.astype(np.uint64)
+    links <<= np.uint64(16)
+    links |= docs
+    links.sort()  # in place, as a block's links are the largest arrays here
     first = np.flatnonzero(np.r_[True, links[1:] != links[:-1]]) if len(links) else np.zeros(0, np.int64)
     more = np.diff(np.r_[first, len(links)]) - 1  # links of the pair in the document beyond the first
     held = links[first]
