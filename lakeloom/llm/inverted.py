@@ -30,10 +30,10 @@ def pack_places(places, first):
 
     gaps = np.diff(places, prepend=0)
     gaps[first] = places[first]
-    size = np.searchsorted(np.array([1 << 7, 1 << 14, 1 << 21]), gaps, side="right") + 1
+    size = np.searchsorted(np.array([1 << 7, 1 << 14, 1 << 21, 1 << 28]), gaps, side="right") + 1
     ends = np.cumsum(size)
     out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    for k in range(4):
+    for k in range(5):
         own = np.flatnonzero(size > k)
         out[ends[own] - 1 - k] = gaps[own] >> (7 * k) & 127
     out[ends - 1] |= 128
@@ -48,7 +48,7 @@ def unpack_places(data: bytes, counts):
     ends = np.flatnonzero(raw & 128)
     size = np.diff(ends, prepend=-1)
     gaps = np.zeros(len(ends), np.int64)
-    for k in range(4):
+    for k in range(5):  # no text that a row can hold has more than 2**35 words
         own = size > k
         gaps[own] |= (raw[ends[own] - k] & 127).astype(np.int64) << (7 * k)
     sums = np.cumsum(gaps)

@@ -315,7 +315,7 @@ def test_packed_places():
     lists = [
         np.sort(rng.choice(m, k, replace=False)) for m,
         k in ((10, 1), (300, 200), (10**6, 50), (1 << 27, 9), (1 << 27, 1))
-    ]
+    ] + [np.array([5, 1 << 28, (1 << 34) + 7]), np.array([1 << 33])]
     places = np.concatenate(lists)
     first = np.zeros(len(places), bool)
     first[np.cumsum([0, *map(len, lists)])[:-1]] = True
