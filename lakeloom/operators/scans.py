@@ -8,6 +8,7 @@ what comes before a slice is added to its rows. All of it is DataFrame functions
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,6 +95,17 @@ def _combined(kind: str, own: Column, carried: Column) -> Column:
     return F.coalesce(own, carried)
 
 
+class Cuts(NamedTuple):
+    """Where the keys with more than a task's share of the rows are cut: (keys, _cuts), or None where no key is."""
+
+    rows: DataFrame | None
+
+
+def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_rows: int = MIN_ROWS) -> Cuts:
+    """Cuts to share between several scans over the same keys and order; scans of fewer rows may use them too."""
+    return Cuts(_hot_cuts(df, keys, order, min_rows))
+
+
 def _hot_cuts(df: DataFrame, keys: list[str], order: list[str], min_rows: int) -> DataFrame | None:
     """(keys, _cuts) of the keys with more rows than a task's share, or null if there are none.
 
@@ -126,16 +138,18 @@ def _meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
 
 
 def segmented_scan(
-    df: DataFrame, keys: list[str], order: list[str], min_rows: int = MIN_ROWS, **scans: tuple[str, str | Column]
+    df: DataFrame, keys: list[str], order: list[str], min_rows: int = MIN_ROWS, cuts: Cuts | None = None,
+    **scans: tuple[str, str | Column]
 ) -> DataFrame:
     """The rows with a column for each scan (running_sum(...), last_known(...), ...), over the rows of equal keys in
     ascending order, nulls first; null keys are a group. The order should be total, or ties are taken as they come.
 
     One count by key tells whether any key has more than a task's share of the rows. If none has, this is the plain
     window. Else those keys are cut into slices at sampled places of their order; a slice holds about a share. Rows
-    with the very same order values stay in one slice. The rows are shuffled once, by keys and slice.
+    with the very same order values stay in one slice. The rows are shuffled once, by keys and slice. `cuts` are those of
+    find_cuts(), where several scans share them.
     """
-    cuts = _hot_cuts(df, keys, order, min_rows)
+    cuts = (cuts or find_cuts(df, keys, order, min_rows)).rows
     value = {n: F.col(v) if isinstance(v, str) else v for n, (_, v) in scans.items()}
     kind = {n: k for n, (k, _) in scans.items()}
     plain = lambda n, c: c["v"] if kind[n] in ("before", "after") else c
@@ -170,10 +184,12 @@ def fill(df: DataFrame, keys: list[str], order: list[str], min_rows: int = MIN_R
     return segmented_scan(df, keys, order, min_rows, **{n: last_known(c) for n, c in columns.items()})
 
 
-def changes(df: DataFrame, keys: list[str], order: list[str], value: str, min_rows: int = MIN_ROWS) -> DataFrame:
+def changes(
+    df: DataFrame, keys: list[str], order: list[str], value: str, min_rows: int = MIN_ROWS, cuts: Cuts | None = None
+) -> DataFrame:
     """Rows whose value differs from the one before in their group, and each group's first; null is a value."""
     seen = F.struct(F.col(value).alias("x"))
-    rows = segmented_scan(df, keys, order, min_rows, _was=row_before(seen))
+    rows = segmented_scan(df, keys, order, min_rows, cuts, _was=row_before(seen))
     return rows.where(F.col("_was").isNull() | ~F.col("_was.x").eqNullSafe(F.col(value))).drop("_was")
 
 
@@ -181,9 +197,11 @@ def runs(df: DataFrame, keys: list[str], order: list[str], value: str, min_rows:
     """Rows with `island`, numbered from 1 in each group, which grows by one wherever the value changes; null is a value.
     """
     seen = F.struct(F.col(value).alias("x"))
-    rows = segmented_scan(df, keys, order, min_rows, _was=row_before(seen))
+    cuts = find_cuts(df, keys, order, min_rows)
+    rows = segmented_scan(df, keys, order, cuts=cuts, _was=row_before(seen))
     new = F.col("_was").isNull() | ~F.col("_was.x").eqNullSafe(F.col(value))
-    return segmented_scan(rows.withColumn("_new", new.cast("int")), keys, order, min_rows, island=running_sum("_new")).drop("_new", "_was")
+    rows = segmented_scan(rows.withColumn("_new", new.cast("int")), keys, order, cuts=cuts, island=running_sum("_new"))
+    return rows.drop("_new", "_was")
 
 
 def byte_runs(
@@ -207,10 +225,11 @@ def reached(
 
 
 def spans(
-    df: DataFrame, keys: list[str], order: list[str], start: str = "start", end: str = "end", min_rows: int = MIN_ROWS
+    df: DataFrame, keys: list[str], order: list[str], start: str = "start", end: str = "end", min_rows: int = MIN_ROWS,
+    cuts: Cuts | None = None
 ) -> DataFrame:
     """Rows with [start, end): the row's own time (the first of `order`) and the next one's; null in a group's last."""
-    return segmented_scan(df, keys, order, min_rows, **{end: row_after(order[0])}).withColumn(start, F.col(order[0]))
+    return segmented_scan(df, keys, order, min_rows, cuts, **{end: row_after(order[0])}).withColumn(start, F.col(order[0]))
 
 
 def as_of_join(

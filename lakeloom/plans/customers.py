@@ -388,8 +388,9 @@ def user_journey(events: DataFrame, user: str, at: str, tie: str, name: str) ->
     long the session is; journey_paths() tells the path up to a step.
     """
     order = [at, tie]
-    steps = S.changes(events, [user], order, name)
-    return S.segmented_scan(steps, [user], order, step=S.running_sum(F.lit(1)), next_event=S.row_after(name))
+    cuts = S.find_cuts(events, [user], order)
+    steps = S.changes(events, [user], order, name, cuts=cuts)
+    return S.segmented_scan(steps, [user], order, cuts=cuts, step=S.running_sum(F.lit(1)), next_event=S.row_after(name))
 
 
 def journey_paths(steps: DataFrame, user: str, name: str, separator: str = ">") -> DataFrame:

@@ -191,7 +191,8 @@ def status_intervals(
     changes: DataFrame, keys: list[str], at: str, status: str, tie: str, open_end: Column
 ) -> DataFrame:
     """Change points as [start, end) intervals; the last one of an entity ends at `open_end`."""
-    points = S.spans(S.changes(changes, keys, [at, tie], status), keys, [at, tie])
+    cuts = S.find_cuts(changes, keys, [at, tie])
+    points = S.spans(S.changes(changes, keys, [at, tie], status, cuts=cuts), keys, [at, tie], cuts=cuts)
     return points.select(*keys, status, "start", F.coalesce("end", open_end).alias("end"))
 
 

@@ -622,9 +622,13 @@ def s5_date_suffixed(spark, sf_dir):
     root, events = io.scratch_folder(spark, "suffixed"), t(spark, sf_dir, "events").withColumn(
         "day", F.date_format("ts", "yyyyMMdd")
     )
-    events.write.partitionBy("day").parquet(f"{root}/all")
-    for row in events.select("day").distinct().collect():  # one table a day
-        spark.read.parquet(f"{root}/all/day={row.day}").write.parquet(f"{root}/tables/events_{row.day}")
+    events.write.partitionBy("day").parquet(f"{root}/all")  # one job for all days; folders are renamed, not copied
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop(f"{root}/tables"))
+    for folder in files.listStatus(hadoop(f"{root}/all")):
+        if (name := folder.getPath().getName()).startswith("day="):
+            files.rename(folder.getPath(), hadoop(f"{root}/tables/events_{name.removeprefix('day=')}"))
     return io.read_date_suffixed(
         spark, f"{root}/tables", "events_", "20240103", "20240124"
     ).select("event_id", "suffix")

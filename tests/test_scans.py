@@ -75,6 +75,16 @@ def test_many_cuts_and_several_keys(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_cuts_are_shared_by_scans_of_fewer_rows(spark):
+    df = frame(spark).cache()
+    cuts = S.find_cuts(df, ["k"], ["i"], 100)
+    assert cuts.rows is not None
+    some = df.where("v IS NOT NULL")
+    w = Window.partitionBy("k").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    got = S.segmented_scan(some, ["k"], ["i"], cuts=cuts, t=S.running_sum("v"))
+    assert told(got, "i", "t") == told(some.withColumn("t", F.sum("v").over(w)), "i", "t")
+
+
 def test_scans_of_an_empty_table(spark):
     df = spark.createDataFrame([], "k string, i int, v int")
     assert S.segmented_scan(df, ["k"], ["i"], t=S.running_sum("v")).collect() == []
