@@ -370,7 +370,7 @@ def test_chat_rotation(spark):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
