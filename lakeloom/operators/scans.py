@@ -335,3 +335,50 @@ def range_join(
     blocks = blocks.select("*", F.col("_block.level").alias("_level"), F.col("_block.node").alias("_node")).drop("_block")
     met = points.join(blocks, [*keys, "_level", "_node"]).drop("_level", "_node")
     return met.where((F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end))))
+
+
+def range_totals(
+    points: DataFrame, ranges: DataFrame, at: str, start: str, end: str, keys: list[str], entity: str, greatest: str
+) -> DataFrame:
+    """Ranges that some point of equal keys falls into, with its points counted (`n`), their different entities counted
+    (`entities`) and the greatest value of `greatest` (`top`); the times are dates. A null end is open; a null start, date or
+    key or an end before the start matches nothing, and a null entity isn't counted among the entities.
+
+    No point meets a range: points are added up by blocks of a power of two days, and a range takes the totals of its few
+    blocks. An entity is counted on its first day in the range, which is a day with no earlier one from the start on; so a
+    block's entities by their day before are summed up in order, and the range reads the sum before its start. The sums
+    hold no more rows than keys by pairs of days, whatever the number of points.
+    """
+    dated = points.where(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in [*keys, at])))
+    low, high = dated.agg(F.min(at), F.max(at)).first()
+    first, size = F.lit(low).cast("date"), (high - low).days + 1 if low else 1
+    levels = F.array(*(F.lit(k) for k in range(size.bit_length())))
+    number = lambda c: F.datediff(c, first).cast("long")
+    half = lambda c, k: F.call_function("shiftright", c, k)
+    block = [*keys, "_level", "_node"]
+
+    a = F.greatest(number(F.col(start)), F.lit(0).cast("long"))
+    b = F.least(F.coalesce(number(F.col(end)), F.lit(size - 1).cast("long")), F.lit(size - 1).cast("long"))
+    sound = ranges.where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start))))
+    sound = sound.withColumns({"_a": a, "_b": b}).where("_a <= _b")
+    blocks = sound.select(*keys, "_a", "_b").distinct().withColumn("_block", F.explode(dyadic_cover(F.col("_a"), F.col("_b"))))
+    blocks = blocks.select(*keys, "_a", "_b", F.col("_block.level").alias("_level"), F.col("_block.node").alias("_node"))
+
+    days = dated.groupBy(*keys, number(F.col(at)).alias("_d")).agg(F.count(F.lit(1)).alias("n"), F.max(greatest).alias("top"))
+    nodes = days.withColumn("_level", F.explode(levels)).withColumn("_node", half(F.col("_d"), F.col("_level")))
+    nodes = nodes.groupBy(*block).agg(F.sum("n").alias("n"), F.max("top").alias("top"))
+
+    seen = dated.where(F.col(entity).isNotNull()).select(*keys, entity, number(F.col(at)).alias("_d")).distinct()
+    before = F.lag("_d", 1, -1).over(Window.partitionBy(*keys, entity).orderBy("_d"))
+    steps = seen.withColumn("_p", before).groupBy(*keys, "_p", "_d").agg(F.count(F.lit(1)).alias("_c"))
+    cells = steps.withColumn("_level", F.explode(levels)).withColumn("_node", half(F.col("_d"), F.col("_level")))
+    cells = cells.where((F.col("_p") < 0) | (half(F.col("_p"), F.col("_level")) < F.col("_node")))  # else never before a start
+    cells = cells.groupBy(*block, "_p").agg(F.sum("_c").alias("_c")).withColumn("_asks", F.lit(False))
+    asked = blocks.select(*block, F.col("_a").alias("_p")).distinct().select("*", F.lit(0).cast("long").alias("_c"), F.lit(True).alias("_asks"))
+    w = Window.partitionBy(*block).orderBy("_p", F.col("_asks").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    fresh = cells.unionByName(asked).withColumn("_new", F.sum("_c").over(w)).where("_asks").select(*block, F.col("_p").alias("_a"), "_new")
+
+    told = blocks.join(nodes, block).join(fresh, [*block, "_a"], "left").groupBy(*keys, "_a", "_b").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum("_new"), F.lit(0)).alias("entities"), F.max("top").alias("top")
+    )
+    return sound.join(told, [*keys, "_a", "_b"]).drop("_a", "_b")

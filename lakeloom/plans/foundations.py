@@ -479,10 +479,17 @@ def j6_open_intervals(spark, sf_dir):
     terms = t(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), first.alias("a"), last.alias("b"))
     people = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
     orders = t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("day"))
-    met = S.range_join(orders.join(people, "o_custkey"), terms, "day", "a", "b", ["nation"])
-    return met.groupBy("s_suppkey").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("customers"), F.max("o_orderkey").alias("last_key")
+    bought = orders.join(people, "o_custkey")
+    terms = terms.groupBy(*terms.columns).agg(F.count(F.lit(1)).alias("times"))
+    terms = terms.withColumn("_places", F.count(F.lit(1)).over(W.partitionBy("s_suppkey")))
+    one = S.range_totals(bought, terms.where("_places = 1"), "day", "a", "b", ["nation"], "o_custkey", "o_orderkey").select(
+        "s_suppkey", (F.col("n") * F.col("times")).alias("n"), F.col("entities").alias("customers"), F.col("top").alias("last_key")
     )
+    # A supplier's number found in several nations: its customers are told apart over all of them.
+    met = S.range_join(bought, terms.where("_places > 1"), "day", "a", "b", ["nation"])
+    return one.unionByName(met.groupBy("s_suppkey").agg(
+        F.sum("times").alias("n"), F.count_distinct("o_custkey").alias("customers"), F.max("o_orderkey").alias("last_key")
+    ))
 
 
 @query(
