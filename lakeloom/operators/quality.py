@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cdc import latest_by_key
+from .scans import exact_quantiles
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -200,24 +201,14 @@ def guarded_snapshot_repair(
     return True
 
 
-def latency_profile(
-    log: DataFrame, group: list[str], start: str = "synced_at", end: str = "ingest_time", accuracy: int = 10_000
-) -> DataFrame:
-    """Seconds from start to end by group: avg, min, max and the approximate 50th, 90th and 95th percentiles, exact for
-    groups of at most `accuracy` rows.
-    """
+def latency_profile(log: DataFrame, group: list[str], start: str = "synced_at", end: str = "ingest_time") -> DataFrame:
+    """Seconds from start to end by group: avg, min, max and the 50th, 90th and 95th percentiles, all exact."""
     seconds = F.unix_micros(end) / F.lit(1e6) - F.unix_micros(start) / F.lit(1e6)
-    points = F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95))
-    q = F.percentile_approx("seconds", points, accuracy)
-    out = (
-        log
-        .withColumn("seconds", seconds)
-        .groupBy(*group)
-        .agg(F.avg("seconds").alias("avg"), F.min("seconds").alias("min"), F.max("seconds").alias("max"), q.alias("q"))
-    )
-    return out.select(
-        *group, "avg", "min", "max", *(F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95")))
-    )
+    rows = log.groupBy(*group, seconds.alias("seconds")).agg(F.count(F.lit(1)).alias("_times"))
+    known = F.sum(F.when(F.col("seconds").isNotNull(), F.col("_times")))
+    mean = F.try_divide(F.sum(F.col("seconds") * F.col("_times")), known)
+    out = rows.groupBy(*group).agg(mean.alias("avg"), F.min("seconds").alias("min"), F.max("seconds").alias("max"))
+    return exact_quantiles(rows, group, "seconds", {"p50": 50, "p90": 90, "p95": 95}, out, times="_times")
 
 
 def throughput(log: DataFrame, at: str, size: Column, grain: str = "hour") -> DataFrame:

@@ -8,6 +8,7 @@ what comes before a slice is added to its rows. All of it is DataFrame functions
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,20 @@ from pyspark.sql import functions as F
 MIN_ROWS = 10_000
 #: Rows of a hot key that are sampled for each of its slices, to place the cuts.
 SAMPLED = 32
+#: Rows of a task where rows are shuffled by in_tasks().
+TASK_ROWS = 200_000
+
+
+def tasks_for(*frames: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """How many tasks of about `task_rows` rows the largest of the tables makes."""
+    return max(1, *(ceil(df.count() / task_rows) for df in frames))
+
+
+def in_tasks(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:
+    """The rows shuffled by the keys into n tasks, which Spark doesn't put together again: it would by their compressed
+    bytes, so that a task's memory and time grew with how well rows compress and how much is made of each.
+    """
+    return df.repartition(n, *keys)
 
 
 def running_sum(value: str | Column) -> tuple[str, str | Column]:
@@ -204,6 +219,30 @@ def runs(df: DataFrame, keys: list[str], order: list[str], value: str, min_rows:
     return rows.drop("_new", "_was")
 
 
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, percents: dict[str, int], groups: DataFrame | None = None,
+    min_rows: int = MIN_ROWS, times: str | Column | None = None,
+) -> DataFrame:
+    """The named percentiles of each group's known values, each the least value that has that part of them at or below it;
+    null where a group has none. `groups`, one row for each group, is what they are added to; a row
+    counts as often as `times` says, or once.
+
+    Equal values are counted first, and the counts are summed up in order of value, in slices where a group has many.
+    """
+    counts = df.groupBy(*keys, value).agg((F.count(F.lit(1)) if times is None else F.sum(times)).alias("_n"))
+    known = counts.where(F.col(value).isNotNull())
+    upto = segmented_scan(known, keys, [value], min_rows, _upto=running_sum("_n"))
+    all_of = known.groupBy(*keys).agg(F.sum("_n").alias("_all"))
+    on = lambda a, b: reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[f"_k_{k}"]) for k in keys))
+    named = lambda b: b.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    right = named(all_of)
+    ranked = upto.join(right, on(upto, right)).drop(*(f"_k_{k}" for k in keys))
+    reached = lambda p: F.col("_upto") * 100 >= F.col("_all") * p  # noqa: E731  whole numbers, as 0.95 isn't one in binary
+    told = named(ranked.groupBy(*keys).agg(*(F.min(F.when(reached(p), F.col(value))).alias(n) for n, p in percents.items())))
+    groups = counts.select(*keys).distinct() if groups is None else groups
+    return groups.join(told, on(groups, told), "left").drop(*(f"_k_{k}" for k in keys))
+
+
 def byte_runs(
     df: DataFrame, keys: list[str], order: list[str], text: str, limit: int, min_rows: int = MIN_ROWS
 ) -> DataFrame:

@@ -772,16 +772,9 @@ def a6_latest_value(spark, sf_dir):
     "quantile_disc(o_totalprice, 0.95) AS p95 FROM orders GROUP BY o_orderpriority"
 )
 def a8_quantiles(spark, sf_dir):
-    """Approximate quantiles, whose sketch is bounded and combined before the shuffle; at an accuracy of 100,000
-    they are exact for groups of that size.
-    """
-    q = F.percentile_approx("o_totalprice", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)), 100_000)
-    return (
-        t(spark, sf_dir, "orders")
-        .groupBy("o_orderpriority")
-        .agg(q.alias("q"))
-        .select("o_orderpriority", *(F.col("q")[i].alias(n) for i, n in enumerate(("p50", "p90", "p95"))))
-    )
+    """Quantiles by counts of equal values, exact however many rows a group has."""
+    orders = t(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice")
+    return S.exact_quantiles(orders, ["o_orderpriority"], "o_totalprice", {"p50": 50, "p90": 90, "p95": 95})
 
 
 @query(

@@ -498,7 +498,7 @@ def c10_guarded_repair(spark, sf_dir):
 )
 def c11_latency(spark, sf_dir):
     both = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
-    out = quality.latency_profile(both, ["l_returnflag"], "o_orderdate", "l_shipdate", accuracy=100_000)
+    out = quality.latency_profile(both, ["l_returnflag"], "o_orderdate", "l_shipdate")
     return out.select("l_returnflag", F.round("avg", 3).alias("avg"), "min", "max", "p50", "p90", "p95")
 
 
