@@ -22,9 +22,9 @@ SAMPLED = 32
 TASK_ROWS = 200_000
 
 
-def tasks_for(*frames: DataFrame, task_rows: int = TASK_ROWS) -> int:
-    """How many tasks of about `task_rows` rows the largest of the tables makes."""
-    return max(1, *(ceil(df.count() / task_rows) for df in frames))
+def tasks_for(*frames: DataFrame) -> int:
+    """How many tasks of about TASK_ROWS rows the largest of the tables makes."""
+    return max(1, *(ceil(df.count() / TASK_ROWS) for df in frames))
 
 
 def in_tasks(df: DataFrame, n: int, *keys: str | Column) -> DataFrame:

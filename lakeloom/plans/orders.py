@@ -629,7 +629,10 @@ _VOUCHER = (
 
 
 def _vouchers(spark, sf_dir) -> DataFrame:
-    rows = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
+    orders, items = t(spark, sf_dir, "orders"), t(spark, sf_dir, "lineitem")
+    n = S.tasks_for(orders, items)
+    orders, items = S.in_tasks(orders, n, "o_orderkey"), S.in_tasks(items, n, "l_orderkey")
+    rows = orders.join(items, F.col("l_orderkey") == F.col("o_orderkey"))
     doc = F.to_json(
         F.collect_list(
             F.struct(F.concat(F.lit("V"), "l_linenumber").alias("code"), F.col("l_tax").alias("discount_value"))
