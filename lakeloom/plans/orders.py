@@ -233,18 +233,16 @@ def strategic_measures(orders: DataFrame, items: DataFrame, grain: Column) -> Da
     lines), fulfilled value, backlog, orders and their deliveries (DO: an order's days of shipping).
     """
     money, status = F.col("o_totalprice"), F.col("o_orderstatus")
+    n = S.tasks_for(orders, items)
     a = orders.groupBy(grain.alias("period")).agg(
         F.round(F.sum(money), 2).alias("gmv_before_cancel"),
         F.round(F.sum(F.when(status != "P", money)), 2).alias("gmv_after_cancel"),
         F.round(F.sum(F.when(status == "F", money)), 2).alias("fulfilled"),
         F.count_if(status == "O").cast("double").alias("backlog"), F.count(F.lit(1)).cast("double").alias("so_count"),
     )
-    sold = (
-        orders
-        .where(status != "P")
-        .select("o_orderkey", grain.alias("period"))
-        .join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
-    )
+    sold = orders.where(status != "P").select("o_orderkey", grain.alias("period"))
+    lines = items.withColumnRenamed("l_orderkey", "o_orderkey")
+    sold = S.in_tasks(sold, n, "o_orderkey").join(S.in_tasks(lines, n, "o_orderkey"), "o_orderkey")
     kept = F.when(F.col("l_returnflag") != "R", exact_net())
     b = sold.groupBy("period").agg(
         F.coalesce(F.sum(kept).cast("double"), F.lit(0.0)).alias("nmv"),
