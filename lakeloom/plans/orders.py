@@ -395,7 +395,9 @@ def b26_region_prices(spark, sf_dir):
 def price_frequency(items: DataFrame, product: str, price: Column, at: str, order: str, band: float = 100) -> DataFrame:
     """Orders by product, price band and month."""
     keys = F.col(product), F.floor(price / band).alias("price_band"), F.date_format(at, "yyyy-MM").alias("month")
-    return items.groupBy(*keys).agg(F.count_distinct(order).alias("orders"))
+    # By month too, so that a product with very many lines isn't one task.
+    rows = S.in_tasks(items.select(*keys, order), S.tasks_for(items), product, "month")
+    return rows.groupBy(product, "price_band", "month").agg(F.count_distinct(order).alias("orders"))
 
 
 @query(
