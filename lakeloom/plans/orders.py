@@ -1013,6 +1013,7 @@ def b62_item_discount_split(spark, sf_dir):
             F.array(F.lit("all"), F.min("l_partkey").cast("string")), F.array(F.lit("100.0"), F.lit("7.0"))
         )
     )
+    items = S.in_tasks(items, S.tasks_for(items), "l_orderkey")
     discounts = items.groupBy("l_orderkey").agg(doc.alias("discounts"))
     rows = item_discount_split(items, discounts, "l_orderkey", "l_partkey", "l_extendedprice")
     return rows.groupBy("l_orderkey").agg(F.round(F.sum("discount"), 4).alias("discount"), F.count(F.lit(1)).alias("n"))
