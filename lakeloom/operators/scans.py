@@ -173,21 +173,20 @@ def segmented_scan(
         return df.withColumns({n: plain(n, _local(kind[n], value[n], w)) for n in scans})
     at = F.struct(*order)
     rows = _meet(df, cuts, keys, "left")
-    coarse = "cast(ceil(sqrt(size(_cuts))) as int)"  # cuts are looked up in two steps: every sqrt(n)th, then between two
-    rows = rows.withColumn("_place", at).withColumn(
-        "_hit", F.expr(f"size(filter(_cuts, (c, i) -> i % {coarse} = 0 AND c <= _place))")
-    ).withColumn(
-        "_slice",
-        F.expr(
-            f"CASE WHEN _cuts IS NULL THEN -1 WHEN _hit = 0 THEN 0 ELSE (_hit - 1) * {coarse} + "
-            f"size(filter(slice(_cuts, (_hit - 1) * {coarse} + 1, {coarse}), c -> c <= _place)) END"
-        ),
-    ).drop("_cuts", "_hit")
-    totals = rows.where("_slice >= 0").groupBy(*keys, "_slice").agg(*(_total(kind[n], value[n], F.col("_place")).alias(n) for n in scans))
+    rows = rows.withColumns({"_place": at, "_hot": F.col("_cuts").isNotNull(), "_slice": F.lit(0)})
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for k in reversed(range(parts.bit_length())):  # how many cuts are at or before the row, by halves; a key has fewer than parts
+        more = f"_slice + {1 << k} <= size(_cuts) AND get(_cuts, _slice + {(1 << k) - 1}) <= _place"
+        rows = rows.withColumn("_slice", F.expr(f"CASE WHEN {more} THEN _slice + {1 << k} ELSE _slice END"))
+    rows = rows.withColumn("_slice", F.expr("CASE WHEN _hot THEN _slice ELSE -1 END")).drop("_cuts")
+    # Slices are the tasks: Spark would put some of them together again, to the size of 64 compressed MB.
+    rows = in_tasks(rows, 2 * parts, *keys, "_slice")
+    # By _hot and not by _slice, which a filter on it would work out once more.
+    totals = rows.where("_hot").groupBy(*keys, "_slice").agg(*(_total(kind[n], value[n], F.col("_place")).alias(n) for n in scans))
     over = Window.partitionBy(*keys).orderBy("_slice")
     carried = totals.select(*keys, "_slice", *(_carried(kind[n], n, over).alias(f"_c_{n}") for n in scans))
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    own = rows.drop("_place").withColumns({f"_o_{n}": _local(kind[n], value[n], w) for n in scans})
+    own = rows.drop("_place", "_hot").withColumns({f"_o_{n}": _local(kind[n], value[n], w) for n in scans})
     # Slices of hot keys only: no more rows than twice the number of shuffle partitions.
     out = _meet(own, carried, [*keys, "_slice"], "left")
     made = {n: plain(n, _combined(kind[n], F.col(f"_o_{n}"), F.col(f"_c_{n}"))) for n in scans}
